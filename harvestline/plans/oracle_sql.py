@@ -135,7 +135,8 @@ fact AS (
           * (1 + CAST(congestion_index AS DECIMAL(10,2)) * 0.005), 2) AS DECIMAL(18,2)) AS freight_cost_nzd
   FROM (SELECT *, CAST({congestion} AS DOUBLE) AS congestion_index, CAST({RAIN} AS DOUBLE) AS rainfall_mm_7d,
                CAST({reg} AS DOUBLE) AS reg_index,
-               {PHASE.format(w='pack_week')} AS season_phase
+               {PHASE.format(w='pack_week')} AS season_phase,
+               {_case("subzone", {z: i + 1 for i, z in enumerate(C.SUBZONES)}, quote=False)} AS corridor_key
         FROM subs)
 ),
 factm AS (
@@ -239,4 +240,76 @@ SELECT season, COUNT(*) AS total, {avg_fixed("risk_score", 0, 1)} AS avg_risk, {
   {money("SUM(total_return_nzd)", 1_000_000, 2)} AS return_nzd_m,
   {money(f"SUM(CASE WHEN {FAIL} THEN submit_payment_nzd ELSE 0 END)", 1_000_000, 3)} AS reversed_nzd_m
 FROM factm GROUP BY season ORDER BY season""")
+    q["p1_season_aggregate"] = _q(f"""
+SELECT season, {avg_fixed("dm_pct_avg", 2, 2)} AS dm_avg, ROUND(AVG(congestion_index), 1) AS cong_avg,
+  {avg_fixed("rainfall_mm_7d", 1, 1)} AS rain_avg, {avg_fixed("vol_index", 0, 1)} AS vol_avg,
+  ROUND(AVG(reg_index), 1) AS reg_avg, {avg_fixed("otif_pct", 2, 2)} AS otif_avg, {avg_fixed("risk_score", 0, 1)} AS risk_avg,
+  {pct("SUM(CASE WHEN mts_pass THEN 1 ELSE 0 END)", "COUNT(*)", 3)} AS mts_pass_pct,
+  {money("SUM(total_return_nzd)", 1_000_000, 3)} AS total_return_nzd_m,
+  {money(f"SUM(CASE WHEN {FAIL} THEN submit_payment_nzd ELSE 0 END)", 1_000_000, 3)} AS payments_reversed_nzd_m,
+  CAST(SUM(trays_submitted) AS BIGINT) AS total_trays, COUNT(*) AS submissions,
+  MIN(pack_week) AS first_pack_week, MAX(pack_week) AS last_pack_week
+FROM factm GROUP BY season""")
+    q["p2_subzone_breakdown"] = _q(f"""
+SELECT season, subzone, dm_mean, dm_std, readings, mts_fail_pct,
+  CAST(1000 - CAST(ROUND(mts_fail_pct * 10) AS BIGINT) AS DOUBLE) / 1000 AS mts_pass_rate
+FROM (SELECT season, subzone, {avg_fixed("dm_pct", 2, 3)} AS dm_mean, ROUND(STDDEV_POP(dm_pct), 3) AS dm_std,
+        COUNT(*) AS readings, {pct("SUM(CASE WHEN mts_status = 'FAIL' THEN 1 ELSE 0 END)", "COUNT(*)", 1)} AS mts_fail_pct
+      FROM readings GROUP BY season, subzone)""")
+    q["p3_worst_week"] = _q(f"""
+SELECT * FROM (
+  SELECT season, pack_week, subzone, {avg_fixed("risk_score", 0, 1)} AS avg_risk, {avg_fixed("dm_pct_avg", 2, 3)} AS avg_dm,
+    {avg_fixed("otif_pct", 2, 2)} AS avg_otif, {count_if(FAIL)} AS mts_fails, COUNT(*) AS submissions
+  FROM factm GROUP BY season, pack_week, subzone)
+QUALIFY ROW_NUMBER() OVER (PARTITION BY season ORDER BY avg_risk DESC, pack_week, subzone) = 1""")
+    q["p4_weekly_risk_arc"] = _q(f"""
+SELECT season, LIST(r ORDER BY pack_week) AS weekly_risk_arc
+FROM (SELECT season, pack_week, {avg_fixed("risk_score", 0, 1)} AS r FROM factm GROUP BY season, pack_week)
+GROUP BY season""")
+    q["p5_live_state"] = _q("""
+SELECT date_key, season, pack_week FROM factm WHERE date_key IS NOT NULL
+ORDER BY date_key DESC, season DESC, pack_week DESC LIMIT 1""")
+    q["p7_subzone_profile"] = _q(f"""
+SELECT season, subzone, {avg_fixed("dm_pct", 2, 3)} AS dm_mean, ROUND(STDDEV_POP(dm_pct), 3) AS dm_std,
+  {pct("SUM(CASE WHEN mts_status = 'FAIL' THEN 1 ELSE 0 END)", "COUNT(*)", 1)} AS mts_fail_pct,
+  {_case("subzone", {k: int(v["distance_port_km"]) for k, v in C.SUBZONES.items()}, "30", quote=False)} AS distanceKm,
+  {_case("subzone", {k: float(v["vsi"]) for k, v in C.SUBZONES.items()}, "1.5", quote=False)} AS vsi
+FROM readings GROUP BY season, subzone""")
+    spine = (f"(SELECT CAST(year(d) * 10000 + month(d) * 100 + day(d) AS INTEGER) AS date_key "
+             f"FROM (SELECT CAST(generate_series AS DATE) AS d FROM generate_series(DATE '{C.SPINE_START}', "
+             f"DATE '{C.SPINE_END}', INTERVAL 1 DAY)))")
+    q["dq_star_checks"] = _q(f"""
+SELECT 'pk_dim_fruit_quality' AS check_name,
+  (SELECT COUNT(*) FROM (SELECT 1 FROM readings GROUP BY kpin, season, pack_week, variety HAVING COUNT(*) > 1))
+  + (SELECT COALESCE(SUM(CASE WHEN kpin IS NULL OR season IS NULL OR pack_week IS NULL OR variety IS NULL THEN 1 ELSE 0 END), 0) FROM readings)
+  AS violations
+UNION ALL SELECT 'pk_dim_corridor', 0
+UNION ALL SELECT 'pk_dim_time', (SELECT COUNT(*) FROM (SELECT date_key FROM {spine} GROUP BY date_key HAVING COUNT(*) > 1))
+UNION ALL SELECT 'fk_fact_fruit', (SELECT COUNT(*) FROM factm f WHERE NOT EXISTS (SELECT 1 FROM readings r
+   WHERE r.kpin = f.kpin AND r.season = f.season AND r.pack_week = f.pack_week AND r.variety = f.variety))
+UNION ALL SELECT 'fk_fact_time', (SELECT COUNT(*) FROM factm f WHERE f.date_key IS NOT NULL
+   AND f.date_key NOT IN (SELECT date_key FROM {spine}))
+UNION ALL SELECT 'fk_fact_corridor', (SELECT COUNT(*) FROM factm WHERE subzone IS NULL
+   OR subzone NOT IN ({", ".join(repr(z) for z in C.SUBZONES)}))""")
+    checks = ["nulls = 0", "no_date = 0", "bad_trays = 0", "bad_return = 0", "bad_otif = 0", "bad_risk = 0",
+              "pass_rate BETWEEN 85.0 AND 97.0"]
+    passed = " + ".join(f"CAST(COALESCE({c}, FALSE) AS INTEGER)" for c in checks)
+    key_cols = ["season", "subzone", "variety", "pack_week", "dm_pct_avg", "otif_pct", "risk_score",
+                "total_return_nzd", "trays_submitted"]
+    nulls = " + ".join(f"SUM(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END)" for c in key_cols)
+    q["dq_fact_health"] = _q(f"""
+SELECT CAST(nulls AS BIGINT) AS nulls, CAST(({passed}) * 100 AS DOUBLE) / {len(checks)} AS health_score,
+  pass_rate, no_date, bad_trays, bad_return, bad_otif, bad_risk
+FROM (SELECT {nulls} AS nulls,
+        {count_if("date_key IS NULL")} AS no_date,
+        {count_if("trays_exported + trays_lost <> trays_submitted")} AS bad_trays,
+        {count_if("NOT mts_pass AND total_return_nzd <> 0")} AS bad_return,
+        {count_if("NOT (otif_pct BETWEEN 52.0 AND 97.5)")} AS bad_otif,
+        {count_if("NOT (risk_score BETWEEN 1 AND 100)")} AS bad_risk,
+        {pct("SUM(CASE WHEN mts_pass THEN 1 ELSE 0 END)", "COUNT(*)", 3)} AS pass_rate
+      FROM factm)""")
+    from ..registry import FACT_PROFILE_COLS
+    q["dq_fact_null_profile"] = _q("\nUNION ALL\n".join(
+        f"SELECT '{c}' AS \"column\", CAST(SUM(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS null_count FROM factm"
+        for c in FACT_PROFILE_COLS))
     return q

@@ -58,14 +58,23 @@ def dim_time(spark: SparkSession, start: str = C.SPINE_START, end: str = C.SPINE
 # dim_corridor (SRC10, WIN2 via traffic)
 # --------------------------------------------------------------------------
 
+def literal_table(spark: SparkSession, rows, schema: str) -> DataFrame:
+    """A fixed reference table built inside the JVM (SRC10): ``inline`` over a
+    literal array of structs, no Python-side serialisation."""
+    names = [f.strip().split(" ")[0] for f in schema.split(",")]
+    types = [f.strip().split(" ", 1)[1] for f in schema.split(",")]
+    structs = [F.struct(*[F.lit(v).cast(t).alias(n) for v, n, t in zip(r, names, types)]) for r in rows]
+    return spark.range(1).select(F.inline(F.array(*structs)))
+
+
 def dim_corridor(spark: SparkSession, congestion_avg=C.CONGESTION_DEFAULT) -> DataFrame:
     """Five corridor rows from the subzone reference.  ``congestion_avg`` is
     a number or a one-row DataFrame with column ``congestion_index_avg``
     (the traffic-derived average, see plans.traffic.corridor_congestion)."""
     rows = [(i + 1, sz, C.HIGHWAYS[sz], float(v["distance_port_km"]), float(v["base_risk_weight"]),
              float(v["psa_incidence_historical"])) for i, (sz, v) in enumerate(C.SUBZONES.items())]
-    ref = spark.createDataFrame(rows, "corridor_key int, subzone string, highway string, distance_port_km double, "
-                                      "base_risk_weight double, psa_incidence_historical double")
+    ref = literal_table(spark, rows, "corridor_key int, subzone string, highway string, distance_port_km double, "
+                                     "base_risk_weight double, psa_incidence_historical double")
     if isinstance(congestion_avg, DataFrame):
         ref = ref.crossJoin(F.broadcast(congestion_avg.select(F.col("congestion_index_avg").cast("double"))))
     else:
@@ -105,11 +114,12 @@ def readings(subs: DataFrame) -> DataFrame:
     dm_centi = half_up_div("_dm_sum", "_n").cast("int")
     r = g.select(*READING_KEY, "subzone", "pest_indicator", "reading_date",
                  dm_centi.alias("dm_centi"), (F.col("_n") * 90).alias("sample_size"))
-    passed = DF.mts_pass("dm_centi", "variety")
-    return (r.withColumn("dm_pct", F.col("dm_centi") / 100.0)
-             .withColumn("mts_threshold", DF.mts_threshold("variety"))
-             .withColumn("mts_pass", passed)
-             .withColumn("tzg_score", DF.taste_score("dm_centi", "variety")))
+    return r.withColumns({
+        "dm_pct": F.col("dm_centi") / 100.0,
+        "mts_threshold": DF.mts_threshold("variety"),
+        "mts_pass": DF.mts_pass("dm_centi", "variety"),
+        "tzg_score": DF.taste_score("dm_centi", "variety"),
+    })
 
 
 def dim_fruit_quality(subs: DataFrame) -> DataFrame:
@@ -145,29 +155,40 @@ def fact(spark: SparkSession, sf_dir: str, subs: DataFrame | None = None,
     """Submission batches joined to their dimensions plus the operational
     measures.  Defaults follow the published build: one congestion value for
     all rows, regulation 15, pest 20 and a 30 km haul (``distance_km=None``
-    uses each grower's corridor distance instead)."""
+    uses the corridor distance instead).
+
+    ``corridor_key`` comes from the five-row corridor table (broadcast) and
+    the phase from the date spine (broadcast), so the fact rows are never
+    shuffled here.  ``growers`` (with ``grower_key``) is joined only when
+    given — the materialised build does it once; analytical queries do not
+    read grower keys and skip that shuffle.
+    """
     subs = subs if subs is not None else bindings.submissions(spark, sf_dir)
     td = F.broadcast((time_dim if time_dim is not None else dim_time(spark))
-                     .select("date_key", "pack_week", "season_phase", "is_pack_season"))
-    gr = (growers if growers is not None else dim_grower(spark, sf_dir)).select(
-        "kpin", "corridor_key", F.col("distance_port_km").alias("grower_distance_km"),
-        *(["grower_key"] if growers is not None and "grower_key" in growers.columns else []))
-    f = (subs.join(gr, "kpin", "left")
-             .join(td, ["date_key", "pack_week"], "left"))
-    if "grower_key" not in f.columns:
+                     .select("date_key", "pack_week", "season_phase"))
+    cor = F.broadcast(dim_corridor(spark).select("subzone", "corridor_key",
+                                                 F.col("distance_port_km").alias("corridor_distance_km")))
+    f = subs.join(cor, "subzone", "left").join(td, ["date_key", "pack_week"], "left")
+    if growers is not None:
+        f = f.join(growers.select("kpin", "grower_key"), "kpin", "left")
+    else:
         f = f.withColumn("grower_key", F.lit(None).cast("long"))
-    cong = F.lit(float(congestion))
-    km = F.lit(float(distance_km)) if distance_km is not None else F.col("grower_distance_km")
-    f = (f.withColumn("congestion_index", cong)
-          .withColumn("rainfall_mm_7d", DF.rain_estimate("pack_week"))
-          .withColumn("reg_index", F.lit(float(reg_index))))
-    f = (f.withColumn("otif_pct", DF.otif("congestion_index", "rainfall_mm_7d", "reg_index", "mts_pass"))
-          .withColumn("risk_score", DF.risk_score("dm_pct_avg", F.lit(float(pest)), "congestion_index",
-                                                  "rainfall_mm_7d", "reg_index"))
-          .withColumn("freight_cost_nzd", DF.freight_cost("trays_exported", km, "congestion_index"))
-          .withColumn("margin_erosion_pct", DF.margin_erosion("total_return_nzd", "trays_submitted")))
-    return f.select("kpin", "submission_date", *[c for c in FACT_COLUMNS],
-                    F.col("mts_pass").cast("int").alias("mts_pass_int"))
+    km = F.lit(float(distance_km)) if distance_km is not None else F.col("corridor_distance_km")
+    f = f.withColumns({
+        "congestion_index": F.lit(float(congestion)),
+        "rainfall_mm_7d": DF.rain_estimate("pack_week"),
+        "reg_index": F.lit(float(reg_index)),
+        "_km": km,
+    })
+    f = f.withColumns({
+        "otif_pct": DF.otif("congestion_index", "rainfall_mm_7d", "reg_index", "mts_pass"),
+        "risk_score": DF.risk_score("dm_pct_avg", F.lit(float(pest)), "congestion_index",
+                                    "rainfall_mm_7d", "reg_index"),
+        "freight_cost_nzd": DF.freight_cost("trays_exported", "_km", "congestion_index"),
+        "margin_erosion_pct": DF.margin_erosion("total_return_nzd", "trays_submitted"),
+        "mts_pass_int": F.col("mts_pass").cast("int"),
+    })
+    return f.select("kpin", "submission_date", *FACT_COLUMNS, "mts_pass_int")
 
 
 def fact_view(f: DataFrame) -> DataFrame:

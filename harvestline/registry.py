@@ -6,6 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .operators import quality as DQ
+from .operators.aggregates import null_profile
+from .plans import feed as P
 from .plans import queries as Q
 from .plans import star
 from .session import apply_defaults
@@ -25,9 +28,26 @@ class Star:
         self.fruit = star.dim_fruit_quality(self.subs)
 
 
+_STARS: dict = {}
+
+FACT_PROFILE_COLS = ["date_key", "corridor_key", "season", "subzone", "variety", "pack_week", "season_phase",
+                     "trays_submitted", "dm_pct_avg", "otif_pct", "risk_score", "total_return_nzd",
+                     "margin_erosion_pct"]
+
+
+def star_for(spark: SparkSession, sf_dir: str) -> Star:
+    """One lazy star per (session, directory): DataFrames are immutable, so
+    every query reuses the same analysed plans instead of re-reading footers
+    and re-analysing the bindings."""
+    key = (id(spark._jsparkSession), sf_dir)
+    if key not in _STARS:
+        _STARS[key] = Star(spark, sf_dir)
+    return _STARS[key]
+
+
 def _star(fn):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return fn(Star(spark, sf_dir))
+        return fn(star_for(spark, sf_dir))
     run.__name__ = fn.__name__
     return run
 
@@ -46,6 +66,18 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "v5_orphans": _star(lambda s: Q.v5_orphans(s.fact, s.readings)),
     "v6_otif_by_season": _star(lambda s: Q.v6_otif_by_season(s.fact)),
     "m3_seasonal_breakdown": _star(lambda s: Q.seasonal_breakdown(s.fact)),
+    # payload feed
+    "p1_season_aggregate": _star(lambda s: P.season_aggregate(s.fact)),
+    "p2_subzone_breakdown": _star(lambda s: P.subzone_breakdown(s.readings)),
+    "p3_worst_week": _star(lambda s: P.worst_week(s.fact)),
+    "p4_weekly_risk_arc": _star(lambda s: P.weekly_risk_arc(s.fact)),
+    "p5_live_state": _star(lambda s: P.live_state(s.fact)),
+    "p6_season_payloads": _star(lambda s: P.payload_json(P.payloads(s.fact, s.readings))),
+    "p7_subzone_profile": _star(lambda s: P.subzone_profile(P.subzone_breakdown(s.readings))),
+    # data quality
+    "dq_star_checks": _star(lambda s: DQ.star_checks(s.fact, s.readings, star.dim_corridor(s.spark), s.time)),
+    "dq_fact_health": _star(lambda s: DQ.fact_health(s.fact)),
+    "dq_fact_null_profile": _star(lambda s: null_profile(s.fact.select(*FACT_PROFILE_COLS))),
 }
 
 

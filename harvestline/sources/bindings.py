@@ -104,18 +104,19 @@ def submissions(spark: SparkSession, sf_dir: str) -> DataFrame:
         ((sk % 5) == 0).cast("int").alias("pest_indicator"),
         (F.lit(95) + F.year(d) % 10).cast("double").alias("vol_index"),
     )
-    passed = DF.mts_pass("dm_centi", "variety")
-    out = (base
-           .withColumn("trays_exported", F.col("trays_submitted") - F.col("trays_lost"))
-           .withColumn("loss_pct", F.col("trays_lost") * 100.0 / F.col("trays_submitted"))
-           .withColumn("dm_pct_avg", F.col("dm_centi") / 100.0)
-           .withColumn("mts_threshold", DF.mts_threshold("variety"))
-           .withColumn("mts_pass", passed)
-           .withColumn("tzg_milli", DF.taste_milli("dm_centi", "variety"))
-           .withColumn("tzg_score", F.col("tzg_milli") / 1000.0)
-           .withColumn("submit_payment_nzd", DF.submit_payment("variety", "size_code", "trays_submitted")))
-    out = (out
-           .withColumn("taste_payment_nzd", DF.taste_payment("tzg_milli", "trays_exported", "mts_pass"))
-           .withColumn("total_return_nzd", DF.total_return("submit_payment_nzd", "taste_payment_nzd", "mts_pass"))
-           .withColumn("otif_impact", F.when(F.col("mts_pass"), 0.0).otherwise(C.MTS_BREACH_OTIF_PENALTY)))
-    return out
+    out = base.withColumns({
+        "trays_exported": F.col("trays_submitted") - F.col("trays_lost"),
+        "loss_pct": F.col("trays_lost") * 100.0 / F.col("trays_submitted"),
+        "dm_pct_avg": F.col("dm_centi") / 100.0,
+        "mts_threshold": DF.mts_threshold("variety"),
+        "mts_pass": DF.mts_pass("dm_centi", "variety"),
+        "tzg_milli": DF.taste_milli("dm_centi", "variety"),
+        "submit_payment_nzd": DF.submit_payment("variety", "size_code", "trays_submitted"),
+    })
+    out = out.withColumns({
+        "tzg_score": F.col("tzg_milli") / 1000.0,
+        "taste_payment_nzd": DF.taste_payment("tzg_milli", "trays_exported", "mts_pass"),
+        "otif_impact": F.when(F.col("mts_pass"), 0.0).otherwise(C.MTS_BREACH_OTIF_PENALTY),
+    })
+    return out.withColumn("total_return_nzd",
+                          DF.total_return("submit_payment_nzd", "taste_payment_nzd", "mts_pass"))
