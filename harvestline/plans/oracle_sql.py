@@ -166,6 +166,45 @@ def _q(body: str, **kw) -> str:
     return "WITH " + prelude(**kw) + "\n" + body
 
 
+def traffic_prelude() -> str:
+    region = ("CASE WHEN (user_id % 14) + 1 = 4 THEN '" + C.REGION_LABEL + "' "
+              "ELSE lpad(CAST((user_id % 14) + 1 AS VARCHAR), 2, '0') || ' - Region' END")
+    site = "lpad(CAST((user_id % 3 + 1) * 100000 + user_id AS VARCHAR), 8, '0')"
+    cls = "CASE WHEN event_type IN ('purchase', 'error') THEN 'Heavy' ELSE 'Light' END"
+    return f"""
+tms AS (
+  SELECT ts AS start_date, {region} AS region_name, {site} AS site_reference,
+         'Site ' || CAST(user_id AS VARCHAR) AS site_description, {cls} AS class_weight,
+         CASE WHEN event_id % 11 = 0 THEN NULL ELSE value END AS traffic_count
+  FROM events),
+tf AS (
+  SELECT * FROM tms
+  WHERE COALESCE(lower(region_name) LIKE '%{C.REGION_NAME.lower()}%' OR region_name LIKE '%{C.REGION_CODE}%', FALSE)
+    AND site_reference LIKE '{C.SH2_PREFIX}%' AND start_date IS NOT NULL),
+ti AS (
+  SELECT *, COALESCE(traffic_count, MEDIAN(traffic_count) OVER (PARTITION BY site_reference, class_weight)) AS cnt
+  FROM tf),
+tp AS (
+  SELECT CAST(start_date AS DATE) AS date, site_reference, site_description, region_name,
+         COALESCE(SUM(CASE WHEN class_weight = 'Heavy' THEN CAST(ROUND(cnt * 1000) AS BIGINT) END), 0) AS hm,
+         COALESCE(SUM(CASE WHEN class_weight = 'Light' THEN CAST(ROUND(cnt * 1000) AS BIGINT) END), 0) AS lm
+  FROM ti GROUP BY 1, 2, 3, 4),
+daily AS (
+  SELECT date, site_reference, site_description, region_name,
+         CAST(hm AS DOUBLE) / 1000 AS heavy_count, CAST(lm AS DOUBLE) / 1000 AS light_count,
+         CAST(hm + lm AS DOUBLE) / 1000 AS total_count,
+         CAST(LEAST(GREATEST((2 * (3 * hm + lm) + 880) // (2 * 880), 0), 10000) AS DOUBLE) / 100 AS congestion_index,
+         CAST(weekofyear(date) AS INTEGER) AS iso_week, CAST(weekofyear(date) AS INTEGER) AS pack_week,
+         {PHASE.format(w='weekofyear(date)')} AS season_phase
+  FROM tp),
+mm AS (SELECT MIN(CAST(ROUND(congestion_index * 100) AS BIGINT)) AS lo,
+              MAX(CAST(ROUND(congestion_index * 100) AS BIGINT)) AS hi FROM daily),
+scaled AS (
+  SELECT d.*, CASE WHEN hi > lo THEN CAST((2 * (CAST(ROUND(congestion_index * 100) AS BIGINT) - lo) * 1000 + (hi - lo))
+                                          // (2 * (hi - lo)) AS DOUBLE) / 10 ELSE 25.0 END AS congestion_index_scaled
+  FROM daily d, mm)"""
+
+
 def queries_sql() -> dict:
     q = {}
     q["q1_compliance"] = _q(f"""
@@ -308,6 +347,52 @@ FROM (SELECT {nulls} AS nulls,
         {count_if("NOT (risk_score BETWEEN 1 AND 100)")} AS bad_risk,
         {pct("SUM(CASE WHEN mts_pass THEN 1 ELSE 0 END)", "COUNT(*)", 3)} AS pass_rate
       FROM factm)""")
+    tq = lambda body: "WITH " + traffic_prelude() + "\n" + body
+    q["traffic_daily"] = tq("SELECT * FROM daily")
+    q["congestion_profile"] = tq("""
+SELECT ROUND(QUANTILE_CONT(congestion_index, 0.5), 4) AS ci_median, ROUND(QUANTILE_CONT(congestion_index, 0.75), 4) AS ci_p75,
+  MAX(congestion_index) AS ci_max, MIN(congestion_index) AS ci_min, COUNT(*) AS days FROM daily""")
+    q["weekly_congestion"] = tq(f"""
+SELECT pack_week, {avg_fixed("congestion_index_scaled", 1, 1)} AS avg_congestion_by_week FROM scaled GROUP BY pack_week""")
+    q["corridor_congestion"] = tq(f"""
+SELECT {avg_fixed("congestion_index_scaled", 1, 1)} AS congestion_index_avg FROM scaled""")
+    region = ("CASE WHEN (user_id % 14) + 1 = 4 THEN '" + C.REGION_LABEL + "' "
+              "ELSE lpad(CAST((user_id % 14) + 1 AS VARCHAR), 2, '0') || ' - Region' END")
+    q["traffic_daily_counts"] = f"""
+WITH dc AS (
+  SELECT DISTINCT CAST(ts AS VARCHAR) AS startdate, user_id AS siteid, {region} AS regionname,
+    lpad(CAST((user_id % 3 + 1) * 100000 + user_id AS VARCHAR), 8, '0') AS sitereference,
+    CASE WHEN event_type IN ('purchase', 'error') THEN 'Heavy' ELSE 'Light' END AS classweight,
+    'Site ' || CAST(user_id AS VARCHAR) AS sitedescription, CAST(event_id % 2 + 1 AS INTEGER) AS lanenumber,
+    CASE WHEN event_id % 2 = 0 THEN 'Increasing' ELSE 'Decreasing' END AS flowdirection, value AS trafficcount
+  FROM events),
+df AS (
+  SELECT *, CAST(TRY_CAST(startdate AS TIMESTAMP) AS DATE) AS date FROM dc
+  WHERE COALESCE(regexp_matches(regionname, '(?i){C.REGION_REGEX}'), FALSE) AND sitereference LIKE '{C.SH2_PREFIX}%'),
+dp AS (
+  SELECT date, sitereference, CAST(weekofyear(date) AS INTEGER) AS iso_week, CAST(weekofyear(date) AS INTEGER) AS pack_week,
+    {PHASE.format(w='weekofyear(date)')} AS season_phase, CAST(year(date) AS INTEGER) AS year,
+    COALESCE(SUM(CASE WHEN classweight = 'Heavy' THEN CAST(ROUND(trafficcount * 1000) AS BIGINT) END), 0) AS hm,
+    COALESCE(SUM(CASE WHEN classweight = 'Light' THEN CAST(ROUND(trafficcount * 1000) AS BIGINT) END), 0) AS lm
+  FROM df WHERE date IS NOT NULL GROUP BY 1, 2, 3, 4, 5, 6)
+SELECT date, sitereference AS site_reference, iso_week, pack_week, season_phase, year,
+  CAST(hm AS DOUBLE) / 1000 AS heavy_count, CAST(lm AS DOUBLE) / 1000 AS light_count, CAST(hm + lm AS DOUBLE) / 1000 AS total_count,
+  CAST(LEAST(GREATEST((2 * (3 * hm + lm) + 880) // (2 * 880), 0), 10000) AS DOUBLE) / 100 AS congestion_index
+FROM dp"""
+    from .stats import BASE_YEAR, PRODUCTS
+    fob = ", ".join(f"COALESCE(SUM(CASE WHEN o_orderpriority = '{k}' THEN CAST(ROUND(o_totalprice * 100) AS BIGINT) END), 0) AS {v}"
+                    for k, v in PRODUCTS.items())
+    tot = " + ".join(PRODUCTS.values())
+    cols = ", ".join(f"CAST((2 * {v} + 10000) // 20000 AS DOUBLE) / 1000 AS fob_{v}_nzd_m" for v in PRODUCTS.values())
+    q["export_statistics"] = f"""
+WITH a AS (SELECT CAST(year(o_orderdate) AS INTEGER) AS year, {fob} FROM orders WHERE o_orderdate IS NOT NULL GROUP BY 1),
+t AS (SELECT *, {tot} AS total_cents FROM a),
+b AS (SELECT MAX(CASE WHEN year = {BASE_YEAR} THEN total_cents END) AS base, SUM(total_cents) AS s, COUNT(*) AS n FROM t)
+SELECT year, {cols}, CAST((2 * total_cents + 10000) // 20000 AS DOUBLE) / 1000 AS total_fob_nzd_m,
+  CAST(CASE WHEN base IS NOT NULL AND base <> 0 THEN (2 * total_cents * 1000 + base) // (2 * base)
+            WHEN s > 0 THEN (2 * total_cents * n * 1000 + s) // (2 * s) END AS DOUBLE) / 10 AS total_index,
+  CASE WHEN base IS NOT NULL AND base <> 0 THEN 'year {BASE_YEAR}' ELSE 'mean' END AS index_base
+FROM t, b"""
     from ..registry import FACT_PROFILE_COLS
     q["dq_fact_null_profile"] = _q("\nUNION ALL\n".join(
         f"SELECT '{c}' AS \"column\", CAST(SUM(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS null_count FROM factm"

@@ -10,6 +10,8 @@ from .operators import quality as DQ
 from .operators.aggregates import null_profile
 from .plans import feed as P
 from .plans import queries as Q
+from .plans import stats as S
+from .plans import traffic as T
 from .plans import star
 from .session import apply_defaults
 from .sources import bindings
@@ -78,6 +80,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dq_star_checks": _star(lambda s: DQ.star_checks(s.fact, s.readings, star.dim_corridor(s.spark), s.time)),
     "dq_fact_health": _star(lambda s: DQ.fact_health(s.fact)),
     "dq_fact_null_profile": _star(lambda s: null_profile(s.fact.select(*FACT_PROFILE_COLS))),
+    # traffic → congestion
+    "traffic_daily": lambda spark, d: T.traffic_daily(T.tms_15min(spark, d)),
+    "traffic_daily_counts": lambda spark, d: T.traffic_daily_counts(T.daily_counts(spark, d)),
+    "congestion_profile": lambda spark, d: T.congestion_profile(T.traffic_daily(T.tms_15min(spark, d))),
+    "weekly_congestion": lambda spark, d: T.weekly_congestion(T.traffic_daily(T.tms_15min(spark, d))),
+    "corridor_congestion": lambda spark, d: T.corridor_congestion(T.traffic_daily(T.tms_15min(spark, d))),
+    # annual statistics
+    "export_statistics": lambda spark, d: S.export_statistics(spark, d),
 }
 
 
