@@ -393,6 +393,36 @@ SELECT year, {cols}, CAST((2 * total_cents + 10000) // 20000 AS DOUBLE) / 1000 A
             WHEN s > 0 THEN (2 * total_cents * n * 1000 + s) // (2 * s) END AS DOUBLE) / 10 AS total_index,
   CASE WHEN base IS NOT NULL AND base <> 0 THEN 'year {BASE_YEAR}' ELSE 'mean' END AS index_base
 FROM t, b"""
+    region = ("CASE WHEN (user_id % 14) + 1 = 4 THEN '" + C.REGION_LABEL + "' "
+              "ELSE lpad(CAST((user_id % 14) + 1 AS VARCHAR), 2, '0') || ' - Region' END")
+    q["str1_daily_traffic_stream"] = f"""
+WITH x AS (
+  SELECT CAST(ts AS DATE) AS date, lpad(CAST((user_id % 3 + 1) * 100000 + user_id AS VARCHAR), 8, '0') AS site_reference,
+    CASE WHEN event_type IN ('purchase', 'error') THEN 'Heavy' ELSE 'Light' END AS class_weight,
+    CASE WHEN event_id % 11 = 0 THEN NULL ELSE value END AS traffic_count, {region} AS region_name
+  FROM events),
+g AS (
+  SELECT date, site_reference,
+    COALESCE(SUM(CASE WHEN class_weight = 'Heavy' THEN CAST(ROUND(traffic_count * 1000) AS BIGINT) END), 0) AS hm,
+    COALESCE(SUM(CASE WHEN class_weight = 'Light' THEN CAST(ROUND(traffic_count * 1000) AS BIGINT) END), 0) AS lm
+  FROM x WHERE COALESCE(lower(region_name) LIKE '%{C.REGION_NAME.lower()}%' OR region_name LIKE '%{C.REGION_CODE}%', FALSE)
+    AND site_reference LIKE '{C.SH2_PREFIX}%' AND date IS NOT NULL
+  GROUP BY 1, 2)
+SELECT date, site_reference, CAST(hm AS DOUBLE) / 1000 AS heavy_count, CAST(lm AS DOUBLE) / 1000 AS light_count,
+  CAST(hm + lm AS DOUBLE) / 1000 AS total_count,
+  CAST(LEAST(GREATEST((2 * (3 * hm + lm) + 880) // (2 * 880), 0), 10000) AS DOUBLE) / 100 AS congestion_index,
+  CAST(weekofyear(date) AS INTEGER) AS pack_week, {PHASE.format(w='weekofyear(date)')} AS season_phase
+FROM g"""
+    q["str2_rain_7d_stream"] = """
+WITH e AS (SELECT CAST(ts AS DATE) AS d, CAST(ROUND(value * 100) AS BIGINT) AS c FROM events WHERE ts IS NOT NULL),
+w AS (SELECT d - CAST(k AS INTEGER) AS window_start, c FROM e, range(0, 7) t(k))
+SELECT window_start, window_start + 7 AS window_end, CAST(SUM(c) AS DOUBLE) / 100 AS rain_7d_mm, COUNT(*) AS readings
+FROM w GROUP BY window_start"""
+    q["str3_dedupe_stream"] = """
+SELECT DISTINCT user_id, event_type, date_trunc('hour', ts) AS hour FROM events WHERE ts IS NOT NULL"""
+    q["str4_live_state_stream"] = _q("""
+SELECT date_key, season, pack_week FROM factm WHERE date_key IS NOT NULL
+ORDER BY date_key DESC, season DESC, pack_week DESC LIMIT 1""")
     from ..registry import FACT_PROFILE_COLS
     q["dq_fact_null_profile"] = _q("\nUNION ALL\n".join(
         f"SELECT '{c}' AS \"column\", CAST(SUM(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS null_count FROM factm"

@@ -14,6 +14,7 @@ from .plans import stats as S
 from .plans import traffic as T
 from .plans import star
 from .session import apply_defaults
+from .streaming import streams as STR
 from .sources import bindings
 
 
@@ -88,6 +89,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "corridor_congestion": lambda spark, d: T.corridor_congestion(T.traffic_daily(T.tms_15min(spark, d))),
     # annual statistics
     "export_statistics": lambda spark, d: S.export_statistics(spark, d),
+    # streaming (availableNow runs over the whole table; complete mode = batch)
+    "str1_daily_traffic_stream": lambda spark, d: STR.daily_traffic_stream_batch(spark, d),
+    "str2_rain_7d_stream": lambda spark, d: STR.rain_7d_stream_batch(spark, d),
+    "str3_dedupe_stream": lambda spark, d: STR.dedupe_stream_batch(spark, d),
+    "str4_live_state_stream": lambda spark, d: STR.live_state_batch(spark, d),
 }
 
 

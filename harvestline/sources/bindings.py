@@ -74,11 +74,14 @@ def size_code(u100) -> F.Column:
     return expr.otherwise(C.SIZE_CODES[-1])
 
 
-def submissions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pallet submission batches (the generator's submission table), one per lineitem."""
-    li = read_table(spark, sf_dir, "lineitem",
-                    ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
-                     "l_quantity", "l_discount", "l_shipdate"])
+LINEITEM_COLS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_discount", "l_shipdate"]
+
+
+def submissions(spark: SparkSession, sf_dir: str, lineitem: DataFrame | None = None) -> DataFrame:
+    """Pallet submission batches (the generator's submission table), one per
+    lineitem.  ``lineitem`` may be a streaming DataFrame: part and supplier
+    are then joined stream–static (STR5)."""
+    li = (lineitem if lineitem is not None else read_table(spark, sf_dir, "lineitem")).select(*LINEITEM_COLS)
     part = read_table(spark, sf_dir, "part", ["p_partkey", "p_type"])
     sz = supplier_subzone(spark, sf_dir)
     j = (li.join(part, li.l_partkey == part.p_partkey)
