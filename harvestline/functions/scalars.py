@@ -29,8 +29,10 @@ def dec(v, precision: int = 18, scale: int = 2) -> Column:
 
 
 def clamp(x, lo, hi) -> Column:
-    """least(greatest(x, lo), hi) — FN10."""
-    return F.least(F.greatest(col(x), lit(lo)), lit(hi))
+    """least(greatest(x, lo), hi) — FN10.  A null input stays null
+    (``greatest``/``least`` skip nulls, a clip must not)."""
+    v = col(x)
+    return F.when(v.isNotNull(), F.least(F.greatest(v, lit(lo)), lit(hi)))
 
 
 def int_div(a, b) -> Column:

@@ -7,9 +7,13 @@ spread over many partitions), numbered inside each partition, and shifted by
 the row count of all earlier partitions.  Only one row per partition ever
 leaves the executors, and that small offsets table is what is broadcast.
 
-The numbered frame is checkpointed (to the shared ``spark.checkpoint.dir``)
-before the counts are taken, so both uses read identical partitions even if
-an executor is lost and a stage is recomputed.
+The per-partition counts and the numbering must see identical partitions.
+That holds when the input is a deterministic scan (range bounds come from a
+fixed-seed sample over the same input order).  When the input comes out of
+a shuffle its row order is not fixed, so pass ``materialize=True``: the
+numbered frame is then checkpointed to the shared ``spark.checkpoint.dir``
+and both uses read the stored copy (this also cuts the lineage, so a lost
+executor does not recompute the upstream joins).
 """
 
 from __future__ import annotations
@@ -21,9 +25,9 @@ from pyspark.sql.window import Window
 from ..session import checkpoint_dir
 
 
-def surrogate_key(df: DataFrame, order_cols, name: str, num_partitions: int | None = None) -> DataFrame:
+def surrogate_key(df: DataFrame, order_cols, name: str, num_partitions: int | None = None,
+                  materialize: bool = False) -> DataFrame:
     spark = df.sparkSession
-    checkpoint_dir(spark)
     order_cols = list(order_cols)
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = (df.repartitionByRange(n, *order_cols)
@@ -32,7 +36,9 @@ def surrogate_key(df: DataFrame, order_cols, name: str, num_partitions: int | No
                 .withColumn("_pos", F.monotonically_increasing_id()))
     # position within the partition: the id's low 33 bits count rows in order
     ranged = ranged.withColumn("_pos", F.col("_pos") - F.shiftleft(F.col("_pid").cast("long"), 33))
-    ranged = ranged.checkpoint(eager=True)
+    if materialize:
+        checkpoint_dir(spark)
+        ranged = ranged.checkpoint(eager=True)
     counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     offsets = counts.select("_pid", F.coalesce(
         F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))

@@ -140,9 +140,9 @@ fact AS (
         FROM subs)
 ),
 factm AS (
-  SELECT *, ROUND(LEAST(GREATEST((1 - CAST(total_return_nzd AS DOUBLE)
-            / NULLIF(CAST(CAST(trays_submitted AS DECIMAL(18,0)) * 4.15 AS DOUBLE), 0)) * 100, 0.0), 100.0), 2) AS margin_erosion_pct
-  FROM fact
+  SELECT *, ROUND(CASE WHEN me IS NOT NULL THEN LEAST(GREATEST(me, 0.0), 100.0) END, 2) AS margin_erosion_pct
+  FROM (SELECT *, (1 - CAST(total_return_nzd AS DOUBLE)
+            / NULLIF(CAST(CAST(trays_submitted AS DECIMAL(18,0)) * 4.15 AS DOUBLE), 0)) * 100 AS me FROM fact)
 ),
 rd0 AS (
   SELECT kpin, season, pack_week, variety, subzone, pest_indicator, MIN(submission_date) AS reading_date,

@@ -50,14 +50,17 @@ def build_star(spark: SparkSession, sf_dir: str, out_dir: str, **fact_kw) -> dic
     paths["dim_corridor"] = write_table(cor, os.path.join(out_dir, "dim_corridor"))
     growers = surrogate_key(star.dim_grower(spark, sf_dir, cor), ["kpin"], "grower_key")
     paths["dim_grower"] = write_table(growers, os.path.join(out_dir, "dim_grower"))
-    fruit = surrogate_key(star.dim_fruit_quality(subs), ["season", "kpin", "pack_week", "variety"], "fruit_key")
+    # readings and the fact come out of shuffles (row order inside a shuffled
+    # partition is not fixed), so they are checkpointed before numbering
+    fruit = surrogate_key(star.dim_fruit_quality(subs), ["season", "kpin", "pack_week", "variety"], "fruit_key",
+                          materialize=True)
     paths["dim_fruit_quality"] = write_table(fruit, os.path.join(out_dir, "dim_fruit_quality"))
     g = spark.read.parquet(paths["dim_grower"])
     fr = spark.read.parquet(paths["dim_fruit_quality"]).select("kpin", "season", "pack_week", "variety", "fruit_key")
     f = star.fact(spark, sf_dir, subs, time_dim=tdim, growers=g, **fact_kw)
     f = f.join(fr, ["kpin", "season", "pack_week", "variety"], "left")
     f = surrogate_key(f, ["season", "kpin", "pack_week", "variety", "submission_date", "trays_submitted",
-                          "dm_pct_avg", "submit_payment_nzd"], "export_id")
+                          "dm_pct_avg", "submit_payment_nzd"], "export_id", materialize=True)
     paths["fact_export_transactions"] = write_table(f, os.path.join(out_dir, "fact_export_transactions"),
                                                     partition_by="season")
     return paths
