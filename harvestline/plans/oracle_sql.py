@@ -423,6 +423,20 @@ SELECT DISTINCT user_id, event_type, date_trunc('hour', ts) AS hour FROM events
     q["str4_live_state_stream"] = _q("""
 SELECT date_key, season, pack_week FROM factm WHERE date_key IS NOT NULL
 ORDER BY date_key DESC, season DESC, pack_week DESC LIMIT 1""")
+    r4 = lambda n, d: f"CASE WHEN ({d}) > 0 THEN CAST((2 * ({n}) * 10000 + ({d})) // (2 * ({d})) AS DOUBLE) / 10000 ELSE 0.0 END"
+    q["ml_rule_metrics"] = _q(f"""
+, x AS (SELECT CASE WHEN otif_pct < 88 THEN 1 ELSE 0 END AS label, CASE WHEN risk_score >= 45 THEN 1 ELSE 0 END AS pred,
+              CAST(risk_score AS DOUBLE) / 100 AS prob FROM factm),
+g AS (SELECT CAST(SUM(CASE WHEN label = 1 AND pred = 1 THEN 1 ELSE 0 END) AS BIGINT) AS tp,
+             CAST(SUM(CASE WHEN label = 0 AND pred = 0 THEN 1 ELSE 0 END) AS BIGINT) AS tn,
+             CAST(SUM(CASE WHEN label = 0 AND pred = 1 THEN 1 ELSE 0 END) AS BIGINT) AS fp,
+             CAST(SUM(CASE WHEN label = 1 AND pred = 0 THEN 1 ELSE 0 END) AS BIGINT) AS fn,
+             SUM(label * LN(prob + 1e-15) + (1 - label) * LN(1 - prob + 1e-15)) AS ll, AVG(label) AS pn, COUNT(*) AS n
+      FROM x)
+SELECT {r4("tp + tn", "tp + tn + fp + fn")} AS accuracy, {r4("tp", "tp + fp")} AS precision, {r4("tp", "tp + fn")} AS recall,
+  {r4("2 * tp", "2 * tp + fp + fn")} AS f1, tp, tn, fp, fn,
+  ROUND(1 - ll / (n * (pn * LN(pn + 1e-15) + (1 - pn) * LN(1 - pn + 1e-15))), 4) AS mcfadden_r2
+FROM g""").replace("readings AS (", "readings AS (", 1)
     from ..registry import FACT_PROFILE_COLS
     q["dq_fact_null_profile"] = _q("\nUNION ALL\n".join(
         f"SELECT '{c}' AS \"column\", CAST(SUM(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS null_count FROM factm"

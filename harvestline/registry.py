@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .operators import quality as DQ
 from .operators.aggregates import null_profile
 from .plans import feed as P
+from .plans import models as ML
 from .plans import queries as Q
 from .plans import stats as S
 from .plans import traffic as T
@@ -89,6 +90,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "corridor_congestion": lambda spark, d: T.corridor_congestion(T.traffic_daily(T.tms_15min(spark, d))),
     # annual statistics
     "export_statistics": lambda spark, d: S.export_statistics(spark, d),
+    # models
+    "m1_mts_model": _star(lambda s: ML.m1(s.spark, s.readings)),
+    "m2_otif_model": _star(lambda s: ML.m2(s.spark, s.fact)),
+    "m2b_otif_model_leak_free": _star(lambda s: ML.m2(s.spark, s.fact, leak_free=True)),
+    "m2_weight_alignment": _star(lambda s: ML.m2_alignment(s.spark, s.fact)),
+    "ml_rule_metrics": _star(lambda s: ML.rule_metrics(s.fact)),
     # streaming (availableNow runs over the whole table; complete mode = batch)
     "str1_daily_traffic_stream": lambda spark, d: STR.daily_traffic_stream_batch(spark, d),
     "str2_rain_7d_stream": lambda spark, d: STR.rain_7d_stream_batch(spark, d),
