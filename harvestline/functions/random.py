@@ -1,0 +1,71 @@
+"""Hash-seeded random draws (FN17, WIN5).
+
+Every draw is a pure function of (row key, salt, seed): the same row gets
+the same number on any cluster, partitioning or retry, so a lost executor
+recomputes identical data.  The distributions match the published
+generator; the individual numbers do not (its numpy stream is sequential).
+"""
+
+from __future__ import annotations
+
+import math
+
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+from .scalars import col
+
+SEED = 42
+_SCALE = float(1 << 52)
+
+
+def uniform(keys, salt: str, seed: int = SEED, lo: float = 0.0, hi: float = 1.0) -> Column:
+    """U[lo, hi) from xxhash64 of the key columns, a salt and the seed."""
+    h = F.xxhash64(*[col(k) for k in keys], F.lit(salt), F.lit(seed))
+    u = F.pmod(h, F.lit(1 << 52)) / _SCALE
+    return u if (lo, hi) == (0.0, 1.0) else F.lit(lo) + u * (hi - lo)
+
+
+def normal(keys, salt: str, seed: int = SEED, mean: float | Column = 0.0, std: float | Column = 1.0) -> Column:
+    """Box–Muller from two independent uniforms."""
+    u1 = F.lit(1.0) - uniform(keys, salt + ":u1", seed)  # (0, 1]
+    u2 = uniform(keys, salt + ":u2", seed)
+    z = F.sqrt(F.lit(-2.0) * F.log(u1)) * F.cos(F.lit(2 * math.pi) * u2)
+    return col(mean) + z * col(std)
+
+
+def beta_int(keys, salt: str, a: int, b: int, seed: int = SEED) -> Column:
+    """Beta(a, b) for integer a, b: the a-th smallest of a + b − 1 uniforms."""
+    us = F.array(*[uniform(keys, f"{salt}:{i}", seed) for i in range(a + b - 1)])
+    return F.element_at(F.array_sort(us), a)
+
+
+def gamma_wh(keys, salt: str, shape: float, seed: int = SEED) -> Column:
+    """Gamma(shape, 1) by the Wilson–Hilferty cube approximation (good for
+    shape ≥ 1); shape < 1 adds an exact Gamma(½) = Z²/2 term."""
+    z = normal(keys, salt, seed)
+    k = float(shape)
+    c = 1.0 / (9.0 * k)
+    g = F.lit(k) * F.pow(F.greatest(F.lit(1.0 - c) + z * math.sqrt(c), F.lit(0.0)), 3)
+    return g
+
+
+def beta(keys, salt: str, a: float, b: float, seed: int = SEED) -> Column:
+    """Beta(a, b) = X/(X+Y), X ~ Gamma(a), Y ~ Gamma(b)."""
+    x = gamma_wh(keys, salt + ":x", a, seed)
+    y = gamma_wh(keys, salt + ":y", b, seed)
+    return x / F.when((x + y) > 0, x + y)
+
+
+def bernoulli(keys, salt: str, p: float | Column, seed: int = SEED) -> Column:
+    return uniform(keys, salt, seed) < col(p)
+
+
+def choice(keys, salt: str, options, probs, seed: int = SEED) -> Column:
+    """Weighted choice by cumulative probability over one uniform."""
+    u = uniform(keys, salt, seed)
+    expr, acc = None, 0.0
+    for o, p in zip(options[:-1], probs[:-1]):
+        acc += p
+        expr = F.when(u < acc, o) if expr is None else expr.when(u < acc, o)
+    return expr.otherwise(options[-1]) if expr is not None else F.lit(options[-1])

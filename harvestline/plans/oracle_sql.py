@@ -437,6 +437,35 @@ SELECT {r4("tp + tn", "tp + tn + fp + fn")} AS accuracy, {r4("tp", "tp + fp")} A
   {r4("2 * tp", "2 * tp + fp + fn")} AS f1, tp, tn, fp, fn,
   ROUND(1 - ll / (n * (pn * LN(pn + 1e-15) + (1 - pn) * LN(1 - pn + 1e-15))), 4) AS mcfadden_r2
 FROM g""").replace("readings AS (", "readings AS (", 1)
+    from .queries import SCENARIOS
+    sc = " UNION ALL ".join(f"SELECT '{n}' AS scenario, CAST({c} AS DOUBLE) AS cong, CAST({ra} AS DOUBLE) AS rain_add, "
+                            f"CAST({g} AS DOUBLE) AS reg, CAST({p} AS DOUBLE) AS pest" for n, c, ra, g, p in SCENARIOS)
+    q["df30_scenario_rescore"] = _q(f"""
+, sc AS ({sc}),
+x AS (SELECT sc.*, f.pack_week, f.dm_pct_avg, f.mts_pass, CAST({RAIN} AS DOUBLE) + rain_add AS rain FROM factm f, sc),
+y AS (SELECT scenario,
+        ROUND(GREATEST(52.0, 97.5 - (POW(cong / 100.0, 1.3) * 8.5 + POW(LEAST(rain, 120.0) / 120.0, 1.2) * 5.5
+          + POW(reg / 100.0, 1.2) * 3.0 + CASE WHEN mts_pass THEN 0.0 ELSE 12.0 END)), 2) AS otif,
+        CAST(LEAST(GREATEST(ROUND(((1 - 1.0 / (1.0 + EXP((dm_pct_avg - 15.5) * -2.2))) * 0.35
+          + POW(LEAST(pest, 100.0) / 100.0, 1.4) * 0.25 + POW(cong / 100.0, 1.3) * 0.15
+          + POW(LEAST(rain, 120.0) / 120.0, 1.2) * 0.15 + POW(reg / 100.0, 1.2) * 0.10) * 100), 1), 100) AS INTEGER) AS risk
+      FROM x)
+SELECT scenario, COUNT(*) AS submissions, {avg_fixed("otif", 2, 2)} AS avg_otif, {avg_fixed("risk", 0, 1)} AS avg_risk,
+  {count_if("otif < 88")} AS below_target
+FROM y GROUP BY scenario""")
+    q["win7_dm_elasticity"] = _q("""
+, q3 AS (SELECT CAST((2 * CAST(ROUND(dm_pct_avg * 100) AS BIGINT) + 10) // 20 AS DOUBLE) / 10 AS dm_pct_band,
+               ROUND(AVG(CAST(total_return_nzd AS DOUBLE) / NULLIF(trays_submitted, 0)), 4) AS avg_return_per_tray
+        FROM factm WHERE mts_pass GROUP BY 1)
+SELECT dm_pct_band, avg_return_per_tray,
+  ROUND(avg_return_per_tray - LAG(avg_return_per_tray) OVER (ORDER BY dm_pct_band), 4) AS return_per_tray_change
+FROM q3""")
+    q["win6_rain_7d"] = f"""
+WITH d AS (SELECT CAST(ts AS DATE) AS day, SUM(CAST(ROUND(value * 100) AS BIGINT)) AS c FROM events
+           WHERE ts IS NOT NULL GROUP BY 1)
+SELECT '{C.REGION_NAME}' AS place, day, CAST(c AS DOUBLE) / 100 AS rain_mm,
+  CAST(SUM(c) OVER (ORDER BY day RANGE BETWEEN INTERVAL 6 DAY PRECEDING AND CURRENT ROW) AS DOUBLE) / 100 AS rain_7d_mm
+FROM d"""
     from ..registry import FACT_PROFILE_COLS
     q["dq_fact_null_profile"] = _q("\nUNION ALL\n".join(
         f"SELECT '{c}' AS \"column\", CAST(SUM(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS null_count FROM factm"

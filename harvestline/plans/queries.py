@@ -182,3 +182,42 @@ def seasonal_breakdown(f: DataFrame) -> DataFrame:
                      pct("_fails", "total", 1).alias("mts_fail_pct"),
                      pct("_below", "total", 1).alias("otif_fail_pct"),
                      "return_nzd_m", "reversed_nzd_m").orderBy("season"))
+
+
+# --------------------------------------------------------------------------
+# Scenario re-scoring (DF30) and elasticity (WIN7)
+# --------------------------------------------------------------------------
+
+# scenario inputs: congestion, extra 7-day rain (mm), regulation, pest
+SCENARIOS = [("baseline", C.CONGESTION_DEFAULT, 0.0, C.REG_INDEX_DEFAULT, C.PEST_DEFAULT),
+             ("wet_week", C.CONGESTION_DEFAULT, 40.0, C.REG_INDEX_DEFAULT, C.PEST_DEFAULT),
+             ("clear_corridor", 40.0, 0.0, C.REG_INDEX_DEFAULT, C.PEST_DEFAULT),
+             ("regulatory_load", C.CONGESTION_DEFAULT, 0.0, 40.0, 35.0)]
+
+
+def rescore(f: DataFrame, scenarios: DataFrame) -> DataFrame:
+    """DF30: apply user-set inputs to every submission and re-score OTIF and
+    risk with DF20/DF21.  The scenario table is small and fixed; it is
+    broadcast into the cross product, then each scenario is aggregated."""
+    x = f.select("pack_week", "dm_pct_avg", "mts_pass").crossJoin(F.broadcast(scenarios))
+    rain = DF.rain_estimate("pack_week") + F.col("rain_add")
+    x = x.withColumns({"otif": DF.otif("cong", rain, "reg", "mts_pass"),
+                       "risk": DF.risk_score("dm_pct_avg", "pest", "cong", rain, "reg")})
+    return x.groupBy("scenario").agg(
+        F.count(F.lit(1)).alias("submissions"),
+        avg_fixed("otif", 2, 2).alias("avg_otif"),
+        avg_fixed("risk", 0, 1).alias("avg_risk"),
+        count_if(F.col("otif") < C.OTIF_TARGET).alias("below_target"))
+
+
+def scenario_table(spark) -> DataFrame:
+    from .star import literal_table
+    return literal_table(spark, SCENARIOS, "scenario string, cong double, rain_add double, reg double, pest double")
+
+
+def dm_elasticity(f: DataFrame) -> DataFrame:
+    """WIN7: change in return per tray from one 0.1 % DM band to the next."""
+    from ..operators.windows import marginal_change
+    q3 = q3_dm_elasticity(f).select("dm_pct_band", "avg_return_per_tray")
+    out = marginal_change(q3, "dm_pct_band", "avg_return_per_tray", "_d")
+    return out.withColumn("return_per_tray_change", F.round("_d", 4)).drop("_d")

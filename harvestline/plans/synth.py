@@ -1,0 +1,130 @@
+"""The published data generator re-aimed as a Spark job (SRC11, WIN5,
+DF11–DF18, JN8–JN10, FLT6, FN17, AGG9, AGG21–AGG22).
+
+Growers come from the grower register (one per supplier), so the work
+grows with the data.  The season × pack-week grid (4 × 16 rows, fixed) is
+broadcast into a cross product with the growers (JN8); the per-row loops of
+the original become joins and column expressions, and every random draw is
+hash-seeded on the row key (see ``functions.random``).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from .. import config as C
+from ..functions import formulas as DF
+from ..functions import random as R
+from ..functions.scalars import dec, lookup
+from ..operators.aggregates import pct, value_counts
+from ..sources import bindings
+from .star import literal_table
+
+
+def season_week_grid(spark: SparkSession) -> DataFrame:
+    rows = [(s, str(v["start_date"]), float(v["dm_season_avg"]), float(v["dm_season_std"]),
+             float(v["climate_stress"]), int(v["vol_index"]), pw)
+            for s, v in C.SEASONS.items() for pw in C.PACK_WEEKS]
+    return literal_table(spark, rows, "season string, start_date string, dm_season_avg double, dm_season_std double, "
+                                      "climate_stress double, vol_index int, pack_week int")
+
+
+def harvest_windows(spark: SparkSession) -> DataFrame:
+    rows = [(v, lo, hi, C.YIELD_TRAYS_PER_HA_WEEK[v]) for v, (lo, hi) in C.HARVEST_WINDOW.items()]
+    return literal_table(spark, rows, "variety string, first_week int, last_week int, yield_per_ha int")
+
+
+def synth_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Maturity readings: growers × seasons × 16 pack weeks."""
+    g = bindings.grower_register(spark, sf_dir)
+    grid = F.broadcast(season_week_grid(spark))
+    x = g.crossJoin(grid)
+    k = ["kpin", "season", "pack_week"]
+    offset = lookup("subzone", {s: v["dm_mean_offset"] for s, v in C.SUBZONES.items()}, 0.0)
+    effect = R.normal(["kpin"], "grower_effect", std=0.25)                    # WIN5: one draw per grower
+    psa_hit = F.col("psa_history") & R.bernoulli(["kpin", "season"], "psa", 0.30)
+    penalty = F.when(psa_hit, R.uniform(["kpin", "season"], "psa_size", lo=0.15, hi=0.45)).otherwise(0.0)
+    arc = DF.dm_arc("pack_week", F.col("dm_season_avg") + offset, "dm_season_std", "climate_stress",
+                    "dm_std_modifier", R.normal(k, "dm"), R.beta_int(k, "stress", 2, 5))
+    x = x.withColumns({"variety": F.col("primary_variety"), "grower_effect": effect, "psa_penalty": penalty})
+    x = x.withColumn("dm_pct", DF.dm_reading(arc, "grower_effect", "psa_penalty"))
+    thr = DF.mts_threshold("variety")
+    passed = F.col("dm_pct") >= thr
+    x = x.withColumns({"mts_threshold": thr, "mts_pass": passed,
+                       "tzg_score": DF.taste_score_dbl("dm_pct", "variety")})
+    return x.select(
+        "season", "kpin", "subzone", "variety", "pack_week",
+        F.date_add(F.to_date("start_date"), ((F.col("pack_week") - 11) * 7).cast("int")).alias("reading_date"),
+        "dm_pct", "mts_threshold", "mts_pass", "tzg_score",
+        DF.taste_grade("tzg_score", "mts_pass").alias("tzg_grade"),
+        F.lit(90).alias("sample_size"), (F.col("psa_penalty") > 0).alias("psa_penalty_applied"),
+        F.round("grower_effect", 3).alias("grower_effect"), "orchard_ha", "vol_index")
+
+
+def synth_submissions(spark: SparkSession, sf_dir: str, readings: DataFrame | None = None) -> DataFrame:
+    """Submissions for the pack weeks inside each variety's harvest window
+    (FLT6 as a broadcast equi-join + range filter, JN9/JN10)."""
+    r = readings if readings is not None else synth_readings(spark, sf_dir)
+    hw = F.broadcast(harvest_windows(spark))
+    x = (r.join(hw, "variety", "left")
+          .withColumn("first_week", F.coalesce("first_week", F.lit(C.HARVEST_WINDOW_DEFAULT[0])))
+          .withColumn("last_week", F.coalesce("last_week", F.lit(C.HARVEST_WINDOW_DEFAULT[1])))
+          .withColumn("yield_per_ha", F.coalesce("yield_per_ha", F.lit(700)))
+          .filter(F.col("pack_week").between(F.col("first_week"), F.col("last_week"))))
+    k = ["kpin", "season", "pack_week"]
+    trays = DF.weekly_trays("orchard_ha", "yield_per_ha", R.uniform(k, "frac", lo=0.10, hi=0.18), "vol_index")
+    loss = DF.loss_fraction("dm_pct", "mts_pass", R.beta(k, "pest", 1.5, 30.0) * 0.08, R.normal(k, "noise", std=0.004))
+    x = x.withColumns({"trays_submitted": trays, "loss": loss,
+                       "size_code": R.choice(k, "size", C.SIZE_CODES, C.SIZE_PROBS)})
+    x = x.withColumns({"trays_lost": (F.col("trays_submitted") * F.col("loss")).cast("long")})
+    x = x.withColumns({"trays_exported": F.col("trays_submitted") - F.col("trays_lost"),
+                       "submit_payment_nzd": DF.submit_payment("variety", "size_code", "trays_submitted")})
+    taste_milli = F.round(F.col("tzg_score") * 1000).cast("long")
+    x = x.withColumn("taste_payment_nzd", DF.taste_payment(taste_milli, "trays_exported", "mts_pass"))
+    x = x.withColumn("total_return_nzd", DF.total_return("submit_payment_nzd", "taste_payment_nzd", "mts_pass"))
+    return x.select(
+        "season", "kpin", "subzone", "variety", "pack_week", F.col("reading_date").alias("submission_date"),
+        "size_code", "trays_submitted", "trays_exported", "trays_lost",
+        F.round(F.col("loss") * 100, 3).alias("loss_pct"), F.col("dm_pct").alias("dm_pct_avg"), "tzg_score",
+        "mts_pass", "submit_payment_nzd", "taste_payment_nzd", "total_return_nzd",
+        F.when(F.col("mts_pass"), 0.0).otherwise(C.MTS_BREACH_OTIF_PENALTY).alias("otif_impact"),
+        F.col("vol_index").cast("double").alias("vol_index"))
+
+
+def synth_loss_events(spark: SparkSession, sf_dir: str, subs: DataFrame | None = None) -> DataFrame:
+    """Loss events for batches with more than 5 trays lost (FLT5, DF17, DF18)."""
+    s = subs if subs is not None else synth_submissions(spark, sf_dir)
+    e = s.filter(F.col("trays_lost") > 5)
+    cause = DF.loss_cause_from_draw("mts_pass", R.uniform(["kpin", "season", "pack_week"], "cause"))
+    e = e.withColumn("primary_cause", cause)
+    return e.select(
+        "season", "kpin", "subzone", "variety", "pack_week", F.col("submission_date").alias("event_date"),
+        "trays_lost", "loss_pct", "primary_cause",
+        DF.ccp_triggered("primary_cause").alias("ccp_triggered"),
+        DF.market_block_risk("primary_cause").alias("market_block_risk"),
+        F.col("dm_pct_avg").alias("dm_at_event"), "mts_pass",
+        DF.loss_financial_impact("submit_payment_nzd", "mts_pass", "trays_lost").alias("financial_impact_nzd"))
+
+
+def season_validation(subs: DataFrame) -> DataFrame:
+    """AGG22 + DQ7: pass rate, returns and trays by season, with the 85–97 %
+    pass-rate range check."""
+    g = subs.groupBy("season").agg(
+        F.count(F.lit(1)).alias("submissions"),
+        pct(F.sum(F.col("mts_pass").cast("long")), F.count(F.lit(1)), 1).alias("pass_rate_pct"),
+        F.round(F.sum("total_return_nzd") * dec("0.000001", 8, 6), 2).cast("double").alias("return_nzd_m"),
+        F.sum("trays_submitted").alias("trays"))
+    return g.withColumn("pass_rate_in_range", F.col("pass_rate_pct").between(85.0, 97.0))
+
+
+def loss_cause_distribution(events: DataFrame) -> DataFrame:
+    """AGG21: value counts of the loss cause with share of all events."""
+    return value_counts(events, "primary_cause", 1)
+
+
+def dm_profile(readings: DataFrame, by: str = "variety") -> DataFrame:
+    """AGG9: mean, sample std, min and max dry matter by variety (or subzone)."""
+    return readings.groupBy(by).agg(
+        F.round(F.avg("dm_pct"), 3).alias("dm_mean"), F.round(F.stddev_samp("dm_pct"), 3).alias("dm_std"),
+        F.min("dm_pct").alias("dm_min"), F.max("dm_pct").alias("dm_max"), F.count(F.lit(1)).alias("readings"))

@@ -164,3 +164,17 @@ def weekly_congestion(daily: DataFrame) -> DataFrame:
 def corridor_congestion(daily: DataFrame) -> DataFrame:
     """One row: the corridor average of the rescaled index (dim_corridor input)."""
     return scaled(daily).agg(avg_fixed("congestion_index_scaled", 1, 1).alias("congestion_index_avg"))
+
+
+def rain_daily_7d(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """WIN6: daily rainfall (events' daily Σ value, hundredths exact) and the
+    trailing 7-day total.  The window runs over the daily series (one row
+    per day), so its partition is bounded by the calendar, not the data."""
+    from ..operators.windows import rolling_sum_days
+    ev = read_table(spark, sf_dir, "events", ["ts", "value"]).filter(F.col("ts").isNotNull())
+    daily = (ev.groupBy(F.to_date("ts").alias("day"))
+               .agg(F.sum(F.round(F.col("value") * 100).cast("long")).alias("rain_centi"))
+               .withColumn("place", F.lit(C.REGION_NAME)))
+    out = rolling_sum_days(daily, ["place"], "day", "rain_centi", 7, "_r7")
+    return out.select("place", "day", (F.col("rain_centi") / 100.0).alias("rain_mm"),
+                      (F.col("_r7") / 100.0).alias("rain_7d_mm"))

@@ -12,6 +12,7 @@ from .plans import feed as P
 from .plans import models as ML
 from .plans import queries as Q
 from .plans import stats as S
+from .plans import synth as SY
 from .plans import traffic as T
 from .plans import star
 from .session import apply_defaults
@@ -90,6 +91,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "corridor_congestion": lambda spark, d: T.corridor_congestion(T.traffic_daily(T.tms_15min(spark, d))),
     # annual statistics
     "export_statistics": lambda spark, d: S.export_statistics(spark, d),
+    "df30_scenario_rescore": _star(lambda s: Q.rescore(s.fact, Q.scenario_table(s.spark))),
+    "win7_dm_elasticity": _star(lambda s: Q.dm_elasticity(s.fact)),
+    "win6_rain_7d": lambda spark, d: T.rain_daily_7d(spark, d),
+    # synthetic generator re-aimed as Spark jobs
+    "synth_readings": lambda spark, d: SY.synth_readings(spark, d),
+    "synth_submissions": lambda spark, d: SY.synth_submissions(spark, d),
+    "synth_loss_events": lambda spark, d: SY.synth_loss_events(spark, d),
+    "synth_season_validation": lambda spark, d: SY.season_validation(SY.synth_submissions(spark, d)),
+    "synth_loss_causes": lambda spark, d: SY.loss_cause_distribution(SY.synth_loss_events(spark, d)),
+    "synth_dm_profile": lambda spark, d: SY.dm_profile(SY.synth_readings(spark, d)),
     # models
     "m1_mts_model": _star(lambda s: ML.m1(s.spark, s.readings)),
     "m2_otif_model": _star(lambda s: ML.m2(s.spark, s.fact)),
