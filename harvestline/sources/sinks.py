@@ -38,7 +38,7 @@ def build_star(spark: SparkSession, sf_dir: str, out_dir: str, **fact_kw) -> dic
     fact is written partitioned by season so season-sliced reads (SRC8)
     prune partitions.  Returns the written paths.
     """
-    from ..operators.keys import surrogate_key
+    from ..operators.keys import hashed_surrogate_key, surrogate_key
     from ..plans import star
     from . import bindings
 
@@ -59,8 +59,9 @@ def build_star(spark: SparkSession, sf_dir: str, out_dir: str, **fact_kw) -> dic
     fr = spark.read.parquet(paths["dim_fruit_quality"]).select("kpin", "season", "pack_week", "variety", "fruit_key")
     f = star.fact(spark, sf_dir, subs, time_dim=tdim, growers=g, **fact_kw)
     f = f.join(fr, ["kpin", "season", "pack_week", "variety"], "left")
-    f = surrogate_key(f, ["season", "kpin", "pack_week", "variety", "submission_date", "trays_submitted",
-                          "dm_pct_avg", "submit_payment_nzd"], "export_id", materialize=True)
+    # the fact is the big table: hash-bucketed numbering, no checkpoint pass
+    f = hashed_surrogate_key(f, ["season", "kpin", "pack_week", "variety", "submission_date", "trays_submitted",
+                                 "trays_lost", "dm_pct_avg", "submit_payment_nzd", "taste_payment_nzd"], "export_id")
     paths["fact_export_transactions"] = write_table(f, os.path.join(out_dir, "fact_export_transactions"),
                                                     partition_by="season")
     return paths
