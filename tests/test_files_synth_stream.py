@@ -90,3 +90,18 @@ def test_payload_structure(spark):
     assert r0.data_quality.health_score >= 0 and isinstance(r0.subzones, dict) and len(r0.weekly_risk_arc) > 0
     comb = feed.combined_payload(p).first().seasons
     assert set(comb) == seasons
+
+
+def test_glob_scan_and_payload_files(spark, scratch):
+    d = os.path.join(scratch, "tms")
+    os.makedirs(d)
+    write(os.path.join(d, "tms_03.csv"), "REGION_NAME,SITE_REFERENCE\n01 - Northland,00100001\n")
+    write(os.path.join(d, "tms_04.csv"), "REGION_NAME,SITE_REFERENCE\n04 - Bay of Plenty,00200002\n04 - Bay of Plenty,00100003\n")
+    df = FS.read_csv_glob(spark, os.path.join(d, "*.csv"), F.col("REGION_NAME").contains("04"))
+    assert sorted((r.SITE_REFERENCE, r._file) for r in df.collect()) == [("00100003", "tms_04.csv"), ("00200002", "tms_04.csv")]
+
+    from harvestline.sources.sinks import write_payloads
+    p = spark.createDataFrame([("2024/25", '{"a": 1}'), ("2025/26", '{"a": 2}')], "season string, payload string")
+    out = write_payloads(p, os.path.join(scratch, "payloads"))
+    assert sorted(x for x in os.listdir(out) if x.startswith("season_file=")) == [
+        "season_file=2024-25", "season_file=2025-26"]
