@@ -241,6 +241,7 @@ FROM (SELECT CASE WHEN risk_score < 30 THEN '1_LOW (0-29)' WHEN risk_score < 45
                   WHEN risk_score < 60 THEN '3_ELEVATED (45-59)' ELSE '4_HIGH (60+)' END AS risk_band,
              COUNT(*) AS total, {count_if("otif_pct < 88")} AS otif_below_88, {count_if("otif_pct >= 88")} AS otif_above_88
       FROM factm GROUP BY 1) ORDER BY risk_band""")
+    q["q5_risk_bands_sql"] = q["q5_risk_bands"]
     week_sub = f"""
 SELECT season, pack_week, season_phase, subzone,
   {avg_fixed("risk_score", 0, 1)} AS avg_risk_score, CAST(MAX(risk_score) AS DOUBLE) AS max_risk_score,

@@ -91,6 +91,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "corridor_congestion": lambda spark, d: T.corridor_congestion(T.traffic_daily(T.tms_15min(spark, d))),
     # annual statistics
     "export_statistics": lambda spark, d: S.export_statistics(spark, d),
+    "q5_risk_bands_sql": _star(lambda s: Q.q5_sql(s.spark, {"fact_export_transactions": star.fact_view(s.fact)})),
     "df30_scenario_rescore": _star(lambda s: Q.rescore(s.fact, Q.scenario_table(s.spark))),
     "win7_dm_elasticity": _star(lambda s: Q.dm_elasticity(s.fact)),
     "win6_rain_7d": lambda spark, d: T.rain_daily_7d(spark, d),
