@@ -71,27 +71,27 @@ QUERIES = {f.__name__: f for f in (
 # the six ASCII white-space characters, for DuckDB's regular expressions
 _W = r"[^\x20\x09-\x0D]+"
 
-_MATCHES = """list_transform(range(1, len(m) + 1), i -> {{
-        's': list_sum(list_transform(s[1:i], x -> length(x)))::BIGINT + coalesce(list_sum(list_transform(m[1:i - 1], x -> length(x))), 0)::BIGINT,
+_MATCHES = """list_transform(range(1, len(m) + 1), lambda i: {{
+        's': list_sum(list_transform(s[1:i], lambda x: length(x)))::BIGINT + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0)::BIGINT,
         'v': m[i]}}) FROM (SELECT regexp_extract_all(t, '{p}') AS m, regexp_split_to_array(t, '{p}') AS s)"""
 
 _PII = {
     "email": (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "true"),
     "ip": (r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
-           "len(list_filter(string_split(x.v, '.'), o -> length(ltrim(o, '0')) > 3 OR right('000' || o, 3)::INT > 255)) = 0"),
+           "len(list_filter(string_split(x.v, '.'), lambda o: length(ltrim(o, '0')) > 3 OR right('000' || o, 3)::INT > 255)) = 0"),
     "card": (r"[0-9]([\x20-]?[0-9])+",
              "length(regexp_replace(x.v, '[^0-9]', '', 'g')) BETWEEN 16 AND 19 AND "
              "list_sum(list_transform(string_split(reverse(regexp_replace(x.v, '[^0-9]', '', 'g')), ''), "
-             "(c, i) -> CASE WHEN i % 2 = 1 THEN c::INT WHEN c::INT > 4 THEN c::INT * 2 - 9 ELSE c::INT * 2 END)) % 10 = 0"),
+             "lambda c, i: CASE WHEN i % 2 = 1 THEN c::INT WHEN c::INT > 4 THEN c::INT * 2 - 9 ELSE c::INT * 2 END)) % 10 = 0"),
     "phone": (r"\+[0-9][\x20().0-9-]+[0-9]", "length(regexp_replace(x.v, '[^0-9]', '', 'g')) BETWEEN 8 AND 15"),
 }
 
 
 def _pii_sql() -> str:
     lists = ",\n".join(
-        f"(SELECT list_filter(f, x -> {ok}) FROM (SELECT {_MATCHES.format(p=p)} q(m, s)) r(f)) AS {k}"
+        f"(SELECT list_filter(f, lambda x: {ok}) FROM (SELECT {_MATCHES.format(p=p)} q(m, s)) r(f)) AS {k}"
         for k, (p, ok) in _PII.items())
-    text = " || ".join(f"coalesce(list_aggregate(list_transform({k}, x -> '{k}:' || x.s || ':' || (x.s + length(x.v)) || ','), "
+    text = " || ".join(f"coalesce(list_aggregate(list_transform({k}, lambda x: '{k}:' || x.s || ':' || (x.s + length(x.v)) || ','), "
                        "'string_agg', ''), '')" for k in _PII)
     return f"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
@@ -107,7 +107,7 @@ WITH RECURSIVE w AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_W}') AS w
   FROM documents),
 sh AS (
-  SELECT DISTINCT doc_id, unnest(list_transform(range(1, greatest(len(w) - 3, 2)), i -> list_aggregate(w[i:i + 4], 'string_agg', ' '))) AS g
+  SELECT DISTINCT doc_id, unnest(list_transform(range(1, greatest(len(w) - 3, 2)), lambda i: list_aggregate(w[i:i + 4], 'string_agg', ' '))) AS g
   FROM w WHERE len(w) > 0),
 n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
 o AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM sh a JOIN sh b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2),
@@ -122,7 +122,7 @@ FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN c ON c.doc_id = d.
     "op8_quality_rules": f"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
 w AS (SELECT doc_id, t, regexp_extract_all(t, '{_W}') AS w,
-             list_filter(string_split(t, chr(10)), x -> regexp_matches(x, '{_W}')) AS l FROM d),
+             list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '{_W}')) AS l FROM d),
 p AS (SELECT doc_id, i, list_aggregate(w[i:i + 2], 'string_agg', ' ') AS g
       FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM w)),
 q AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS c FROM p) WHERE c > 1),
