@@ -6,7 +6,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import read_table
-from . import mixing, ngram_join, packing, pii, quality_model, quality_rules
+from . import (
+    bitpack,
+    embed_dedup,
+    html_extract,
+    mixing,
+    ngram_join,
+    packing,
+    pii,
+    quality_model,
+    quality_rules,
+    token_counts,
+)
 from .common import prepare
 
 
@@ -21,14 +32,29 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs)
 
 
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
+    return token_counts.token_counts(docs, public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents", ["doc_id", "text"]), word_vocabulary())
 
 
+def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read_table(spark, sf_dir, "pages", ["page_id", "url", "html"])
+    return html_extract.extract(pages).withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.ngram_components(read_table(spark, sf_dir, "documents", ["doc_id", "text"]))
 
 
+def op6_bit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bitpack.round_trip(read_table(spark, sf_dir, "documents", ["doc_id", "text"]), word_vocabulary())
+
+
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
     spans = pii.with_spans(docs).select("doc_id", "pii_spans")
@@ -48,6 +74,10 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                        quality_rules.passes("v1").alias("kept"), F.col("failed").alias("failed_bits"))
 
 
+def op9_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embed_dedup.near_duplicates(read_table(spark, sf_dir, "embeddings", ["vec_id", "embedding", "label"]))
+
+
 def held_out(doc_id="doc_id"):
     return F.pmod(F.crc32(F.col(doc_id).cast("string")), F.lit(4)) == 2
 
@@ -66,7 +96,8 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_mixing, op3_packing, op5_ngram_join, op7_pii, op8_quality_rules, op10_quality_classifier)}
+    op1_mixing, op2_token_counts, op3_packing, op4_html_extraction, op5_ngram_join, op6_bit_packing, op7_pii,
+    op8_quality_rules, op9_embedding_dedup, op10_quality_classifier)}
 
 # the six ASCII white-space characters, for DuckDB's regular expressions
 _W = r"[^\x20\x09-\x0D]+"
@@ -119,6 +150,21 @@ FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN c ON c.doc_id = d.
 """,
     # the given tables hold no IBAN, the one kind beyond the base that the operator reports
     "op7_pii": _pii_sql(),
+    "op9_embedding_dedup": """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+l AS (SELECT a.vec_id AS x, b.vec_id AS y FROM v a JOIN v b ON a.label = b.label AND len(a.e) = len(b.e) AND a.vec_id <> b.vec_id
+      WHERE list_cosine_similarity(a.e, b.e) >= 0.98),
+n AS (SELECT x AS vec_id, count(*) AS n FROM l GROUP BY x),
+r AS (SELECT DISTINCT x AS vec_id, x AS y FROM l UNION SELECT r.vec_id, l.y FROM r JOIN l ON r.y = l.x),
+c AS (SELECT vec_id, min(y) AS component_id FROM r GROUP BY vec_id)
+SELECT e.vec_id, coalesce(n.n, 0)::BIGINT AS n_links, coalesce(c.component_id, e.vec_id) AS component_id,
+       coalesce(c.component_id, e.vec_id) = e.vec_id AS kept
+FROM embeddings e LEFT JOIN n ON n.vec_id = e.vec_id LEFT JOIN c ON c.vec_id = e.vec_id
+""",
     "op8_quality_rules": f"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
 w AS (SELECT doc_id, t, regexp_extract_all(t, '{_W}') AS w,
