@@ -12,19 +12,32 @@ from __future__ import annotations
 import json
 import os
 import re
+from itertools import chain
 
 import numpy as np
+import regex
 
 from .common import row_groups
 from .kernels import SEGMENT, span_hashes, word_spans
 
-CACHE_WORDS = 500_000
+CACHE_WORDS = 600_000
 
 # FIXED VALUES: the normalizer steps and the pre-token pattern for which a text is the sum of its words.
 _STEPS = ["NFC", "Replace", "Lowercase"]
 _PATTERN = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
-_ASCII_PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")
-_PLAIN = re.compile(rb"[\x21-\x7e]+\Z")
+_PIECES = regex.compile(_PATTERN)
+#: Characters that NFC leaves alone and that are lower-cased one by one.
+_LATIN = re.compile("[\x21-\x7e\xa1-\u012f\u0131-\u024f]+\\Z")
+
+
+def _byte_letters() -> dict[int, str]:
+    """The byte-level alphabet: printable bytes stand for themselves, the others for letters from U+0100 on."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
+
+
+_LETTER = _byte_letters()
 
 
 class Encoder:
@@ -40,40 +53,44 @@ class Encoder:
         self.word_wise = (
             [s.get("type") for s in steps.get("normalizers", [])] == _STEPS
             and split.get("pattern") == {"Regex": _PATTERN} and split.get("behavior") == "Removed" and split.get("invert") is True)
-        self.special = [t["content"].encode() for t in form.get("added_tokens", [])]
+        self.special = [t["content"] for t in form.get("added_tokens", [])]
+        self.piece: dict[str, list[int]] = {}
         self.vocabulary = max(self.tokenizer.get_vocab().values()) + 1
         self._clear()
 
     def _clear(self) -> None:
         self.slot: dict[int, int] = {}
-        self.piece: dict[str, list[int]] = {}
-        self.count = np.zeros(1 << 16, np.int64)
-        self.start = np.zeros(1 << 16, np.int64)
-        self.flat = np.zeros(1 << 18, np.uint32)
-        self.used = 0
+        self.count = np.zeros(0, np.int64)
+        self.start = np.zeros(0, np.int64)
+        self.flat = np.zeros(0, np.uint32)
 
     def _ids_of_word(self, word: bytes) -> list[int]:
-        if not _PLAIN.match(word) or any(t in word for t in self.special):
-            return self.tokenizer.encode(word.decode(), add_special_tokens=False).ids
-        out: list[int] = []
-        for piece in _ASCII_PIECES.findall(word.decode().lower()):
-            ids = self.piece.get(piece)
+        text = word.decode()
+        if not _LATIN.match(text) or ("<" in text and any(t in text for t in self.special)):
+            return self.tokenizer.encode(text, add_special_tokens=False).ids
+        text, get = text.lower(), self.piece.get
+        parts = (text,) if text.isalpha() else _PIECES.findall(text)
+        out = []
+        for part in parts:
+            ids = get(part)
             if ids is None:
-                ids = self.piece[piece] = [t.id for t in self.tokenizer.model.tokenize(piece)]
+                letters = part if part.isascii() else "".join(map(_LETTER.__getitem__, part.encode()))
+                ids = self.piece[part] = [t.id for t in self.tokenizer.model.tokenize(letters)]
+            if len(parts) == 1:
+                return ids
             out += ids
         return out
 
-    def _add(self, key: int, ids: list[int]) -> int:
-        n = len(self.slot)
-        if n == len(self.count):
-            self.count, self.start = (np.concatenate((x, np.zeros_like(x))) for x in (self.count, self.start))
-        while self.used + len(ids) > len(self.flat):
-            self.flat = np.concatenate((self.flat, np.zeros_like(self.flat)))
-        self.flat[self.used:self.used + len(ids)] = ids
-        self.start[n], self.count[n] = self.used, len(ids)
-        self.used += len(ids)
-        self.slot[key] = n
-        return n
+    def _learn(self, keys: list[int], words: list[bytes]) -> None:
+        """Add words to the cache, in one piece."""
+        if len(self.piece) > CACHE_WORDS:
+            self.piece.clear()
+        ids = list(map(self._ids_of_word, words))
+        count = np.fromiter(map(len, ids), np.int64, len(ids))
+        self.slot.update(zip(keys, range(len(self.count), len(self.count) + len(ids))))
+        self.start = np.concatenate((self.start, len(self.flat) + np.cumsum(count) - count))
+        self.count = np.concatenate((self.count, count))
+        self.flat = np.concatenate((self.flat, np.fromiter(chain.from_iterable(ids), np.uint32, int(count.sum()))))
 
     def _group(self, data: np.ndarray, off: np.ndarray, end_id: int | None) -> tuple[np.ndarray, np.ndarray]:
         extra = 0 if end_id is None else 1
@@ -82,12 +99,11 @@ class Encoder:
         keys, first, inverse = np.unique(span_hashes(data, starts, ends), return_index=True, return_inverse=True)
         if len(self.slot) > CACHE_WORDS:
             self._clear()
-        raw, get = data.tobytes(), self.slot.get
-        slots = np.fromiter((get(k, -1) for k in keys.tolist()), np.int64, len(keys))
-        for i in np.flatnonzero(slots < 0).tolist():
-            a = first[i]
-            slots[i] = self._add(int(keys[i]), self._ids_of_word(raw[starts[a]:ends[a]]))
-        slots = slots[inverse]
+        raw, listed, known = data.tobytes(), keys.tolist(), self.slot
+        new = [i for i, k in enumerate(listed) if k not in known]
+        at = first[new]
+        self._learn([listed[i] for i in new], [raw[a:b] for a, b in zip(starts[at].tolist(), ends[at].tolist())])
+        slots = np.fromiter(map(known.__getitem__, listed), np.int64, len(listed))[inverse]
         counts = self.count[slots]
         before = np.concatenate(([0], np.cumsum(counts)))
         at = np.searchsorted(rows, np.arange(rows_n + 1))
