@@ -42,7 +42,7 @@ from .tokenize import encoder
 MAGIC = b"HLBP0001"
 BLOCK_IDS = 1 << 16
 #: Text bytes that go to one shard, about.
-SHARD_BYTES = 64 << 20
+SHARD_BYTES = 32 << 20
 _NULL_ID = -(1 << 63)
 MANIFEST = "path string, first_id long, last_id long, documents long, ids long, bits int"
 
