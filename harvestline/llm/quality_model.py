@@ -33,7 +33,7 @@ from .common import prepare, row_groups, text_buffers
 from .kernels import SEGMENT, span_hashes, window_hashes, word_spans
 
 BITS = 20
-MAX_ROWS = 12_000
+MAX_ROWS = 8_000
 THRESHOLD = 0.7
 _U = np.uint64
 
@@ -79,7 +79,7 @@ def text_features(column: pa.Array, bits: int = BITS) -> Iterator[np.ndarray]:
         for i in range(len(po) - 1):
             s, e = bounds[i], bounds[i + 1]
             if s == e:
-                yield np.zeros(0, np.int64)
+                yield np.zeros(0, np.int32)
                 continue
             found = [words[s:e], pairs[s:max(s, e - 1)]]
             for k, grams in ((1, looks[s:e]), (2, two[s:max(s, e - 1)]), (3, three[s:max(s, e - 2)])):
@@ -87,7 +87,7 @@ def text_features(column: pa.Array, bits: int = BITS) -> Iterator[np.ndarray]:
                 share = np.digitize(c / (e - s), (0.02, 0.1, 0.25, 0.5))
                 for level in range(5):  # an indicator for each share that is reached
                     found.append((g[share >= level] ^ _U(0x9E37 * (level + 1))) * _U(0xD6E8FEB86659FD93))
-            yield np.unique(np.concatenate(found) >> shift).astype(np.int64)
+            yield np.unique(np.concatenate(found) >> shift).astype(np.int32)
 
 
 @dataclass
@@ -111,21 +111,25 @@ class Model:
         return float(1 / (1 + np.exp(-np.clip(self.slope * self.margin(features) + self.shift, -30, 30))))
 
 
-def descend(rows: list[np.ndarray], values: list[np.ndarray], y: np.ndarray, size: int, cost: float,
-            epochs: int, seed: int) -> tuple[np.ndarray, float]:
-    """Dual coordinate descent for the linear squared-hinge-loss model; the
-    last coordinate is the intercept."""
-    w, bias, alpha = np.zeros(size), 0.0, np.zeros(len(rows))
-    diagonal = np.array([float((v * v).sum()) + 1.0 for v in values]) + 0.5 / cost
+def descend(rows: list[np.ndarray], scale: np.ndarray, y: np.ndarray, cost: float, epochs: int,
+            seed: int) -> tuple[np.ndarray, float]:
+    """Dual coordinate descent for the linear squared-hinge-loss model over rows
+    of indicators times ``scale``, brought to unit length.  Returns weights of
+    the scaled indicators and the intercept, which is one more coordinate."""
+    w, bias, alpha = np.zeros(len(scale)), 0.0, np.zeros(len(rows))
+    norm = [max(float(np.sqrt((scale[r] ** 2).sum())), 1e-12) for r in rows]
+    diagonal = np.array([2.0 if n > 1e-12 else 1.0 for n in norm]) + 0.5 / cost
     rng = np.random.default_rng(seed)
     for _ in range(epochs):
         largest = 0.0
         for i in rng.permutation(len(rows)):
-            gradient = y[i] * (float(w[rows[i]] @ values[i]) + bias) - 1 + alpha[i] * 0.5 / cost
+            r = rows[i]
+            value = scale[r] / norm[i]
+            gradient = y[i] * (float(w[r] @ value) + bias) - 1 + alpha[i] * 0.5 / cost
             step = max(alpha[i] - gradient / diagonal[i], 0.0) - alpha[i]
             if step:
                 alpha[i] += step
-                w[rows[i]] += step * y[i] * values[i]
+                w[r] += step * y[i] * value
                 bias += step * y[i]
                 largest = max(largest, abs(step))
         if largest < 1e-3:
@@ -133,6 +137,13 @@ def descend(rows: list[np.ndarray], values: list[np.ndarray], y: np.ndarray, siz
     return w, bias
 
 
+def _counts(rows: list[np.ndarray], size: int) -> np.ndarray:
+    out = np.zeros(size, np.int64)
+    for r in rows:
+        out[r] += 1  # a row's features are distinct
+    return out
+
+
 def fit(rows: list[np.ndarray], labels: np.ndarray, bits: int = BITS, cost: float = 1.0, epochs: int = 12,
         smoothing: float = 1.0, least_rows: int = 3, seed: int = 7) -> Model:
     size, y = 1 << bits, np.where(labels > 0, 1.0, -1.0)
@@ -146,18 +157,12 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, bits: int = BITS, cost: floa
         fold = np.zeros(len(rows), bool)
 
     def one(use: np.ndarray) -> Model:
-        good = np.bincount(np.concatenate([r for r, l, u in zip(rows, y, use) if u and l > 0]), minlength=size)
-        bad = np.bincount(np.concatenate([r for r, l, u in zip(rows, y, use) if u and l < 0]), minlength=size)
+        good = _counts([r for r, l, u in zip(rows, y, use) if u and l > 0], size)
+        bad = _counts([r for r, l, u in zip(rows, y, use) if u and l < 0], size)
         ratio = np.log((good + smoothing) / (good.sum() + smoothing)) - np.log((bad + smoothing) / (bad.sum() + smoothing))
-        # what few rows have says little; a common offset of the two sums says nothing
+        # what few rows have says little
         ratio[good + bad < least_rows] = 0
-        kept, values = [], []
-        for r, u in zip(rows, use):
-            if u:
-                v = ratio[r]
-                kept.append(r[v != 0])
-                values.append(v[v != 0] / max(float(np.sqrt((v * v).sum())), 1e-12))
-        w, bias = descend(kept, values, y[use], size, cost, epochs, seed)
+        w, bias = descend([r for r, u in zip(rows, use) if u], ratio, y[use], cost, epochs, seed)
         return Model((w * ratio).astype(np.float32), (ratio * ratio).astype(np.float32), bias, 1.0, 0.0, bits)
 
     trial = one(~fold)

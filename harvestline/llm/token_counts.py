@@ -31,7 +31,7 @@ from .kernels import SEGMENT, span_hashes, word_spans
 
 MARK = "▁"
 BYTE_SCORE = -20.0
-CACHE_WORDS = 500_000
+CACHE_WORDS = 300_000
 
 
 class Pieces:
