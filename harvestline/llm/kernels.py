@@ -126,3 +126,32 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray, width: int):
             yield window_hashes(words[a:b], int(b - a))
         else:
             yield np.zeros(0, _U)
+
+
+class WordTable:
+    """Numbers known for word hashes, as sorted arrays: a few bytes a word, and
+    look-ups and additions without a Python object a word."""
+
+    def __init__(self, fields: int):
+        self.keys = np.zeros(0, _U)
+        self.fields = [np.zeros(0, np.int64) for _ in range(fields)]
+
+    def __len__(self) -> int:
+        return len(self.keys)
+
+    def missing(self, keys: np.ndarray) -> np.ndarray:
+        """Places in the sorted ``keys`` that are not known."""
+        if not len(self.keys):
+            return np.arange(len(keys))
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return np.flatnonzero(self.keys[at] != keys)
+
+    def add(self, keys: np.ndarray, *values: np.ndarray) -> None:
+        """Add sorted new ``keys``."""
+        at = np.searchsorted(self.keys, keys)
+        self.keys = np.insert(self.keys, at, keys)
+        self.fields = [np.insert(f, at, v) for f, v in zip(self.fields, values)]
+
+    def get(self, keys: np.ndarray) -> list[np.ndarray]:
+        at = np.searchsorted(self.keys, keys)
+        return [f[at] for f in self.fields]

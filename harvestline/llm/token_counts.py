@@ -27,11 +27,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import prepare, row_groups, text_buffers
-from .kernels import SEGMENT, span_hashes, word_spans
+from .kernels import SEGMENT, WordTable, span_hashes, word_spans
 
 MARK = "▁"
 BYTE_SCORE = -20.0
-CACHE_WORDS = 300_000
+CACHE_WORDS = 1_000_000
 
 
 class Pieces:
@@ -91,13 +91,13 @@ def count_words(words: list[str], pieces: Pieces) -> list[int]:
     return out
 
 
-_loaded: dict[str, tuple[Pieces, dict[int, int]]] = {}
+_loaded: dict[str, tuple[Pieces, list[WordTable]]] = {}
 
 
 def _count_task(path: str):
     def run(batches: Iterator[pa.RecordBatch]):
         if path not in _loaded:
-            _loaded[path] = (Pieces.from_file(path), {})
+            _loaded[path] = (Pieces.from_file(path), [WordTable(1)])
         pieces, known = _loaded[path]
         for batch in batches:
             data, off = text_buffers(batch.column("text"))
@@ -106,13 +106,14 @@ def _count_task(path: str):
                 part, po = data[off[a]:off[b]], off[a:b + 1] - off[a]
                 starts, ends, rows = word_spans(part, po)
                 keys, first, inverse = np.unique(span_hashes(part, starts, ends), return_index=True, return_inverse=True)
-                if len(known) > CACHE_WORDS:
-                    known.clear()
-                raw, listed = part.tobytes(), keys.tolist()
-                new = [i for i, k in enumerate(listed) if k not in known]
-                words = [raw[starts[first[i]]:ends[first[i]]].decode() for i in new]
-                known.update(zip((listed[i] for i in new), count_words(words, pieces)))
-                counts = np.fromiter((known[k] for k in listed), np.int64, len(listed))[inverse]
+                if len(known[0]) > CACHE_WORDS:
+                    known[0] = WordTable(1)
+                new = known[0].missing(keys)
+                if len(new):
+                    raw, at = part.tobytes(), first[new]
+                    words = [raw[s:e].decode() for s, e in zip(starts[at].tolist(), ends[at].tolist())]
+                    known[0].add(keys[new], np.array(count_words(words, pieces), np.int64))
+                counts = known[0].get(keys)[0][inverse]
                 at = np.searchsorted(rows, np.arange(len(po)))
                 n_words.append(np.diff(at))
                 n_tokens.append(np.diff(np.concatenate(([0], np.cumsum(counts)))[at]))

@@ -12,15 +12,15 @@ from __future__ import annotations
 import json
 import os
 import re
-from itertools import chain
+from array import array
 
 import numpy as np
 import regex
 
 from .common import row_groups
-from .kernels import SEGMENT, span_hashes, word_spans
+from .kernels import SEGMENT, WordTable, span_hashes, word_spans
 
-CACHE_WORDS = 350_000
+CACHE_WORDS = 1_000_000
 
 # FIXED VALUES: the normalizer steps and the pre-token pattern for which a text is the sum of its words.
 _STEPS = ["NFC", "Replace", "Lowercase"]
@@ -54,62 +54,52 @@ class Encoder:
             [s.get("type") for s in steps.get("normalizers", [])] == _STEPS
             and split.get("pattern") == {"Regex": _PATTERN} and split.get("behavior") == "Removed" and split.get("invert") is True)
         self.special = [t["content"] for t in form.get("added_tokens", [])]
-        self.piece: dict[str, list[int]] = {}
         self.vocabulary = max(self.tokenizer.get_vocab().values()) + 1
         self._clear()
 
     def _clear(self) -> None:
-        self.slot: dict[int, int] = {}
-        self.count = np.zeros(0, np.int64)
-        self.start = np.zeros(0, np.int64)
-        self.flat = np.zeros(0, np.uint32)
+        self.table = WordTable(2)  # where a word's ids start, how many there are
+        self.flat, self.used = np.zeros(1 << 16, np.uint32), 0
 
-    def _ids_of_word(self, word: bytes) -> list[int]:
+    def _ids_of_word(self, word: bytes) -> bytes:
+        """The ids as native uint32."""
         text = word.decode()
         if not _LATIN.match(text) or ("<" in text and any(t in text for t in self.special)):
-            return self.tokenizer.encode(text, add_special_tokens=False).ids
-        text, get = text.lower(), self.piece.get
-        parts = (text,) if text.isalpha() else _PIECES.findall(text)
-        out = []
-        for part in parts:
-            ids = get(part)
-            if ids is None:
-                letters = part if part.isascii() else "".join(map(_LETTER.__getitem__, part.encode()))
-                ids = self.piece[part] = [t.id for t in self.tokenizer.model.tokenize(letters)]
-            if len(parts) == 1:
-                return ids
-            out += ids
-        return out
-
-    def _learn(self, keys: list[int], words: list[bytes]) -> None:
+            return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+        text, ids = text.lower(), array("I")
+        for part in (text,) if text.isalpha() else _PIECES.findall(text):
+            letters = part if part.isascii() else "".join(map(_LETTER.__getitem__, part.encode()))
+            ids.extend([t.id for t in self.tokenizer.model.tokenize(letters)])
+        return ids.tobytes()
+
+    def _learn(self, keys: np.ndarray, words: list[bytes]) -> None:
         """Add words to the cache, in one piece."""
-        if len(self.piece) > CACHE_WORDS:
-            self.piece.clear()
         ids = list(map(self._ids_of_word, words))
-        count = np.fromiter(map(len, ids), np.int64, len(ids))
-        self.slot.update(zip(keys, range(len(self.count), len(self.count) + len(ids))))
-        self.start = np.concatenate((self.start, len(self.flat) + np.cumsum(count) - count))
-        self.count = np.concatenate((self.count, count))
-        self.flat = np.concatenate((self.flat, np.fromiter(chain.from_iterable(ids), np.uint32, int(count.sum()))))
+        count = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        total = int(count.sum())
+        if self.used + total > len(self.flat):
+            self.flat = np.concatenate((self.flat[:self.used], np.zeros(max(total, self.used // 2), np.uint32)))
+        self.flat[self.used:self.used + total] = np.frombuffer(b"".join(ids), np.uint32)
+        self.table.add(keys, self.used + np.cumsum(count) - count, count)
+        self.used += total
 
     def _group(self, data: np.ndarray, off: np.ndarray, end_id: int | None) -> tuple[np.ndarray, np.ndarray]:
         extra = 0 if end_id is None else 1
         rows_n = len(off) - 1
         starts, ends, rows = word_spans(data, off)
         keys, first, inverse = np.unique(span_hashes(data, starts, ends), return_index=True, return_inverse=True)
-        if len(self.slot) > CACHE_WORDS:
+        if len(self.table) > CACHE_WORDS:
             self._clear()
-        raw, listed, known = data.tobytes(), keys.tolist(), self.slot
-        new = [i for i, k in enumerate(listed) if k not in known]
-        at = first[new]
-        self._learn([listed[i] for i in new], [raw[a:b] for a, b in zip(starts[at].tolist(), ends[at].tolist())])
-        slots = np.fromiter(map(known.__getitem__, listed), np.int64, len(listed))[inverse]
-        counts = self.count[slots]
+        new = self.table.missing(keys)
+        if len(new):
+            raw, at = data.tobytes(), first[new]
+            self._learn(keys[new], [raw[a:b] for a, b in zip(starts[at].tolist(), ends[at].tolist())])
+        begins, counts = (x[inverse] for x in self.table.get(keys))
         before = np.concatenate(([0], np.cumsum(counts)))
         at = np.searchsorted(rows, np.arange(rows_n + 1))
         lengths = np.diff(before[at]) + extra
         out = np.empty(int(before[-1]) + extra * rows_n, np.uint32)
-        pick = np.repeat(self.start[slots] - before[:-1], counts)
+        pick = np.repeat(begins - before[:-1], counts)
         pick += np.arange(len(pick))
         if extra:
             place = np.arange(len(pick)) + np.repeat(rows, counts)
