@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import numpy as np
 
-SEGMENT = 1 << 20
+SEGMENT = 1 << 18
 _U = np.uint64
 _M1, _M2 = _U(0xBF58476D1CE4E5B9), _U(0x94D049BB133111EB)
 _BASE = 0x9E3779B97F4A7C15
@@ -134,7 +134,7 @@ class WordTable:
 
     def __init__(self, fields: int):
         self.keys = np.zeros(0, _U)
-        self.fields = [np.zeros(0, np.int64) for _ in range(fields)]
+        self.fields = [np.zeros(0, np.int32) for _ in range(fields)]
 
     def __len__(self) -> int:
         return len(self.keys)

@@ -188,13 +188,15 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, bits: int = BITS, cost: floa
 
 def _fit_task(bits: int):
     def run(batches: Iterator[pa.RecordBatch]):
-        got = []
+        got, blocks = [], []
         for batch in batches:
-            for i, y, f in zip(batch.column("doc_id").to_pylist(), batch.column("label").to_pylist(),
-                               text_features(batch.column("text"), bits)):
-                got.append((i, y, len(f), f))
-        got.sort(key=lambda x: (x[0], x[1], x[2]))
-        model = fit([x[3] for x in got], np.array([x[1] for x in got], float), bits)
+            found = list(text_features(batch.column("text"), bits))
+            for k, (i, y) in enumerate(zip(batch.column("doc_id").to_pylist(), batch.column("label").to_pylist())):
+                got.append((i, y, len(found[k]), len(blocks), k))
+            blocks.append((np.concatenate(found), np.cumsum([0, *map(len, found)])))  # one array, not one a row
+        got.sort()
+        rows = [blocks[b][0][blocks[b][1][k]:blocks[b][1][k + 1]] for _, _, _, b, k in got]
+        model = fit(rows, np.array([x[1] for x in got], float), bits)
         yield pa.RecordBatch.from_arrays(
             [pa.array([model.weight.tobytes()]), pa.array([model.square.tobytes()]),
              *(pa.array([x]) for x in (model.intercept, model.slope, model.shift))],

@@ -31,7 +31,7 @@ from .kernels import SEGMENT, WordTable, span_hashes, word_spans
 
 MARK = "▁"
 BYTE_SCORE = -20.0
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 600_000
 
 
 class Pieces:
@@ -113,7 +113,7 @@ def _count_task(path: str):
                     raw, at = part.tobytes(), first[new]
                     words = [raw[s:e].decode() for s, e in zip(starts[at].tolist(), ends[at].tolist())]
                     known[0].add(keys[new], np.array(count_words(words, pieces), np.int64))
-                counts = known[0].get(keys)[0][inverse]
+                counts = known[0].get(keys)[0][inverse].astype(np.int64)
                 at = np.searchsorted(rows, np.arange(len(po)))
                 n_words.append(np.diff(at))
                 n_tokens.append(np.diff(np.concatenate(([0], np.cumsum(counts)))[at]))

@@ -20,7 +20,7 @@ import regex
 from .common import row_groups
 from .kernels import SEGMENT, WordTable, span_hashes, word_spans
 
-CACHE_WORDS = 1_000_000
+CACHE_WORDS = 600_000
 
 # FIXED VALUES: the normalizer steps and the pre-token pattern for which a text is the sum of its words.
 _STEPS = ["NFC", "Replace", "Lowercase"]
@@ -94,7 +94,7 @@ class Encoder:
         if len(new):
             raw, at = data.tobytes(), first[new]
             self._learn(keys[new], [raw[a:b] for a, b in zip(starts[at].tolist(), ends[at].tolist())])
-        begins, counts = (x[inverse] for x in self.table.get(keys))
+        begins, counts = (x[inverse].astype(np.int64) for x in self.table.get(keys))
         before = np.concatenate(([0], np.cumsum(counts)))
         at = np.searchsorted(rows, np.arange(rows_n + 1))
         lengths = np.diff(before[at]) + extra
@@ -111,7 +111,7 @@ class Encoder:
 
     def encode(self, data: np.ndarray, off: np.ndarray, end_id: int | None = None):
         """For runs of rows: (ids one after another, number of ids by row)."""
-        for a, b in row_groups(off, SEGMENT):
+        for a, b in row_groups(off, 2 * SEGMENT):
             part, po = data[off[a]:off[b]], off[a:b + 1] - off[a]
             if self.word_wise:
                 yield self._group(part, po, end_id)
