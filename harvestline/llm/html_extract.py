@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from .common import prepare, small_side, stored
 
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^\"'>]|\"[^\"]*\"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>", re.S)
+_CUT_OFF = re.compile(r"<[a-zA-Z/!?]")
 _ATTR = re.compile(r"([a-zA-Z_:][-\w:.]*)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?")
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _NUMBER = re.compile(r"\d+")
@@ -134,9 +135,10 @@ def parse(html: str) -> Page:
 
     at, n = 0, len(html)
     while at < n:
-        m = _TAG.search(html, at)
-        if not m:
-            text_of(html[at:])
+        m = _TAG.search(html, at) if html.find(">", at) >= 0 or html.find("<!--", at) >= 0 else None
+        if not m:  # a tag that the page's end cuts off is no text
+            cut = _CUT_OFF.search(html, at)
+            text_of(html[at:cut.start()] if cut else html[at:])
             break
         text_of(html[at:m.start()])
         at = m.end()

@@ -20,7 +20,7 @@ import regex
 from .common import row_groups
 from .kernels import SEGMENT, WordTable, span_hashes, word_spans
 
-CACHE_WORDS = 600_000
+CACHE_WORDS = 900_000
 
 # FIXED VALUES: the normalizer steps and the pre-token pattern for which a text is the sum of its words.
 _STEPS = ["NFC", "Replace", "Lowercase"]
