@@ -6,6 +6,7 @@ import os
 import shutil
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 from ..session import checkpoint_dir
 
 #: Rows of text in one Arrow batch: bounds what a Python worker holds at once.
-TEXT_ROWS = 1000
+TEXT_ROWS = 250
 
 #: A side is broadcast only when it was counted and has at most so many narrow rows.
 BROADCAST_ROWS = 500_000
@@ -46,6 +47,19 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@contextmanager
+def batch_rows(spark: SparkSession, rows: int):
+    """Other Arrow batches for what is run inside: many rows where they are
+    narrow, few where each may hold megabytes."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def new_folder(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint folder of the session."""
     return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"

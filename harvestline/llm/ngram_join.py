@@ -44,13 +44,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import prepare, row_groups, small_side, stored, text_buffers
+from .common import batch_rows, prepare, row_groups, small_side, stored, text_buffers
 from .components import connected_components
 from .kernels import SEGMENT, shingle_sets
 
 LIST_ROWS = 16
 HEAVY_KEYS = 1_000_000
 LARGEST_BOUNDARY = 64
+#: Arrow batches: rows of numbers, and pairs of whole sets.
+NARROW_ROWS = 20_000
+SET_PAIRS = 50
 _U = np.uint64
 
 
@@ -338,7 +341,8 @@ def similar_links(docs: DataFrame, classes: DataFrame, width: int = 5, num: int
     lists = (posted.repartition("key", "salt").sortWithinPartitions("salt", "key")
                    .mapInArrow(_pairs_of_lists(list_rows, boundary, num, den),
                                "kind int, a long, b long, key long, n int, pos int"))
-    lists = stored(lists, "lists")
+    with batch_rows(spark, NARROW_ROWS):
+        lists = stored(lists, "lists")
     light = lists.where("kind = 0").select("a", "b").distinct()
     long_lists = stored(lists.where("kind = 1").select("key", F.col("a").alias("id"), "n", "pos"), "long-lists")
 
@@ -369,7 +373,8 @@ def similar_links(docs: DataFrame, classes: DataFrame, width: int = 5, num: int
     def verified(pairs: DataFrame) -> DataFrame:
         both = (pairs.join(sets.select(F.col("id").alias("a"), F.col("s").alias("sa")), "a")
                      .join(sets.select(F.col("id").alias("b"), F.col("s").alias("sb")), "b"))
-        return stored(both.select("a", "b", "sa", "sb").mapInArrow(_verify(num, den), "a long, b long"), "links")
+        with batch_rows(spark, SET_PAIRS):
+            return stored(both.select("a", "b", "sa", "sb").mapInArrow(_verify(num, den), "a long, b long"), "links")
 
     links = verified(tested)
     parts = connected_components(links)
