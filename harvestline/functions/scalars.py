@@ -36,9 +36,9 @@ def clamp(x, lo, hi) -> Column:
 
 
 def int_div(a, b) -> Column:
-    """Exact integral division for non-negative longs (no binary floats)."""
+    """Exact integral division for non-negative longs (no binary floats); null over zero."""
     x, y = col(a).cast("long"), col(b).cast("long")
-    return ((x - x % y) / y).cast("long")
+    return F.when(y != 0, F.call_function("div", x, y))
 
 
 def half_up_div(num, den) -> Column:

@@ -30,16 +30,16 @@ def normalise_columns(df: DataFrame, case: str = "lower") -> DataFrame:
 
 
 def dedupe_names(names) -> list:
-    """``a, a, a`` → ``a, a_1, a_2`` (PRJ2)."""
-    seen: dict = {}
-    out = []
-    for n in names:
-        if n in seen:
-            seen[n] += 1
-            out.append(f"{n}_{seen[n]}")
-        else:
-            seen[n] = 0
-            out.append(n)
+    """``a, a, a`` → ``a, a_1, a_2`` (PRJ2).  The names are always distinct: a
+    suffix that another column already has is passed over."""
+    names = list(names)
+    taken, out = set(names), []
+    for i, name in enumerate(names):
+        k, new = 0, name
+        while new in out or (k and new in taken):
+            k += 1
+            new = f"{name}_{k}"
+        out.append(new)
     return out
 
 

@@ -39,9 +39,19 @@ def date_spine(spark: SparkSession, start: str = C.SPINE_START, end: str = C.SPI
         F.explode(F.sequence(F.to_date(F.lit(start)), F.to_date(F.lit(end)), F.expr("interval 1 day"))).alias("date"))
 
 
-def dim_time(spark: SparkSession, start: str = C.SPINE_START, end: str = C.SPINE_END) -> DataFrame:
+def spine_of(dates: DataFrame, start: str = C.SPINE_START, end: str = C.SPINE_END) -> DataFrame:
+    """The spine, widened to the first and last ``submission_date`` of a table (one aggregate
+    over one column), so that no row of it falls outside."""
+    first, last = F.to_date(F.lit(start)), F.to_date(F.lit(end))
+    span = dates.agg(F.min("submission_date").alias("lo"), F.max("submission_date").alias("hi"))
+    return span.select(F.explode(F.sequence(F.least(first, "lo"), F.greatest(last, "hi"), F.expr("interval 1 day"))).alias("date"))
+
+
+def dim_time(spark: SparkSession, dates: DataFrame | None = None, start: str = C.SPINE_START, end: str = C.SPINE_END) -> DataFrame:
+    """The calendar from ``start`` to ``end``, and as far as ``dates`` reach."""
     d = F.col("date")
-    return date_spine(spark, start, end).select(
+    spine = date_spine(spark, start, end) if dates is None else spine_of(dates, start, end)
+    return spine.select(
         date_key(d).alias("date_key"), d,
         F.weekofyear(d).alias("iso_week"),
         iso_year(d).cast("int").alias("iso_year"),

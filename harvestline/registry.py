@@ -12,7 +12,6 @@ from .plans import feed as P
 from .plans import models as ML
 from .plans import queries as Q
 from .plans import stats as S
-from .plans import synth as SY
 from .plans import traffic as T
 from .plans import star
 from .session import apply_defaults
@@ -27,7 +26,7 @@ class Star:
         apply_defaults(spark)
         self.spark, self.sf_dir = spark, sf_dir
         self.subs = bindings.submissions(spark, sf_dir)
-        self.time = star.dim_time(spark)
+        self.time = star.dim_time(spark, self.subs)
         self.fact = star.fact(spark, sf_dir, self.subs, time_dim=self.time, **fact_kw)
         self.readings = star.readings(self.subs)
         self.fruit = star.dim_fruit_quality(self.subs)
@@ -44,7 +43,7 @@ def star_for(spark: SparkSession, sf_dir: str) -> Star:
     """One lazy star per (session, directory): DataFrames are immutable, so
     every query reuses the same analysed plans instead of re-reading footers
     and re-analysing the bindings."""
-    key = (id(spark._jsparkSession), sf_dir)
+    key = (spark.sparkContext.applicationId, id(spark), sf_dir)
     if key not in _STARS:
         _STARS[key] = Star(spark, sf_dir)
     return _STARS[key]
@@ -95,13 +94,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "df30_scenario_rescore": _star(lambda s: Q.rescore(s.fact, Q.scenario_table(s.spark))),
     "win7_dm_elasticity": _star(lambda s: Q.dm_elasticity(s.fact)),
     "win6_rain_7d": lambda spark, d: T.rain_daily_7d(spark, d),
-    # synthetic generator re-aimed as Spark jobs
-    "synth_readings": lambda spark, d: SY.synth_readings(spark, d),
-    "synth_submissions": lambda spark, d: SY.synth_submissions(spark, d),
-    "synth_loss_events": lambda spark, d: SY.synth_loss_events(spark, d),
-    "synth_season_validation": lambda spark, d: SY.season_validation(SY.synth_submissions(spark, d)),
-    "synth_loss_causes": lambda spark, d: SY.loss_cause_distribution(SY.synth_loss_events(spark, d)),
-    "synth_dm_profile": lambda spark, d: SY.dm_profile(SY.synth_readings(spark, d)),
     # models
     "m1_mts_model": _star(lambda s: ML.m1(s.spark, s.readings)),
     "m2_otif_model": _star(lambda s: ML.m2(s.spark, s.fact)),

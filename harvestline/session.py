@@ -7,6 +7,7 @@ in settings that are unset, so cluster configuration always wins.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -57,13 +58,16 @@ def apply_defaults(spark: SparkSession) -> SparkSession:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the cluster.
 
-    Reads ``spark.checkpoint.dir`` from the session; only when it is unset
-    (local tests) a scratch folder is created and registered.
+    Reads ``spark.checkpoint.dir`` from the session; only where it is unset
+    and the driver is the one executor (a local master, as in tests) a
+    scratch folder is created and registered.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="harvestline-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", d)
     if not spark.sparkContext.getCheckpointDir():

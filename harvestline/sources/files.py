@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.errors import AnalysisException, IllegalArgumentException
 from pyspark.sql.types import StringType, StructField, StructType
 
 from ..operators.cleaning import dedupe_names
@@ -21,7 +22,6 @@ ENCODINGS = ["utf-8-sig", "utf-8", "latin-1", "cp1252"]
 # FIXED VALUES: (encoding, delimiter) strategies for the survey table
 STRATEGIES = [("utf-8-sig", ","), ("utf-16", ","), ("utf-16-le", ","), ("latin-1", ","),
               ("utf-8", "\t"), ("utf-8", ";"), ("latin-1", "\t")]
-SAMPLE_ROWS = 1000
 
 _SPARK_CHARSET = {"utf-8-sig": "UTF-8", "utf-8": "UTF-8", "latin-1": "ISO-8859-1", "cp1252": "windows-1252",
                   "utf-16": "UTF-16", "utf-16-le": "UTF-16LE"}
@@ -42,11 +42,11 @@ def _raw(spark: SparkSession, path: str, encoding: str, sep: str = ",", header:
     return r.csv(path)
 
 
-def _replacement_chars(df: DataFrame, limit: int = SAMPLE_ROWS) -> int:
-    """U+FFFD count in a bounded sample — the sign of a wrong decoding."""
+def _replacement_chars(df: DataFrame) -> int:
+    """U+FFFD count over the whole file (one distributed aggregate) — the sign of a wrong decoding."""
     cols = [F.coalesce(F.size(F.split(F.col(f"`{c}`"), "�")) - 1, F.lit(0)) for c in df.columns]
     total = sum(cols[1:], cols[0]) if cols else F.lit(0)
-    row = df.limit(limit).agg(F.sum(total).alias("n")).first()
+    row = df.agg(F.sum(total).alias("n")).first()
     return int(row["n"] or 0)
 
 
@@ -60,7 +60,7 @@ def header_names(spark: SparkSession, path: str, encoding: str, sep: str = ",")
 
 
 def read_csv(spark: SparkSession, path: str, charsets=ENCODINGS, header: bool = True) -> DataFrame:
-    """SRC1: the first candidate encoding whose sample decodes without
+    """SRC1: the first candidate encoding that decodes the whole file without
     replacement characters wins.  Header names are repaired (PRJ2: a
     repeated name gets ``_1``, ``_2``) and given as an all-string schema."""
     best = None
@@ -76,11 +76,23 @@ def read_csv(spark: SparkSession, path: str, charsets=ENCODINGS, header: bool =
 
 
 def read_csv_glob(spark: SparkSession, pattern: str, predicate=None) -> DataFrame:
-    """SRC2: many same-schema files in one scan; the per-file filter is a
+    """SRC2: many files, each by its own header; the per-file filter is a
     normal predicate, and the source file name is kept for auditing.  Files
-    with no matching rows simply contribute nothing."""
-    df = spark.read.option("header", "true").csv(pattern).withColumn("_file", F.col("_metadata.file_name"))
-    return df.filter(predicate) if predicate is not None else df
+    with no matching rows simply contribute nothing.  Files with the same
+    header are one scan; columns are matched by name, and a column that a file
+    lacks is null there."""
+    lines = (spark.read.text(pattern).select("value", F.col("_metadata.file_path").alias("path"),
+                                             F.col("_metadata.file_block_start").alias("at"),
+                                             F.monotonically_increasing_id().alias("line")).where("at = 0"))
+    heads = lines.groupBy("path").agg(F.min_by("value", "line").alias("head"))
+    found = heads.groupBy("head").agg(F.sort_array(F.collect_list("path")).alias("paths")).orderBy("head").collect()
+    out = None
+    for row in found:  # one row a distinct header
+        df = spark.read.option("header", "true").csv(row.paths).withColumn("_file", F.col("_metadata.file_name"))
+        out = df if out is None else out.unionByName(df, allowMissingColumns=True)
+    if out is None:
+        out = spark.read.option("header", "true").csv(pattern).withColumn("_file", F.col("_metadata.file_name"))
+    return out.filter(predicate) if predicate is not None else out
 
 
 def read_stat_table(spark: SparkSession, path: str, names, key: str = "year", skip_rows: int = 4) -> DataFrame:
@@ -93,15 +105,15 @@ def read_stat_table(spark: SparkSession, path: str, names, key: str = "year", sk
 
 
 def read_first_parsable(spark: SparkSession, path: str, strategies=STRATEGIES, stub: DataFrame | None = None) -> DataFrame:
-    """SRC4: try (encoding, delimiter) pairs with malformed lines dropped;
-    the first giving at least two columns and one row on a sample wins,
-    else the given literal stub."""
+    """SRC4: try (encoding, delimiter) pairs; the first that decodes the whole
+    file and gives at least two columns and one row wins, else the given
+    literal stub.  No line is dropped: fields that a line lacks are null."""
     for enc, sep in strategies:
         try:
-            df = _raw(spark, path, enc, sep=sep, mode="DROPMALFORMED")
-            if len(df.columns) >= 2 and _replacement_chars(df) == 0 and df.limit(1).count() > 0:
+            df = _raw(spark, path, enc, sep=sep, mode="PERMISSIVE")
+            if len(df.columns) >= 2 and not df.isEmpty() and _replacement_chars(df) == 0:
                 return df
-        except Exception:  # an unreadable strategy is skipped, as in the source
+        except (AnalysisException, IllegalArgumentException):  # an unreadable strategy is skipped, as in the source
             continue
     if stub is None:
         raise ValueError(f"no strategy could parse {path}")
@@ -134,11 +146,11 @@ def enrich_feed(agg: DataFrame, feed: DataFrame) -> DataFrame:
     row (the latest landing), broadcast; a missing part leaves the ETL value
     and a null field, as each published call is independently guarded."""
     from ..functions.scalars import array_sum_skip_null
-    f = feed.select(
+    f = feed.agg(F.max_by(F.struct("*"), F.struct(F.coalesce("date", F.lit("")), F.xxhash64("*"))).alias("r")).where("r is not null").select("r.*").select(
         F.round(array_sum_skip_null("precipitation_sum"), 1).alias("_rain"),
         F.round(F.col("rates.EUR"), 4).alias("nzd_eur"), F.round(F.col("rates.JPY"), 2).alias("nzd_jpy"),
         F.col("date").alias("fx_date"),
-        F.when(F.col("ways").isNotNull(), F.col("ways") > 0).alias("corridors_verified")).limit(1)
+        F.when(F.col("ways").isNotNull(), F.col("ways") > 0).alias("corridors_verified"))
     # left join on true against the (at most) one feed row: no feed, no change
     j = agg.join(F.broadcast(f), on=F.lit(True), how="left")
     return (j.withColumn("rain_source", F.when(F.col("_rain").isNotNull(), F.lit("feed")).otherwise(F.lit("etl")))

@@ -22,16 +22,18 @@ from pyspark.sql import functions as F
 from .. import config as C
 from ..functions.scalars import season_phase
 from ..session import checkpoint_dir
-from ..sources.tables import read_table, table_path
+from ..sources.tables import path_status, read_table, table_path
 
 
 def read_stream(spark: SparkSession, sf_dir: str, name: str, max_files: int | None = None) -> DataFrame:
     """A file stream over one table with the batch table's schema."""
-    schema = read_table(spark, sf_dir, name).schema
-    r = spark.readStream.schema(schema).option("pathGlobFilter", os.path.basename(table_path(sf_dir, name)))
+    path = table_path(sf_dir, name)
+    r = spark.readStream.schema(read_table(spark, sf_dir, name).schema)
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
-    return r.parquet(os.path.dirname(table_path(sf_dir, name)))
+    if path_status(spark, path) == "dir":  # a table of part files
+        return r.parquet(path)
+    return r.option("pathGlobFilter", os.path.basename(path)).parquet(os.path.dirname(path))
 
 
 def _ckpt(spark: SparkSession, tag: str) -> str:

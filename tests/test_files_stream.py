@@ -1,4 +1,4 @@
-"""File sources on small fixtures, synthetic generator properties, stream = batch."""
+"""File sources on small fixtures, stream = batch."""
 import os
 
 from pyspark.sql import functions as F
@@ -56,28 +56,6 @@ def test_enrich_feed_parts_optional(spark, scratch):
     assert (none.rain_avg, none.rain_source) == (18.0, "etl")
 
 
-def test_synthetic_generator_properties(spark):
-    from harvestline.plans import synth as SY
-    r = SY.synth_readings(spark, SF_SMALL)
-    g = r.groupBy("kpin").count()
-    assert {x["count"] for x in g.collect()} == {4 * 16}
-    st = r.agg(F.min("dm_pct"), F.max("dm_pct"), F.avg(F.col("mts_pass").cast("double"))).first()
-    assert 12.0 <= st[0] and st[1] <= 22.0 and 0.5 < st[2] <= 1.0
-    # partition independence: same rows after repartitioning the source
-    a = sorted(tuple(x) for x in r.select("kpin", "season", "pack_week", "dm_pct").collect())
-    spark.conf.set("spark.sql.shuffle.partitions", "3")
-    b = sorted(tuple(x) for x in SY.synth_readings(spark, SF_SMALL).select("kpin", "season", "pack_week", "dm_pct").collect())
-    spark.conf.set("spark.sql.shuffle.partitions", "8")
-    assert a == b
-    s = SY.synth_submissions(spark, SF_SMALL, r)
-    bad = s.filter((F.col("trays_exported") + F.col("trays_lost") != F.col("trays_submitted"))
-                   | (~F.col("mts_pass") & (F.col("total_return_nzd") != 0)) | (F.col("trays_submitted") < 50)).count()
-    assert bad == 0
-    e = SY.synth_loss_events(spark, SF_SMALL, s)
-    assert e.filter(~F.col("mts_pass") & (F.col("primary_cause") != "MTS_BREACH")).count() == 0
-    assert e.filter(F.col("mts_pass") & (F.col("primary_cause") == "MTS_BREACH")).count() == 0
-
-
 def test_payload_structure(spark):
     from harvestline.registry import star_for
     from harvestline.plans import feed
