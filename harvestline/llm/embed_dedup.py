@@ -92,11 +92,30 @@ def _window_task(window: int, threshold: float):
                 ok = (cos >= threshold) & own[a + step:b] & (rank[a + step:b] - rank[a:b - step] == step)
                 i = np.flatnonzero(ok) + a
                 out.append(np.stack((rep[i], rep[i + step]), 1))
-        got = np.unique(np.sort(np.concatenate(out), axis=1), axis=0) if out else np.zeros((0, 2), np.int64)
+        got = _forest(np.concatenate(out)) if out else np.zeros((0, 2), np.int64)
         return pd.DataFrame({"a": got[:, 0], "b": got[:, 1]})
     return run
 
 
+def _forest(pairs: np.ndarray) -> np.ndarray:
+    """The pairs that join two parts; the others connect nothing new, and links are
+    counted later."""
+    part: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while (y := part.setdefault(x, x)) != x:
+            part[x] = x = part[y] if y in part else y
+        return x
+
+    kept = []
+    for a, b in pairs.tolist():
+        x, y = root(a), root(b)
+        if x != y:
+            part[max(x, y)] = min(x, y)
+            kept.append((a, b))
+    return np.array(kept, np.int64).reshape(-1, 2)
+
+
 def _count_task(threshold: float):
     def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         _, i, j = key
