@@ -15,8 +15,9 @@ from pyspark.sql import functions as F
 
 from ..session import checkpoint_dir
 
-#: Rows of text in one Arrow batch: bounds what a Python worker holds at once.
+#: Rows and bytes in one Arrow batch: bound what the JVM and a Python worker hold at once.
 TEXT_ROWS = 250
+BATCH_BYTES = 2 << 20
 
 #: A side is broadcast only when it was counted and has at most so many narrow rows.
 BROADCAST_ROWS = 500_000
@@ -40,10 +41,12 @@ def ship_package(spark: SparkSession) -> None:
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Ship the package; small Arrow batches, since one row may hold a very long text."""
+    """Ship the package; small Arrow batches, by bytes too, since one row may hold a
+    very long text (a batch ends with the row that reaches the bound)."""
     ship_package(spark)
     if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > TEXT_ROWS:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", TEXT_ROWS)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     return spark
 
 

@@ -24,7 +24,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -225,10 +224,9 @@ def score_column(spark: SparkSession, model: Model, text: Column) -> Column:
     prepare(spark)
     ref = spark.sparkContext.broadcast(model)
 
-    @F.pandas_udf("double")
-    def score(texts: pd.Series) -> pd.Series:
+    @F.arrow_udf("double")
+    def score(texts: pa.Array) -> pa.Array:
         model = ref.value
-        return pd.Series([model.score(f) for f in text_features(pa.array(texts, pa.large_string(), from_pandas=True), model.bits)],
-                         dtype="float64")
+        return pa.array([model.score(f) for f in text_features(texts, model.bits)], pa.float64())
 
     return score(text)
