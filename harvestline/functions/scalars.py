@@ -62,15 +62,6 @@ def lookup(c, mapping: Mapping, default=None) -> Column:
     return expr.otherwise(lit(default)) if default is not None else expr
 
 
-def contains_any(c, needles) -> Column:
-    x = col(c)
-    out = None
-    for n in needles:
-        t = x.contains(n)
-        out = t if out is None else (out | t)
-    return out
-
-
 # --------------------------------------------------------------------------
 # Coercion (PRJ7, PRJ8, PRJ9)
 # --------------------------------------------------------------------------

@@ -49,14 +49,6 @@ def avg_fixed(c, dp_in: int, dp_out: int) -> Column:
     return F.when(n > 0, q / float(10 ** dp_out))
 
 
-def round_fixed(c, dp_in: int, dp_out: int) -> Column:
-    """ROUND(c, dp_out) for a fixed-point value (row level), exact."""
-    x = fixed_int(c, dp_in)
-    if dp_out >= dp_in:
-        return col(c)
-    return half_up_div(x, F.lit(10 ** (dp_in - dp_out))) / float(10 ** dp_out)
-
-
 def money_sum(c, cond=None) -> Column:
     """Exact DECIMAL sum of a money column (optionally of rows where ``cond``)."""
     v = col(c).cast("decimal(18,2)")

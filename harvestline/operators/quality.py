@@ -16,6 +16,10 @@ from .. import config as C
 from .aggregates import pct
 
 
+#: Columns of ``fact_health`` that count violations of integrity: one refuses a batch.
+HARD_CHECKS = ("nulls", "no_date", "bad_trays", "bad_return", "bad_otif", "bad_risk")
+
+
 def audited(df: DataFrame, step: str) -> tuple[DataFrame, Observation]:
     """Row count of ``df`` collected as a side metric when the plan runs (DQ1)."""
     obs = Observation(step)

@@ -98,6 +98,7 @@ b0 AS (
          CAST(trunc(l.l_quantity) AS BIGINT) * 10 AS trays_submitted,
          CAST(ROUND(l.l_discount * 100) AS BIGINT) AS disc_pct,
          CAST(1300 + (7 * l.l_orderkey + 13 * l.l_partkey + 31 * l.l_suppkey + 101 * l.l_linenumber) % 701 AS INTEGER) AS dm_centi,
+         (7 * l.l_orderkey + 13 * l.l_linenumber) % 100 AS loss_draw,
          CASE WHEN l.l_suppkey % 5 = 0 THEN 1 ELSE 0 END AS pest_indicator,
          CAST(95 + year({d}) % 10 AS DOUBLE) AS vol_index
   FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey JOIN sz ON l.l_suppkey = sz.s_suppkey
@@ -467,7 +468,70 @@ WITH d AS (SELECT CAST(ts AS DATE) AS day, SUM(CAST(ROUND(value * 100) AS BIGINT
 SELECT '{C.REGION_NAME}' AS place, day, CAST(c AS DOUBLE) / 100 AS rain_mm,
   CAST(SUM(c) OVER (ORDER BY day RANGE BETWEEN INTERVAL 6 DAY PRECEDING AND CURRENT ROW) AS DOUBLE) / 100 AS rain_7d_mm
 FROM d"""
-    from ..registry import FACT_PROFILE_COLS
+    q["star_dim_time"] = _q(f"""
+, s AS (SELECT MIN(submission_date) AS lo, MAX(submission_date) AS hi FROM subs),
+d AS (SELECT CAST(unnest(generate_series(CAST(LEAST(DATE '{C.SPINE_START}', lo) AS TIMESTAMP),
+        CAST(GREATEST(DATE '{C.SPINE_END}', hi) AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS date FROM s)
+SELECT CAST(year(date) * 10000 + month(date) * 100 + day(date) AS INTEGER) AS date_key, date,
+  CAST(weekofyear(date) AS INTEGER) AS iso_week, CAST(isoyear(date) AS INTEGER) AS iso_year,
+  CAST(month(date) AS INTEGER) AS month, CAST(year(date) AS INTEGER) AS year, CAST(weekofyear(date) AS INTEGER) AS pack_week,
+  {season_label("date")} AS season_year, {PHASE.format(w="weekofyear(date)")} AS season_phase,
+  CASE WHEN month(date) BETWEEN 3 AND 8 THEN 1 ELSE 0 END AS is_pack_season
+FROM d""")
+    zones = ", ".join(f"({i + 1}, '{z}', '{C.HIGHWAYS[z]}', {v['distance_port_km']}, {v['base_risk_weight']}, {v['psa_incidence_historical']}, "
+                      f"{v['dm_std_modifier']})" for i, (z, v) in enumerate(C.SUBZONES.items()))
+    zone_cols = "z(corridor_key, subzone, highway, km, weight, psa, std_modifier)"
+    q["star_dim_corridor"] = tq(f"""
+SELECT corridor_key, subzone, highway, CAST(km AS DOUBLE) AS distance_port_km, congestion_index_avg,
+  CAST(weight AS DOUBLE) AS base_risk_weight, CAST(psa AS DOUBLE) AS psa_incidence_historical
+FROM (VALUES {zones}) {zone_cols}, (SELECT {avg_fixed("congestion_index_scaled", 1, 1)} AS congestion_index_avg FROM scaled)""")
+    from ..sources.bindings import VARIETY_ORDER
+    variety = _case(f"s_suppkey % {len(VARIETY_ORDER)}", dict(enumerate(VARIETY_ORDER)))
+    q["star_dim_grower"] = _q(f"""
+SELECT CAST(100000 + s_suppkey AS BIGINT) AS kpin, subzone, {variety} AS primary_variety,
+  CASE WHEN ({variety}) LIKE '%Organic%' THEN 1 ELSE 0 END AS organic, CAST(s_suppkey % 20 + 2 AS DOUBLE) AS orchard_ha,
+  CAST(km AS DOUBLE) AS distance_port_km, CASE WHEN s_suppkey % 7 = 0 THEN 1 ELSE 0 END AS psa_history,
+  CAST(weight AS DOUBLE) AS base_risk_weight, CAST(std_modifier AS DOUBLE) AS dm_std_modifier, corridor_key
+FROM sz LEFT JOIN (VALUES {zones}) {zone_cols} USING (subzone)""")
+    q["star_dim_fruit_quality"] = _q(f"""
+SELECT kpin, season, subzone, variety, CASE WHEN variety LIKE '%Organic%' THEN 'organic' ELSE 'conventional' END AS growing_method,
+  pack_week, reading_date, dm_pct, CAST({MTS_CENTI} AS DOUBLE) / 100 AS mts_threshold, mts_status, tzg_score,
+  CASE WHEN mts_status = 'FAIL' THEN 'F' WHEN tzg_score >= 0.8 THEN 'A+' WHEN tzg_score >= 0.6 THEN 'A'
+       WHEN tzg_score >= 0.4 THEN 'B' WHEN tzg_score >= 0.2 THEN 'C' ELSE 'D' END AS tzg_grade,
+  pest_indicator, CAST(kpin AS VARCHAR) || '_' || CAST(pack_week AS VARCHAR) AS maturity_area, sample_size
+FROM readings""")
+    from .star import FACT_COLUMNS
+    as_double = {"submit_payment_nzd", "taste_payment_nzd", "total_return_nzd", "freight_cost_nzd"}
+    other = {"mts_pass": "CAST(mts_pass AS INTEGER)", "loss_pct": "CAST(trays_lost AS DOUBLE) * 100 / trays_submitted"}
+    q["star_fact"] = _q("SELECT kpin, submission_date, " + ", ".join(
+        f"CAST({c} AS DOUBLE) AS {c}" if c in as_double else f"{other.get(c, c)} AS {c}"
+        for c in FACT_COLUMNS if c != "grower_key") + " FROM factm")
+    upper, causes = 0, []
+    for k, w in C.CAUSE_WEIGHTS.items():
+        upper += round(w * 100)
+        causes.append(f"WHEN loss_draw < {upper} THEN '{'MECHANICAL' if k == 'MTS_BREACH' else k}'")
+    q["df17_loss_causes"] = _q(f"""
+, x AS (SELECT trays_lost, CASE WHEN NOT mts_pass THEN 'MTS_BREACH' {" ".join(causes)} END AS cause,
+          CASE WHEN mts_pass THEN CAST({C.LOSS_FINANCIAL_RATE} AS DECIMAL(6,2)) * trays_lost ELSE submit_payment_nzd END AS impact
+        FROM subs WHERE trays_lost > 0),
+g AS (SELECT cause, COUNT(*) AS events, CAST(SUM(trays_lost) AS BIGINT) AS trays_lost, CAST(SUM(impact) AS DOUBLE) AS impact_nzd FROM x GROUP BY cause),
+t AS (SELECT SUM(events) AS total FROM g)
+SELECT cause, events, trays_lost, impact_nzd, {pct("events", "total", 1)} AS share_pct,
+  CASE WHEN cause IN ({", ".join(repr(c) for c in C.CCP_CAUSES)}) THEN 1 ELSE 0 END AS ccp,
+  CASE WHEN cause = '{C.MARKET_BLOCK_CAUSE}' THEN 1 ELSE 0 END AS market_block
+FROM g, t""")
+    spans = ", ".join(f"('{v}', {a}, {b})" for v, (a, b) in C.HARVEST_WINDOW.items())
+    q["flt6_harvest_window"] = _q(f"""
+SELECT variety, COUNT(*) AS submissions, CAST(SUM(trays_submitted) AS BIGINT) AS trays
+FROM subs JOIN (VALUES {spans}) w(variety, first_week, last_week) USING (variety)
+WHERE pack_week BETWEEN first_week AND last_week GROUP BY variety""")
+    from ..registry import FACT_COUNT_COLS, FACT_PROFILE_COLS
+    q["agg23_fact_profile"] = _q("\nUNION ALL\n".join(
+        f"SELECT '{c}' AS \"column\", CAST(MIN({c}) AS DOUBLE) AS min, CAST(MAX({c}) AS DOUBLE) AS max, "
+        f"CAST(SUM({c}) AS DOUBLE) / COUNT({c}) AS avg FROM factm" for c in FACT_COUNT_COLS))
+    q["agg24_duplicate_rows"] = _q("""
+SELECT CAST(COALESCE(SUM(n - 1), 0) AS BIGINT) AS duplicate_rows
+FROM (SELECT COUNT(*) AS n FROM factm GROUP BY kpin, season, pack_week, variety, trays_submitted)""")
     q["dq_fact_null_profile"] = _q("\nUNION ALL\n".join(
         f"SELECT '{c}' AS \"column\", CAST(SUM(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS null_count FROM factm"
         for c in FACT_PROFILE_COLS))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .operators import quality as DQ
-from .operators.aggregates import null_profile
+from .operators.aggregates import duplicate_count, null_profile, numeric_profile
 from .plans import feed as P
 from .plans import models as ML
 from .plans import queries as Q
@@ -56,6 +56,14 @@ def _star(fn):
     return run
 
 
+FACT_COUNT_COLS = ["trays_submitted", "trays_exported", "trays_lost", "pack_week", "risk_score"]
+
+
+def _plain(df: DataFrame) -> DataFrame:
+    """Money as DOUBLE, like the other published results."""
+    return df.withColumns({c: df[c].cast("double") for c, t in df.dtypes if t.startswith("decimal")})
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q1_compliance": _star(lambda s: Q.q1_compliance(s.fact)),
     "q2_otif_by_week": _star(lambda s: Q.q2_otif_by_week(s.fact, s.time)),
@@ -70,6 +78,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "v5_orphans": _star(lambda s: Q.v5_orphans(s.fact, s.readings)),
     "v6_otif_by_season": _star(lambda s: Q.v6_otif_by_season(s.fact)),
     "m3_seasonal_breakdown": _star(lambda s: Q.seasonal_breakdown(s.fact)),
+    # the star schema on natural keys; grower_key is filled by the stored build
+    "star_dim_time": _star(lambda s: s.time),
+    "star_dim_corridor": lambda spark, d: star.dim_corridor(spark, T.corridor_congestion(T.traffic_daily(T.tms_15min(spark, d)))),
+    "star_dim_grower": _star(lambda s: star.dim_grower(s.spark, s.sf_dir)),
+    "star_dim_fruit_quality": _star(lambda s: s.fruit),
+    "star_fact": _star(lambda s: _plain(star.fact_view(s.fact).drop("grower_key"))),
+    "df17_loss_causes": _star(lambda s: Q.loss_causes(s.subs)),
+    "flt6_harvest_window": _star(lambda s: Q.harvest_window(s.subs)),
+    "agg23_fact_profile": _star(lambda s: numeric_profile(s.fact.select(*FACT_COUNT_COLS))),
+    "agg24_duplicate_rows": _star(lambda s: duplicate_count(s.fact.select("kpin", "season", "pack_week", "variety", "trays_submitted"))),
     # payload feed
     "p1_season_aggregate": _star(lambda s: P.season_aggregate(s.fact)),
     "p2_subzone_breakdown": _star(lambda s: P.subzone_breakdown(s.readings)),

@@ -7,6 +7,7 @@ Mapping (all integer arithmetic so every engine agrees exactly):
 * submission date      = l_shipdate; pack week = ISO week; season = export season label
 * ``dm_centi``         = 1300 + (7·orderkey + 13·partkey + 31·suppkey + 101·linenumber) mod 701
 * ``trays_submitted``  = 10 · quantity; trays lost = trays · round(100·discount) div 100
+* ``loss_draw``        = (7·orderkey + 13·linenumber) mod 100
 * ``size_code``        = cumulative-probability choice over (3·orderkey + 7·linenumber + partkey) mod 100
 
 Scale notes: region and nation are fixed-size (5 and 25 rows in every
@@ -104,6 +105,7 @@ def submissions(spark: SparkSession, sf_dir: str, lineitem: DataFrame | None = N
         trays.alias("trays_submitted"),
         int_div(trays * disc_pct, 100).alias("trays_lost"),
         dm_centi.alias("dm_centi"),
+        ((ok * 7 + ln * 13) % 100).cast("int").alias("loss_draw"),
         ((sk % 5) == 0).cast("int").alias("pest_indicator"),
         (F.lit(95) + F.year(d) % 10).cast("double").alias("vol_index"),
     )

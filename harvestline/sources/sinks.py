@@ -1,20 +1,21 @@
 """Sinks (SNK1–SNK6, SNK9, SNK11–SNK12) and the materialised star build.
 
 Writes are plain DataFrame writes; publishing is write-audit-publish: the
-new output goes to a staging folder, is checked, and only then replaces the
-published copy, so readers never see a failed batch.
+new output goes to a version folder, is checked there, and only then does a
+pointer name it, so readers never see a failed or half-written batch.
 """
 
 from __future__ import annotations
 
 import os
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from .. import config as C
+from .tables import drop_path
 
 
 def write_table(df: DataFrame, path: str, partition_by=None, mode: str = "overwrite", fmt: str = "parquet") -> str:
@@ -26,11 +27,6 @@ def write_table(df: DataFrame, path: str, partition_by=None, mode: str = "overwr
     return path
 
 
-def empty_like(spark: SparkSession, schema: StructType) -> DataFrame:
-    """SNK2: an empty result that still carries the full schema."""
-    return spark.createDataFrame([], schema)
-
-
 def build_star(spark: SparkSession, sf_dir: str, out_dir: str, **fact_kw) -> dict:
     """SNK4: materialise the star schema, dimensions before the fact.
 
@@ -98,23 +94,39 @@ def append_run_log(spark: SparkSession, log_path: str, run_id: str, status: str,
     row.write.mode("append").parquet(log_path)
 
 
-def publish_if_healthy(df: DataFrame, health: DataFrame, publish_path: str, log_path: str,
+def read_published(spark: SparkSession, publish_path: str) -> DataFrame:
+    """The version that the latest pointer names."""
+    base = publish_path.rstrip("/")
+    run_id = spark.read.parquet(f"{base}/pointer").agg(F.max_by("run_id", "published_at")).first()[0]  # one row
+    return spark.read.parquet(f"{base}/versions/{run_id}")
+
+
+def publish_if_healthy(df: DataFrame, health: DataFrame | Callable[[DataFrame], DataFrame], publish_path: str, log_path: str,
                        gate: float = C.HEALTH_GATE, partition_by=None) -> bool:
     """SNK12: write-audit-publish.
 
-    The batch is written to a fresh staging folder next to the published
-    path; only when the health score reaches the gate is the published
-    folder overwritten from the staged copy.  Otherwise the last good output
-    stays in place.  Either way one line goes to the run log.
+    The batch is written to a version folder of its own.  ``health`` (one row,
+    or a function that audits the written copy) then decides: any violated
+    integrity check refuses the batch whatever the score, and the score must
+    reach the gate.  Publishing appends one row to the pointer table, so a
+    reader sees the old version or the new one, and a crash before it leaves
+    the last good one.  A refused version is removed.  Either way one line
+    goes to the run log.
     """
-    spark = df.sparkSession
+    from ..operators.quality import HARD_CHECKS
+    spark, base = df.sparkSession, publish_path.rstrip("/")
     run_id = uuid.uuid4().hex[:12]
-    score = health.select("health_score").first()["health_score"]  # one row, one value
-    staged = f"{publish_path.rstrip('/')}__staging_{run_id}"
-    write_table(df, staged, partition_by=partition_by)
-    ok = score is not None and score >= gate
+    staged = write_table(df, f"{base}/versions/{run_id}", partition_by=partition_by)
+    found = health(spark.read.parquet(staged)) if callable(health) else health
+    row = found.first().asDict()  # one row
+    score, broken = row["health_score"], [c for c in HARD_CHECKS if row.get(c)]
+    ok = score is not None and score >= gate and not broken
     if ok:
-        write_table(spark.read.parquet(staged), publish_path, partition_by=partition_by)
+        (spark.range(1).select(F.lit(run_id).alias("run_id"), F.current_timestamp().alias("published_at"))
+              .write.mode("append").parquet(f"{base}/pointer"))
+    else:
+        drop_path(spark, staged)
+    why = f"violated: {', '.join(broken)}" if broken else f"health {score} below gate {gate}"
     append_run_log(spark, log_path, run_id, "OK" if ok else "ALERT", score if score is not None else -1.0,
-                   "published" if ok else f"health {score} below gate {gate}; kept last good output")
+                   "published" if ok else f"{why}; kept last good output")
     return ok

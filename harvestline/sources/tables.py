@@ -30,6 +30,12 @@ def path_status(spark: SparkSession, path: str) -> str | None:
     return "dir" if store.getFileStatus(p).isDirectory() else "file"
 
 
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Remove a path that nothing points to any more."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 

@@ -36,8 +36,9 @@ def read_stream(spark: SparkSession, sf_dir: str, name: str, max_files: int | No
     return r.option("pathGlobFilter", os.path.basename(path)).parquet(os.path.dirname(path))
 
 
-def _ckpt(spark: SparkSession, tag: str) -> str:
-    return os.path.join(checkpoint_dir(spark), "streams", f"{tag}-{uuid.uuid4().hex[:8]}")
+def _ckpt(spark: SparkSession, tag: str, out_path: str) -> str:
+    """The same folder for every run of ``tag`` into ``out_path``: a restarted run goes on."""
+    return os.path.join(checkpoint_dir(spark), "streams", f"{tag}-{uuid.uuid5(uuid.NAMESPACE_URL, out_path).hex}")
 
 
 # --------------------------------------------------------------------------
@@ -123,41 +124,42 @@ def submissions_stream(spark: SparkSession, sf_dir: str, max_files: int | None =
 
 def run_to_table(sdf: DataFrame, out_path: str, mode: str = "complete", tag: str = "q") -> str:
     """Run a stream with ``availableNow`` and keep its current result as a
-    parquet table (each micro-batch in complete mode replaces the table;
-    in append/update mode rows are appended)."""
+    parquet table: in complete mode each micro-batch replaces the table, else
+    it fills its own ``epoch`` folder, so a repeated micro-batch changes nothing."""
     spark = sdf.sparkSession
 
     def publish(batch: DataFrame, epoch: int) -> None:
-        batch.write.mode("overwrite" if mode == "complete" else "append").parquet(out_path)
+        batch.write.mode("overwrite").parquet(out_path if mode == "complete" else f"{out_path}/epoch={epoch}")
 
     q = (sdf.writeStream.outputMode(mode).foreachBatch(publish)
-            .option("checkpointLocation", _ckpt(spark, tag))
+            .option("checkpointLocation", _ckpt(spark, tag, out_path))
             .trigger(availableNow=True).start())
     q.awaitTermination()
     return out_path
 
 
+def _latest(df: DataFrame) -> DataFrame:
+    state = F.max(F.struct("date_key", "season", "pack_week")).alias("s")
+    return df.agg(state).select("s.*").filter(F.col("date_key").isNotNull())
+
+
+def read_live_state(spark: SparkSession, state_path: str) -> DataFrame:
+    """The latest of the rows that the micro-batches of STR4 left."""
+    return _latest(spark.read.parquet(state_path))
+
+
 def live_state_stream(spark: SparkSession, sf_dir: str, state_path: str) -> str:
     """STR4: the latest (date_key, season, pack_week) kept current.  Each
-    micro-batch reduces itself to one row (max over a struct) and merges it
-    with the stored state; the state table is one row however long the
-    stream runs."""
+    micro-batch reduces itself to one row (max over a struct) in its own
+    ``epoch`` folder; nothing that is stored is overwritten by another
+    micro-batch, and ``read_live_state`` takes the latest of these rows."""
     sdf = submissions_stream(spark, sf_dir).filter(F.col("date_key").isNotNull())
 
     def merge(batch: DataFrame, epoch: int) -> None:
-        latest = batch.agg(F.max(F.struct("date_key", "season", "pack_week")).alias("s"))
-        try:
-            old = spark.read.parquet(state_path).select(F.struct("date_key", "season", "pack_week").alias("s"))
-            latest = latest.unionByName(old)
-        except Exception:  # no state yet
-            pass
-        row = latest.agg(F.max("s").alias("s")).select("s.*").filter(F.col("date_key").isNotNull())
-        # the state is read above, so the new row goes to a side path first
-        row.write.mode("overwrite").parquet(state_path + "__next")
-        spark.read.parquet(state_path + "__next").write.mode("overwrite").parquet(state_path)
+        _latest(batch).write.mode("overwrite").parquet(f"{state_path}/epoch={epoch}")
 
     q = (sdf.writeStream.outputMode("append").foreachBatch(merge)
-            .option("checkpointLocation", _ckpt(spark, "live"))
+            .option("checkpointLocation", _ckpt(spark, "live", state_path))
             .trigger(availableNow=True).start())
     q.awaitTermination()
     return state_path
@@ -173,11 +175,10 @@ def publish_stream(spark: SparkSession, sf_dir: str, publish_path: str, log_path
     sdf = submissions_stream(spark, sf_dir)
 
     def gate_and_publish(batch: DataFrame, epoch: int) -> None:
-        out = batch.drop("mts_pass_int")
-        publish_if_healthy(out, fact_health(batch), f"{publish_path}/epoch={epoch}", log_path, gate)
+        publish_if_healthy(batch.drop("mts_pass_int"), fact_health, f"{publish_path}/epoch={epoch}", log_path, gate)
 
     q = (sdf.writeStream.outputMode("append").foreachBatch(gate_and_publish)
-            .option("checkpointLocation", _ckpt(spark, "publish"))
+            .option("checkpointLocation", _ckpt(spark, "publish", publish_path))
             .trigger(availableNow=True).start())
     q.awaitTermination()
     return publish_path
@@ -207,10 +208,10 @@ def dedupe_stream_batch(spark: SparkSession, sf_dir: str, out_path: str | None =
         F.date_trunc("hour", F.col("ts").cast("timestamp")).alias("hour"))
     d = dedupe_stream(ev, ["user_id", "event_type", "hour"], "2 hours").select("user_id", "event_type", "hour")
     run_to_table(d, out, "append", "str3")
-    return spark.read.parquet(out)
+    return spark.read.parquet(out).drop("epoch")
 
 
 def live_state_batch(spark: SparkSession, sf_dir: str, out_path: str | None = None) -> DataFrame:
     out = out_path or os.path.join(checkpoint_dir(spark), "results", f"str4-{uuid.uuid4().hex[:8]}")
     live_state_stream(spark, sf_dir, out)
-    return spark.read.parquet(out)
+    return read_live_state(spark, out)

@@ -89,7 +89,7 @@ def test_load_to_schema_and_pk_fk(spark):
 
 
 def test_publish_gate_keeps_last_good(spark, scratch):
-    from harvestline.sources.sinks import publish_if_healthy
+    from harvestline.sources.sinks import publish_if_healthy, read_published
     good = spark.createDataFrame([(1,)], "x int")
     bad = spark.createDataFrame([(2,)], "x int")
     pub, log = os.path.join(scratch, "pub"), os.path.join(scratch, "log")
@@ -97,8 +97,14 @@ def test_publish_gate_keeps_last_good(spark, scratch):
     low_health = spark.createDataFrame([(50.0,)], "health_score double")
     assert publish_if_healthy(good, ok_health, pub, log) is True
     assert publish_if_healthy(bad, low_health, pub, log) is False
-    assert [r.x for r in spark.read.parquet(pub).collect()] == [1]
-    assert sorted(r.status for r in spark.read.parquet(log).collect()) == ["ALERT", "OK"]
+    # a violated integrity check refuses a batch whatever its score; the audit reads the written copy
+    broken = lambda staged: staged.agg(F.lit(100.0).alias("health_score"), F.sum("x").alias("bad_trays"))
+    assert publish_if_healthy(bad, broken, pub, log) is False
+    assert [r.x for r in read_published(spark, pub).collect()] == [1]
+    assert len(os.listdir(os.path.join(pub, "versions"))) == 1
+    assert publish_if_healthy(bad, ok_health, pub, log) is True
+    assert [r.x for r in read_published(spark, pub).collect()] == [2]
+    assert sorted(r.status for r in spark.read.parquet(log).collect()) == ["ALERT", "ALERT", "OK", "OK"]
 
 
 def test_fact_invariants(spark):

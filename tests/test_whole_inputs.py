@@ -70,3 +70,9 @@ def test_streams_read_a_table_of_part_files(spark, scratch):
     events.repartition(3).write.parquet(f"{scratch}/events.parquet")
     whole, parts = (sorted(map(str, STR.rain_7d_stream_batch(spark, d).collect())) for d in (SF_SMALL, scratch))
     assert whole and whole == parts
+
+
+def test_a_restarted_stream_goes_on(spark, scratch):
+    for run, name in ((STR.dedupe_stream_batch, "dedupe"), (STR.live_state_batch, "live"), (STR.rain_7d_stream_batch, "rain")):
+        first, again = (sorted(map(str, run(spark, SF_SMALL, f"{scratch}/{name}").collect())) for _ in range(2))
+        assert first and first == again
