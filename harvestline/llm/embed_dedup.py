@@ -1,16 +1,21 @@
-"""Embedding near-duplicates by sorted projection passes.
+"""Embedding near-duplicates by projection cells, every cell compared in full.
 
-Each pass orders the vectors of a label lexicographically by the signs of
-random projections (one bit each, the first the most significant) and
-compares every vector with its next ``window`` neighbours in that order; the
-verified pairs of all passes are united.  The number of passes follows from
-the size of the largest label: enough that a pair at exactly the threshold
-falls, in some pass, into one window with probability ``recall``.
+Each pass cuts ``bits`` random projections of the unit vectors into cells of
+one width, with random offsets, and compares all vectors of a label that lie
+in the same cells.  Whether a pair meets depends on its own distance alone,
+not on where the vectors of the label lie or how dense they are: a common mean
+or a crowded cone makes cells fuller, never recall lower.  The number of
+passes follows from that probability: a pair at exactly the threshold meets
+in some pass with probability ``recall``.
 
-Equal vectors are one class before that, so copies fill no windows.  A large
-group of near copies is wider than any window; the passes connect it, and the
-links inside each component are then counted exactly, block against block,
-without emitting a pair.  So ``window`` caps no vector's links.
+Bits and width are chosen for each label by cost, from the cells that a
+bounded sample of it fills; without bits the whole label is one cell, which
+is one pass and exact.  The choice changes cost, not recall.  A cell of more
+than ``window`` rows is compared block against block.
+
+Equal vectors are one class before that, so copies fill no cells.  The passes
+emit only pairs that connect; the links inside each component are then counted
+exactly, block against block, without emitting a pair.
 
 Defined results: vectors that are null, empty, zero, or hold null or
 non-finite components, and rows with a null label or vec_id, link with
@@ -21,7 +26,7 @@ an empty table gives an empty result.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from math import acos, ceil, log, log2, pi
+from math import ceil, erf, exp, log, pi, sqrt
 
 import numpy as np
 import pandas as pd
@@ -29,22 +34,37 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.keys import surrogate_key
 from .common import prepare, small_side, stored
 from .components import connected_components
 
-WINDOW = 32
+#: Rows of a cell that are compared with as many others at once.
+WINDOW = 512
 RECALL = 0.9999
-BLOCK_ROWS = 1024
 COUNT_ROWS = 512
-KEY_BITS = 62
+#: Rows of a label from which the cost of its passes is measured.
+SAMPLE_ROWS = 20_000
+#: Comparisons that cost as much as sending one row.
+ROW_COST = 1000
+#: Cell widths, in distances of a pair at the threshold, and numbers of projections to choose from.
+WIDTHS = (4, 12)
+BITS = (2, 4, 6, 9, 12, 16, 20, 26)
+PLANE_CACHE = 64 << 20
+
+
+def together(width: float) -> float:
+    """Probability that two vectors share a cell of ``width`` times their distance."""
+    return erf(width / sqrt(2)) - 2 / (sqrt(2 * pi) * width) * (1 - exp(-width * width / 2))
 
 
-def passes_for(rows: int, threshold: float, window: int, recall: float) -> int:
+def passes_for(bits: int, width: float, recall: float) -> int:
     """Passes after which a pair at the threshold has met with probability ``recall``."""
-    agree = 1 - acos(threshold) / pi
-    together = agree ** max(0, ceil(log2(max(rows, 1) / window)) + 1)
-    return max(2, ceil(log(1 - recall) / log(1 - together))) if together < 1 else 2
+    met = together(width) ** bits
+    return max(1, ceil(log(1 - recall) / log(1 - met))) if met < 1 else 1
+
+
+def _choices(recall: float) -> list[tuple[int, int, int]]:
+    """(bits, width, passes); the first is the whole label as one cell."""
+    return [(0, 1, 1)] + [(b, w, passes_for(b, w, recall)) for w in WIDTHS for b in BITS]
 
 
 def _directions(vectors: list[np.ndarray]) -> np.ndarray:
@@ -54,45 +74,87 @@ def _directions(vectors: list[np.ndarray]) -> np.ndarray:
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
-def _key_task(passes: int, seed: int):
-    weights = 1 << np.arange(KEY_BITS - 1, -1, -1, dtype=np.int64)
-    names = ["rep", "label", "dim", "pass", "key"]
+class _Planes:
+    """Projections and offsets of a pass, the same in every worker."""
+
+    def __init__(self, seed: int):
+        self.seed, self.held, self.size = seed, {}, 0
+
+    def of(self, dim: int, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        if (dim, k) in self.held:
+            return self.held[dim, k]
+        rng = np.random.default_rng([self.seed, dim, k])
+        got = (rng.standard_normal((dim, BITS[-1])), rng.random(BITS[-1]),
+               rng.integers(0, 1 << 63, BITS[-1], dtype=np.uint64) * np.uint64(2) + np.uint64(1))
+        if self.size + got[0].nbytes <= PLANE_CACHE:
+            self.held[dim, k], self.size = got, self.size + got[0].nbytes
+        return got
+
+    def keys(self, x: np.ndarray, k: int, bits: int, width: float) -> np.ndarray:
+        """The cell of each row: one number (numbers that clash only join two cells)."""
+        u, offset, odd = self.of(x.shape[1], k)
+        cells = np.floor(x @ u[:, :bits] / width + offset[:bits]).astype(np.int64).astype(np.uint64)
+        mixed = (cells * odd[:bits]).sum(axis=1, dtype=np.uint64)
+        mixed ^= mixed >> np.uint64(31)
+        return (mixed * np.uint64(0x9E3779B97F4A7C15)).view(np.int64)
+
+
+def _by_dim(batch: pa.RecordBatch):
+    dims = np.array([len(v) for v in batch.column("v")], np.int64)
+    for d in np.unique(dims):
+        at = np.flatnonzero(dims == d)
+        yield int(d), at, _directions([batch.column("v")[int(i)].values.to_numpy(zero_copy_only=False) for i in at])
 
+
+def _trial_task(distance: float, choices: list, seed: int):
     def run(batches: Iterator[pa.RecordBatch]):
-        planes: dict[int, np.ndarray] = {}
+        planes = _Planes(seed)
         for batch in batches:
-            rep, label = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("rep", "label"))
-            dims = np.array([len(v) for v in batch.column("v")], np.int64)
-            for d in np.unique(dims):
-                if d not in planes:
-                    planes[d] = np.random.default_rng([seed, int(d)]).standard_normal((passes, int(d), KEY_BITS))
-                at = np.flatnonzero(dims == d)
-                x = _directions([batch.column("v")[int(i)].values.to_numpy(zero_copy_only=False) for i in at])
-                for k in range(passes):
-                    key = ((x @ planes[d][k]) > 0) @ weights
+            label = batch.column("label").to_numpy(zero_copy_only=False)
+            for d, at, x in _by_dim(batch):
+                for c, (bits, width, _) in enumerate(choices):
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(rep[at]), pa.array(label[at]), pa.array(dims[at].astype(np.int32)),
-                         pa.array(np.full(len(at), k, np.int32)), pa.array(key)], names)
+                        [pa.array(label[at]), pa.array(np.full(len(at), d, np.int32)), pa.array(np.full(len(at), c, np.int32)),
+                         pa.array(planes.keys(x, 0, bits, distance * width))], ["label", "dim", "choice", "key"])
     return run
 
 
-def _window_task(window: int, threshold: float):
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("rank")
-        group = pdf[["pass", "label", "dim"]].to_numpy()
-        rank, own, rep = pdf["rank"].to_numpy(), pdf["own"].to_numpy(bool), pdf["rep"].to_numpy()
-        out = []
-        edges = np.flatnonzero(np.concatenate(([True], (group[1:] != group[:-1]).any(axis=1), [True])))
+def _key_task(distance: float, choices: list, seed: int):
+    def run(batches: Iterator[pa.RecordBatch]):
+        planes = _Planes(seed)
+        for batch in batches:
+            rep, label, choice = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("rep", "label", "choice"))
+            for d, at, x in _by_dim(batch):
+                for c in np.unique(choice[at]):
+                    bits, width, passes = choices[int(c)]
+                    own = choice[at] == c
+                    row, xs = at[own], x[own]
+                    for k in range(passes):
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array(rep[row]), pa.array(label[row]), pa.array(np.full(len(row), d, np.int32)),
+                             pa.array(np.full(len(row), k, np.int32)), pa.array(planes.keys(xs, k, bits, distance * width))],
+                            ["rep", "label", "dim", "pass", "key"])
+    return run
+
+
+def _cell_task(threshold: float):
+    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        i, j = key[-2:]
+        pdf = pdf.sort_values(["label", "dim", "cell"], kind="stable")
+        cell, rep, blk = pdf[["label", "dim", "cell"]].to_numpy(), pdf["rep"].to_numpy(), pdf["blk"].to_numpy()
+        out = [np.zeros((0, 2), np.int64)]
+        edges = np.flatnonzero(np.concatenate(([True], (cell[1:] != cell[:-1]).any(axis=1), [True])))
         for a, b in zip(edges[:-1], edges[1:]):
             if b - a < 2:
                 continue
-            x = _directions(list(pdf["v"].iloc[a:b]))
-            for step in range(1, min(window, b - a - 1) + 1):
-                cos = np.einsum("ij,ij->i", x[:-step], x[step:])
-                ok = (cos >= threshold) & own[a + step:b] & (rank[a + step:b] - rank[a:b - step] == step)
-                i = np.flatnonzero(ok) + a
-                out.append(np.stack((rep[i], rep[i + step]), 1))
-        got = _forest(np.concatenate(out)) if out else np.zeros((0, 2), np.int64)
+            x, r = _directions(list(pdf["v"].iloc[a:b])), rep[a:b]
+            left, right = np.flatnonzero(blk[a:b] == i), np.flatnonzero(blk[a:b] == j)
+            near = (x[left] @ x[right].T) >= threshold
+            if i == j:
+                near = np.triu(near, 1)
+            p, q = np.nonzero(near)
+            out.append(_forest(np.stack((r[left[p]], r[right[q]]), 1)))
+        got = _forest(np.concatenate(out))
         return pd.DataFrame({"a": got[:, 0], "b": got[:, 1]})
     return run
 
@@ -133,8 +195,28 @@ def _count_task(threshold: float):
     return run
 
 
+def _plan(classes: DataFrame, distance: float, choices: list, window: int, row_cost: float, seed: int) -> DataFrame:
+    """(label, dim, choice): the cheapest choice for the cells that a sample fills."""
+    sizes = stored(classes.groupBy("label", F.size("v").alias("dim")).agg(F.count(F.lit(1)).alias("n")), "label-sizes")
+    rate = F.least(F.lit(1.0), F.lit(float(SAMPLE_ROWS)) / F.col("n"))
+    draw = F.pmod(F.xxhash64("rep", F.lit(seed)), F.lit(1 << 20)) / float(1 << 20)
+    some = (classes.select("rep", "label", "v", F.size("v").alias("dim")).join(small_side(sizes), ["label", "dim"])
+                   .where(draw < rate).select("label", "v"))
+    filled = some.mapInArrow(_trial_task(distance, choices, seed), "label long, dim int, choice int, key long")
+    met = (filled.groupBy("label", "dim", "choice", "key").agg(F.count(F.lit(1)).cast("double").alias("c"))
+                 .groupBy("label", "dim", "choice").agg(F.sum(F.col("c") * (F.col("c") - 1)).alias("met")))
+    pairs = F.col("met") / (rate * rate)
+    passes = F.element_at(F.array(*[F.lit(p) for _, _, p in choices]), F.col("choice") + 1)
+    cost = passes * (row_cost * (F.col("n") + pairs / window) + pairs / 2)
+    best = (met.join(small_side(sizes), ["label", "dim"]).withColumn("cost", cost)
+               .groupBy("label", "dim").agg(F.min_by("choice", F.struct("cost", "choice")).alias("choice")))
+    # a label of which the sample took nothing has few rows
+    return stored(sizes.select("label", "dim").join(best, ["label", "dim"], "left")
+                       .select("label", "dim", F.coalesce("choice", F.lit(0)).alias("choice")), "label-plan")
+
+
 def near_duplicates(vectors: DataFrame, threshold: float = 0.98, window: int = WINDOW, recall: float = RECALL,
-                    seed: int = 29) -> DataFrame:
+                    seed: int = 29, row_cost: float = ROW_COST) -> DataFrame:
     """One row per row of ``vectors`` (vec_id, embedding, label): vec_id, n_links,
     component_id, kept."""
     prepare(vectors.sparkSession)
@@ -147,16 +229,24 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.98, window: int = W
                                       F.xxhash64("embedding", F.lit(seed), "label").alias("h2"))
     classes = stored(hashed.groupBy("h1", "h2").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("c"),
                                                    F.first("label").alias("label"), F.first("embedding").alias("v")), "vector-classes")
-    largest = classes.groupBy("label").count().agg(F.max("count")).first()[0] or 0
-    keys = classes.select("rep", "label", "v").mapInArrow(
-        _key_task(passes_for(largest, threshold, window, recall), seed), "rep long, label long, dim int, pass int, key long")
-    ranked = surrogate_key(keys, ["pass", "label", "dim", "key", "rep"], "rank", materialize=True)
-    block, place = F.floor(F.col("rank") / BLOCK_ROWS), F.pmod(F.col("rank"), F.lit(BLOCK_ROWS))
-    # the last rows of a block are also looked back at from the next one
-    member = ranked.withColumn("_at", F.explode(F.when(place >= BLOCK_ROWS - window, F.array(block, block + 1)).otherwise(F.array(block))))
-    member = member.select("rep", "label", "dim", "pass", "rank", F.col("_at").alias("block"), (F.col("_at") == block).alias("own"))
-    pairs = (member.join(classes.select("rep", "v"), "rep").groupBy("block")
-                   .applyInPandas(_window_task(window, threshold), "a long, b long"))
+    distance, choices = sqrt(max(2 - 2 * threshold, 1e-12)), _choices(recall)
+    plan = _plan(classes, distance, choices, window, row_cost, seed)
+    planned = (classes.select("rep", "label", "v", F.size("v").alias("dim")).join(small_side(plan), ["label", "dim"])
+                      .select("rep", "label", "v", "choice"))
+    keys = planned.mapInArrow(_key_task(distance, choices, seed), "rep long, label long, dim int, pass int, key long")
+    cells = stored(keys.select("rep", "label", "dim", F.xxhash64("label", "dim", "pass", "key").alias("cell")), "vector-cells")
+    filled = stored(cells.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "filled-cells")
+    packs = -(-(filled.agg(F.sum("n")).first()[0] or 1) // window)
+    nb = F.ceil(F.col("n") / window)
+    member = (cells.join(small_side(filled), "cell").withColumn("nb", nb)
+                   .withColumn("blk", F.pmod(F.xxhash64("rep"), F.col("nb")))
+                   .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("nb") - 1)))
+                   # small cells share a group
+                   .select("rep", "label", "dim", "cell", "blk", (F.col("nb") > 1).alias("large"),
+                           F.when(F.col("nb") > 1, F.col("cell")).otherwise(F.pmod(F.col("cell"), F.lit(packs))).alias("pack"),
+                           F.least("blk", "other").alias("i"), F.greatest("blk", "other").alias("j")))
+    pairs = (member.join(classes.select("rep", "v"), "rep").groupBy("large", "pack", "i", "j")
+                   .applyInPandas(_cell_task(threshold), "a long, b long"))
     parts = connected_components(stored(pairs.distinct(), "vector-pairs"))
     parts = stored(parts, "vector-parts")
 

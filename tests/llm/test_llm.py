@@ -364,6 +364,25 @@ def test_embedding_components_and_links(spark):
     assert embed_dedup.near_duplicates(d.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("row_cost", [embed_dedup.ROW_COST, 20])
+def test_embedding_pairs_under_a_common_mean(spark, row_cost):
+    # a dense cone (mean cosine 0.9) that holds isolated pairs just above the threshold
+    rng = np.random.default_rng(4)
+    n, dim = 3000, 64
+    unit = lambda v: v / np.linalg.norm(v, axis=-1, keepdims=True)
+    mean = unit(rng.standard_normal(dim))
+    x = unit(mean + unit(rng.standard_normal((n, dim))) / 3)
+    side = rng.standard_normal((300, dim))
+    side = unit(side - (side * x[:300]).sum(1, keepdims=True) * x[:300])
+    x = np.concatenate((x, 0.981 * x[:300] + np.sqrt(1 - 0.981 ** 2) * side))
+    near = x @ x.T >= 0.98
+    np.fill_diagonal(near, False)
+    want = components(range(len(x)), [(int(a), int(b)) for a, b in zip(*np.where(near))])
+    d = spark.createDataFrame(pd.DataFrame({"vec_id": range(len(x)), "embedding": x.tolist(), "label": 3}))
+    got = {r.vec_id: r for r in embed_dedup.near_duplicates(d, row_cost=row_cost).collect()}
+    assert all(got[i].component_id == want[i] and got[i].n_links == near[i].sum() for i in range(len(x)))
+
+
 # 10 classifier
 
 def test_classifier_on_held_out_rows(spark, docs, empty):
