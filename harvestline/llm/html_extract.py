@@ -2,11 +2,15 @@
 
 1. Each page's containers are scored: the text of their blocks that is not in
    links, in full for the container itself and less for those around it.
-2. The best container's generalised path (tags and classes from the body
-   down, numbers replaced) is the page's vote for its host; votes are counted
-   by host and path in Spark.
-3. Each page is read again: the containers at its host's winning path are
-   taken, or, where a page has none, the page's own best container.
+2. From the best container the page climbs to what it is a part of: to the
+   article around it, and otherwise to the sections, divs and main around it
+   while the text that this adds is not mostly links.  So a title, a lede,
+   other sections or the text around a quote or a cell are kept.
+3. The path reached (tags and classes from the body down, numbers replaced) is
+   the page's vote for its host; votes are counted by host and path in Spark.
+4. Each page is read again: the containers at its host's winning path are
+   taken, or, where a page has none, the page's own best container; both climb
+   as above.
 
 Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles
 and reader comments are left out by element, role and class or id words.
@@ -45,6 +49,8 @@ CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "t
           "option": ("option",), "tbody": ("tr", "td", "th", "tbody", "thead"), "thead": (), "body": ("head",)}
 LISTS = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("table",), "th": ("table",), "tbody": ("table",)}
 CONTAINERS = frozenset("article main section div td body blockquote".split())
+#: Containers that a climb may reach.
+AROUND = frozenset("article main section div".split())
 
 # What is left out, wherever it stands.
 LEFT_OUT = frozenset("head nav header footer aside form button select menu dialog".split())
@@ -65,6 +71,8 @@ class Node:
     path: str
     out: bool  # left out
     score: float = 0.0
+    chars: int = 0  # of the text inside, and of that in links
+    linked: int = 0
 
 
 @dataclass
@@ -72,6 +80,48 @@ class Page:
     nodes: list[Node] = field(default_factory=list)
     blocks: list[tuple[int, str]] = field(default_factory=list)  # node, text
 
+    def score(self, linked: list[int]) -> None:
+        """Scores and lengths of the text, of which ``linked`` characters a block are links."""
+        nodes = self.nodes
+        for (at, text), links in zip(self.blocks, linked):
+            if at >= 0:
+                nodes[at].chars += len(text)
+                nodes[at].linked += links
+            share = 1.0
+            while at >= 0 and share > 0.1:
+                if nodes[at].tag in CONTAINERS:
+                    nodes[at].score += (len(text) - links) * share
+                    share /= 2
+                at = nodes[at].parent
+        for node in reversed(nodes):  # children come after their parents
+            if node.parent >= 0:
+                nodes[node.parent].chars += node.chars
+                nodes[node.parent].linked += node.linked
+
+    def climb(self, at: int) -> int:
+        """The container that ``at`` is a part of: the article around it, else the
+        outermost one up to which what is added is not mostly links."""
+        nodes = self.nodes
+        reached, up = at, nodes[at].parent
+        around = nodes[at].tag == "article"
+        while up >= 0 and not around:
+            if nodes[up].tag == "article":
+                reached, around = self._wider(reached, up), True
+            up = nodes[up].parent
+        up = nodes[reached].parent
+        while up >= 0:
+            # from an article only to the main element
+            if nodes[up].tag in AROUND and (nodes[up].tag == "main" or not around):
+                chars, links = (nodes[up].chars - nodes[reached].chars, nodes[up].linked - nodes[reached].linked)
+                if 2 * links > chars:
+                    break
+                reached = self._wider(reached, up)
+            up = nodes[up].parent
+        return reached
+
+    def _wider(self, a: int, b: int) -> int:
+        return b if self.nodes[b].chars > self.nodes[a].chars else a
+
     def inside(self, node: int, roots: set[int]) -> bool:
         while node >= 0:
             if node in roots:
@@ -102,19 +152,14 @@ def parse(html: str) -> Page:
     nodes, stack = page.nodes, []
     pieces: list[str] = []
     linked = [0, 0]  # depth in links, characters in links of this block
+    links: list[int] = []  # the latter for every block
 
     def flush() -> None:
         text = " ".join("".join(pieces).split())
         pieces.clear()
         if text:
-            at = stack[-1] if stack else -1
-            page.blocks.append((at, text))
-            free, share = max(0, len(text) - linked[1]), 1.0
-            while at >= 0 and share > 0.1:
-                if nodes[at].tag in CONTAINERS:
-                    nodes[at].score += free * share
-                    share /= 2
-                at = nodes[at].parent
+            page.blocks.append((stack[-1] if stack else -1, text))
+            links.append(min(len(text), linked[1]))
         linked[1] = 0
 
     def text_of(raw: str) -> None:
@@ -199,22 +244,25 @@ def parse(html: str) -> Page:
             linked[0] += 1
     close(0)
     flush()
+    page.score(links)
     return page
 
 
 def best_container(page: Page) -> int:
-    """The container with the highest score; -1 without any."""
+    """Where the climb from the container with the highest score ends; -1 without any."""
     best, at = 0.0, -1
     for i, node in enumerate(page.nodes):
         if node.score > best:
             best, at = node.score, i
-    return at
+    return page.climb(at) if at >= 0 else -1
 
 
 def main_text(html: str, host_path: str | None) -> str:
     page = parse(html)
     roots = {i for i, n in enumerate(page.nodes) if host_path and n.path == host_path and not n.out}
-    if not any(page.inside(at, roots) for at, _ in page.blocks):
+    if any(page.nodes[i].chars for i in roots):
+        roots = {page.climb(i) for i in roots if page.nodes[i].chars}
+    else:
         own = best_container(page)
         roots = {own} if own >= 0 else set()
     return "\n\n".join(text for at, text in page.blocks if not roots or page.inside(at, roots))

@@ -208,6 +208,30 @@ def test_html_main_text_and_consensus(spark):
     assert html_extract.extract(pages.limit(0)).count() == 0
 
 
+LONG_P = "<p>" + "words of the body text " * 40 + "</p>"
+
+
+@pytest.mark.parametrize("page, parts", [
+    (f"<article><h1>Title</h1><p>Lede</p><div class=body>{LONG_P}</div></article>", ["Title", "Lede", "words"]),
+    (f"<div class=post><h1>Title</h1><div class=inner><div class=body>{LONG_P}</div></div><p>After</p></div>", ["Title", "words", "After"]),
+    (f"<article><section class=a>{LONG_P}</section><section class=b><p>Second</p></section><section class=c><p>Third</p></section></article>",
+     ["words", "Second", "Third"]),
+    (f"<article><p>Before</p><blockquote>{LONG_P}</blockquote><p>After</p></article>", ["Before", "words", "After"]),
+    (f"<article><p>Before</p><table><tr><td>{LONG_P}<td>Cell</table></article>", ["Before", "words", "Cell"]),
+    (f"<main><h1>Title</h1><article>{LONG_P}</article></main>", ["Title", "words"]),
+    (f"<div class=all><div class=x><a href=/a>link text</a> of</div><div class=body>{LONG_P}</div></div>", ["words"]),
+])
+def test_html_climbs_from_a_part_to_the_whole(page, parts):
+    def firsts(text):
+        return [block.split(" ")[0] for block in text.split("\n\n")]
+
+    assert firsts(html_extract.main_text(f"<body>{page}</body>", None)) == parts
+    # also where the host's path is the part
+    inner = html_extract.parse(f"<body>{page}</body>")
+    best = max(inner.nodes, key=lambda n: n.score).path
+    assert firsts(html_extract.main_text(f"<body>{page}</body>", best)) == parts
+
+
 # 5 n-gram join
 
 def test_ngram_join_against_brute_force(spark):
