@@ -13,7 +13,14 @@
    as above.
 
 Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles
-and reader comments are left out by element, role and class or id words.
+and reader comments are left out by element, role and class or id.  A class
+names clutter by its last word (``post-navigation``, ``comment-list`` without
+the word for a part), not by any word in it; an id only if all of it does, so
+that the slug of a heading (``related-work``) names none.  Headings,
+paragraphs and inline elements go only by whole, unmistakable classes.  What
+is named by a word that a text may be about (``legal``, ``navigation``) is
+left out only if it is mostly links or short, and by an id inside an article
+only if it is mostly links.
 
 Defined results: null and empty pages give an empty text; a page without a
 container gives the text of its body that is not left out; pages without a
@@ -60,8 +67,26 @@ LEFT_WORDS = frozenset(
     "sponsored promo promotion banner cookie cookies consent notice notices alert popup modal overlay newsletter subscribe subscription "
     "signup login comment comments commentlist reply replies respond disqus share sharing social related recommended breadcrumb "
     "breadcrumbs pagination pager widget toolbar copyright legal hidden".split())
-#: A class or id with one of these names the content, whatever else it says.
+#: Of these, those that name clutter whatever is in it, however long.
+CERTAIN_WORDS = frozenset(
+    "ad ads adv advert adverts comment comments commentlist replies respond disqus sidebar footer masthead navbar cookie consent popup "
+    "modal overlay breadcrumb breadcrumbs pagination pager hidden newsletter".split())
+#: Whole classes by which inline elements and headings are left out, too.
+INLINE_WORDS = frozenset("ad ads adv advert adverts advertisement sponsored hidden".split())
+#: A class that ends with one of these names the content, whatever else the element's classes say.
 CONTENT_WORDS = frozenset("content article post entry main story body text page".split())
+KEPT_OUT = frozenset("comment comments ad ads sidebar footer".split())
+#: Words after the one that says what it is: the parts of a thing and its place.
+PART_WORDS = frozenset(
+    "list lists item items box boxes bar bars wrap wrapper container area block blocks section sections link links left right top bottom "
+    "inner outer slot unit button buttons btn icon icons thread panel group row col column holder content body text title heading label "
+    "posts post articles article stories story entries entry pages page widget widgets form count meta main primary secondary site global "
+    "mobile desktop fixed sticky small large bg".split())
+#: Words before it that make it a mode of something else.
+MODE_WORDS = frozenset("with has no without is not js".split())
+#: Text of more characters is long.
+LONG = 1000
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
 
 @dataclass
@@ -70,6 +95,8 @@ class Node:
     parent: int
     path: str
     out: bool  # left out
+    doubt: str = "no"  # left out if its text is short, or mostly links
+    in_article: bool = False
     score: float = 0.0
     chars: int = 0  # of the text inside, and of that in links
     linked: int = 0
@@ -80,6 +107,29 @@ class Page:
     nodes: list[Node] = field(default_factory=list)
     blocks: list[tuple[int, str]] = field(default_factory=list)  # node, text
 
+    def settle(self, linked: list[int]) -> list[int]:
+        """Leave out what is in doubt by its text; the links of the blocks that stay."""
+        nodes = self.nodes
+        if not any(n.doubt != "no" for n in nodes):
+            return linked
+        chars, links = [0] * len(nodes), [0] * len(nodes)
+        for (at, text), k in zip(self.blocks, linked):
+            if at >= 0:
+                chars[at] += len(text)
+                links[at] += k
+        for i in range(len(nodes) - 1, -1, -1):
+            node = nodes[i]
+            if node.doubt != "no" and (2 * links[i] > chars[i] or node.doubt == "short" and chars[i] <= LONG):
+                node.out = True
+            if node.parent >= 0:
+                chars[node.parent] += chars[i]
+                links[node.parent] += links[i]
+        for node in nodes:
+            node.out = node.out or node.parent >= 0 and nodes[node.parent].out
+        stay = [at < 0 or not nodes[at].out for at, _ in self.blocks]
+        self.blocks = [b for b, s in zip(self.blocks, stay) if s]
+        return [k for k, s in zip(linked, stay) if s]
+
     def score(self, linked: list[int]) -> None:
         """Scores and lengths of the text, of which ``linked`` characters a block are links."""
         nodes = self.nodes
@@ -130,20 +180,56 @@ class Page:
         return False
 
 
-def _left_out(tag: str, attrs: dict[str, str]) -> bool:
+def _words(name: str) -> list[str]:
+    return [w.lower() for w in _WORDS.findall(name)]
+
+
+def _named(token: str) -> str | None:
+    """The word of LEFT_WORDS that a class says the element is."""
+    words = [w for w in _words(token) if len(w) > 1]
+    if not words or words[0] in MODE_WORDS:
+        return None
+    if words[-1] == "header" and set(words[:-1]) & CONTENT_WORDS:
+        return None  # the head of the content has its title
+    while len(words) > 1 and words[-1] in PART_WORDS:
+        words.pop()
+    return words[-1] if words[-1] in LEFT_WORDS else None
+
+
+def _left_out(tag: str, attrs: dict[str, str], in_article: bool) -> str:
+    """``yes``, ``no``, or what its text must be to be left out: ``short`` (or
+    mostly links) or ``links`` (mostly links)."""
     if tag in LEFT_OUT:
-        return True
+        return "yes"
     if tag in ("html", "body", "main"):
-        return False
+        return "no"
     if attrs.get("role", "").lower() in LEFT_ROLES or "hidden" in attrs or attrs.get("aria-hidden") == "true":
-        return True
+        return "yes"
     if "style" in attrs and re.search(r"display\s*:\s*none", attrs["style"]):
-        return True
-    named = f"{attrs.get('class', '')} {attrs.get('id', '')}"
-    if named == " ":
-        return False
-    words = {w.lower() for w in _WORDS.findall(named)}
-    return bool(words & LEFT_WORDS) and not (words & CONTENT_WORDS and not words & {"comment", "comments", "ad", "ads", "sidebar", "footer"})
+        return "yes"
+    tokens = attrs.get("class", "").split()
+    if tag not in BLOCK or tag == "p" or tag in HEADINGS:
+        whole = CERTAIN_WORDS | INLINE_WORDS if tag == "p" else INLINE_WORDS
+        return "yes" if any(t.lower() in whole for t in tokens) else "no"
+    words = set()
+    for token in tokens:
+        if word := _named(token):
+            words.add(word)
+            if word not in CERTAIN_WORDS:  # cookie-notice
+                words |= set(_words(token)) & CERTAIN_WORDS
+    content = any((w := _words(t)) and w[-1] in CONTENT_WORDS and not _named(t) for t in tokens)
+    if content and not words & KEPT_OUT:
+        return "no"
+    if words:
+        return "yes" if words & CERTAIN_WORDS else "short"
+    if content:
+        return "no"
+    # an id: every word of it
+    words = {w for w in _words(attrs.get("id", "")) if len(w) > 1}
+    named = words & LEFT_WORDS
+    if named and words <= LEFT_WORDS | PART_WORDS:
+        return "yes" if named & CERTAIN_WORDS else "links" if in_article else "short"
+    return "no"
 
 
 def parse(html: str) -> Page:
@@ -237,14 +323,16 @@ def parse(html: str) -> Page:
         around = nodes[parent] if parent >= 0 else None
         classes = ".".join(sorted(set(_NUMBER.sub("#", attrs.get("class", "")).lower().split())))
         step = f"{tag}.{classes}" if classes else tag
-        nodes.append(Node(tag, parent, f"{around.path}>{step}" if around else step,
-                          bool(around and around.out) or _left_out(tag, attrs)))
+        in_article = tag in ("article", "main") or bool(around and around.in_article)
+        left = "yes" if around and around.out else _left_out(tag, attrs, in_article)
+        nodes.append(Node(tag, parent, f"{around.path}>{step}" if around else step, left == "yes",
+                          left if left in ("short", "links") else "no", in_article))
         stack.append(len(nodes) - 1)
         if tag == "a":
             linked[0] += 1
     close(0)
     flush()
-    page.score(links)
+    page.score(page.settle(links))
     return page
 
 

@@ -232,6 +232,26 @@ def test_html_climbs_from_a_part_to_the_whole(page, parts):
     assert firsts(html_extract.main_text(f"<body>{page}</body>", best)) == parts
 
 
+@pytest.mark.parametrize("piece, kept", [
+    ('<h2 id="related-work">PIECE</h2>', True), ('<h2 id="navigation">PIECE</h2>', True), ('<h3 id="social-effects">PIECE</h3>', True),
+    ('<h1 class="page header">PIECE</h1>', True), ('<p id="notice">PIECE</p>', True), ('<p>a <span class="alert">PIECE</span></p>', True),
+    ('<section id="legal-basis"><p>PIECE</p></section>', True), ('<section id="promotion-rules"><p>PIECE</p></section>', True),
+    ('<section id="navigation"><p>PIECE</p></section>', True), ('<div class="related-work"><p>PIECE</p></div>', True),
+    ('<div class="has-sidebar"><p>PIECE</p></div>', True), ('<div class="legal"><p>PIECE' + " long" * 300 + "</p></div>", True),
+    ('<div class="entry-header"><h1>PIECE</h1></div>', True), ('<div class="post promo"><p>PIECE</p></div>', True),
+    ('<div class="post-navigation">PIECE</div>', False), ('<div class="article-share">PIECE</div>', False),
+    ('<div class="entry-related"><p>PIECE</p></div>', False), ('<div class="main-menu">PIECE</div>', False),
+    ('<div class="related-posts">PIECE</div>', False), ('<ul class="social-icons-2"><li>PIECE</ul>', False),
+    ('<div id="cookie-banner">PIECE</div>', False), ('<div id="comments"><p>PIECE' + " long" * 300 + "</p></div>", False),
+    ('<div class="cookie-notice"><p>PIECE' + " long" * 300 + "</p></div>", False), ('<div class="commentBody"><p>PIECE</p></div>', False),
+    ('<section id="navigation"><a href="/a">PIECE and more</a></section>', False), ('<p class="ad">PIECE</p>', False),
+    ('<div class="legal"><a href="/a">PIECE' + " long" * 300 + "</a></div>", False), ('<span class="hidden">PIECE</span>', False),
+])
+def test_html_clutter_by_name(piece, kept):
+    text = html_extract.main_text(f"<body><article><p>{'before ' * 50}</p>{piece}<p>after</p></article></body>", None)
+    assert ("PIECE" in text) == kept and text.startswith("before") and text.endswith("after")
+
+
 # 5 n-gram join
 
 def test_ngram_join_against_brute_force(spark):
