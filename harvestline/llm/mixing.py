@@ -17,6 +17,9 @@ one document, mostly by a few words, and no document is taken more than
 
 All draws are hashes of the document ids that meet, and blocks are hashes of
 ids, so reruns agree whatever the partitioning.  A hot source is many blocks.
+Rows that repeat a doc_id, or have none, are numbered in the order of size and
+source (rows equal in these are alike), and the number is hashed with the id, so
+a hot id is many blocks too.
 
 Defined results: a null text has size 0, and so has an empty one; such
 documents take nothing.  A null source is a source of its own, the last one.
@@ -30,14 +33,13 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from ..operators.keys import surrogate_key
 from .common import WORD, prepare, small_side, stored
 
 BLOCK_ROWS = 2000
 FAN_IN = 64
-_ROW = "doc_id long, source string, size long, block long, blocks long, whole int, p double, open boolean"
+_ROW = "doc_id long, no long, source string, size long, block long, blocks long, whole int, p double, open boolean"
 
 
 def word_count(text: Column) -> Column:
@@ -92,8 +94,8 @@ def close_block(size: np.ndarray, before: np.ndarray, p: np.ndarray) -> np.ndarr
 def _round_task(seed: int):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         # large documents first: what is left at the end is then mostly a small one
-        pdf = pdf.sort_values(["size", "doc_id"], ascending=[False, True], kind="stable")
-        ids = pdf["doc_id"].fillna(0).to_numpy(np.int64)
+        pdf = pdf.sort_values(["size", "doc_id", "no"], ascending=[False, True, True], kind="stable")
+        ids = pdf["doc_id"].fillna(0).to_numpy(np.int64) ^ (pdf["no"].to_numpy(np.int64) << 24)
         size, before = pdf["size"].to_numpy(np.int64), pdf["p"].to_numpy(float)
         p = round_block(size, before, ids, seed)
         if pdf["blocks"].iloc[0] <= 1:
@@ -124,6 +126,28 @@ def source_targets(units: DataFrame, weights=(5, 2, 1), budget: float = 1.5, lim
                       F.when(F.lit(level) * F.col("w") >= cap, cap.cast("double")).otherwise(F.lit(level) * F.col("w")).alias("target"))
 
 
+def repeated_ids(ids: DataFrame) -> DataFrame:
+    """The ids (column ``_id``, null too) that more than one row has."""
+    return stored(ids.groupBy("_id").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select(F.col("_id").alias("_rid"), F.lit(True).alias("_again")),
+                  "repeated-ids")
+
+
+def numbered(rows: DataFrame, repeated: DataFrame, order: list[str]) -> DataFrame:
+    """``rows`` with ``_no``: 0 where the ``_id`` is not repeated, else 1, 2, ... within the
+    id in the given order.  No window: the rows of one id are numbered by many tasks."""
+    if repeated.isEmpty():
+        return rows.withColumn("_no", F.lit(0).cast("long"))
+    flagged = rows.join(small_side(repeated), F.col("_id").eqNullSafe(F.col("_rid")), "left").drop("_rid")
+    once = flagged.where("_again is null").drop("_again").withColumn("_no", F.lit(0).cast("long"))
+    # the last key spreads rows that are equal in all others
+    again = flagged.where("_again").drop("_again").withColumn("_tie", F.monotonically_increasing_id())
+    again = stored(surrogate_key(again, ["_id", *order, "_tie"], "_rank", materialize=True).drop("_tie"), "numbered")
+    first = stored(again.groupBy("_id").agg(F.min("_rank").alias("_first")).withColumnRenamed("_id", "_rid"), "first-numbers")
+    again = (again.join(small_side(first), F.col("_id").eqNullSafe(F.col("_rid")))
+                  .withColumn("_no", (F.col("_rank") - F.col("_first") + 1).cast("long")).select(*once.columns))
+    return once.unionByName(again)
+
+
 def mix(docs: DataFrame, weights=(5, 2, 1), budget: float = 1.5, limit: int = 2, seed: int = 17,
         block_rows: int = BLOCK_ROWS) -> DataFrame:
     """One row per row of ``docs`` (doc_id, text, source): doc_id, source, size,
@@ -133,12 +157,15 @@ def mix(docs: DataFrame, weights=(5, 2, 1), budget: float = 1.5, limit: int = 2,
     targets = stored(source_targets(units, weights, budget, limit), "targets")
     side = small_side(targets.select(F.col("source").alias("_source"), "source_size", "n", "target"))
     share = F.when(F.col("source_size") > 0, F.least(F.col("target") / F.col("source_size"), F.lit(float(limit)))).otherwise(0.0)
-    rows = (units.join(side, F.col("source").eqNullSafe(F.col("_source")))
+    known = units.withColumn("_id", F.col("doc_id"))
+    known = numbered(known, repeated_ids(known.select("_id")), ["size", "source"]).drop("_id").withColumnRenamed("_no", "no")
+    place = F.when(F.col("no") > 0, F.xxhash64(F.lit(seed), "doc_id", "no")).otherwise(F.xxhash64(F.lit(seed), "doc_id"))
+    rows = (known.join(side, F.col("source").eqNullSafe(F.col("_source")))
                  .withColumn("_f", share).withColumn("whole", F.floor("_f").cast("int"))
                  .withColumn("p", F.when(F.col("size") > 0, F.col("_f") - F.col("whole")).otherwise(0.0))
                  .withColumn("blocks", F.ceil(F.col("n") / block_rows))
-                 .withColumn("block", F.pmod(F.xxhash64(F.lit(seed), "doc_id"), F.col("blocks")))
-                 .select("doc_id", "source", "size", "block", "blocks", "whole", "p", (F.col("p") > 0).alias("open")))
+                 .withColumn("block", F.pmod(place, F.col("blocks")))
+                 .select("doc_id", "no", "source", "size", "block", "blocks", "whole", "p", (F.col("p") > 0).alias("open")))
     blocks = -(-(targets.agg(F.max("n")).first()[0] or 0) // block_rows)
     settled, level = [], 0
     while True:
@@ -165,12 +192,13 @@ def take(docs: DataFrame, plan: DataFrame) -> DataFrame:
     the columns of ``docs``.  Rows that repeat a doc_id are matched in the
     order of their size and source."""
     cols = docs.columns
-    order = Window.partitionBy("_id").orderBy("_size", "_source")
-    left = (docs.select(F.struct("*").alias("_row"), F.col("doc_id").cast("long").alias("_id"),
-                        word_count(F.col("text")).alias("_size"), F.col("source").cast("string").alias("_source"))
-                .withColumn("_rn", F.row_number().over(order)))
-    right = (plan.select(F.col("doc_id").alias("_id"), F.col("size").alias("_size"), F.col("source").alias("_source"), "copies")
-                 .withColumn("_rn", F.row_number().over(order.orderBy("_size", "_source", "copies")))
-                 .where("copies > 0").select(F.col("_id").alias("_id2"), F.col("_rn").alias("_rn2"), "copies"))
-    both = left.join(right, F.col("_id").eqNullSafe(F.col("_id2")) & (F.col("_rn") == F.col("_rn2")))
+    left = docs.select(F.struct("*").alias("_row"), F.col("doc_id").cast("long").alias("_id"),
+                       word_count(F.col("text")).alias("_size"), F.col("source").cast("string").alias("_source"),
+                       F.xxhash64(F.col("text")).alias("_hash"))
+    right = stored(plan.select(F.col("doc_id").alias("_id"), F.col("size").alias("_size"), F.col("source").alias("_source"), "copies"), "plan")
+    repeated = repeated_ids(right.select("_id"))
+    left = numbered(left, repeated, ["_size", "_source", "_hash"])
+    right = (numbered(right, repeated, ["_size", "_source", "copies"])
+             .where("copies > 0").select(F.col("_id").alias("_id2"), F.col("_no").alias("_no2"), "copies"))
+    both = left.join(right, F.col("_id").eqNullSafe(F.col("_id2")) & (F.col("_no") == F.col("_no2")))
     return both.withColumn("_copy", F.explode(F.expr("sequence(1, copies)"))).select(*[F.col("_row")[c].alias(c) for c in cols])

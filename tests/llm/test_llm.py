@@ -130,6 +130,35 @@ def test_mixing_blocks_and_edges(spark, docs, empty):
     assert taken.columns == docs.columns and taken.count() == plan.agg(F.sum("copies")).first()[0]
 
 
+def test_mixing_spreads_a_repeated_id_over_blocks(spark, monkeypatch):
+    task = mixing._round_task
+
+    def watched(seed):
+        run = task(seed)
+
+        def with_rows(pdf):
+            return run(pdf).assign(whole=len(pdf))
+        return with_rows
+
+    many = spark.range(3000).select(
+        F.expr("if(id % 3 = 0, null, if(id % 3 = 1, 7, id))").alias("doc_id"), F.expr("repeat('x ', cast(1 + id % 40 as int))").alias("text"),
+        F.lit("s").alias("source"), F.col("id").alias("n_chars"))
+    many = many.unionByName(many.limit(1).withColumn("source", F.lit("t")))
+    plan = mixing.mix(many, block_rows=100)
+    again = mixing.mix(many.repartition(7), block_rows=100)
+    key = ["doc_id", "size", "source", "copies"]
+    assert sorted(map(str, plan.select(key).collect())) == sorted(map(str, again.select(key).collect()))
+    taken = mixing.take(many, plan)
+    want = {(r.doc_id, r.size, r.source): r.c for r in plan.groupBy("doc_id", "size", "source").agg(F.sum("copies").alias("c")).collect() if r.c}
+    size = F.regexp_count("text", F.lit("x")).alias("size")
+    assert {(r.doc_id, r.size, r.source): r["count"] for r in taken.groupBy("doc_id", size, "source").count().collect()} == want
+    assert taken.groupBy("n_chars", "source").count().agg(F.max("count")).first()[0] <= 2
+    # no block is much larger than block_rows
+    monkeypatch.setattr(mixing, "_round_task", watched)
+    largest = mixing.mix(many, weights=(1, 1), budget=1.2, block_rows=100).agg(F.max("copies")).first()[0]
+    assert 50 < largest < 300
+
+
 # 2 token counts
 
 def test_token_counts_against_plain_viterbi(spark, docs, empty):
