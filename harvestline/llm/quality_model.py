@@ -32,7 +32,7 @@ from .common import prepare, row_groups, text_buffers
 from .kernels import SEGMENT, span_hashes, window_hashes, word_spans
 
 BITS = 20
-MAX_ROWS = 8_000
+MAX_ROWS = 12_000
 THRESHOLD = 0.7
 _U = np.uint64
 

@@ -8,6 +8,7 @@ import zlib
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -471,6 +472,19 @@ def test_classifier_on_held_out_rows(spark, docs, empty):
     assert quality_model.train(d, labels.where("label = 1")).score(np.zeros(0, np.int32)) > 0.99
 
 
+def test_classifier_fits_on_12000_rows(spark, monkeypatch):
+    def counting(bits):
+        def run(batches):
+            n = sum(b.num_rows for b in batches)
+            yield pa.RecordBatch.from_arrays([pa.array([b""]), pa.array([b""]), *(pa.array([float(n)]) for _ in range(3))],
+                                             ["weight", "square", "intercept", "slope", "shift"])
+        return run
+
+    monkeypatch.setattr(quality_model, "_fit_task", counting)
+    d = spark.range(12500).select(F.col("id").alias("doc_id"), F.lit("a b").alias("text"), (F.col("id") % 2).alias("label"))
+    assert quality_model.train(d.select("doc_id", "text"), d.select("doc_id", "label")).intercept == 12000
+
+
 # pipeline
 
 def test_pipeline_stage_by_stage(spark):
