@@ -7,7 +7,8 @@ confirm: octets of an address up to 255, Luhn for cards, 8 to 15 digits for
 phones, mod-97 for IBANs.  A confirmed span starts with the score of its kind
 and gains ``CONTEXT_GAIN`` when one of the kind's context words stands within
 ``CONTEXT`` code points before it.  Kinds of ``BASE`` are always reported;
-the others from ``least_score`` on.
+the others from ``least_score`` on: an account number is digits like any
+others, starts below it, and is reported only where its context names it.
 
 The patterns are written so that matching is linear and never recurses:
 possessive runs, and starts only where a run begins or the last match ended.
@@ -25,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BASE = ("email", "ip", "card", "phone")
-KINDS = BASE + ("iban",)
+KINDS = BASE + ("iban", "account")
 CONTEXT = 40
 CONTEXT_GAIN = 0.2
 
@@ -39,16 +40,19 @@ PATTERNS = {
     # \+[0-9][\x20().0-9-]+[0-9]
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:[A-Z0-9]{11,30}|(?:\x20[A-Z0-9]{4}){2,7}(?:\x20[A-Z0-9]{1,3})?)(?![A-Za-z0-9])",
+    # a whole run of 8 to 12 digits, no part of a word, number or longer code
+    "account": r"(?<![A-Za-z0-9.+-])[0-9]{8,12}+(?![A-Za-z0-9]|[.-][0-9])",
 }
 #: A text without this character has no match, so no pattern runs over it.
 NEEDS = {"email": "@", "phone": "+"}
-SCORES = {"email": 0.9, "ip": 0.6, "card": 0.8, "phone": 0.6, "iban": 0.8}
+SCORES = {"email": 0.9, "ip": 0.6, "card": 0.8, "phone": 0.6, "iban": 0.8, "account": 0.6}
 CONTEXT_WORDS = {
     "email": "mail|contact|write|kontakt|correo|courriel",
     "ip": "ip|host|server|address|adresse",
     "card": "card|credit|visa|mastercard|karte|carte|tarjeta",
     "phone": "phone|tel|call|mobile|fax|telefon|telefono",
     "iban": "iban|account|bank|konto|compte|cuenta",
+    "account": "account|konto|compte|cuenta",
 }
 
 

@@ -148,7 +148,7 @@ c AS (SELECT doc_id, min(y) AS component_id FROM r GROUP BY doc_id)
 SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, coalesce(c.component_id, d.doc_id) AS component_id
 FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN c ON c.doc_id = d.doc_id
 """,
-    # the given tables hold no IBAN, the one kind beyond the base that the operator reports
+    # sf0.01 holds no IBAN and no account number named as such, the kinds beyond the base that the operator reports
     "op7_pii": _pii_sql(),
     "op9_embedding_dedup": """
 WITH RECURSIVE v AS (

@@ -383,6 +383,14 @@ def test_pii_against_plain_patterns(spark, docs, empty):
     assert e.count() == len(EDGE) and set(pii.redact(e).columns) == set(docs.columns) and pii.with_spans(empty).count() == 0
 
 
+def test_pii_context_decides(spark):
+    texts = ["my account no. 12345678, thanks", "order no. 12345678, thanks", "Konto: 1234567890", "account " + "x" * 60 + " 12345678",
+             "account 1234567", "account 12345678.50"]
+    got = [r.s for r in pii.with_spans(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+           .orderBy("doc_id").select(pii.joined(F.col("pii_spans")).alias("s")).collect()]
+    assert got == ["account:15:23", "", "account:7:17", "", "", ""]
+
+
 # 8 rules
 
 def test_rule_ledger(spark, docs, empty):
