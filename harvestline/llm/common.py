@@ -21,6 +21,7 @@ BATCH_BYTES = 2 << 20
 
 #: A side is broadcast only when it was counted and has at most so many narrow rows.
 BROADCAST_ROWS = 500_000
+BROADCAST_BYTES = 16 << 20
 
 #: One word: a maximal run of anything but the six ASCII white-space characters.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -83,6 +84,20 @@ def small_side(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.count() <= rows else df
 
 
+def bounded_side(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """Mark ``df`` (already stored) for broadcast if its rows, strings and arrays
+    measured, take at most ``limit`` bytes; otherwise leave the join to a shuffle."""
+    def width(field):
+        if field.dataType.typeName() in ("string", "binary"):
+            return F.coalesce(F.octet_length(field.name), F.lit(0)) + 16
+        if field.dataType.typeName() == "array":
+            return F.coalesce(F.octet_length(F.array_join(F.col(field.name).cast("array<string>"), ",")), F.lit(0)) * 8 + 16
+        return F.lit(16)
+
+    size = df.agg(F.sum(sum((width(f) for f in df.schema.fields), F.lit(16)).cast("long"))).first()[0] or 0
+    return F.broadcast(df) if size <= limit else df
+
+
 def text_buffers(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes and int64 offsets of a string column; null counts as empty."""
     if isinstance(column, pa.ChunkedArray):

@@ -2,17 +2,22 @@
 
 from __future__ import annotations
 
+import string
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import read_table
 from . import (
     bitpack,
+    clustering,
     embed_dedup,
     html_extract,
+    merkle,
     mixing,
     ngram_join,
     packing,
+    pieces,
     pii,
     quality_model,
     quality_rules,
@@ -27,6 +32,12 @@ def word_vocabulary() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def piece_vocabulary() -> str:
+    """Where the installed sentencepiece vocabulary lies."""
+    import public_tokenizers
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents", ["doc_id", "text", "source"])
     return mixing.mix(docs)
@@ -95,9 +106,28 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
                 .withColumn("predicted", (F.col("score") >= quality_model.THRESHOLD).cast("int")))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents", list(merkle.FIELDS))
+    lowered = F.translate("text", string.ascii_uppercase, string.ascii_lowercase)
+    tampered = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(5)) == 0
+    return merkle.proofs(merkle.build(docs, altered=F.when(tampered, merkle.row_digest(text=lowered))))
+
+
+def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clustering.report(*clustering.cluster(read_table(spark, sf_dir, "embeddings", ["vec_id", "embedding"])))
+
+
+def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
+    done = pieces.decode(pieces.encode(docs, piece_vocabulary()), piece_vocabulary())
+    return done.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+                       F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+                       F.sha2("text", 256).alias("decoded_sha256"), "agrees")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_mixing, op2_token_counts, op3_packing, op4_html_extraction, op5_ngram_join, op6_bit_packing, op7_pii,
-    op8_quality_rules, op9_embedding_dedup, op10_quality_classifier)}
+    op8_quality_rules, op9_embedding_dedup, op10_quality_classifier, op11_merkle_manifest, op12_centroid_clustering, op13_sentencepiece)}
 
 # the six ASCII white-space characters, for DuckDB's regular expressions
 _W = r"[^\x20\x09-\x0D]+"
@@ -132,7 +162,81 @@ SELECT doc_id, {', '.join(f'len({k})::BIGINT AS n_{k}' for k in _PII)}, sha256(s
 """
 
 
+def _tree_sql(name: str, start: str, levels: int) -> str:
+    """CTEs name0, name1, ... (tree, i, h, n): the levels of 16-ary trees over ``start``; a lone node stays."""
+    ctes = [f"{name}0 AS (SELECT tree, i, h, count(*) OVER (PARTITION BY tree) AS n FROM ({start}))"]
+    for k in range(levels):
+        up = f"(SELECT tree, i // 16 AS i, CASE WHEN any_value(n) = 1 THEN any_value(h) ELSE sha256(string_agg(h, '' ORDER BY i)) END AS h FROM {name}{k} GROUP BY tree, i // 16)"
+        ctes.append(f"{name}{k + 1} AS (SELECT *, count(*) OVER (PARTITION BY tree) AS n FROM {up})")
+    return ",\n".join(ctes)
+
+
+def _siblings_sql(name: str, levels: int) -> str:
+    """CTE name_s (tree, k, i, l, r): what stands left and right of a node in its run, by level."""
+    return f"{name}_s AS (" + " UNION ALL ".join(
+        f"""SELECT tree, {k} AS k, i, n > 1 AS up,
+        coalesce(string_agg(h, '') OVER (PARTITION BY tree, i // 16 ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+        coalesce(string_agg(h, '') OVER (PARTITION BY tree, i // 16 ORDER BY i ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r
+        FROM {name}{k}""" for k in range(levels)) + ")"
+
+
+def _merkle_sql(levels: int = 6) -> str:
+    """Enough levels for 16 ** levels rows a source and sources."""
+    def leaf(text):
+        parts = [f"coalesce(strlen({c}::VARCHAR) || ':' || {c}, '-')" for c in ("doc_id", "source", "lang", "n_chars", text)]
+        return f"sha256({' || '.join(parts)})"
+
+    crc = """list_reduce(list_prepend(4294967295, list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)), lambda a, b:
+        list_reduce([xor(a, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: xor(x >> 1, (x & 1) * 3988292384)))"""
+    steps, last = [], "f0"
+    for k in range(2 * levels):
+        tree, at, place = ("f.tree", f"f.i // (16 ** {k})::BIGINT", k) if k < levels else ("0", f"f.place // (16 ** {k - levels})::BIGINT", k - levels)
+        steps.append(f"""f{k + 1} AS (SELECT f.* REPLACE (CASE WHEN s.up THEN sha256(s.l || f.folded || s.r) ELSE f.folded END AS folded,
+        CASE WHEN s.up THEN f.proof || s.l || s.r ELSE f.proof END AS proof)
+        FROM f{k} f JOIN {'t' if k < levels else 'u'}_s s ON s.tree = {tree} AND s.k = {place} AND s.i = {at})""")
+        last = f"f{k + 1}"
+    return f"""
+WITH d AS (SELECT doc_id, source, {leaf('text')} AS leaf,
+  CASE WHEN xor({crc}, 4294967295) % 5 = 0 THEN {leaf("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} END AS other
+  FROM documents),
+p AS (SELECT *, dense_rank() OVER (ORDER BY source IS NOT NULL, encode(source)) - 1 AS tree,
+  row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i FROM d),
+{_tree_sql('t', 'SELECT tree, i, leaf AS h FROM p', levels)},
+{_siblings_sql('t', levels)},
+{_tree_sql('u', f'SELECT 0 AS tree, tree AS i, h FROM t{levels}', levels)},
+{_siblings_sql('u', levels)},
+f0 AS (SELECT doc_id, leaf, tree, i, tree AS place, coalesce(other, leaf) AS folded, '' AS proof FROM p),
+{', '.join(steps)}
+SELECT f.doc_id, f.leaf, t.h AS subroot, u.h AS root, sha256(f.proof) AS proof_sha256, f.folded AS folded_root, f.folded = u.h AS verified
+FROM {last} f JOIN t{levels} t ON t.tree = f.tree CROSS JOIN u{levels} u
+"""
+
+
+def _clustering_sql(k: int = 8, rounds: int = 10) -> str:
+    ctes = []
+    for r in range(rounds + 1):
+        ctes.append(f"""a{r} AS MATERIALIZED (SELECT row, vec_id, x, min_by(cluster, (d, cluster)) AS cluster, min(d) AS distance FROM (
+          SELECT v.row, v.vec_id, v.x, c.cluster, list_sum(list_transform(list_zip(v.x, c.x), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::BIGINT AS d
+          FROM v CROSS JOIN c{r} c) GROUP BY row, vec_id, x)""")
+        if r < rounds:
+            ctes.append(f"""m{r} AS (SELECT cluster, list(((s - ((s % n) + n) % n) / n)::BIGINT ORDER BY j) AS x FROM (
+              SELECT cluster, j, sum(e)::BIGINT AS s, count(*) AS n FROM (SELECT cluster, unnest(x) AS e, generate_subscripts(x, 1) AS j FROM a{r})
+              GROUP BY cluster, j) GROUP BY cluster),
+            c{r + 1} AS MATERIALIZED (SELECT c.cluster, coalesce(m.x, c.x) AS x FROM c{r} c LEFT JOIN m{r} m ON m.cluster = c.cluster)""")
+    return f"""
+WITH v AS MATERIALIZED (SELECT row_number() OVER () AS row, vec_id, list_transform(embedding, lambda e: floor(1024 * e::DOUBLE)::BIGINT) AS x FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda e: e IS NULL OR NOT isfinite(e))) = 0),
+c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY h) - 1 AS cluster, x FROM (SELECT sha256('3:' || vec_id) AS h, x FROM v ORDER BY h LIMIT {k})),
+{', '.join(ctes)}
+SELECT vec_id, a.cluster::INT AS cluster, distance, (sum(distance) OVER (PARTITION BY a.cluster))::BIGINT AS cluster_inertia,
+       (sum(distance) OVER ())::BIGINT AS inertia, sha256(array_to_string(c.x, ',')) AS centroid_sha256
+FROM a{rounds} a JOIN c{rounds} c ON c.cluster = a.cluster
+"""
+
+
 ORACLE = {
+    "op11_merkle_manifest": _merkle_sql(),
+    "op12_centroid_clustering": _clustering_sql(),
     "op5_ngram_join": f"""
 WITH RECURSIVE w AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_W}') AS w
