@@ -8,14 +8,12 @@ the agenda, and entries whose symbols were merged meanwhile are passed over.
 Symbols that are no piece are spelled as byte pieces.
 
 Two neighbouring characters that stand side by side in no piece can never be
-merged, so a text is first cut there: at blanks by one pattern where the
-vocabulary allows it, and within such a part at every other such place.  The
-cuts change no result, and a worker keeps the ids of up to ``CACHE_PARTS``
-short parts of either kind between batches before it starts anew.
-
-``encode`` also encodes every text with the sentencepiece library, batch by
-batch, and says in ``agrees`` whether the ids are the same; ``decode`` is the
-library's.
+merged, so a text is first cut at such places: before runs of blanks, and where
+letters meet other characters, as far as no piece of the vocabulary stands in
+the way.  The cuts change no result.  A worker keeps the ids of a bounded
+number of short parts between batches, and every part that it learns it also
+encodes with the sentencepiece library, a batch of new parts at a time:
+``agrees`` says whether the ids are the library's.  ``decode`` is the library's.
 
 Defined results: a null or empty text has no ids and decodes to an empty
 text; a text of blanks only is encoded like any other; very long texts are
@@ -29,9 +27,11 @@ and text are ignored, whatever their names.
 from __future__ import annotations
 
 import heapq
+import math
 import re
 from array import array
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -40,11 +40,14 @@ from pyspark.sql import functions as F
 
 from .common import prepare
 
-#: Parts that a worker remembers, and the longest such part.
-CACHE_PARTS = 250_000
+#: Parts that a worker remembers, twice over, and the longest such part.
+CACHE_PARTS = 450_000
 CACHE_CHARS = 48
-#: Characters handed to the library at once, to bound what a worker holds (one text at least).
-CHECK_CHARS = 1 << 20
+#: Symbols up to which an agenda is searched rather than kept in a heap; the merges are the same.
+FEW_SYMBOLS = 32
+#: Characters that are taken apart at once, and tokens decoded at once (one text at least).
+SLICE_CHARS = 1 << 20
+DECODE_TOKENS = 1 << 19
 
 # FIXED VALUES of the model file format: field numbers, piece types, model type
 _PIECE, _TRAINER, _TYPE, _MODEL_TYPE = 1, 2, 3, 3
@@ -93,15 +96,51 @@ class PieceModel:
         self.unknown = library.unk_id()
         spelled = [library.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
         self.bytes = None if self.unknown in spelled else spelled
-        self.joins = {piece[i:i + 2] for piece in self.ids for i in range(len(piece) - 1)}
-        # a blank goes to what follows it unless a piece goes on over one
-        alone = not any(pair[0] != BLANK and pair[1] == BLANK for pair in self.joins)
-        self.parts = re.compile(f"{BLANK}*[^{BLANK}]+|{BLANK}+" if alone else r"(?s:.+)")
-        self.known: dict[str, bytes] = {}
-        self.cut: dict[str, bytes] = {}
+        self.parts, self.letter, self.alone = self._pattern()
+        # what may stand before a part, where the library would put a blank
+        self.before = {"": b""} | {text: array("i", library.encode(text)).tobytes() for text in "a."}
+        self.checked = self.alone and library.normalize("a") == BLANK + "a"
+        self.known = Known()
+        self.differ: set[str] = set()
+
+    def _pattern(self) -> tuple[re.Pattern, re.Pattern, bool]:
+        """What a text is cut into, what counts as a letter there, and whether every run of blanks starts a part."""
+        joins = {piece[i:i + 2] for piece in self.ids for i in range(len(piece) - 1)}
+        if any(pair[0] != BLANK and pair[1] == BLANK for pair in joins):  # a piece goes on over a blank
+            return re.compile(r"(?s:.+)"), re.compile(r"(?!)"), False
+        letter = re.compile(r"[^\W\d_]")
+        mixed = [pair for pair in joins if BLANK not in pair and bool(letter.match(pair[0])) != bool(letter.match(pair[1]))]
+        # letters that a piece joins to something else do not count as letters
+        odd = {c for pair in mixed for c in pair if letter.match(c)}
+        letters = f"[^\\W\\d_{''.join(map(re.escape, sorted(odd)))}]"
+        if any(BLANK not in pair and (pair[0] in odd) != (pair[1] in odd) and letter.match(pair[0]) and letter.match(pair[1]) for pair in joins):
+            letters = "(?!)"  # nor then may the others be cut off
+        others = f"(?!{letters})[^{BLANK}]"
+        return re.compile(f"{BLANK}*(?:{letters}+|(?:{others})+)|{BLANK}+"), re.compile(letters), True
 
     def merge(self, symbols: list[str]) -> list[str]:
         """Merge adjacent symbols until no pair is a piece."""
+        return self._merge_few(symbols) if len(symbols) <= FEW_SYMBOLS else self._merge_many(symbols)
+
+    def _merge_few(self, symbols: list[str]) -> list[str]:
+        """With the agenda in the order of place, as it is short enough to be searched."""
+        cost = self.cost.get
+        agenda = [cost(a + b, math.inf) for a, b in zip(symbols, symbols[1:])]
+        while agenda:
+            best = min(agenda)
+            if best == math.inf:
+                break
+            i = agenda.index(best)  # of equal ones the leftmost
+            symbols[i] += symbols.pop(i + 1)
+            del agenda[i]
+            if i < len(agenda):
+                agenda[i] = cost(symbols[i] + symbols[i + 1], math.inf)
+            if i:
+                agenda[i - 1] = cost(symbols[i - 1] + symbols[i], math.inf)
+        return symbols
+
+    def _merge_many(self, symbols: list[str]) -> list[str]:
+        """With the agenda in a heap."""
         cost, n = self.cost, len(symbols)
         after, before = list(range(1, n + 1)), list(range(-1, n - 1))
         agenda = []
@@ -129,10 +168,14 @@ class PieceModel:
                     heapq.heappush(agenda, (cost[wider], h, wider))
         return [s for s in symbols if s]
 
-    def symbol_ids(self, part: str) -> bytes:
-        """The ids of a part without a cut, as native int32."""
-        out = array("i")
-        for symbol in self.merge(list(part)):
+    def part_ids(self, part: str) -> bytes:
+        """The ids of a part, as native int32."""
+        symbols = self.merge(list(part))
+        try:
+            return array("i", map(self.ids.__getitem__, symbols)).tobytes()
+        except KeyError:
+            out = array("i")
+        for symbol in symbols:
             if symbol in self.ids:
                 out.append(self.ids[symbol])
             elif self.bytes is None:
@@ -141,37 +184,68 @@ class PieceModel:
                 out.extend([self.bytes[b] for b in symbol.encode()])
         return out.tobytes()
 
-    def part_ids(self, part: str) -> bytes:
-        """The ids of a part, cut wherever no piece holds both neighbours."""
-        found, start, joins, n = [], 0, self.joins, len(part)
-        for end in range(1, n + 1):
-            if end == n or part[end - 1:end + 1] not in joins:
-                found.append(remembered(self.cut, part[start:end], self.symbol_ids))
-                start = end
-        return b"".join(found)
-
-    def encode(self, text: str) -> np.ndarray:
-        known, found = self.known, []
-        for part in self.parts.findall(self.library.normalize(text)) if text else ():
-            ids = known.get(part)
-            found.append(remembered(known, part, self.part_ids) if ids is None else ids)
+    def learn(self, parts: set[str]) -> None:
+        """Make the ids of parts known, checking the new ones against the library."""
+        known = self.known
+        fresh = [p for p in parts if p not in known.older]
+        known.now.update({p: known.older[p] for p in parts if p in known.older})
+        known.now.update({p: self.part_ids(p) for p in fresh})
+        if not self.checked:
+            return
+        # the library puts a blank before a text: a part that starts with one goes without it, another one behind a part it is cut from
+        lead = ["" if p[0] == BLANK else "." if self.letter.match(p) else "a" for p in fresh]
+        texts = [p[1:] if p[0] == BLANK else x + p for x, p in zip(lead, fresh)]
+        theirs = self.library.encode(texts, num_threads=1)
+        now, before = self.known.now, self.before
+        if array("i", chain.from_iterable(theirs)).tobytes() != b"".join([before[x] + now[p] for x, p in zip(lead, fresh)]):
+            self.differ.update(p for p, x, ids in zip(fresh, lead, theirs) if array("i", ids).tobytes() != before[x] + now[p])
+
+    def slices(self, text: str) -> Iterator[str]:
+        """A normalized text in runs of whole parts."""
+        start = 0
+        while self.alone and len(text) - start > SLICE_CHARS:
+            end = start + SLICE_CHARS
+            while end < len(text) and (text[end] != BLANK or text[end - 1] == BLANK):
+                end += 1
+            yield text[start:end]
+            start = end
+        yield text[start:]
+
+    def encode(self, text: str) -> tuple[np.ndarray, bool]:
+        """The ids of a text, and whether they are the library's."""
+        found, agrees = [], self.checked
+        for run in self.slices(self.library.normalize(text)) if text else ():
+            parts = self.parts.findall(run)
+            missing = set(parts).difference(self.known.now)
+            self.learn(missing)
+            found.append(b"".join(map(self.known.now.__getitem__, parts)))
+            agrees = agrees and not (self.differ and self.differ.intersection(parts))
+            if self.known.settle(missing):
+                self.differ &= self.known.older.keys()
         ids = np.frombuffer(b"".join(found), np.int32)
         if self.bytes is None and len(ids):  # the library reports a run of unknown symbols as one
             again = np.concatenate(([False], (ids[1:] == self.unknown) & (ids[:-1] == self.unknown)))
             ids = ids[~again]
-        return ids
+        return ids, agrees or np.array_equal(ids, np.array(self.library.encode(text), np.int32))
+
 
+class Known:
+    """Ids by part, of a bounded number of short parts: those not asked for while
+    as many others came are forgotten."""
 
-def remembered(known: dict[str, bytes], part: str, ids_of) -> bytes:
-    """``ids_of(part)``, kept in ``known`` if the part is short; a full store starts anew."""
-    ids = known.get(part)
-    if ids is None:
-        ids = ids_of(part)
-        if len(part) <= CACHE_CHARS:
-            if len(known) >= CACHE_PARTS:
-                known.clear()
-            known[part] = ids
-    return ids
+    def __init__(self):
+        self.now: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+
+    def settle(self, latest) -> bool:
+        """Drop long parts among the latest; make room where there is none."""
+        for part in latest:
+            if len(part) > CACHE_CHARS:
+                del self.now[part]
+        full = len(self.now) > CACHE_PARTS
+        if full:
+            self.older, self.now = self.now, {}
+        return full
 
 
 _models: dict[str, PieceModel] = {}
@@ -195,39 +269,57 @@ def _runs(sizes: list[int], limit: int):
         yield a, len(sizes)
 
 
-def _encode_task(path: str):
+def _id_lists(texts_ids: list[np.ndarray]) -> pa.ListArray:
+    ends = np.cumsum([0] + [len(x) for x in texts_ids]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.zeros(0, np.int32), *texts_ids])))
+
+
+def _decoded(model: PieceModel, ids: list[np.ndarray]) -> pa.Array:
+    texts = []
+    for a, b in _runs([len(x) for x in ids], DECODE_TOKENS):
+        texts += model.library.decode([x.tolist() for x in ids[a:b]], num_threads=1)
+    return pa.array(texts, pa.string())
+
+
+def _encode_task(path: str, back: bool):
     def run(batches: Iterator[pa.RecordBatch]):
         model = piece_model(path)
         for batch in batches:
-            texts = [t or "" for t in batch.column("text").to_pylist()]
-            own = [model.encode(t) for t in texts]
-            agrees = []
-            for a, b in _runs([len(t) for t in texts], CHECK_CHARS):
-                theirs = model.library.encode(texts[a:b], num_threads=1)
-                agrees += [np.array_equal(x, np.array(y, np.int32)) for x, y in zip(own[a:b], theirs)]
-            ends = np.cumsum([0] + [len(x) for x in own]).astype(np.int32)
-            ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.zeros(0, np.int32), *own])))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), ids, pa.array(agrees, pa.bool_())], ["doc_id", "ids", "agrees"])
+            own, agrees = [], []
+            for text in batch.column("text"):
+                ids, same = model.encode(text.as_py() or "")
+                own.append(ids)
+                agrees.append(same)
+            out = {"doc_id": batch.column("doc_id"), "ids": _id_lists(own), "agrees": pa.array(agrees, pa.bool_())}
+            yield pa.RecordBatch.from_pydict(out | ({"text": _decoded(model, own)} if back else {}))
     return run
 
 
 def _decode_task(path: str):
     def run(batches: Iterator[pa.RecordBatch]):
-        library = piece_model(path).library
+        model = piece_model(path)
         for batch in batches:
-            ids, texts = batch.column("ids"), []
-            counts = [c or 0 for c in ids.value_lengths().to_pylist()]
-            for a, b in _runs(counts, CHECK_CHARS):
-                texts += library.decode([x or [] for x in ids.slice(a, b - a).to_pylist()], num_threads=1)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], [*batch.schema.names, "text"])
+            ids = batch.column("ids")
+            flat, ends = ids.flatten().to_numpy(zero_copy_only=False), np.cumsum([0] + [n or 0 for n in ids.value_lengths().to_pylist()])
+            lists = [flat[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
+            yield pa.RecordBatch.from_arrays([*batch.columns, _decoded(model, lists)], [*batch.schema.names, "text"])
     return run
 
 
 def encode(docs: DataFrame, vocabulary: str) -> DataFrame:
     """(doc_id, ids array<int>, agrees) for every row of ``docs`` (doc_id, text)."""
+    return _encoded(docs, vocabulary, False)
+
+
+def round_trip(docs: DataFrame, vocabulary: str) -> DataFrame:
+    """``decode(encode(docs))`` in one pass, the ids decoded where they are made."""
+    return _encoded(docs, vocabulary, True)
+
+
+def _encoded(docs: DataFrame, vocabulary: str, back: bool) -> DataFrame:
     prepare(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
-        _encode_task(vocabulary), "doc_id long, ids array<int>, agrees boolean")
+        _encode_task(vocabulary, back), "doc_id long, ids array<int>, agrees boolean" + (", text string" if back else ""))
 
 
 def decode(encoded: DataFrame, vocabulary: str) -> DataFrame:

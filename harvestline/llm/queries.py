@@ -119,8 +119,7 @@ def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op13_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents", ["doc_id", "text"])
-    done = pieces.decode(pieces.encode(docs, piece_vocabulary()), piece_vocabulary())
-    return done.select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
+    return pieces.round_trip(docs, piece_vocabulary()).select("doc_id", F.size("ids").cast("long").alias("n_tokens"),
                        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
                        F.sha2("text", 256).alias("decoded_sha256"), "agrees")
 

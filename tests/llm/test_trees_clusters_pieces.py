@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import math
 import random
+import re
 import zlib
 
 import numpy as np
@@ -173,30 +174,54 @@ def model():
     return pieces.PieceModel(public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def ids_of(model, text):
+    ids, agrees = model.encode(text)
+    assert agrees
+    return ids.tolist()
+
+
 def test_pieces_equal_the_library(model):
     rng = random.Random(1)
-    pool = [chr(c) for c in range(128)] * 3 + list("▁▁▁    ​　é́一😀\U0010ffff�") + list(model.ids)[:4000]
+    pool = [chr(c) for c in range(128)] * 3 + list("▁▁▁    ​　é́一😀\U0010ffff�²²½१") + list(model.ids)[:4000]
     for _ in range(1500):
         text = "".join(rng.choices(pool, k=rng.randint(0, 60)))
-        assert model.encode(text).tolist() == model.library.encode(text), text
-    for text in ("", " ", "   ", "<s>", "</s><unk><0x0A>", "\x00", "a" * 20_000, " " * 20_000, "ab\r\n" * 5000):
-        assert model.encode(text).tolist() == model.library.encode(text)
+        assert ids_of(model, text) == model.library.encode(text), text
+    for text in ("", " ", "   ", "<s>", "</s><unk><0x0A>", "\x00", "a" * 20_000, " " * 20_000, "ab\r\n" * 5000, "²." * 50, "a².b"):
+        assert ids_of(model, text) == model.library.encode(text)
 
 
-def test_pieces_without_remembered_parts(model, monkeypatch):
+def test_pieces_in_slices_and_with_few_parts_remembered(model, monkeypatch):
     monkeypatch.setattr(pieces, "CACHE_PARTS", 2)
-    text = "the quick brown fox, the quick brown dog. " * 5
+    monkeypatch.setattr(pieces, "SLICE_CHARS", 7)
+    text = "the quick brown fox,   the quick brown dog. " * 5 + "x" * 100
     small = pieces.PieceModel(public_tokenizers.path("piece_bpe_32k.model"))
-    assert small.encode(text).tolist() == model.library.encode(text) and len(small.known) <= 2
+    assert ids_of(small, text) == model.library.encode(text) and len(small.known.now) <= 4
 
 
-def test_no_cut_where_a_piece_goes_on_over_a_blank(model):
-    """With pieces over blanks, or a piece over every pair, the agenda runs over the whole text."""
-    whole = pieces.PieceModel(public_tokenizers.path("piece_bpe_32k.model"))
-    whole.parts = __import__("re").compile(r"(?s:.+)")
-    whole.joins = type("All", (), {"__contains__": lambda self, pair: True})()
+@pytest.mark.parametrize("letters", [r"(?!)", None])
+def test_coarser_cuts_give_the_same_ids(model, letters):
+    """Cuts at blanks only, and none: the agenda runs over all of a text."""
+    other = pieces.PieceModel(public_tokenizers.path("piece_bpe_32k.model"))
+    if letters:
+        other.parts, other.letter = re.compile("▁*(?:(?!)+|(?:(?!(?!))[^▁])+)|▁+"), re.compile(letters)
+    else:
+        other.parts, other.alone, other.checked = re.compile(r"(?s:.+)"), False, False
     text = "Une  phrase avec des  blancs,\net 12 chiffres. " * 20
-    assert whole.encode(text).tolist() == model.library.encode(text)
+    assert ids_of(other, text) == model.library.encode(text)
+
+
+def test_both_kinds_of_agenda_merge_alike(model):
+    rng = random.Random(2)
+    for _ in range(300):
+        part = "▁" + "".join(rng.choices("abeinrst", k=rng.randint(0, 60)))
+        assert model._merge_few(list(part)) == model._merge_many(list(part))
+
+
+def test_a_difference_from_the_library_shows(monkeypatch):
+    model = pieces.PieceModel(public_tokenizers.path("piece_bpe_32k.model"))
+    real = model.part_ids
+    monkeypatch.setattr(model, "part_ids", lambda part: real(part) if part != "▁word" else real("▁wor"))
+    assert [model.encode(t)[1] for t in ("a text", "a word", "a text", "word")] == [True, False, True, False]
 
 
 def test_encoding_and_decoding_of_edge_rows(spark, docs, model):
@@ -206,6 +231,9 @@ def test_encoding_and_decoding_of_edge_rows(spark, docs, model):
     expect = sorted(((r[0], model.library.encode(r[1] or "")) for r in EDGE), key=repr)
     assert sorted(((r["doc_id"], r["ids"]) for r in found), key=repr) == expect
     assert sorted(r["text"] for r in found) == sorted(model.library.decode(ids) for _, ids in expect)
+    assert sorted(map(str, pieces.round_trip(docs, path).collect())) == sorted(map(str, found))
+    null = spark.createDataFrame([(1, None, True)], "doc_id long, ids array<int>, agrees boolean")
+    assert pieces.decode(null, path).first()["text"] == ""
     assert pieces.decode(pieces.encode(docs.limit(0), path), path).collect() == []
 
 
