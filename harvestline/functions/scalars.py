@@ -51,6 +51,15 @@ def half_up_div(num, den) -> Column:
     return int_div(n * 2 + d, d * 2)
 
 
+def half_up_wide(a, factor, b) -> Column:
+    """a · factor / b rounded half-up to a whole number, for whole numbers of which
+    the product outgrows a long; null where b is null or 0."""
+    num, den = (col(x).cast("decimal(30,0)") for x in (a, b))
+    twice = (num * col(factor).cast("decimal(8,0)") * F.lit(2) + den).cast("decimal(38,0)")
+    by = F.when(den != 0, den * F.lit(2)).cast("decimal(38,0)")
+    return ((twice - F.pmod(twice, by)) / by).cast("long")
+
+
 def lookup(c, mapping: Mapping, default=None) -> Column:
     """Small fixed lookup as a CASE chain (JN10 for config-sized tables)."""
     x = col(c)

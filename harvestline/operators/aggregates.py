@@ -114,3 +114,38 @@ def value_counts(df: DataFrame, c: str, dp: int = 1) -> DataFrame:
     g = df.groupBy(c).agg(F.count(F.lit(1)).alias("n"))
     total = F.sum("n").over(Window.partitionBy())
     return g.withColumn("pct", pct("n", total, dp))
+
+
+# --------------------------------------------------------------------------
+# Sketches: mergeable summaries of unbounded columns (AGG10, AGG14)
+# --------------------------------------------------------------------------
+
+HLL_LG_K = 12
+#: Three standard errors of a distinct count by a sketch of 2**HLL_LG_K registers.
+HLL_BOUND = 3 * 1.04 / 2 ** (HLL_LG_K / 2)
+KLL_K = 400
+#: Rank error of a KLL quantile, 99 % of the time, for that k.
+KLL_BOUND = 2.446 / KLL_K ** 0.9433
+
+
+def distinct_sketches(df: DataFrame, cols, keys) -> DataFrame:
+    """AGG14: a HyperLogLog sketch of each column by group, 4 KB each, to be stored."""
+    return df.groupBy(*keys).agg(*[F.hll_sketch_agg(F.col(c).cast("string"), F.lit(HLL_LG_K)).alias(c) for c in cols])
+
+
+def distinct_of_sketches(sketches: DataFrame, cols, keys=()) -> DataFrame:
+    """Distinct counts of unions of stored sketches: no row is read again, and what
+    several groups hold counts once."""
+    return sketches.groupBy(*keys).agg(*[F.hll_sketch_estimate(F.hll_union_agg(c)).alias(c) for c in cols])
+
+
+def quantile_sketches(df: DataFrame, c: str, keys) -> DataFrame:
+    """AGG10: a KLL sketch of an unbounded column by group, to be stored."""
+    return df.groupBy(*keys).agg(F.kll_sketch_agg_double(F.col(c).cast("double"), F.lit(KLL_K)).alias("sketch"))
+
+
+def quantiles_of_sketches(sketches: DataFrame, keys, ranks: dict[str, float]) -> DataFrame:
+    """Quantiles of merged sketches: ``ranks`` gives their names and ranks."""
+    merged = sketches.groupBy(*keys).agg(F.kll_merge_agg_double("sketch", F.lit(KLL_K)).alias("_s"))
+    return merged.select(*keys, F.kll_sketch_get_n_double("_s").alias("n"),
+                         *[F.kll_sketch_get_quantile_double("_s", F.lit(r)).alias(k) for k, r in ranks.items()])

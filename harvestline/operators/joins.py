@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 
 def attach(df: DataFrame, dim: DataFrame, keys, cols, how: str = "left", fixed_size: bool = False) -> DataFrame:
@@ -59,6 +60,27 @@ def in_range(df: DataFrame, cfg: DataFrame, key: str, value: str, lo: str, hi: s
               .drop("_lo", "_hi"))
 
 
+def as_of(df: DataFrame, versions: DataFrame, date_col: str, version_col: str, keys=()) -> DataFrame:
+    """Each row of ``df`` with the version of its key that is valid at its date: the
+    latest whose ``version_col`` is not after ``date_col`` (JN12); nulls where there is none.
+
+    Only the distinct days of a key are put in order with its versions, a
+    partition that the calendar bounds; the rows are joined on key and day by
+    equality.  Of versions of one day the greatest counts (all columns, in order).
+    """
+    keys = list(keys)
+    cols = [c for c in versions.columns if c not in keys]
+    known = versions.withColumn("_day", F.col(version_col).try_cast("date")).where("_day is not null").groupBy(*keys, "_day").agg(
+        F.max(F.struct(*cols)).alias("_version"))
+    asked = df.where(F.col(date_col).isNotNull()).select(*keys, F.col(date_col).cast("date").alias("_day")).distinct()
+    days = known.withColumn("_row", F.lit(0)).unionByName(
+        asked.withColumns({"_version": F.lit(None).cast(known.schema["_version"].dataType), "_row": F.lit(1)}))
+    order = Window.partitionBy(*keys).orderBy("_day", "_row")
+    valid = days.withColumn("_version", F.last("_version", ignorenulls=True).over(order)).where("_row = 1").drop("_row")
+    rows = df.withColumn("_day", F.col(date_col).cast("date"))
+    return rows.join(valid, [*keys, "_day"], "left").select(*[F.col(c) for c in df.columns], *[F.col(f"_version.{c}").alias(c) for c in cols])
+
+
 def share_of_total(df: DataFrame, c: str, out: str = "share") -> DataFrame:
     """Each row's share of the column total (JN11) — a one-row aggregate
     broadcast back, instead of an unpartitioned window over all rows."""

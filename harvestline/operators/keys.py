@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..session import checkpoint_dir
+from ..sources.tables import scratch_table
 
 
 def surrogate_key(df: DataFrame, order_cols, name: str, num_partitions: int | None = None,
@@ -47,6 +48,27 @@ def surrogate_key(df: DataFrame, order_cols, name: str, num_partitions: int | No
                .drop("_pid", "_pos", "_off"))
 
 
+def prefix_sums(df: DataFrame, order_cols, weights: dict[str, str], num_partitions: int | None = None) -> DataFrame:
+    """For each ``name: weight`` the sum of that column over all rows before each
+    row of the order, distributed.
+
+    The rows are range-partitioned on the order and stored with their partition;
+    sums run inside a partition and start from the total of those before it, of
+    which there is one row a partition.  Rows that are equal in the order may
+    take either place.
+    """
+    order_cols = list(order_cols)
+    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = scratch_table(df.repartitionByRange(n, *order_cols).withColumn("_pid", F.spark_partition_id()), "ranged")
+    totals = ranged.groupBy("_pid").agg(*[F.sum(w).alias(f"_{k}") for k, w in weights.items()])
+    earlier = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)  # a row a partition
+    offsets = totals.select("_pid", *[F.coalesce(F.sum(f"_{k}").over(earlier), F.lit(0)).alias(f"_{k}") for k in weights])
+    inside = Window.partitionBy("_pid").orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, -1)
+    summed = ranged.withColumns({k: F.coalesce(F.sum(w).over(inside), F.lit(0)) for k, w in weights.items()})
+    return (summed.join(F.broadcast(offsets), "_pid")
+                  .withColumns({k: (F.col(k) + F.col(f"_{k}")).cast("long") for k in weights}).drop("_pid", *[f"_{k}" for k in weights]))
+
+
 def hashed_surrogate_key(df: DataFrame, order_cols, name: str, buckets: int | None = None) -> DataFrame:
     """Dense keys 1..n in the total order (hash bucket, ``order_cols``).
 

@@ -1,15 +1,15 @@
 """Data-quality operators (DQ1–DQ8, SNK7–SNK8).
 
 Checks are aggregates (one pass each, partial aggregation map-side) or
-anti-joins; none collects rows to the driver.  ``observe`` attaches row
-counters to a plan without an extra pass (DQ1/DQ4).
+anti-joins; none collects rows to the driver.  A cleaning path that groups by
+``removed_by`` counts the rows of its steps without an extra pass (DQ1/DQ4).
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import config as C
@@ -20,10 +20,34 @@ from .aggregates import pct
 HARD_CHECKS = ("nulls", "no_date", "bad_trays", "bad_return", "bad_otif", "bad_risk")
 
 
-def audited(df: DataFrame, step: str) -> tuple[DataFrame, Observation]:
-    """Row count of ``df`` collected as a side metric when the plan runs (DQ1)."""
-    obs = Observation(step)
-    return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
+AUDIT = "run_id string, number int, step string, rows_in long, rows_out long, status string"
+
+
+def removed_by(steps: dict) -> Column:
+    """The first step of a cleaning path whose condition a row does not meet, or null
+    (DQ1): a path that groups by it counts what every step removes in the same scan."""
+    out = F.lit(None).cast("string")
+    for name, kept in reversed(list(steps.items())):
+        out = F.when(F.coalesce(kept, F.lit(False)), out).otherwise(F.lit(name))
+    return out
+
+
+def audit_rows(removed: DataFrame, steps, run_id: str) -> DataFrame:
+    """One row a step from counts (step, n) of removed rows and, with a null step, of
+    kept ones (DQ4): what came in, what was kept, and a warning where nothing was."""
+    counts = {r["step"]: r["n"] for r in removed.groupBy("step").agg(F.sum("n").alias("n")).collect()}  # a row a step
+    rows, left = [], sum(counts.values())
+    for number, name in enumerate(["read", *steps]):
+        before, left = left, left - counts.get(name, 0)
+        rows.append((run_id, number, name, before, left, "OK" if left else "WARN"))
+    return removed.sparkSession.createDataFrame(rows, AUDIT)
+
+
+def steps_violating(audit: DataFrame, most_removed: dict[str, float]) -> DataFrame:
+    """DQ4: audited steps that removed a larger share of their rows than expected."""
+    limit = F.create_map(*[x for k, v in most_removed.items() for x in (F.lit(k), F.lit(float(v)))])
+    share = F.when(F.col("rows_in") > 0, 1 - F.col("rows_out") / F.col("rows_in")).otherwise(0.0)
+    return audit.where(share > limit[F.col("step")])
 
 
 def duplicate_keys(df: DataFrame, keys) -> DataFrame:
@@ -105,10 +129,40 @@ def star_checks(fact: DataFrame, readings: DataFrame, corridor: DataFrame, time_
     ]
     if growers is not None:
         parts += [check_pk(growers, ["kpin"], "pk_dim_grower"),
+                  check_fk(fact, growers, ["kpin"], "fk_fact_grower"),
                   check_fk(growers, corridor, ["corridor_key"], "fk_grower_corridor")]
     return reduce(DataFrame.unionByName, parts)
 
 
+#: Cells of the fact that must not be null.
+KEY_COLS = ["season", "subzone", "variety", "pack_week", "dm_pct_avg", "otif_pct", "risk_score", "total_return_nzd",
+            "trays_submitted", "trays_exported", "trays_lost", "mts_pass"]
+
+
+def health_counts() -> dict:
+    """What a row of the fact adds to each count of DQ8; a check that cannot be told for nulls is violated."""
+    def violated(holds):
+        return F.when(F.coalesce(holds, F.lit(False)), 0).otherwise(1).cast("long")
+
+    return {
+        "nulls": reduce(lambda a, b: a + b, [F.col(c).isNull().cast("long") for c in KEY_COLS]),
+        "no_date": F.col("date_key").isNull().cast("long"),
+        "bad_trays": violated(F.col("trays_exported") + F.col("trays_lost") == F.col("trays_submitted")),
+        "bad_return": violated(F.col("mts_pass") | (F.col("total_return_nzd") == 0)),
+        "bad_otif": violated(F.col("otif_pct").between(C.OTIF_FLOOR, C.OTIF_BASE)),
+        "bad_risk": violated(F.col("risk_score").between(1, 100)),
+        "passed": F.coalesce(F.col("mts_pass"), F.lit(False)).cast("long"),
+        "rows": F.lit(1).cast("long"),
+    }
+
+
+def health_score(pass_lo: float = 85.0, pass_hi: float = 97.0):
+    """The share of checks passed, 0 to 100, from summed ``health_counts``; no rows pass none."""
+    checks = [F.col(c) == 0 for c in HARD_CHECKS] + [F.col("pass_rate").between(pass_lo, pass_hi)]
+    passed = reduce(lambda a, b: a + b, [F.coalesce(c, F.lit(False)).cast("int") for c in checks])
+    return ((passed * 100) / len(checks)).cast("double")
+
+
 def fact_health(f: DataFrame, pass_lo: float = 85.0, pass_hi: float = 97.0) -> DataFrame:
     """DQ8: health score 0–100 from the fact in one aggregate pass.
 
@@ -117,24 +171,9 @@ def fact_health(f: DataFrame, pass_lo: float = 85.0, pass_hi: float = 97.0) -> D
     bounds, and the pass rate inside the expected range (DQ7).  The score is
     the share of checks passed; ``nulls`` counts null cells in key columns.
     """
-    key_cols = ["season", "subzone", "variety", "pack_week", "dm_pct_avg", "otif_pct", "risk_score",
-                "total_return_nzd", "trays_submitted"]
-    nulls = reduce(lambda a, b: a + b, [F.sum(F.col(c).isNull().cast("long")) for c in key_cols])
-    g = f.agg(
-        nulls.alias("nulls"),
-        F.sum(F.col("date_key").isNull().cast("long")).alias("no_date"),
-        F.sum((F.col("trays_exported") + F.col("trays_lost") != F.col("trays_submitted")).cast("long")).alias("bad_trays"),
-        F.sum((~F.col("mts_pass") & (F.col("total_return_nzd") != 0)).cast("long")).alias("bad_return"),
-        F.sum((~F.col("otif_pct").between(C.OTIF_FLOOR, C.OTIF_BASE)).cast("long")).alias("bad_otif"),
-        F.sum((~F.col("risk_score").between(1, 100)).cast("long")).alias("bad_risk"),
-        pct(F.sum(F.col("mts_pass").cast("long")), F.count(F.lit(1)), 3).alias("pass_rate"))
-    checks = [F.col("nulls") == 0, F.col("no_date") == 0, F.col("bad_trays") == 0, F.col("bad_return") == 0,
-              F.col("bad_otif") == 0, F.col("bad_risk") == 0, F.col("pass_rate").between(pass_lo, pass_hi)]
-    passed = reduce(lambda a, b: a + b, [F.coalesce(c, F.lit(False)).cast("int") for c in checks])
-    return g.select(F.col("nulls").cast("long").alias("nulls"),
-                    ((passed * 100) / len(checks)).cast("double").alias("health_score"),
-                    "pass_rate",
-                    "no_date", "bad_trays", "bad_return", "bad_otif", "bad_risk")
+    g = f.agg(*[F.sum(v).alias(k) for k, v in health_counts().items()])
+    g = g.withColumn("pass_rate", pct("passed", "rows", 3))
+    return g.select("nulls", health_score(pass_lo, pass_hi).alias("health_score"), "pass_rate", *HARD_CHECKS[1:])
 
 
 def table_summary(tables: dict, grains: dict | None = None) -> DataFrame:

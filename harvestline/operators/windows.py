@@ -14,17 +14,40 @@ from pyspark.sql.window import Window
 from ..functions.scalars import half_up_div
 
 
+def group_medians(df: DataFrame, c: str, keys, weight: str | None = None) -> DataFrame:
+    """(keys, median): the exact median of the non-null values of each group (WIN1).
+
+    Values are counted (rows, or their ``weight``), sorted by group and value
+    across the cluster, and given the number of rows before them; the one or two
+    values that hold the middle ranks of their group are the median.  A group's
+    values spread over as many tasks as they fill, so no task holds a hot group.
+    """
+    from .keys import prefix_sums
+    keys = list(keys)
+    rows = F.count(F.lit(1)) if weight is None else F.sum(weight)
+    counted = df.where(F.col(c).isNotNull()).groupBy(*keys, c).agg(rows.cast("long").alias("_n"))
+    placed = prefix_sums(counted, [*keys, c], {"_before": "_n"})
+    spans = placed.groupBy(*keys).agg(F.min("_before").alias("_first"), F.sum("_n").alias("_rows"))
+    at = F.col("_before") - F.col("_first")
+
+    def holds(rank):
+        return (at <= rank) & (rank < at + F.col("_n"))
+
+    low, high = holds(F.expr("(_rows - 1) div 2")), holds(F.expr("_rows div 2"))
+    middle = placed.join(spans, keys).where(low | high)
+    return middle.groupBy(*keys).agg(
+        (F.max(F.when(low, F.col(c))) * 0.5 + F.max(F.when(high, F.col(c))) * 0.5).alias("median"))
+
+
 def impute_group_median(df: DataFrame, c: str, keys) -> DataFrame:
     """Fill nulls in ``c`` with the median of its group; row count kept (WIN1).
 
-    Only rows with a null value are joined to the per-group medians, so the
-    bulk of the table never moves for the imputation.  The medians are an
-    exact ``percentile`` aggregate (frequency maps merged map-side, so a hot
-    group costs its number of distinct values, not its row count).  A group
-    whose values are all null stays null, like a pandas transform.
+    Only rows with a null value are joined to the medians, so the bulk of the
+    table never moves for the imputation.  A group whose values are all null
+    stays null, like a pandas transform.
     """
     keys = list(keys)
-    med = df.filter(F.col(c).isNotNull()).groupBy(*keys).agg(F.median(c).alias("_med"))
+    med = group_medians(df, c, keys).withColumnRenamed("median", "_med")
     nulls = df.filter(F.col(c).isNull())
     filled = (nulls.join(med, keys, "left")
                    .withColumn(c, F.col("_med").cast(df.schema[c].dataType)).drop("_med")

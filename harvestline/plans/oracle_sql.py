@@ -69,6 +69,7 @@ MTS_CENTI = f"CASE WHEN {GOLD} THEN 1610 WHEN variety LIKE '%Ruby%' THEN 1720 EL
 TASTE_MAX = f"CASE WHEN {GOLD} THEN 860 ELSE 1000 END"
 RAIN = ("CASE WHEN pack_week < 14 THEN 28.0 WHEN pack_week < 17 THEN 32.0 WHEN pack_week < 20 THEN 22.0 "
         "WHEN pack_week < 23 THEN 18.0 ELSE 15.0 END")
+JAM = ("CASE WHEN {w} < 13 THEN 15 WHEN {w} < 16 THEN 22 WHEN {w} < 20 THEN 38 WHEN {w} < 23 THEN 32 ELSE 18 END")
 PHASE = "CASE WHEN {w} < 14 THEN 'KiwiStart' WHEN {w} <= 22 THEN 'MainPack' WHEN {w} IS NOT NULL THEN 'Late' END"
 
 
@@ -89,7 +90,7 @@ sz AS (
   FROM supplier s LEFT JOIN nation n ON s.s_nationkey = n.n_nationkey
 ),
 b0 AS (
-  SELECT 100000 + l.l_suppkey AS kpin, sz.subzone, {variety} AS variety,
+  SELECT l.l_orderkey AS order_key, l.l_linenumber AS line_number, 100000 + l.l_suppkey AS kpin, sz.subzone, {variety} AS variety,
          {d} AS submission_date,
          CAST(year({d}) * 10000 + month({d}) * 100 + day({d}) AS INTEGER) AS date_key,
          CAST(weekofyear({d}) AS INTEGER) AS pack_week,
@@ -206,6 +207,31 @@ scaled AS (
   FROM daily d, mm)"""
 
 
+def _payload_sql(q: dict, live: bool = False) -> str:
+    """The payload's fields from the parts' own SQL; the feed's landing by date, or the latest one."""
+    week = "l.pack_week" if live else "a.last_pack_week"
+    fx = "SELECT * FROM landings ORDER BY month DESC LIMIT 1" if live else "SELECT * FROM landings"
+    join = "CROSS JOIN fx" if live else "ASOF LEFT JOIN fx ON d.last_date >= fx.month"
+    return f"""
+WITH a AS ({q["p1_season_aggregate"]}), z AS ({q["p2_subzone_breakdown"]}), w AS ({q["p3_worst_week"]}), arc AS ({q["p4_weekly_risk_arc"]}),
+l AS ({q["p5_live_state"]}), h AS ({q["dq_fact_health"]}),
+d AS ({_q("SELECT season, MAX(submission_date) AS last_date FROM factm GROUP BY season")}),
+zs AS (SELECT season, list(subzone ORDER BY subzone) AS zones, list(dm_mean ORDER BY subzone) AS zone_dm, list(readings ORDER BY subzone) AS zone_readings FROM z GROUP BY season),
+months AS (SELECT date_trunc('month', CAST(o_orderdate AS DATE))::DATE AS month, COUNT(*) AS n FROM orders WHERE o_orderdate IS NOT NULL GROUP BY 1),
+landings AS (SELECT month, CAST(ROUND(n % 5 + (n % 7) / 2.0, 1) AS DOUBLE) AS rain, CAST(ROUND((n % 100 + 500) / 1000.0, 4) AS DOUBLE) AS eur FROM months),
+fx AS ({fx})
+SELECT a.season, dm_avg AS dm, ROUND(LEAST(100.0, GREATEST(5.0, (100.0 - mts_pass_pct) * 2.5)), 0) AS pest, {JAM.format(w=week)} AS congestion,
+  COALESCE(fx.rain, rain_avg) AS rainfall, vol_avg AS vol, reg_avg AS regulatory,
+  strftime((SELECT MAX(last_date) FROM d), '%Y-%m-%dT00:00:00+12:00') AS timestamp, 'star_schema' AS source, {week} AS pack_week,
+  h.nulls, h.health_score, ROUND(mts_pass_pct / 100.0, 3) AS mts_pass_rate, ROUND(100.0 - mts_pass_pct, 1) AS mts_fail_pct, otif_avg, a.risk_avg,
+  total_return_nzd_m, payments_reversed_nzd_m, total_trays, a.submissions, zones, zone_dm, zone_readings, weekly_risk_arc,
+  w.pack_week AS worst_pack_week, w.subzone AS worst_subzone, w.avg_risk AS worst_risk, w.avg_dm AS worst_dm, w.mts_fails AS worst_fails,
+  ROUND(LEAST(100.0, (100.0 - mts_pass_pct) * 2.5), 0) AS pest_base, ROUND(total_return_nzd_m, 2) AS total_return_m,
+  fx.eur AS nzd_eur, CAST(fx.month AS VARCHAR) AS fx_date, CASE WHEN fx.rain IS NULL THEN 'etl' ELSE 'feed' END AS rain_source
+FROM a JOIN w ON w.season = a.season JOIN arc ON arc.season = a.season JOIN zs ON zs.season = a.season CROSS JOIN h CROSS JOIN l JOIN d ON d.season = a.season
+{join}{" WHERE a.season = l.season" if live else ""}"""
+
+
 def queries_sql() -> dict:
     q = {}
     q["q1_compliance"] = _q(f"""
@@ -242,7 +268,6 @@ FROM (SELECT CASE WHEN risk_score < 30 THEN '1_LOW (0-29)' WHEN risk_score < 45
                   WHEN risk_score < 60 THEN '3_ELEVATED (45-59)' ELSE '4_HIGH (60+)' END AS risk_band,
              COUNT(*) AS total, {count_if("otif_pct < 88")} AS otif_below_88, {count_if("otif_pct >= 88")} AS otif_above_88
       FROM factm GROUP BY 1) ORDER BY risk_band""")
-    q["q5_risk_bands_sql"] = q["q5_risk_bands"]
     week_sub = f"""
 SELECT season, pack_week, season_phase, subzone,
   {avg_fixed("risk_score", 0, 1)} AS avg_risk_score, CAST(MAX(risk_score) AS DOUBLE) AS max_risk_score,
@@ -331,12 +356,15 @@ UNION ALL SELECT 'fk_fact_fruit', (SELECT COUNT(*) FROM factm f WHERE NOT EXISTS
 UNION ALL SELECT 'fk_fact_time', (SELECT COUNT(*) FROM factm f WHERE f.date_key IS NOT NULL
    AND f.date_key NOT IN (SELECT date_key FROM {spine}))
 UNION ALL SELECT 'fk_fact_corridor', (SELECT COUNT(*) FROM factm WHERE subzone IS NULL
-   OR subzone NOT IN ({", ".join(repr(z) for z in C.SUBZONES)}))""")
+   OR subzone NOT IN ({", ".join(repr(z) for z in C.SUBZONES)}))
+UNION ALL SELECT 'pk_dim_grower', (SELECT COUNT(*) FROM (SELECT 1 FROM supplier GROUP BY s_suppkey HAVING COUNT(*) > 1)) + (SELECT COUNT(*) FROM supplier WHERE s_suppkey IS NULL)
+UNION ALL SELECT 'fk_fact_grower', (SELECT COUNT(*) FROM factm WHERE kpin IS NULL OR kpin - 100000 NOT IN (SELECT s_suppkey FROM supplier))
+UNION ALL SELECT 'fk_grower_corridor', (SELECT COUNT(*) FROM sz WHERE subzone IS NULL OR subzone NOT IN ({", ".join(repr(z) for z in C.SUBZONES)}))""")
     checks = ["nulls = 0", "no_date = 0", "bad_trays = 0", "bad_return = 0", "bad_otif = 0", "bad_risk = 0",
               "pass_rate BETWEEN 85.0 AND 97.0"]
     passed = " + ".join(f"CAST(COALESCE({c}, FALSE) AS INTEGER)" for c in checks)
     key_cols = ["season", "subzone", "variety", "pack_week", "dm_pct_avg", "otif_pct", "risk_score",
-                "total_return_nzd", "trays_submitted"]
+                "total_return_nzd", "trays_submitted", "trays_exported", "trays_lost", "mts_pass"]
     nulls = " + ".join(f"SUM(CASE WHEN {c} IS NULL THEN 1 ELSE 0 END)" for c in key_cols)
     q["dq_fact_health"] = _q(f"""
 SELECT CAST(nulls AS BIGINT) AS nulls, CAST(({passed}) * 100 AS DOUBLE) / {len(checks)} AS health_score,
@@ -349,6 +377,53 @@ FROM (SELECT {nulls} AS nulls,
         {count_if("NOT (risk_score BETWEEN 1 AND 100)")} AS bad_risk,
         {pct("SUM(CASE WHEN mts_pass THEN 1 ELSE 0 END)", "COUNT(*)", 3)} AS pass_rate
       FROM factm)""")
+    q["str6_publish_stream"] = f"""
+SELECT CAST(0 AS INTEGER) AS epoch, CASE WHEN health_score >= {C.HEALTH_GATE} AND violated = '' THEN 'OK' ELSE 'ALERT' END AS status, health_score, rows,
+  violated, CASE WHEN health_score >= {C.HEALTH_GATE} AND violated = '' THEN rows ELSE 0 END AS published
+FROM (SELECT health_score, CASE WHEN nulls + no_date + bad_trays + bad_return + bad_otif + bad_risk = 0 THEN '' ELSE '?' END AS violated,
+        (SELECT COUNT(*) FROM lineitem JOIN part ON l_partkey = p_partkey JOIN supplier ON l_suppkey = s_suppkey) AS rows
+      FROM ({q["dq_fact_health"]}))"""
+    for name in ("q1_compliance", "q2_otif_by_week", "q3_dm_elasticity", "q4_dm_variance", "q5_risk_bands", "q6_worst_weeks"):
+        q[f"{name}_sql"] = q[name]
+    numbers = {
+        "q1_compliance": "total_submissions mts_fails mts_fail_pct avg_dm_pct min_dm_pct payment_reversed_nzd_k",
+        "q2_otif_by_week": "pack_week avg_otif min_otif avg_congestion avg_rainfall_mm submissions below_target_count below_target_pct",
+        "q3_dm_elasticity": "dm_pct_band submissions avg_tzg avg_taste_per_tray avg_return_per_tray total_return_nzd_m avg_margin_erosion_pct",
+        "q4_dm_variance": "readings dm_mean dm_std dm_min dm_max dm_range mts_fail_pct",
+        "q5_risk_bands": "total otif_below_88 detection_rate_pct otif_above_88 false_alarm_rate_pct",
+        "q6_worst_weeks": "pack_week avg_risk_score max_risk_score avg_dm avg_otif avg_congestion avg_rainfall submissions mts_fails return_nzd_m payments_reversed_nzd_k"}
+    q["snk9_query_results"] = "\nUNION ALL\n".join(
+        f"SELECT '{name[:2]}' AS query, '{c}' AS \"column\", ROUND(CAST(MIN({c}) AS DOUBLE), 6) AS min, ROUND(CAST(MAX({c}) AS DOUBLE), 6) AS max, "
+        f"ROUND(AVG(CAST({c} AS DOUBLE)), 6) AS avg FROM ({q[name]})" for name, cols in numbers.items() for c in cols.split())
+    q["agg9_dm_by_variety"] = _q(f"""
+SELECT variety, COUNT(*) AS readings, {avg_fixed("dm_pct", 2, 2)} AS dm_mean, ROUND(STDDEV_SAMP(dm_pct), 2) AS dm_std,
+  ROUND(MIN(dm_pct), 1) AS dm_min, ROUND(MAX(dm_pct), 1) AS dm_max FROM readings GROUP BY variety""")
+    q["agg14_distinct_counts"] = _q("""
+SELECT season, COUNT(DISTINCT kpin) AS growers, COUNT(DISTINCT variety) AS varieties, COUNT(DISTINCT submission_date) AS days FROM factm GROUP BY season""")
+    q["agg14_distinct_sketches"] = _q("""
+SELECT COUNT(DISTINCT kpin) AS kpin_exact, COUNT(DISTINCT variety) AS variety_exact, COUNT(DISTINCT submission_date) AS submission_date_exact,
+  TRUE AS kpin_within_bound, TRUE AS variety_within_bound, TRUE AS submission_date_within_bound FROM factm""")
+    q["agg22_season_validation"] = _q(f"""
+SELECT season, pass_pct, pass_pct BETWEEN 85 AND 97 AS expected, return_nzd_m, trays_submitted
+FROM (SELECT season, {pct("SUM(CASE WHEN mts_status = 'PASS' THEN 1 ELSE 0 END)", "COUNT(*)", 1)} AS pass_pct FROM readings GROUP BY season)
+JOIN (SELECT season, {money("SUM(total_return_nzd)", 1_000_000, 1)} AS return_nzd_m, CAST(SUM(trays_submitted) AS BIGINT) AS trays_submitted
+      FROM factm GROUP BY season) USING (season)""")
+    q["agg22_dm_by_subzone"] = _q(f"""
+SELECT subzone, {avg_fixed("dm_pct", 2, 2)} AS dm_mean, ROUND(STDDEV_SAMP(dm_pct), 2) AS dm_std FROM readings GROUP BY subzone ORDER BY dm_std, subzone""")
+    q["agg25_fact_totals"] = _q(f"""
+SELECT COUNT(*) AS rows, {money("SUM(total_return_nzd)", 1_000_000, 1)} AS total_return_nzd_m, CAST(SUM(trays_submitted) AS BIGINT) AS total_trays,
+  {avg_fixed("otif_pct", 2, 1)} AS avg_otif, {avg_fixed("risk_score", 0, 1)} AS avg_risk,
+  {pct("SUM(CASE WHEN mts_pass THEN 1 ELSE 0 END)", "COUNT(*)", 1)} AS mts_pass_pct FROM factm""")
+    q["agg10_quantile_sketches"] = """
+SELECT CAST(date_trunc('month', ts) AS DATE) AS month, COUNT(*) AS n, TRUE AS within_bound FROM events WHERE ts IS NOT NULL AND value IS NOT NULL GROUP BY 1"""
+    bop = f"COALESCE(lower(region_name) LIKE '%{C.REGION_NAME.lower()}%' OR region_name LIKE '%{C.REGION_CODE}%', FALSE)"
+    sh2 = f"{bop} AND site_reference LIKE '{C.SH2_PREFIX}%'"
+    q["dq1_traffic_audit"] = "WITH " + traffic_prelude() + f""",
+c AS (SELECT COUNT(*) AS a, COUNT(*) FILTER ({bop}) AS b, COUNT(*) FILTER ({sh2}) AS c, COUNT(*) FILTER ({sh2} AND start_date IS NOT NULL) AS d FROM tms),
+s AS (SELECT unnest([0, 1, 2, 3])::INT AS number, unnest(['read', 'region', 'highway', 'dated']) AS step, unnest([a, a, b, c]) AS rows_in, unnest([a, b, c, d]) AS rows_out FROM c)
+SELECT *, CASE WHEN rows_out > 0 THEN 'OK' ELSE 'WARN' END AS status FROM s"""
+    q["p6_payload_fields"] = _payload_sql(q)
+    q["p6_live_payload"] = _payload_sql(q, live=True)
     tq = lambda body: "WITH " + traffic_prelude() + "\n" + body
     q["traffic_daily"] = tq("SELECT * FROM daily")
     q["congestion_profile"] = tq("""
@@ -385,36 +460,31 @@ FROM dp"""
     fob = ", ".join(f"COALESCE(SUM(CASE WHEN o_orderpriority = '{k}' THEN CAST(ROUND(o_totalprice * 100) AS BIGINT) END), 0) AS {v}"
                     for k, v in PRODUCTS.items())
     tot = " + ".join(PRODUCTS.values())
-    cols = ", ".join(f"CAST((2 * {v} + 10000) // 20000 AS DOUBLE) / 1000 AS fob_{v}_nzd_m" for v in PRODUCTS.values())
+    cols = ", ".join(f"CAST((2 * {v} + 100000) // 200000 AS DOUBLE) / 1000 AS fob_{v}_nzd_m" for v in PRODUCTS.values())
     q["export_statistics"] = f"""
 WITH a AS (SELECT CAST(year(o_orderdate) AS INTEGER) AS year, {fob} FROM orders WHERE o_orderdate IS NOT NULL GROUP BY 1),
 t AS (SELECT *, {tot} AS total_cents FROM a),
 b AS (SELECT MAX(CASE WHEN year = {BASE_YEAR} THEN total_cents END) AS base, SUM(total_cents) AS s, COUNT(*) AS n FROM t)
-SELECT year, {cols}, CAST((2 * total_cents + 10000) // 20000 AS DOUBLE) / 1000 AS total_fob_nzd_m,
+SELECT year, {cols}, CAST((2 * total_cents + 100000) // 200000 AS DOUBLE) / 1000 AS total_fob_nzd_m,
   CAST(CASE WHEN base IS NOT NULL AND base <> 0 THEN (2 * total_cents * 1000 + base) // (2 * base)
             WHEN s > 0 THEN (2 * total_cents * n * 1000 + s) // (2 * s) END AS DOUBLE) / 10 AS total_index,
   CASE WHEN base IS NOT NULL AND base <> 0 THEN 'year {BASE_YEAR}' ELSE 'mean' END AS index_base
 FROM t, b"""
-    region = ("CASE WHEN (user_id % 14) + 1 = 4 THEN '" + C.REGION_LABEL + "' "
-              "ELSE lpad(CAST((user_id % 14) + 1 AS VARCHAR), 2, '0') || ' - Region' END")
-    q["str1_daily_traffic_stream"] = f"""
-WITH x AS (
-  SELECT CAST(ts AS DATE) AS date, lpad(CAST((user_id % 3 + 1) * 100000 + user_id AS VARCHAR), 8, '0') AS site_reference,
-    CASE WHEN event_type IN ('purchase', 'error') THEN 'Heavy' ELSE 'Light' END AS class_weight,
-    CASE WHEN event_id % 11 = 0 THEN NULL ELSE value END AS traffic_count, {region} AS region_name
-  FROM events),
-g AS (
-  SELECT date, site_reference,
-    COALESCE(SUM(CASE WHEN class_weight = 'Heavy' THEN CAST(ROUND(traffic_count * 1000) AS BIGINT) END), 0) AS hm,
-    COALESCE(SUM(CASE WHEN class_weight = 'Light' THEN CAST(ROUND(traffic_count * 1000) AS BIGINT) END), 0) AS lm
-  FROM x WHERE COALESCE(lower(region_name) LIKE '%{C.REGION_NAME.lower()}%' OR region_name LIKE '%{C.REGION_CODE}%', FALSE)
-    AND site_reference LIKE '{C.SH2_PREFIX}%' AND date IS NOT NULL
-  GROUP BY 1, 2)
-SELECT date, site_reference, CAST(hm AS DOUBLE) / 1000 AS heavy_count, CAST(lm AS DOUBLE) / 1000 AS light_count,
-  CAST(hm + lm AS DOUBLE) / 1000 AS total_count,
-  CAST(LEAST(GREATEST((2 * (3 * hm + lm) + 880) // (2 * 880), 0), 10000) AS DOUBLE) / 100 AS congestion_index,
-  CAST(weekofyear(date) AS INTEGER) AS pack_week, {PHASE.format(w='weekofyear(date)')} AS season_phase
-FROM g"""
+    q["str1_daily_traffic_stream"] = tq("""
+SELECT date, site_reference, heavy_count, light_count, total_count, congestion_index, pack_week, season_phase FROM daily""")
+    q["jn12_feed_as_of"] = _q(f"""
+, months AS (SELECT date_trunc('month', CAST(o_orderdate AS DATE))::DATE AS month, COUNT(*) AS n FROM orders WHERE o_orderdate IS NOT NULL GROUP BY 1),
+landings AS (SELECT month, ROUND(n % 5 + (n % 7) / 2.0, 1) AS rain, ROUND((n % 100 + 500) / 1000.0, 4) AS eur, ROUND(CAST(n % 10 + 80 AS DOUBLE), 2) AS jpy,
+               n % 3 > 0 AS verified FROM months),
+s AS (SELECT season, MAX(submission_date) AS last_date, {avg_fixed("rainfall_mm_7d", 1, 1)} AS etl_rain FROM factm GROUP BY season)
+SELECT season, last_date, CAST(COALESCE(rain, etl_rain) AS DOUBLE) AS rain_avg, CAST(month AS VARCHAR) AS fx_date, CAST(eur AS DOUBLE) AS nzd_eur,
+  CAST(jpy AS DOUBLE) AS nzd_jpy, verified AS corridors_verified, CASE WHEN rain IS NULL THEN 'etl' ELSE 'feed' END AS rain_source
+FROM s ASOF LEFT JOIN landings l ON s.last_date >= l.month""")
+    q["str5_enrich_stream"] = _q("""
+, months AS (SELECT date_trunc('month', CAST(o_orderdate AS DATE))::DATE AS month, COUNT(*) AS n FROM orders WHERE o_orderdate IS NOT NULL GROUP BY 1)
+SELECT CAST(month AS VARCHAR) AS fx_date, CAST(ROUND((n % 100 + 500) / 1000.0, 4) AS DOUBLE) AS nzd_eur, COUNT(*) AS submissions,
+  CAST(SUM(trays_submitted) AS BIGINT) AS trays
+FROM subs s ASOF LEFT JOIN months l ON s.submission_date >= l.month GROUP BY 1, 2""")
     q["str2_rain_7d_stream"] = """
 WITH e AS (SELECT CAST(ts AS DATE) AS d, CAST(ROUND(value * 100) AS BIGINT) AS c FROM events WHERE ts IS NOT NULL),
 w AS (SELECT d - CAST(k AS INTEGER) AS window_start, c FROM e, range(0, 7) t(k))
@@ -478,6 +548,13 @@ SELECT CAST(year(date) * 10000 + month(date) * 100 + day(date) AS INTEGER) AS da
   {season_label("date")} AS season_year, {PHASE.format(w="weekofyear(date)")} AS season_phase,
   CASE WHEN month(date) BETWEEN 3 AND 8 THEN 1 ELSE 0 END AS is_pack_season
 FROM d""")
+    q["snk4_star_keys"] = _q("""
+SELECT order_key, line_number, f.kpin, export_id, fruit_key, grower_key, dm_pct, f.kpin || '_' || f.pack_week AS maturity_area
+FROM (SELECT order_key, line_number, kpin, season, pack_week, variety,
+        row_number() OVER (ORDER BY season, kpin, pack_week, variety, (order_key + line_number) % 16, order_key, line_number) AS export_id FROM subs) f
+JOIN (SELECT *, row_number() OVER (ORDER BY season, kpin, pack_week, variety) AS fruit_key FROM readings) r
+  ON r.kpin = f.kpin AND r.season = f.season AND r.pack_week = f.pack_week AND r.variety = f.variety
+JOIN (SELECT 100000 + s_suppkey AS kpin, row_number() OVER (ORDER BY s_suppkey) AS grower_key FROM supplier) g ON g.kpin = f.kpin""")
     zones = ", ".join(f"({i + 1}, '{z}', '{C.HIGHWAYS[z]}', {v['distance_port_km']}, {v['base_risk_weight']}, {v['psa_incidence_historical']}, "
                       f"{v['dm_std_modifier']})" for i, (z, v) in enumerate(C.SUBZONES.items()))
     zone_cols = "z(corridor_key, subzone, highway, km, weight, psa, std_modifier)"

@@ -195,24 +195,30 @@ SCENARIOS = [("baseline", C.CONGESTION_DEFAULT, 0.0, C.REG_INDEX_DEFAULT, C.PEST
              ("regulatory_load", C.CONGESTION_DEFAULT, 0.0, 40.0, 35.0)]
 
 
-def rescore(f: DataFrame, scenarios: DataFrame) -> DataFrame:
+def rescore(f: DataFrame, scenarios=SCENARIOS) -> DataFrame:
     """DF30: apply user-set inputs to every submission and re-score OTIF and
-    risk with DF20/DF21.  The scenario table is small and fixed; it is
-    broadcast into the cross product, then each scenario is aggregated."""
-    x = f.select("pack_week", "dm_pct_avg", "mts_pass").crossJoin(F.broadcast(scenarios))
-    rain = DF.rain_estimate("pack_week") + F.col("rain_add")
-    x = x.withColumns({"otif": DF.otif("cong", rain, "reg", "mts_pass"),
-                       "risk": DF.risk_score("dm_pct_avg", "pest", "cong", rain, "reg")})
-    return x.groupBy("scenario").agg(
-        F.count(F.lit(1)).alias("submissions"),
-        avg_fixed("otif", 2, 2).alias("avg_otif"),
-        avg_fixed("risk", 0, 1).alias("avg_risk"),
-        count_if(F.col("otif") < C.OTIF_TARGET).alias("below_target"))
-
-
-def scenario_table(spark) -> DataFrame:
-    from .star import literal_table
-    return literal_table(spark, SCENARIOS, "scenario string, cong double, rain_add double, reg double, pest double")
+    risk with DF20/DF21.
+
+    A score depends on pack week, dry matter and maturity alone, so submissions
+    are counted by these first; every count is then scored under each scenario in
+    its own columns, and the columns become rows after the last aggregate.  No row
+    is multiplied."""
+    counted = f.groupBy("pack_week", "dm_pct_avg", "mts_pass").agg(F.count(F.lit(1)).alias("n"))
+    sums, n = [], F.col("n")
+    for k, (_, congestion, rain_add, regulation, pest) in enumerate(scenarios):
+        cong, reg = F.lit(float(congestion)), F.lit(float(regulation))
+        rain = DF.rain_estimate("pack_week") + F.lit(float(rain_add))
+        otif = DF.otif(cong, rain, reg, "mts_pass")
+        risk = DF.risk_score("dm_pct_avg", F.lit(float(pest)), cong, rain, reg)
+        sums += [F.sum(fixed_int(otif, 2) * n).alias(f"otif_{k}"), F.sum(F.when(otif.isNotNull(), n)).alias(f"otif_n_{k}"),
+                 F.sum(risk * n).alias(f"risk_{k}"), F.sum(F.when(risk.isNotNull(), n)).alias(f"risk_n_{k}"),
+                 F.sum(F.when(otif < C.OTIF_TARGET, n).otherwise(0)).alias(f"below_{k}")]
+    total = counted.agg(F.sum("n").alias("rows"), *sums)
+    each = [F.struct(F.lit(s[0]).alias("scenario"), F.coalesce("rows", F.lit(0)).cast("long").alias("submissions"),
+                     (half_up_div(f"otif_{k}", f"otif_n_{k}") / 100.0).alias("avg_otif"),
+                     (half_up_div(F.col(f"risk_{k}") * 10, f"risk_n_{k}") / 10.0).alias("avg_risk"),
+                     F.coalesce(f"below_{k}", F.lit(0)).cast("long").alias("below_target")) for k, s in enumerate(scenarios)]
+    return total.select(F.inline(F.array(*each)))
 
 
 def dm_elasticity(f: DataFrame) -> DataFrame:
@@ -250,26 +256,40 @@ def harvest_window(subs: DataFrame) -> DataFrame:
 
 
 # --------------------------------------------------------------------------
-# SQL surface (SRC7): Q5 as text over the star views
+# Validation summaries (AGG9, AGG14, AGG22, AGG25)
 # --------------------------------------------------------------------------
 
-Q5_SQL = f"""
-WITH scored AS (
-  SELECT elt(1 + int(risk_score >= 30) + int(risk_score >= 45) + int(risk_score >= 60),
-             '1_LOW (0-29)', '2_MODERATE (30-44)', '3_ELEVATED (45-59)', '4_HIGH (60+)') AS risk_band,
-         otif_pct >= {C.OTIF_TARGET} AS on_target
-  FROM fact_export_transactions),
-counted AS (
-  SELECT risk_band, count(*) AS total, count_if(NOT on_target) AS otif_below_88, count_if(on_target) AS otif_above_88
-  FROM scored GROUP BY ALL)
-SELECT risk_band, total, otif_below_88, (2000 * otif_below_88 + total) div (2 * total) / 10D AS detection_rate_pct,
-       otif_above_88, (2000 * otif_above_88 + total) div (2 * total) / 10D AS false_alarm_rate_pct
-FROM counted ORDER BY risk_band
-"""
+def dm_by_variety(fruit: DataFrame) -> DataFrame:
+    """AGG9: mean, sample std and range of dry matter by variety."""
+    return fruit.groupBy("variety").agg(
+        F.count(F.lit(1)).alias("readings"), avg_fixed("dm_pct", 2, 2).alias("dm_mean"), F.round(F.stddev_samp("dm_pct"), 2).alias("dm_std"),
+        F.round(F.min("dm_pct"), 1).alias("dm_min"), F.round(F.max("dm_pct"), 1).alias("dm_max"))
+
+
+def season_validation(readings: DataFrame, subs: DataFrame, lo: float = 85.0, hi: float = 97.0) -> DataFrame:
+    """AGG22: by season the share of passed readings and whether it is in the
+    expected range, the returns and the trays."""
+    passed = readings.groupBy("season").agg(pct(count_if(F.col("mts_pass")), F.count(F.lit(1)), 1).alias("pass_pct"))
+    returns = subs.groupBy("season").agg(money_scaled(money_sum("total_return_nzd"), 1_000_000, 1).alias("return_nzd_m"),
+                                         F.sum("trays_submitted").cast("long").alias("trays_submitted"))
+    return passed.join(returns, "season", "left").withColumn("expected", F.col("pass_pct").between(lo, hi))
+
+
+def dm_by_subzone(readings: DataFrame) -> DataFrame:
+    """AGG22: mean and sample std of dry matter by subzone, the steadiest first."""
+    return readings.groupBy("subzone").agg(
+        avg_fixed("dm_pct", 2, 2).alias("dm_mean"), F.round(F.stddev_samp("dm_pct"), 2).alias("dm_std")).orderBy("dm_std", "subzone")
+
+
+def fact_totals(f: DataFrame) -> DataFrame:
+    """AGG25: the totals that the load reports."""
+    return f.agg(
+        F.count(F.lit(1)).alias("rows"), money_scaled(money_sum("total_return_nzd"), 1_000_000, 1).alias("total_return_nzd_m"),
+        F.sum("trays_submitted").cast("long").alias("total_trays"), avg_fixed("otif_pct", 2, 1).alias("avg_otif"),
+        avg_fixed("risk_score", 0, 1).alias("avg_risk"), pct(count_if(F.col("mts_pass")), F.count(F.lit(1)), 1).alias("mts_pass_pct"))
 
 
-def q5_sql(spark, views: dict) -> DataFrame:
-    """Q5 as SQL text over the registered star views; half-up in whole numbers."""
-    for name, df in views.items():
-        df.createOrReplaceTempView(name)
-    return spark.sql(Q5_SQL)
+def distinct_counts(f: DataFrame) -> DataFrame:
+    """AGG14: growers, varieties and submission days of a season, exact."""
+    return f.groupBy("season").agg(F.countDistinct("kpin").alias("growers"), F.countDistinct("variety").alias("varieties"),
+                                   F.countDistinct("submission_date").alias("days"))

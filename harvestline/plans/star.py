@@ -10,9 +10,8 @@ Join strategy at scale:
   their size does not grow with the data.
 * dim_grower grows with suppliers and dim_fruit_quality with submissions;
   they join on their keys and Catalyst/AQE pick broadcast or sort-merge
-  from measured sizes.  The readings are an aggregate of the submissions,
-  so both sides of JN1 are already hash-partitioned on the same key set
-  and the join adds no extra shuffle of the fact side.
+  from measured sizes.  The stored build (``sources.sinks.build_star``) buckets the
+  submissions once by reading; readings, keys and fact start from that copy.
 """
 
 from __future__ import annotations
@@ -40,10 +39,12 @@ def date_spine(spark: SparkSession, start: str = C.SPINE_START, end: str = C.SPI
 
 
 def spine_of(dates: DataFrame, start: str = C.SPINE_START, end: str = C.SPINE_END) -> DataFrame:
-    """The spine, widened to the first and last ``submission_date`` of a table (one aggregate
-    over one column), so that no row of it falls outside."""
+    """The spine, widened to the first and last plausible ``submission_date`` of a
+    table (one aggregate over one column), so that no such row of it falls outside.
+    What is not plausible has no calendar day; DQ3 counts it (``fk_fact_time``)."""
     first, last = F.to_date(F.lit(start)), F.to_date(F.lit(end))
-    span = dates.agg(F.min("submission_date").alias("lo"), F.max("submission_date").alias("hi"))
+    plausible = dates.where(F.col("submission_date").between(F.to_date(F.lit(C.PLAUSIBLE_START)), F.to_date(F.lit(C.PLAUSIBLE_END))))
+    span = plausible.agg(F.min("submission_date").alias("lo"), F.max("submission_date").alias("hi"))
     return span.select(F.explode(F.sequence(F.least(first, "lo"), F.greatest(last, "hi"), F.expr("interval 1 day"))).alias("date"))
 
 
@@ -115,15 +116,9 @@ def dim_grower(spark: SparkSession, sf_dir: str, corridor: DataFrame | None = No
 # dim_fruit_quality: maturity readings pooled per grower × season × week × variety
 # --------------------------------------------------------------------------
 
-def readings(subs: DataFrame) -> DataFrame:
-    """Maturity readings: the pooled composite of a grower's submissions in a
-    pack week (partial aggregation happens map-side before the shuffle)."""
-    g = subs.groupBy(*READING_KEY, "subzone", "pest_indicator").agg(
-        F.sum("dm_centi").alias("_dm_sum"), F.count(F.lit(1)).alias("_n"),
-        F.min("submission_date").alias("reading_date"))
-    dm_centi = half_up_div("_dm_sum", "_n").cast("int")
-    r = g.select(*READING_KEY, "subzone", "pest_indicator", "reading_date",
-                 dm_centi.alias("dm_centi"), (F.col("_n") * 90).alias("sample_size"))
+def reading_columns(g: DataFrame) -> DataFrame:
+    """Readings from pooled rows: ``dm_sum`` and ``n`` of their submissions, ``reading_date``."""
+    r = g.withColumns({"dm_centi": half_up_div("dm_sum", "n").cast("int"), "sample_size": F.col("n") * 90}).drop("dm_sum", "n")
     return r.withColumns({
         "dm_pct": F.col("dm_centi") / 100.0,
         "mts_threshold": DF.mts_threshold("variety"),
@@ -132,9 +127,21 @@ def readings(subs: DataFrame) -> DataFrame:
     })
 
 
+def readings(subs: DataFrame) -> DataFrame:
+    """Maturity readings: the pooled composite of a grower's submissions in a
+    pack week (partial aggregation happens map-side before the shuffle)."""
+    return reading_columns(subs.groupBy(*READING_KEY, "subzone", "pest_indicator").agg(
+        F.sum("dm_centi").alias("dm_sum"), F.count(F.lit(1)).alias("n"), F.min("submission_date").alias("reading_date")))
+
+
 def dim_fruit_quality(subs: DataFrame) -> DataFrame:
-    r = readings(subs)
+    return fruit_columns(readings(subs))
+
+
+def fruit_columns(r: DataFrame, *keep) -> DataFrame:
+    """The stored columns of readings."""
     return r.select(
+        *keep,
         "kpin", "season", "subzone", "variety",
         DF.growing_method("variety").alias("growing_method"),
         "pack_week", "reading_date", "dm_pct", "mts_threshold",
@@ -161,7 +168,7 @@ FACT_COLUMNS = [
 def fact(spark: SparkSession, sf_dir: str, subs: DataFrame | None = None,
          congestion=C.CONGESTION_DEFAULT, reg_index: float = C.REG_INDEX_DEFAULT,
          pest: float = C.PEST_DEFAULT, distance_km: float | None = C.DISTANCE_DEFAULT_KM,
-         time_dim: DataFrame | None = None, growers: DataFrame | None = None) -> DataFrame:
+         time_dim: DataFrame | None = None, keep=()) -> DataFrame:
     """Submission batches joined to their dimensions plus the operational
     measures.  Defaults follow the published build: one congestion value for
     all rows, regulation 15, pest 20 and a 30 km haul (``distance_km=None``
@@ -169,9 +176,9 @@ def fact(spark: SparkSession, sf_dir: str, subs: DataFrame | None = None,
 
     ``corridor_key`` comes from the five-row corridor table (broadcast) and
     the phase from the date spine (broadcast), so the fact rows are never
-    shuffled here.  ``growers`` (with ``grower_key``) is joined only when
-    given — the materialised build does it once; analytical queries do not
-    read grower keys and skip that shuffle.
+    shuffled here.  ``grower_key`` is taken from ``subs`` where it has one (the
+    stored build); analytical queries do not read grower keys.  ``keep`` names
+    further columns of ``subs``.
     """
     subs = subs if subs is not None else bindings.submissions(spark, sf_dir)
     td = F.broadcast((time_dim if time_dim is not None else dim_time(spark))
@@ -179,9 +186,7 @@ def fact(spark: SparkSession, sf_dir: str, subs: DataFrame | None = None,
     cor = F.broadcast(dim_corridor(spark).select("subzone", "corridor_key",
                                                  F.col("distance_port_km").alias("corridor_distance_km")))
     f = subs.join(cor, "subzone", "left").join(td, ["date_key", "pack_week"], "left")
-    if growers is not None:
-        f = f.join(growers.select("kpin", "grower_key"), "kpin", "left")
-    else:
+    if "grower_key" not in f.columns:
         f = f.withColumn("grower_key", F.lit(None).cast("long"))
     km = F.lit(float(distance_km)) if distance_km is not None else F.col("corridor_distance_km")
     f = f.withColumns({
@@ -198,7 +203,7 @@ def fact(spark: SparkSession, sf_dir: str, subs: DataFrame | None = None,
         "margin_erosion_pct": DF.margin_erosion("total_return_nzd", "trays_submitted"),
         "mts_pass_int": F.col("mts_pass").cast("int"),
     })
-    return f.select("kpin", "submission_date", *FACT_COLUMNS, "mts_pass_int")
+    return f.select(*keep, "kpin", "submission_date", *FACT_COLUMNS, "mts_pass_int")
 
 
 def fact_view(f: DataFrame) -> DataFrame:
@@ -211,7 +216,7 @@ def star_views(spark: SparkSession, sf_dir: str, **fact_kw) -> dict:
     subs = bindings.submissions(spark, sf_dir)
     cor = dim_corridor(spark)
     views = {
-        "dim_time": dim_time(spark),
+        "dim_time": dim_time(spark, subs),
         "dim_corridor": cor,
         "dim_grower": dim_grower(spark, sf_dir, cor),
         "dim_fruit_quality": dim_fruit_quality(subs),

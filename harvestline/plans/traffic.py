@@ -22,9 +22,10 @@ from pyspark.sql import functions as F
 from .. import config as C
 from ..functions.scalars import half_up_div, season_phase
 from ..operators.aggregates import avg_fixed
-from ..operators.cleaning import drop_dupes, normalise_columns, prefix_filter, region_filter, region_filter_rx
-from ..operators.windows import impute_group_median, minmax_rescale_fixed
-from ..sources.tables import read_table
+from ..operators.cleaning import drop_dupes, normalise_columns, prefix_filter, region_filter_rx
+from ..operators.quality import audit_rows, removed_by
+from ..operators.windows import group_medians, minmax_rescale_fixed
+from ..sources.tables import read_table, scratch_table
 
 CLASSES = ["Heavy", "Light"]
 
@@ -104,16 +105,57 @@ def with_congestion(df: DataFrame, base: float = C.BASE_HEAVY_DAILY) -> DataFram
     })
 
 
+CELL = ["date", "SITE_REFERENCE", "SITE_DESCRIPTION", "REGION_NAME", "CLASS_WEIGHT", "TRAFFIC_COUNT"]
+
+
+def corridor_steps() -> dict:
+    """The steps of the 15-minute path, with what a row must meet to stay (FLT1, FLT3)."""
+    region = F.col("REGION_NAME")
+    return {"region": F.lower(region).contains(C.REGION_NAME.lower()) | region.contains(C.REGION_CODE),
+            "highway": F.col("SITE_REFERENCE").cast("string").startswith(C.SH2_PREFIX),
+            "dated": F.col("START_DATE").isNotNull()}
+
+
+def traffic_cells(tms: DataFrame) -> DataFrame:
+    """Rows of the corridor by day, site, class and value, counted: the one scan of
+    the counts, stored, that the medians and the sums both start from.  What a
+    step removes is counted along, in a row that names the step."""
+    x = tms.withColumn("date", F.to_date("START_DATE")).withColumn("step", removed_by(corridor_steps()))
+    x = x.withColumns({c: F.when(F.col("step").isNull(), F.col(c)) for c in CELL})
+    return scratch_table(x.groupBy("step", *CELL).agg(F.count(F.lit(1)).alias("n")), "traffic-cells")
+
+
+def audited_traffic(tms: DataFrame, audit_path: str, run_id: str) -> DataFrame:
+    """The daily traffic with its audit trail: one row a step appended to ``audit_path`` (DQ1, SNK7)."""
+    cells = traffic_cells(tms)
+    audit_rows(cells.select("step", "n"), corridor_steps(), run_id).coalesce(1).write.mode("append").parquet(audit_path)
+    return traffic_from_cells(cells)
+
+
 def traffic_daily(tms: DataFrame) -> DataFrame:
-    """15-minute path → one row per day × site (AGG11, AGG12, DF1)."""
-    x = region_filter(tms, "REGION_NAME", C.REGION_NAME, C.REGION_CODE)
-    x = prefix_filter(x, "SITE_REFERENCE", C.SH2_PREFIX)
-    x = x.filter(F.col("START_DATE").isNotNull())
-    x = impute_group_median(x, "TRAFFIC_COUNT", ["SITE_REFERENCE", "CLASS_WEIGHT"])
-    x = x.withColumn("date", F.to_date("START_DATE"))
-    keys = ["date", "SITE_REFERENCE", "SITE_DESCRIPTION", "REGION_NAME"]
-    x = x.filter(F.col("SITE_DESCRIPTION").isNotNull() & F.col("REGION_NAME").isNotNull())
-    p = with_congestion(pivot_class(x, keys, "CLASS_WEIGHT", "TRAFFIC_COUNT"))
+    """15-minute path → one row per day × site (WIN1, AGG11, AGG12, DF1)."""
+    return traffic_from_cells(traffic_cells(tms))
+
+
+def traffic_from_cells(cells: DataFrame) -> DataFrame:
+    """Days and sites from counted values.
+
+    A null count is worth the median of its site and class, so a day's sum is
+    that of its known counts plus the median for each unknown one."""
+    cells = cells.where("step is null").drop("step")
+    site_class, keys = ["SITE_REFERENCE", "CLASS_WEIGHT"], ["date", "SITE_REFERENCE", "SITE_DESCRIPTION", "REGION_NAME"]
+    medians = group_medians(cells, "TRAFFIC_COUNT", site_class, "n")
+
+    def milli(c):
+        return F.round(F.col(c) * 1000.0).cast("long")
+
+    day = (cells.filter(F.col("SITE_DESCRIPTION").isNotNull() & F.col("REGION_NAME").isNotNull())
+                .groupBy(*keys, "CLASS_WEIGHT").agg(F.sum(milli("TRAFFIC_COUNT") * F.col("n")).alias("known"),
+                                                    F.sum(F.when(F.col("TRAFFIC_COUNT").isNull(), F.col("n")).otherwise(0)).alias("unknown"))
+                .join(medians, site_class, "left"))
+    value = F.coalesce("known", F.lit(0)) + F.col("unknown") * F.coalesce(milli("median"), F.lit(0))
+    p = with_congestion(day.groupBy(*keys).agg(*[
+        F.coalesce(F.sum(F.when(F.col("CLASS_WEIGHT") == k, value)), F.lit(0)).alias(f"{k.lower()}_milli") for k in CLASSES]))
     w = F.weekofyear("date")
     return p.select(
         "date", F.col("SITE_REFERENCE").alias("site_reference"), F.col("SITE_DESCRIPTION").alias("site_description"),

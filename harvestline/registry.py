@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import os
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from .operators import aggregates as A
 from .operators import quality as DQ
 from .operators.aggregates import duplicate_count, null_profile, numeric_profile
 from .plans import feed as P
@@ -13,10 +17,11 @@ from .plans import models as ML
 from .plans import queries as Q
 from .plans import stats as S
 from .plans import traffic as T
-from .plans import star
-from .session import apply_defaults
+from .plans import sql, star
+from .session import apply_defaults, checkpoint_dir
 from .streaming import streams as STR
-from .sources import bindings
+from .sources import bindings, sinks
+from .sources.tables import read_table, scratch_table
 
 
 class Star:
@@ -56,6 +61,15 @@ def _star(fn):
     return run
 
 
+def stored_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK4, PRJ16, JN1, JN2: the surrogate keys of the stored star, by submission."""
+    paths = sinks.build_star(apply_defaults(spark), sf_dir, _results(spark, "star"))
+    fact, fruit, growers = (spark.read.parquet(paths[t]) for t in ("fact_export_transactions", "dim_fruit_quality", "dim_grower"))
+    f = fact.select("order_key", "line_number", "export_id", "fruit_key", "grower_key")
+    f = f.join(fruit.select("fruit_key", "dm_pct", "maturity_area"), "fruit_key", "left")
+    return f.join(growers.select("grower_key", "kpin"), "grower_key", "left")
+
+
 FACT_COUNT_COLS = ["trays_submitted", "trays_exported", "trays_lost", "pack_week", "risk_score"]
 
 
@@ -64,6 +78,56 @@ def _plain(df: DataFrame) -> DataFrame:
     return df.withColumns({c: df[c].cast("double") for c, t in df.dtypes if t.startswith("decimal")})
 
 
+def _results(spark: SparkSession, name: str) -> str:
+    return os.path.join(checkpoint_dir(spark), "results", f"{name}-{uuid.uuid4().hex}")
+
+
+def _sql(name: str):
+    """A named query as SQL text over the registered views of a directory."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        star.star_views(apply_defaults(spark), sf_dir)
+        return sql.run_sql(spark, name)
+    return run
+
+
+def query_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SNK9: the saved key figures of the six queries."""
+    star.star_views(apply_defaults(spark), sf_dir)
+    return sql.save_results(spark, _results(spark, "sql"))
+
+
+def distinct_sketch_totals(fact: DataFrame) -> DataFrame:
+    """AGG14: totals over all seasons from stored sketches of the seasons, beside the exact counts."""
+    cols = ["kpin", "variety", "submission_date"]
+    stored = scratch_table(A.distinct_sketches(fact, cols, ["season"]), "distinct-sketches")
+    estimate = A.distinct_of_sketches(stored, cols)
+    exact = fact.agg(*[F.countDistinct(c).alias(f"{c}_exact") for c in cols])
+    both = estimate.crossJoin(exact)  # a row each
+    return both.select(*[f"{c}_exact" for c in cols], *[
+        (F.abs(F.col(c) - F.col(f"{c}_exact")) <= F.ceil(F.col(f"{c}_exact") * A.HLL_BOUND)).alias(f"{c}_within_bound") for c in cols])
+
+
+def median_of_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AGG10: the monthly median of event values from stored daily sketches, with
+    whether its rank among the month's values is within the sketch's bound."""
+    events = read_table(apply_defaults(spark), sf_dir, "events", ["ts", "value"]).where("ts is not null and value is not null")
+    events = events.select(F.to_date("ts").alias("day"), F.trunc(F.to_date("ts"), "month").alias("month"), "value")
+    daily = scratch_table(A.quantile_sketches(events, "value", ["day", "month"]), "quantile-sketches")
+    medians = A.quantiles_of_sketches(daily, ["month"], {"median": 0.5})
+    ranked = events.join(F.broadcast(medians), "month").groupBy("month").agg(  # a row a month
+        F.max("n").alias("n"), F.sum((F.col("value") < F.col("median")).cast("long")).alias("below"),
+        F.sum((F.col("value") <= F.col("median")).cast("long")).alias("not_above"))
+    within = (F.col("below") <= F.col("n") * (0.5 + A.KLL_BOUND)) & (F.col("not_above") >= F.col("n") * (0.5 - A.KLL_BOUND))
+    return ranked.select("month", "n", within.alias("within_bound"))
+
+
+def traffic_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """DQ1, SNK7: the audit trail that a run of the traffic path leaves."""
+    path = _results(spark, "audit")
+    T.audited_traffic(T.tms_15min(apply_defaults(spark), sf_dir), path, "run")
+    return spark.read.schema(DQ.AUDIT).parquet(path).drop("run_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "q1_compliance": _star(lambda s: Q.q1_compliance(s.fact)),
     "q2_otif_by_week": _star(lambda s: Q.q2_otif_by_week(s.fact, s.time)),
@@ -84,6 +148,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "star_dim_grower": _star(lambda s: star.dim_grower(s.spark, s.sf_dir)),
     "star_dim_fruit_quality": _star(lambda s: s.fruit),
     "star_fact": _star(lambda s: _plain(star.fact_view(s.fact).drop("grower_key"))),
+    "snk4_star_keys": lambda spark, d: stored_keys(spark, d),
     "df17_loss_causes": _star(lambda s: Q.loss_causes(s.subs)),
     "flt6_harvest_window": _star(lambda s: Q.harvest_window(s.subs)),
     "agg23_fact_profile": _star(lambda s: numeric_profile(s.fact.select(*FACT_COUNT_COLS))),
@@ -95,9 +160,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "p4_weekly_risk_arc": _star(lambda s: P.weekly_risk_arc(s.fact)),
     "p5_live_state": _star(lambda s: P.live_state(s.fact)),
     "p6_season_payloads": _star(lambda s: P.payload_json(P.payloads(s.fact, s.readings))),
+    "p6_payload_fields": _star(lambda s: P.payload_fields(P.payload_json(P.payloads(s.fact, s.readings, feed=bindings.feed_landings(s.spark, s.sf_dir))))),
+    "p6_live_payload": _star(lambda s: P.payload_fields(P.payload_json(P.payloads(s.fact, s.readings, feed=bindings.feed_landings(s.spark, s.sf_dir), live=True)))),
     "p7_subzone_profile": _star(lambda s: P.subzone_profile(P.subzone_breakdown(s.readings))),
+    "jn12_feed_as_of": _star(lambda s: P.feed_as_of(s.fact, bindings.feed_landings(s.spark, s.sf_dir))),
     # data quality
-    "dq_star_checks": _star(lambda s: DQ.star_checks(s.fact, s.readings, star.dim_corridor(s.spark), s.time)),
+    "dq_star_checks": _star(lambda s: DQ.star_checks(s.fact, s.readings, star.dim_corridor(s.spark), s.time, star.dim_grower(s.spark, s.sf_dir))),
     "dq_fact_health": _star(lambda s: DQ.fact_health(s.fact)),
     "dq_fact_null_profile": _star(lambda s: null_profile(s.fact.select(*FACT_PROFILE_COLS))),
     # traffic → congestion
@@ -108,8 +176,18 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "corridor_congestion": lambda spark, d: T.corridor_congestion(T.traffic_daily(T.tms_15min(spark, d))),
     # annual statistics
     "export_statistics": lambda spark, d: S.export_statistics(spark, d),
-    "q5_risk_bands_sql": _star(lambda s: Q.q5_sql(s.spark, {"fact_export_transactions": star.fact_view(s.fact)})),
-    "df30_scenario_rescore": _star(lambda s: Q.rescore(s.fact, Q.scenario_table(s.spark))),
+    **{f"{name}_sql": _sql(name[:2]) for name in ("q1_compliance", "q2_otif_by_week", "q3_dm_elasticity", "q4_dm_variance", "q5_risk_bands",
+                                                  "q6_worst_weeks")},
+    "snk9_query_results": lambda spark, d: query_results(spark, d),
+    "agg9_dm_by_variety": _star(lambda s: Q.dm_by_variety(s.fruit)),
+    "agg14_distinct_counts": _star(lambda s: Q.distinct_counts(s.fact)),
+    "agg14_distinct_sketches": _star(lambda s: distinct_sketch_totals(s.fact)),
+    "agg22_season_validation": _star(lambda s: Q.season_validation(s.readings, s.subs)),
+    "agg22_dm_by_subzone": _star(lambda s: Q.dm_by_subzone(s.readings)),
+    "agg25_fact_totals": _star(lambda s: Q.fact_totals(s.fact)),
+    "agg10_quantile_sketches": lambda spark, d: median_of_sketches(spark, d),
+    "dq1_traffic_audit": lambda spark, d: traffic_audit(spark, d),
+    "df30_scenario_rescore": _star(lambda s: Q.rescore(s.fact)),
     "win7_dm_elasticity": _star(lambda s: Q.dm_elasticity(s.fact)),
     "win6_rain_7d": lambda spark, d: T.rain_daily_7d(spark, d),
     # models
@@ -118,11 +196,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "m2b_otif_model_leak_free": _star(lambda s: ML.m2(s.spark, s.fact, leak_free=True)),
     "m2_weight_alignment": _star(lambda s: ML.m2_alignment(s.spark, s.fact)),
     "ml_rule_metrics": _star(lambda s: ML.rule_metrics(s.fact)),
-    # streaming (availableNow runs over the whole table; complete mode = batch)
+    # streaming (availableNow runs over the whole table)
     "str1_daily_traffic_stream": lambda spark, d: STR.daily_traffic_stream_batch(spark, d),
     "str2_rain_7d_stream": lambda spark, d: STR.rain_7d_stream_batch(spark, d),
     "str3_dedupe_stream": lambda spark, d: STR.dedupe_stream_batch(spark, d),
     "str4_live_state_stream": lambda spark, d: STR.live_state_batch(spark, d),
+    "str5_enrich_stream": lambda spark, d: STR.enrich_stream_batch(spark, d),
+    "str6_publish_stream": lambda spark, d: STR.publish_stream_batch(spark, d),
 }
 
 

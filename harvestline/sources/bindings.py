@@ -78,15 +78,19 @@ def size_code(u100) -> F.Column:
 LINEITEM_COLS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_discount", "l_shipdate"]
 
 
-def submissions(spark: SparkSession, sf_dir: str, lineitem: DataFrame | None = None) -> DataFrame:
+def submissions(spark: SparkSession, sf_dir: str, lineitem: DataFrame | None = None, numbered: bool = False) -> DataFrame:
     """Pallet submission batches (the generator's submission table), one per
     lineitem.  ``lineitem`` may be a streaming DataFrame: part and supplier
-    are then joined stream–static (STR5)."""
+    are then joined stream–static (STR5).  ``numbered`` gives each its order and
+    line number, and leaves the subzone to whoever joins the growers."""
     li = (lineitem if lineitem is not None else read_table(spark, sf_dir, "lineitem")).select(*LINEITEM_COLS)
     part = read_table(spark, sf_dir, "part", ["p_partkey", "p_type"])
-    sz = supplier_subzone(spark, sf_dir)
-    j = (li.join(part, li.l_partkey == part.p_partkey)
-           .join(sz, li.l_suppkey == sz.s_suppkey))
+    j = li.join(part, li.l_partkey == part.p_partkey)
+    if numbered:
+        extra = [F.col("l_orderkey").alias("order_key"), F.col("l_linenumber").alias("line_number")]
+    else:
+        sz = supplier_subzone(spark, sf_dir)
+        j, extra = j.join(sz, li.l_suppkey == sz.s_suppkey), ["subzone"]
     ok, pk, sk, ln = (F.col(c) for c in ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"))
     d = F.to_date("l_shipdate")
     variety = lookup("p_type", C.PART_TYPE_VARIETY)
@@ -95,7 +99,7 @@ def submissions(spark: SparkSession, sf_dir: str, lineitem: DataFrame | None = N
     disc_pct = F.round(F.col("l_discount") * 100).cast("long")
     base = j.select(
         (F.lit(100000) + sk).cast("long").alias("kpin"),
-        "subzone",
+        *extra,
         variety.alias("variety"),
         d.alias("submission_date"),
         date_key(d).alias("date_key"),
@@ -125,3 +129,16 @@ def submissions(spark: SparkSession, sf_dir: str, lineitem: DataFrame | None = N
     })
     return out.withColumn("total_return_nzd",
                           DF.total_return("submit_payment_nzd", "taste_payment_nzd", "mts_pass"))
+
+
+def feed_landings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """External feed records (SRC12), one a month, from the month's orders: n orders
+    give rain of n mod 5, none and (n mod 7) / 2 mm, rates of (500 + n mod 100) / 1000
+    euros and 80 + n mod 10 yen, and n mod 3 verified ways."""
+    orders = read_table(spark, sf_dir, "orders", ["o_orderdate"]).where("o_orderdate is not null")
+    months = orders.groupBy(F.trunc(F.to_date("o_orderdate"), "month").alias("month")).agg(F.count(F.lit(1)).alias("n"))
+    n = F.col("n")
+    return months.select(
+        F.array((n % 5).cast("double"), F.lit(None).cast("double"), (n % 7) / 2.0).alias("precipitation_sum"),
+        F.struct(((n % 100 + 500) / 1000.0).alias("EUR"), (n % 10 + 80).cast("double").alias("JPY")).alias("rates"),
+        F.col("month").cast("string").alias("date"), (n % 3).cast("int").alias("ways"))

@@ -3,9 +3,8 @@ enrichment join (JN12).
 
 All reads use explicit all-string schemas and ``try_cast`` afterwards —
 nothing is inferred, so a bad value becomes null instead of failing the
-job.  Choices between encodings or delimiters are made from a bounded
-sample (``limit`` rows), never from the whole file; the chosen read is then
-a normal distributed scan.
+job.  Choices between encodings or delimiters are made from the whole file by
+distributed aggregates; the chosen read is then a normal distributed scan.
 """
 
 from __future__ import annotations
@@ -50,29 +49,32 @@ def _replacement_chars(df: DataFrame) -> int:
     return int(row["n"] or 0)
 
 
-def header_names(spark: SparkSession, path: str, encoding: str, sep: str = ",") -> list:
-    """The first line of the file parsed as CSV (one line reaches the driver)."""
-    import csv
-    first = (spark.read.option("encoding", _SPARK_CHARSET.get(encoding, encoding)).option("lineSep", "\n")
-             .text(path).limit(1).collect())
-    line = first[0]["value"].lstrip("\ufeff") if first else ""
-    return next(csv.reader([line], delimiter=sep)) if line else []
+def judge_encodings(spark: SparkSession, path: str) -> tuple[dict[str, bool], bytes]:
+    """Which single-byte and UTF-8 encodings every byte of a file is valid in, and its
+    first line: one scan of the bytes judges all candidates."""
+    lines = spark.read.text(path).select(F.col("value").cast("binary").alias("raw"), F.is_valid_utf8("value").alias("utf8"),
+                                         F.col("_metadata.file_block_start").alias("at"), F.monotonically_increasing_id().alias("line"))
+    # FIXED VALUES: the bytes that windows-1252 leaves undefined
+    undefined = F.hex("raw").rlike("^(..)*(81|8D|8F|90|9D)")
+    found = lines.agg(F.min("utf8").alias("utf8"), (F.max(undefined.cast("int")) == 0).alias("cp1252"),
+                      F.hex(F.min_by("raw", F.when(F.col("at") == 0, F.col("line")))).alias("head")).first()
+    utf8 = found["utf8"] is not False
+    valid = {"utf-8-sig": utf8, "utf-8": utf8, "latin-1": True, "cp1252": found["cp1252"] is not False}
+    return valid, bytes.fromhex(found["head"] or "")
 
 
 def read_csv(spark: SparkSession, path: str, charsets=ENCODINGS, header: bool = True) -> DataFrame:
-    """SRC1: the first candidate encoding that decodes the whole file without
-    replacement characters wins.  Header names are repaired (PRJ2: a
-    repeated name gets ``_1``, ``_2``) and given as an all-string schema."""
-    best = None
-    for enc in charsets:
-        schema = string_schema(dedupe_names(header_names(spark, path, enc))) if header else None
-        df = _raw(spark, path, enc, header=header, schema=schema)
-        bad = _replacement_chars(df)
-        if bad == 0:
-            return df
-        if best is None or bad < best[0]:
-            best = (bad, df)
-    return best[1]
+    """SRC1: the first candidate encoding that all bytes of the file are valid in wins
+    (the last one if none is).  Header names are repaired (PRJ2: a repeated name
+    gets ``_1``, ``_2``) and given as an all-string schema."""
+    import csv
+    valid, head = judge_encodings(spark, path)
+    enc = next((c for c in charsets if valid.get(c, False)), list(charsets)[-1])
+    schema = None
+    if header:
+        line = head.decode(enc, "replace").lstrip("\ufeff").rstrip("\r")
+        schema = string_schema(dedupe_names(next(csv.reader([line])) if line else []))
+    return _raw(spark, path, enc, header=header, schema=schema)
 
 
 def read_csv_glob(spark: SparkSession, pattern: str, predicate=None) -> DataFrame:
@@ -140,18 +142,28 @@ def read_feed(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(FEED_SCHEMA).json(path)
 
 
-def enrich_feed(agg: DataFrame, feed: DataFrame) -> DataFrame:
-    """JN12: override the season's rain with the 7-day feed total (nulls
-    skipped, FN16), add FX and a corridor-verified flag.  The feed is one
-    row (the latest landing), broadcast; a missing part leaves the ETL value
-    and a null field, as each published call is independently guarded."""
+def feed_values(feed: DataFrame) -> DataFrame:
+    """By landing: its date, the 7-day rain total (nulls skipped, FN16), exchange
+    rates and whether the corridors were verified; a missing part is null."""
     from ..functions.scalars import array_sum_skip_null
-    f = feed.agg(F.max_by(F.struct("*"), F.struct(F.coalesce("date", F.lit("")), F.xxhash64("*"))).alias("r")).where("r is not null").select("r.*").select(
-        F.round(array_sum_skip_null("precipitation_sum"), 1).alias("_rain"),
+    return feed.select(
+        F.col("date").alias("fx_date"), F.round(array_sum_skip_null("precipitation_sum"), 1).alias("rain_feed"),
         F.round(F.col("rates.EUR"), 4).alias("nzd_eur"), F.round(F.col("rates.JPY"), 2).alias("nzd_jpy"),
-        F.col("date").alias("fx_date"),
         F.when(F.col("ways").isNotNull(), F.col("ways") > 0).alias("corridors_verified"))
-    # left join on true against the (at most) one feed row: no feed, no change
-    j = agg.join(F.broadcast(f), on=F.lit(True), how="left")
-    return (j.withColumn("rain_source", F.when(F.col("_rain").isNotNull(), F.lit("feed")).otherwise(F.lit("etl")))
-             .withColumn("rain_avg", F.coalesce(F.col("_rain"), F.col("rain_avg"))).drop("_rain"))
+
+
+def enrich_feed(agg: DataFrame, feed: DataFrame, date_col: str | None = None) -> DataFrame:
+    """JN12: override a season's rain with the feed's total and add FX and a
+    corridor-verified flag; a missing part leaves the ETL value and a null field,
+    as each published call is independently guarded.  With ``date_col`` a row
+    takes the landing that is valid at its date, else the latest one."""
+    from ..operators.joins import as_of
+    landings = feed_values(feed)
+    if date_col is None:
+        # at most one row: no landing, no change
+        latest = landings.agg(F.max(F.struct(F.coalesce("fx_date", F.lit("")).alias("_day"), *landings.columns)).alias("r"))
+        j = agg.join(F.broadcast(latest.where("r is not null").select("r.*").drop("_day")), on=F.lit(True), how="left")
+    else:
+        j = as_of(agg, landings, date_col, "fx_date")
+    return (j.withColumn("rain_source", F.when(F.col("rain_feed").isNotNull(), F.lit("feed")).otherwise(F.lit("etl")))
+             .withColumn("rain_avg", F.coalesce(F.col("rain_feed"), F.col("rain_avg"))).drop("rain_feed"))

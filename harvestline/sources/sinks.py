@@ -13,8 +13,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .. import config as C
+from ..session import checkpoint_dir
 from .tables import drop_path
 
 
@@ -27,48 +29,98 @@ def write_table(df: DataFrame, path: str, partition_by=None, mode: str = "overwr
     return path
 
 
+#: Rows of one reading are dealt to so many cells, so that a hot reading is many tasks.
+READING_CELLS = 16
+#: A reading's key without nulls, so that it joins by equality: ``k_`` columns stand for season, week and variety.
+READING = ["kpin", "k_season", "k_week", "k_variety"]
+CELL = [*READING, "cell"]
+
+
+def stage_submissions(spark: SparkSession, sf_dir: str, table: str, path: str) -> DataFrame:
+    """The numbered submissions, stored in buckets of the reading cell: all that
+    the build needs from the raw tables, read and shuffled once."""
+    from . import bindings
+    subs = bindings.submissions(spark, sf_dir, numbered=True)
+    subs = subs.withColumns({
+        "k_season": F.coalesce("season", F.lit("")), "k_week": F.coalesce("pack_week", F.lit(0)), "k_variety": F.coalesce("variety", F.lit("")),
+        "cell": F.pmod(F.col("order_key") + F.col("line_number"), F.lit(READING_CELLS)).cast("int")})
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    (subs.repartition(n, *CELL).write.bucketBy(n, *CELL).sortBy(*CELL, "order_key", "line_number")
+         .option("path", path).mode("overwrite").saveAsTable(table))
+    return spark.table(table)
+
+
+def star_keys(staged: DataFrame, growers: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Readings with their dense keys, and by reading cell what its submissions get.
+
+    ``fruit_key`` numbers the readings in order; the number of submissions of all
+    readings before one (and of the cells before one) is where the ``export_id``s
+    of a cell start.  A reading without a grower is left out, as its submissions are.
+    """
+    from ..operators.keys import prefix_sums
+    same = [F.max(c).alias(c) for c in ("season", "pack_week", "variety", "pest_indicator")]  # one value a reading
+    cells = staged.groupBy(*CELL).agg(
+        *same, F.sum("dm_centi").alias("dm_sum"), F.count(F.lit(1)).alias("n"), F.min("submission_date").alias("reading_date"))
+    counted = cells.groupBy(*READING).agg(
+        *same, F.sum("dm_sum").alias("dm_sum"), F.sum("n").alias("n"), F.min("reading_date").alias("reading_date"),
+        F.array_sort(F.collect_list(F.struct("cell", "n"))).alias("cells"))  # READING_CELLS at most
+    known = counted.join(growers.select("kpin", "subzone", "grower_key"), "kpin").withColumn("one", F.lit(1).cast("long"))
+    numbered = prefix_sums(known, ["k_season", "kpin", "k_week", "k_variety"], {"fruit_key": "one", "first": "n"})
+    numbered = numbered.withColumn("fruit_key", F.col("fruit_key") + 1).drop("one")
+    each = numbered.select(*READING, "subzone", "grower_key", "fruit_key", "first", "cells", F.posexplode("cells").alias("_at", "_cell"))
+    earlier = F.aggregate(F.slice("cells", F.lit(1), F.col("_at")), F.lit(0).cast("long"), lambda acc, c: acc + c["n"])
+    starts = each.select(*READING, F.col("_cell.cell").alias("cell"), "subzone", "grower_key", "fruit_key", (F.col("first") + earlier).alias("first"))
+    return numbered.drop("cells", "first"), starts
+
+
 def build_star(spark: SparkSession, sf_dir: str, out_dir: str, **fact_kw) -> dict:
     """SNK4: materialise the star schema, dimensions before the fact.
 
-    Surrogate keys are dense and deterministic (``operators.keys``).  The
-    fact is written partitioned by season so season-sliced reads (SRC8)
-    prune partitions.  Returns the written paths.
+    The raw submissions are read once and shuffled once, into buckets of their
+    reading cell.  Readings, keys and fact all start from the buckets: the fact
+    joins its keys and numbers its rows without moving.  All surrogate keys are
+    dense and follow from the rows alone.  The fact is partitioned by season so
+    season-sliced reads (SRC8) prune.  Returns the written paths.
     """
-    from ..operators.keys import hashed_surrogate_key, surrogate_key
+    from ..operators.keys import surrogate_key
     from ..plans import star
-    from . import bindings
 
+    run = uuid.uuid4().hex
+    table, stage_path = f"star_stage_{run}", os.path.join(checkpoint_dir(spark), "scratch", f"star-{run}")
     paths = {}
-    subs = bindings.submissions(spark, sf_dir)
-    tdim = star.dim_time(spark)
+    staged = stage_submissions(spark, sf_dir, table, stage_path)
+    tdim = star.dim_time(spark, staged)
     cor = star.dim_corridor(spark)
     paths["dim_time"] = write_table(tdim, os.path.join(out_dir, "dim_time"))
     paths["dim_corridor"] = write_table(cor, os.path.join(out_dir, "dim_corridor"))
     growers = surrogate_key(star.dim_grower(spark, sf_dir, cor), ["kpin"], "grower_key")
     paths["dim_grower"] = write_table(growers, os.path.join(out_dir, "dim_grower"))
-    # readings and the fact come out of shuffles (row order inside a shuffled
-    # partition is not fixed), so they are checkpointed before numbering
-    fruit = surrogate_key(star.dim_fruit_quality(subs), ["season", "kpin", "pack_week", "variety"], "fruit_key",
-                          materialize=True)
-    paths["dim_fruit_quality"] = write_table(fruit, os.path.join(out_dir, "dim_fruit_quality"))
-    g = spark.read.parquet(paths["dim_grower"])
-    fr = spark.read.parquet(paths["dim_fruit_quality"]).select("kpin", "season", "pack_week", "variety", "fruit_key")
-    f = star.fact(spark, sf_dir, subs, time_dim=tdim, growers=g, **fact_kw)
-    f = f.join(fr, ["kpin", "season", "pack_week", "variety"], "left")
-    # the fact is the big table: hash-bucketed numbering, no checkpoint pass
-    f = hashed_surrogate_key(f, ["season", "kpin", "pack_week", "variety", "submission_date", "trays_submitted",
-                                 "trays_lost", "dm_pct_avg", "submit_payment_nzd", "taste_payment_nzd"], "export_id")
-    paths["fact_export_transactions"] = write_table(f, os.path.join(out_dir, "fact_export_transactions"),
-                                                    partition_by="season")
+    readings, starts = star_keys(staged, spark.read.parquet(paths["dim_grower"]))
+    paths["dim_fruit_quality"] = write_table(star.fruit_columns(star.reading_columns(readings), "fruit_key"), os.path.join(out_dir, "dim_fruit_quality"))
+    f = star_fact(spark, sf_dir, staged, starts, spark.read.parquet(paths["dim_time"]), **fact_kw)
+    paths["fact_export_transactions"] = write_table(f, os.path.join(out_dir, "fact_export_transactions"), partition_by="season")
+    spark.sql(f"DROP TABLE {table}")
+    drop_path(spark, stage_path)
     return paths
 
 
+def star_fact(spark: SparkSession, sf_dir: str, staged: DataFrame, starts: DataFrame, time_dim: DataFrame, **fact_kw) -> DataFrame:
+    """The stored fact: bucketed submissions with the keys of their cell ,
+    numbered inside it."""
+    from ..plans import star
+    order = Window.partitionBy(*CELL).orderBy("order_key", "line_number")
+    placed = staged.join(starts, CELL).withColumn("export_id", F.col("first") + F.row_number().over(order))
+    return star.fact(spark, sf_dir, placed, time_dim=time_dim, keep=("export_id", "fruit_key", "order_key", "line_number"), **fact_kw)
+
+
 def read_star(spark: SparkSession, star_dir: str) -> dict:
-    """SRC7 over a materialised star: tables as DataFrames, registered as views."""
+    """SRC7 over a materialised star: tables as DataFrames, registered as views
+    (the fact's as in ``star_views``, booleans as 0/1)."""
+    from ..plans.star import fact_view
     names = ["dim_time", "dim_corridor", "dim_grower", "dim_fruit_quality", "fact_export_transactions"]
     out = {n: spark.read.parquet(os.path.join(star_dir, n)) for n in names}
     for n, df in out.items():
-        df.createOrReplaceTempView(n)
+        (fact_view(df) if n == "fact_export_transactions" else df).createOrReplaceTempView(n)
     return out
 
 
@@ -119,7 +171,7 @@ def publish_if_healthy(df: DataFrame, health: DataFrame | Callable[[DataFrame],
     staged = write_table(df, f"{base}/versions/{run_id}", partition_by=partition_by)
     found = health(spark.read.parquet(staged)) if callable(health) else health
     row = found.first().asDict()  # one row
-    score, broken = row["health_score"], [c for c in HARD_CHECKS if row.get(c)]
+    score, broken = row["health_score"], [c for c in HARD_CHECKS if row.get(c, 0) != 0]
     ok = score is not None and score >= gate and not broken
     if ok:
         (spark.range(1).select(F.lit(run_id).alias("run_id"), F.current_timestamp().alias("published_at"))

@@ -8,9 +8,12 @@ from __future__ import annotations
 
 import logging
 import os
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import checkpoint_dir
+
 DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders",
                  "lineitem", "events", "documents", "embeddings", "pages",
                  "benchmark", "labels", "conversations")
@@ -36,6 +39,28 @@ def drop_path(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def move_path(spark: SparkSession, source: str, target: str) -> None:
+    """Move a folder to a path that does not exist yet."""
+    p = spark._jvm.org.apache.hadoop.fs.Path
+    store = p(source).getFileSystem(spark._jsc.hadoopConfiguration())
+    store.mkdirs(p(target).getParent())
+    if not store.rename(p(source), p(target)):
+        raise OSError(f"could not move {source} to {target}")
+
+
+def put_table(df: DataFrame, path: str) -> DataFrame:
+    """Write ``df`` unless the table is there, and read it back: what is built on
+    it starts from files, whichever executors are lost."""
+    if path_status(df.sparkSession, f"{path}/_SUCCESS") is None:
+        df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def scratch_table(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` to a new folder under the shared checkpoint folder and read it back."""
+    return put_table(df, os.path.join(checkpoint_dir(df.sparkSession), "scratch", f"{name}-{uuid.uuid4().hex}"))
+
+
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
 
