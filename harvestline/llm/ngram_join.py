@@ -303,32 +303,44 @@ def shingle_classes(docs: DataFrame, width: int = 5) -> DataFrame:
         "doc_id", "n", F.when(F.col("doc_id").isNotNull(), F.col("rep")).alias("rep")), "classes")
 
 
-def similar_links(docs: DataFrame, classes: DataFrame, width: int = 5, num: int = 3, den: int = 4,
-                  list_rows: int = LIST_ROWS, heavy_keys: int = HEAVY_KEYS) -> DataFrame:
-    """Verified links (a, b) between class members that, with class membership,
-    connect exactly the texts that all links connect."""
+def _frequent(counts: DataFrame, list_rows: int, heavy_keys: int) -> tuple[np.ndarray, np.ndarray]:
+    """The most frequent of counted keys, with their counts: at most ``heavy_keys``, 16 bytes each."""
+    top = counts.where(F.col("cnt") > list_rows).orderBy(F.desc("cnt"), "key").limit(heavy_keys).toPandas()
+    return top["key"].to_numpy(np.int64), top["cnt"].to_numpy(np.int64)
+
+
+def _union(first, second, heavy_keys: int) -> np.ndarray:
+    """The most frequent of both, sorted as unsigned numbers."""
+    key, cnt = (np.concatenate(x) for x in zip(first, second))
+    order = np.lexsort((key, -cnt))
+    key = key[order]
+    _, at = np.unique(key, return_index=True)  # a key's larger count comes first
+    return np.sort(key[np.sort(at)[:heavy_keys]].view(_U))
+
+
+def components_of_sets(docs: DataFrame, classes: DataFrame, width: int = 5, num: int = 3, den: int = 4,
+                       list_rows: int = LIST_ROWS, heavy_keys: int = HEAVY_KEYS) -> DataFrame:
+    """(node, component) of class members (and of ids that several rows have) that links
+    connect to others, straight or by way of further texts."""
     spark = docs.sparkSession
+    ids = stored(classes.where("doc_id is not null").groupBy("doc_id").agg(
+        F.count(F.lit(1)).alias("c"), F.max("rep").alias("rep")).where("c > 1 or rep <> doc_id"), "ids")
     # members that another text of the same set stands for; ids used twice keep all their rows
-    copies = stored(classes.where("doc_id is not null").groupBy("doc_id").agg(
-        F.count(F.lit(1)).alias("c"), F.max("rep").alias("rep")).where("c = 1 and rep <> doc_id").select("doc_id"), "copies")
+    copies = ids.where("c = 1").select("doc_id")
     distinct = (docs.select(F.col("doc_id").cast("long"), "text").where("doc_id is not null")
                     .join(small_side(copies), "doc_id", "left_anti"))
 
-    def frequent(counts: DataFrame) -> DataFrame:
-        return counts.groupBy("key").agg(F.sum("cnt").alias("cnt")).where("cnt > 1")
+    def counted(ref=None) -> DataFrame:
+        keys = distinct.mapInArrow(_counted(width, num, den, ref), "key long, cnt long")
+        return keys.groupBy("key").agg(F.sum("cnt").alias("cnt")).where("cnt > 1")
 
-    shared = stored(frequent(distinct.mapInArrow(_counted(width, num, den), "key long, cnt long")), "shared")
-    top = shared.where(F.col("cnt") > list_rows).orderBy(F.desc("cnt"), "key").limit(heavy_keys)
-    first = {r.key: r.cnt for r in top.collect()}  # at most heavy_keys rows
-    heavy = np.sort(np.array(list(first), np.int64).view(_U))
+    shared = stored(counted(), "shared")
+    frequent = _frequent(shared, list_rows, heavy_keys)
+    heavy = _union(frequent, frequent, heavy_keys)
     if len(heavy):
         ref = spark.sparkContext.broadcast(heavy)
-        more = frequent(distinct.mapInArrow(_counted(width, num, den, ref), "key long, cnt long"))
-        more = more.where(F.col("cnt") > list_rows).orderBy(F.desc("cnt"), "key").limit(heavy_keys)
-        for r in more.collect():  # at most heavy_keys rows
-            first[r.key] = max(r.cnt, first.get(r.key, 0))
-        kept = sorted(first, key=lambda k: (-first[k], k))[:heavy_keys]
-        heavy = np.sort(np.array(kept, np.int64).view(_U))
+        heavy = _union(frequent, _frequent(counted(ref), list_rows, heavy_keys), heavy_keys)
+        ref.destroy()
     ref = spark.sparkContext.broadcast(heavy)
 
     row = shared.where(F.col("cnt") <= list_rows).agg(
@@ -343,6 +355,7 @@ def similar_links(docs: DataFrame, classes: DataFrame, width: int = 5, num: int
                                "kind int, a long, b long, key long, n int, pos int"))
     with batch_rows(spark, NARROW_ROWS):
         lists = stored(lists, "lists")
+    ref.destroy()
     light = lists.where("kind = 0").select("a", "b").distinct()
     long_lists = stored(lists.where("kind = 1").select("key", F.col("a").alias("id"), "n", "pos"), "long-lists")
 
@@ -377,7 +390,8 @@ def similar_links(docs: DataFrame, classes: DataFrame, width: int = 5, num: int
             return stored(both.select("a", "b", "sa", "sb").mapInArrow(_verify(num, den), "a long, b long"), "links")
 
     links = verified(tested)
-    parts = connected_components(links)
+    repeated = classes.join(ids.where("c > 1").select("doc_id"), "doc_id", "left_semi")
+    parts = connected_components(links.unionByName(repeated.select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))))
     rows = (long_lists.join(parts.withColumnRenamed("node", "id"), "id", "left")
                       .withColumn("part", F.coalesce("component", "id")).drop("component"))
     open_lists = rows.groupBy("key").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo < hi").select("key")
@@ -388,7 +402,17 @@ def similar_links(docs: DataFrame, classes: DataFrame, width: int = 5, num: int
                                           & bound("n", "n2", "pos", "pos2"))
                 .select(F.col("id").alias("a"), F.col("id2").alias("b")).distinct()
                 .join(tested, ["a", "b"], "left_anti"))
-    return links.unionByName(verified(rest))
+    across = verified(rest)
+    if across.isEmpty():
+        return parts
+    # links between parts join whole parts, far fewer than texts
+    part_of = parts.unionByName(across.select(F.col("a").alias("node")).unionByName(across.select(F.col("b").alias("node"))).distinct()
+                                      .join(parts, "node", "left_anti").select("node", F.col("node").alias("component")))
+    joined = connected_components(across.join(part_of.select(F.col("node").alias("a"), F.col("component").alias("x")), "a")
+                                        .join(part_of.select(F.col("node").alias("b"), F.col("component").alias("y")), "b")
+                                        .select(F.col("x").alias("a"), F.col("y").alias("b")))
+    return part_of.join(joined.select(F.col("node").alias("component"), F.col("component").alias("whole")), "component", "left").select(
+        "node", F.coalesce("whole", "component").alias("component"))
 
 
 def ngram_components(docs: DataFrame, width: int = 5, num: int = 3, den: int = 4, **options) -> DataFrame:
@@ -396,12 +420,11 @@ def ngram_components(docs: DataFrame, width: int = 5, num: int = 3, den: int = 4
     doc_id, n_shingles, component_id (the smallest doc_id reachable by links)."""
     prepare(docs.sparkSession)
     classes = shingle_classes(docs, width)
-    links = similar_links(docs, classes, width, num, den, **options)
-    member = classes.where("rep <> doc_id").select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
-    parts = connected_components(links.select("a", "b").unionByName(member))
-    out = classes.join(parts.withColumnRenamed("node", "doc_id"), "doc_id", "left")
-    return out.select("doc_id", F.col("n").alias("n_shingles"),
-                      F.coalesce("component", "doc_id").alias("component_id"))
+    parts = components_of_sets(docs, classes, width, num, den, **options)
+    # a row goes by its class, and a row whose doc_id stands for several texts by that, which the parts hold where it matters
+    own = classes.join(parts.select(F.col("node").alias("doc_id"), F.col("component").alias("own")), "doc_id", "left")
+    out = own.join(parts.select(F.col("node").alias("rep"), F.col("component").alias("by_class")), "rep", "left")
+    return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("own", "by_class", "rep", "doc_id").alias("component_id"))
 
 
 def keep_representatives(docs: DataFrame, width: int = 5, num: int = 3, den: int = 4, **options) -> DataFrame:
