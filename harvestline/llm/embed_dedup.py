@@ -1,17 +1,24 @@
-"""Embedding near-duplicates by projection cells, every cell compared in full.
-
-Each pass cuts ``bits`` random projections of the unit vectors into cells of
-one width, with random offsets, and compares all vectors of a label that lie
-in the same cells.  Whether a pair meets depends on its own distance alone,
-not on where the vectors of the label lie or how dense they are: a common mean
-or a crowded cone makes cells fuller, never recall lower.  The number of
-passes follows from that probability: a pair at exactly the threshold meets
-in some pass with probability ``recall``.
-
-Bits and width are chosen for each label by cost, from the cells that a
-bounded sample of it fills; without bits the whole label is one cell, which
-is one pass and exact.  The choice changes cost, not recall.  A cell of more
-than ``window`` rows is compared block against block.
+"""Embedding near-duplicates by sorted projection passes.
+
+Each pass hashes the unit vectors of a label by random projections, each cut
+into cells of one width with a random offset, and orders the vectors
+lexicographically by the concatenated cells.  Every vector is compared with
+the ``window`` vectors that follow it in that order, and the verified pairs of
+all passes are united.  Where a run of equal hashes is longer than the window,
+the window grows to the whole run, block against block, so vectors that agree
+in all cells always meet.
+
+Whether two vectors agree in all cells depends on their own distance alone, not
+on where the vectors of the label lie or how dense they are: a common mean or a
+crowded cone makes runs longer, never recall lower.  The number of passes
+follows from that probability: a pair at exactly the threshold agrees in some
+pass with probability ``recall``; what meets as neighbours besides is extra.
+The number of projections and the width are chosen for each label by cost, from
+the runs that a bounded sample of it fills.  The choice changes cost, not recall.
+
+The order of all passes and labels is one sort across the cluster; its ranks
+are cut into blocks of ``window`` rows, and a task compares a block with itself
+and the next one, so a hot label is as many tasks as it has blocks.
 
 Equal vectors are one class before that, so copies fill no cells.  The passes
 emit only pairs that connect; the links inside each component are then counted
@@ -19,8 +26,10 @@ exactly, block against block, without emitting a pair.
 
 Defined results: vectors that are null, empty, zero, or hold null or
 non-finite components, and rows with a null label or vec_id, link with
-nothing; vectors of different lengths never link; repeated rows are copies;
-an empty table gives an empty result.
+nothing; vectors of different lengths never link; a pair at exactly the
+threshold links; vectors with equal hashes are ordered by vec_id; repeated rows
+are copies; very long vectors are projected like others; an empty table gives
+an empty result; columns other than the three named ones are ignored.
 """
 
 from __future__ import annotations
@@ -34,11 +43,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.keys import surrogate_key
 from .common import prepare, small_side, stored
 from .components import connected_components
 
-#: Rows of a cell that are compared with as many others at once.
-WINDOW = 512
+#: Vectors that each one is compared with in the order of a pass, at least.
+WINDOW = 256
 RECALL = 0.9999
 COUNT_ROWS = 512
 #: Rows of a label from which the cost of its passes is measured.
@@ -63,8 +73,8 @@ def passes_for(bits: int, width: float, recall: float) -> int:
 
 
 def _choices(recall: float) -> list[tuple[int, int, int]]:
-    """(bits, width, passes); the first is the whole label as one cell."""
-    return [(0, 1, 1)] + [(b, w, passes_for(b, w, recall)) for w in WIDTHS for b in BITS]
+    """(projections, width, passes)"""
+    return [(b, w, passes_for(b, w, recall)) for w in WIDTHS for b in BITS]
 
 
 def _directions(vectors: list[np.ndarray]) -> np.ndarray:
@@ -80,23 +90,22 @@ class _Planes:
     def __init__(self, seed: int):
         self.seed, self.held, self.size = seed, {}, 0
 
-    def of(self, dim: int, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def of(self, dim: int, k: int) -> tuple[np.ndarray, np.ndarray]:
         if (dim, k) in self.held:
             return self.held[dim, k]
         rng = np.random.default_rng([self.seed, dim, k])
-        got = (rng.standard_normal((dim, BITS[-1])), rng.random(BITS[-1]),
-               rng.integers(0, 1 << 63, BITS[-1], dtype=np.uint64) * np.uint64(2) + np.uint64(1))
+        got = (rng.standard_normal((dim, BITS[-1])), rng.random(BITS[-1]))
         if self.size + got[0].nbytes <= PLANE_CACHE:
             self.held[dim, k], self.size = got, self.size + got[0].nbytes
         return got
 
-    def keys(self, x: np.ndarray, k: int, bits: int, width: float) -> np.ndarray:
-        """The cell of each row: one number (numbers that clash only join two cells)."""
-        u, offset, odd = self.of(x.shape[1], k)
-        cells = np.floor(x @ u[:, :bits] / width + offset[:bits]).astype(np.int64).astype(np.uint64)
-        mixed = (cells * odd[:bits]).sum(axis=1, dtype=np.uint64)
-        mixed ^= mixed >> np.uint64(31)
-        return (mixed * np.uint64(0x9E3779B97F4A7C15)).view(np.int64)
+    def keys(self, x: np.ndarray, k: int, bits: int, width: float) -> list[bytes]:
+        """The concatenated cells of each row, two bytes a cell, in an order that bytes keep
+        (cells beyond that range are one)."""
+        u, offset = self.of(x.shape[1], k)
+        cells = np.floor(x @ u[:, :bits] / width + offset[:bits])
+        raw = (np.clip(cells, -32768, 32767) + 32768).astype(">u2").tobytes()
+        return [raw[i:i + 2 * bits] for i in range(0, len(raw), 2 * bits)]
 
 
 def _by_dim(batch: pa.RecordBatch):
@@ -137,28 +146,41 @@ def _key_task(distance: float, choices: list, seed: int):
     return run
 
 
-def _cell_task(threshold: float):
+def _window_task(threshold: float, window: int):
+    """Pairs of a block and what follows within the window."""
     def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        i, j = key[-2:]
-        pdf = pdf.sort_values(["label", "dim", "cell"], kind="stable")
-        cell, rep, blk = pdf[["label", "dim", "cell"]].to_numpy(), pdf["rep"].to_numpy(), pdf["blk"].to_numpy()
+        pdf = pdf.sort_values("rank", kind="stable")
+        rank, rep, group = pdf["rank"].to_numpy(), pdf["rep"].to_numpy(), pdf[["label", "dim", "pass"]].to_numpy()
         out = [np.zeros((0, 2), np.int64)]
-        edges = np.flatnonzero(np.concatenate(([True], (cell[1:] != cell[:-1]).any(axis=1), [True])))
+        edges = np.flatnonzero(np.concatenate(([True], (group[1:] != group[:-1]).any(axis=1), [True])))
         for a, b in zip(edges[:-1], edges[1:]):
-            if b - a < 2:
+            left = np.flatnonzero((rank[a:b] - 1) // window == key[0])
+            if b - a < 2 or not len(left):
                 continue
-            x, r = _directions(list(pdf["v"].iloc[a:b])), rep[a:b]
-            left, right = np.flatnonzero(blk[a:b] == i), np.flatnonzero(blk[a:b] == j)
-            near = (x[left] @ x[right].T) >= threshold
-            if i == j:
-                near = np.triu(near, 1)
-            p, q = np.nonzero(near)
-            out.append(_forest(np.stack((r[left[p]], r[right[q]]), 1)))
+            x, r, at = _directions(list(pdf["v"].iloc[a:b])), rep[a:b], rank[a:b]
+            ahead = at - at[left][:, None]
+            p, q = np.nonzero((x[left] @ x.T >= threshold) & (ahead > 0) & (ahead <= window))
+            out.append(_forest(np.stack((r[left[p]], r[q]), 1)))
         got = _forest(np.concatenate(out))
         return pd.DataFrame({"a": got[:, 0], "b": got[:, 1]})
     return run
 
 
+def _run_task(threshold: float):
+    """Pairs of two blocks of a run of equal hashes."""
+    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        i, j = key[-2:]
+        x, rep, blk = _directions(list(pdf["v"])), pdf["rep"].to_numpy(), pdf["blk"].to_numpy()
+        left, right = np.flatnonzero(blk == i), np.flatnonzero(blk == j)
+        near = (x[left] @ x[right].T) >= threshold
+        if i == j:
+            near = np.triu(near, 1)
+        p, q = np.nonzero(near)
+        got = _forest(np.stack((rep[left[p]], rep[right[q]]), 1))
+        return pd.DataFrame({"a": got[:, 0], "b": got[:, 1]})
+    return run
+
+
 def _forest(pairs: np.ndarray) -> np.ndarray:
     """The pairs that join two parts; the others connect nothing new, and links are
     counted later."""
@@ -196,18 +218,18 @@ def _count_task(threshold: float):
 
 
 def _plan(classes: DataFrame, distance: float, choices: list, window: int, row_cost: float, seed: int) -> DataFrame:
-    """(label, dim, choice): the cheapest choice for the cells that a sample fills."""
+    """(label, dim, choice): the cheapest choice for the runs that a sample fills."""
     sizes = stored(classes.groupBy("label", F.size("v").alias("dim")).agg(F.count(F.lit(1)).alias("n")), "label-sizes")
     rate = F.least(F.lit(1.0), F.lit(float(SAMPLE_ROWS)) / F.col("n"))
     draw = F.pmod(F.xxhash64("rep", F.lit(seed)), F.lit(1 << 20)) / float(1 << 20)
     some = (classes.select("rep", "label", "v", F.size("v").alias("dim")).join(small_side(sizes), ["label", "dim"])
                    .where(draw < rate).select("label", "v"))
-    filled = some.mapInArrow(_trial_task(distance, choices, seed), "label long, dim int, choice int, key long")
+    filled = some.mapInArrow(_trial_task(distance, choices, seed), "label long, dim int, choice int, key binary")
     met = (filled.groupBy("label", "dim", "choice", "key").agg(F.count(F.lit(1)).cast("double").alias("c"))
                  .groupBy("label", "dim", "choice").agg(F.sum(F.col("c") * (F.col("c") - 1)).alias("met")))
     pairs = F.col("met") / (rate * rate)
     passes = F.element_at(F.array(*[F.lit(p) for _, _, p in choices]), F.col("choice") + 1)
-    cost = passes * (row_cost * (F.col("n") + pairs / window) + pairs / 2)
+    cost = passes * (row_cost * (F.col("n") * 2 + pairs / window) + F.col("n") * window + pairs / 2)
     best = (met.join(small_side(sizes), ["label", "dim"]).withColumn("cost", cost)
                .groupBy("label", "dim").agg(F.min_by("choice", F.struct("cost", "choice")).alias("choice")))
     # a label of which the sample took nothing has few rows
@@ -233,20 +255,23 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.98, window: int = W
     plan = _plan(classes, distance, choices, window, row_cost, seed)
     planned = (classes.select("rep", "label", "v", F.size("v").alias("dim")).join(small_side(plan), ["label", "dim"])
                       .select("rep", "label", "v", "choice"))
-    keys = planned.mapInArrow(_key_task(distance, choices, seed), "rep long, label long, dim int, pass int, key long")
-    cells = stored(keys.select("rep", "label", "dim", F.xxhash64("label", "dim", "pass", "key").alias("cell")), "vector-cells")
-    filled = stored(cells.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "filled-cells")
-    packs = -(-(filled.agg(F.sum("n")).first()[0] or 1) // window)
+    keys = stored(planned.mapInArrow(_key_task(distance, choices, seed), "rep long, label long, dim int, pass int, key binary"), "vector-keys")
+    order = ["label", "dim", "pass", "key", "rep"]
+    ranked = surrogate_key(keys, order, "rank", materialize=True).join(classes.select("rep", "v"), "rep")
+    block = F.expr(f"(rank - 1) div {window}")
+    near = (ranked.select("label", "dim", "pass", "rank", "rep", "v", F.explode(F.array(block, block - 1)).alias("block")).where("block >= 0")
+                  .groupBy("block").applyInPandas(_window_task(threshold, window), "a long, b long"))
+    # runs of equal hashes that are longer than the window
+    run = ["label", "dim", "pass", "key"]
+    long_runs = stored(keys.groupBy(*run).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > window), "long-runs")
     nb = F.ceil(F.col("n") / window)
-    member = (cells.join(small_side(filled), "cell").withColumn("nb", nb)
-                   .withColumn("blk", F.pmod(F.xxhash64("rep"), F.col("nb")))
-                   .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("nb") - 1)))
-                   # small cells share a group
-                   .select("rep", "label", "dim", "cell", "blk", (F.col("nb") > 1).alias("large"),
-                           F.when(F.col("nb") > 1, F.col("cell")).otherwise(F.pmod(F.col("cell"), F.lit(packs))).alias("pack"),
-                           F.least("blk", "other").alias("i"), F.greatest("blk", "other").alias("j")))
-    pairs = (member.join(classes.select("rep", "v"), "rep").groupBy("large", "pack", "i", "j")
-                   .applyInPandas(_cell_task(threshold), "a long, b long"))
+    member = (keys.join(small_side(long_runs), run).withColumn("nb", nb)
+                  .withColumn("blk", F.pmod(F.xxhash64("rep"), F.col("nb")))
+                  .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("nb") - 1)))
+                  .select(*run, "rep", "blk", F.least("blk", "other").alias("i"), F.greatest("blk", "other").alias("j")))
+    within = (member.join(classes.select("rep", "v"), "rep").groupBy(*run, "i", "j")
+                    .applyInPandas(_run_task(threshold), "a long, b long"))
+    pairs = near.unionByName(within)
     parts = connected_components(stored(pairs.distinct(), "vector-pairs"))
     parts = stored(parts, "vector-parts")
 
