@@ -217,6 +217,41 @@ def test_packing_edges(spark, docs, empty):
     assert packing.piece_lengths(5000) == [2048, 2048, 512, 256, 128, 8]
 
 
+def test_packing_keeps_rests_whole(spark):
+    """Under two pieces a document beyond its full sequences, few sequences that are not full."""
+    p = packing.pack(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"), queries.word_vocabulary()).toPandas()
+    rests = p[p.start >= p.doc_tokens // 2048 * 2048].groupby("doc_id").size()
+    assert rests.mean() < 1.6 and rests.max() <= 11
+    used = p.groupby("sequence_id").length.agg(["sum", "size"])
+    assert (used["sum"] < 2048).sum() <= 11 and (p.length == 1).sum() <= 5 and len(p) < 1.6 * p.doc_id.nunique()
+
+
+def test_packing_many_equal_rows(spark):
+    """A hundred thousand equal rows are many groups of a bounded size."""
+    d = spark.range(100_000).select(F.lit(5).cast("long").alias("doc_id"), F.lit("one two three " * 7).alias("text"))
+    p = packing.pack(d, queries.word_vocabulary())
+    per_group = [r["n"] for r in p.groupBy(F.shiftright("sequence_id", 22)).agg(F.sum("length").alias("n")).collect()]
+    assert len(per_group) > 4 and max(per_group) < 2 * 2048 * packing.GROUP_BINS
+    check_packing(p.toPandas(), 100_000 * 22)
+
+
+def test_bins_hold_a_fixed_count_of_whole_rests():
+    rng = random.Random(6)
+    for _ in range(300):
+        k = rng.choice([1, 2, 3, 7, packing.LAST_CLASS])
+        low, high = (2048 // (k + 1) + 1, min(2047, 2048 // k)) if k < packing.LAST_CLASS else (1, 32)
+        lengths = [rng.randint(low, high) for _ in range(rng.randint(0, 80))]
+        bins, left = packing.fill_bins(lengths, k)
+        covered = {}
+        for i, first, n in sorted(x for b in [*bins, left] for x in b):
+            assert first == covered.get(i, 0) and n > 0
+            covered[i] = first + n
+        assert [covered[i] for i in range(len(lengths))] == lengths
+        assert all(sum(n for *_, n in b) == 2048 for b in bins) and sum(n for *_, n in left) < 2048
+        if k < packing.LAST_CLASS:
+            assert all(sum(first == 0 and n == lengths[i] for i, first, n in b) >= k - 1 for b in bins)
+
+
 # 4 HTML
 
 PAGE = """<!DOCTYPE html><html><head><title>No</title><style>p{}</style><script>var t="</p><p>no";</script></head>
@@ -414,6 +449,27 @@ def test_rule_ledger(spark, docs, empty):
     assert quality_rules.ledger(docs).count() == len(EDGE) and quality_rules.ledger(empty).count() == 0
 
 
+def test_html_deep_and_unclosed_pages():
+    """Memory grows with the length of a page, not with its depth; end tags without a start cost nothing."""
+    import time
+    import tracemalloc
+    deep = "<article>" + "<div class='x'>" * 50_000 + "<p>deep text</p>" + "</div>" * 50_000 + "</article>"
+    tracemalloc.start()
+    assert html_extract.main_text(deep, None) == "deep text"
+    assert tracemalloc.get_traced_memory()[1] < 200 << 20
+    tracemalloc.stop()
+    began = time.process_time()
+    stray = "<article><p>" + "<b>" * 20_000 + "</i>" * 20_000 + "kept" + "<div></div>" * 2000 + "</article>"
+    assert "kept" in html_extract.main_text(stray, None)
+    assert time.process_time() - began < 5
+
+
+@pytest.mark.parametrize("name", ["adsbygoogle", "taboola", "outbrain-widget", "kommentare", "werbung", "publicidad", "user-reviews", "gdpr"])
+def test_html_adverts_by_other_names(name):
+    page = f"<article><h1>Title</h1><p>{'Some words of the text. ' * 20}</p><div class='{name}'>{'Not a part of it. ' * 5}</div></article>"
+    assert "Not a part" not in html_extract.main_text(page, None)
+
+
 # 9 embeddings
 
 def test_embedding_components_and_links(spark):
