@@ -13,9 +13,12 @@ hash of their id, whole texts) in one task: the bound, not the corpus, sets
 its memory.  Scoring streams over all rows with two bounded weight vectors.
 
 Defined results: null and empty texts have no n-gram and get the score of
-the intercept; null ids are not trained on; ids labelled twice count by
-their mean label, ties as 0; without rows of both classes every score is the
-share of label 1 among training rows, 0.5 without any.
+the intercept; very long texts are scored whole; null ids are not trained on;
+ids labelled twice count by their mean label, ties as 0, and every row that
+repeats a chosen id is trained on; rows of equal hash are chosen by id; without
+rows of both classes every score is the share of label 1 among training rows,
+0.5 without any; an empty table gives an empty result; other columns are
+ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -112,20 +115,21 @@ class Model:
 
 def descend(rows: list[np.ndarray], scale: np.ndarray, y: np.ndarray, cost: float, epochs: int,
             seed: int) -> tuple[np.ndarray, float]:
-    """Dual coordinate descent for the linear squared-hinge-loss model over rows
-    of indicators times ``scale``, brought to unit length.  Returns weights of
-    the scaled indicators and the intercept, which is one more coordinate."""
+    """Dual coordinate descent for the linear hinge-loss model over rows of
+    indicators times ``scale``, brought to unit length: every dual variable stays
+    between 0 and ``cost``.  Returns weights of the scaled indicators and the
+    intercept, which is one more coordinate."""
     w, bias, alpha = np.zeros(len(scale)), 0.0, np.zeros(len(rows))
     norm = [max(float(np.sqrt((scale[r] ** 2).sum())), 1e-12) for r in rows]
-    diagonal = np.array([2.0 if n > 1e-12 else 1.0 for n in norm]) + 0.5 / cost
+    diagonal = np.array([2.0 if n > 1e-12 else 1.0 for n in norm])
     rng = np.random.default_rng(seed)
     for _ in range(epochs):
         largest = 0.0
         for i in rng.permutation(len(rows)):
             r = rows[i]
             value = scale[r] / norm[i]
-            gradient = y[i] * (float(w[r] @ value) + bias) - 1 + alpha[i] * 0.5 / cost
-            step = max(alpha[i] - gradient / diagonal[i], 0.0) - alpha[i]
+            gradient = y[i] * (float(w[r] @ value) + bias) - 1
+            step = min(max(alpha[i] - gradient / diagonal[i], 0.0), cost) - alpha[i]
             if step:
                 alpha[i] += step
                 w[r] += step * y[i] * value
