@@ -6,8 +6,9 @@
    article around it, and otherwise to the sections, divs and main around it
    while the text that this adds is not mostly links.  So a title, a lede,
    other sections or the text around a quote or a cell are kept.
-3. The path reached (tags and classes from the body down, numbers replaced) is
-   the page's vote for its host; votes are counted by host and path in Spark.
+3. The path reached (tags and classes from the root down, numbers replaced, as
+   a 64-bit hash) is the page's vote for its host; votes are counted by host
+   and path in Spark.
 4. Each page is read again: the containers at its host's winning path are
    taken, or, where a page has none, the page's own best container; both climb
    as above.
@@ -24,15 +25,19 @@ only if it is mostly links.
 
 Defined results: null and empty pages give an empty text; a page without a
 container gives the text of its body that is not left out; pages without a
-host vote together; repeated rows repeat their result; other columns are
-ignored; an empty table gives an empty result.
+host vote together; very long and very deep pages are read whole, in memory
+that grows with their length; ties between paths are settled as ``host_paths``
+says; repeated rows repeat their result; other columns are ignored, whatever
+their names; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from hashlib import blake2b
 from html import unescape
 
 import pyarrow as pa
@@ -63,12 +68,14 @@ AROUND = frozenset("article main section div".split())
 LEFT_OUT = frozenset("head nav header footer aside form button select menu dialog".split())
 LEFT_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alertdialog alert menu menubar".split())
 LEFT_WORDS = frozenset(
-    "nav navbar navigation menu header masthead footer sidebar aside ad ads adv advert adverts advertisement advertising sponsor "
+    "nav navbar navigation menu header masthead footer sidebar aside ad ads adv advert adverts advertisement advertising adsbygoogle "
+    "taboola outbrain werbung publicidad publicite gdpr kommentare kommentar comentarios commentaires reviews sponsor "
     "sponsored promo promotion banner cookie cookies consent notice notices alert popup modal overlay newsletter subscribe subscription "
     "signup login comment comments commentlist reply replies respond disqus share sharing social related recommended breadcrumb "
     "breadcrumbs pagination pager widget toolbar copyright legal hidden".split())
 #: Of these, those that name clutter whatever is in it, however long.
 CERTAIN_WORDS = frozenset(
+    "adsbygoogle taboola outbrain werbung publicidad publicite gdpr kommentare kommentar comentarios commentaires "
     "ad ads adv advert adverts comment comments commentlist replies respond disqus sidebar footer masthead navbar cookie consent popup "
     "modal overlay breadcrumb breadcrumbs pagination pager hidden newsletter".split())
 #: Whole classes by which inline elements and headings are left out, too.
@@ -89,11 +96,11 @@ LONG = 1000
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
 
-@dataclass
+@dataclass(slots=True)
 class Node:
     tag: str
     parent: int
-    path: str
+    path: int  # of tags and classes from the root down, as a hash
     out: bool  # left out
     doubt: str = "no"  # left out if its text is short, or mostly links
     in_article: bool = False
@@ -172,12 +179,12 @@ class Page:
     def _wider(self, a: int, b: int) -> int:
         return b if self.nodes[b].chars > self.nodes[a].chars else a
 
-    def inside(self, node: int, roots: set[int]) -> bool:
-        while node >= 0:
-            if node in roots:
-                return True
-            node = self.nodes[node].parent
-        return False
+    def text_in(self, roots: set[int]) -> list[str]:
+        """The blocks inside ``roots``, all without any."""
+        inside = [not roots] * (len(self.nodes) + 1)  # the last one is that of no node
+        for i, node in enumerate(self.nodes):  # parents come before their children
+            inside[i] = not roots or i in roots or node.parent >= 0 and inside[node.parent]
+        return [text for at, text in self.blocks if inside[at]]
 
 
 def _words(name: str) -> list[str]:
@@ -255,9 +262,12 @@ def parse(html: str) -> Page:
             if linked[0]:
                 linked[1] += len(text)
 
+    open_tags: Counter[str] = Counter()
+
     def close(down_to: int) -> None:
         while len(stack) > down_to:
             tag = nodes[stack[-1]].tag
+            open_tags[tag] -= 1
             if tag in BLOCK:
                 flush()
             if tag == "a":
@@ -278,7 +288,7 @@ def parse(html: str) -> Page:
             continue
         tag, ends = name.lower(), bool(m[1] or m[4])
         if ends:
-            for k in range(len(stack) - 1, -1, -1):
+            for k in range(len(stack) - 1 if open_tags[tag] else -1, -1, -1):
                 if nodes[stack[k]].tag == tag:
                     close(k)
                     break
@@ -297,14 +307,14 @@ def parse(html: str) -> Page:
                 text_of(" ")
             continue
         if tag in BLOCK and tag != "html":
-            for k in range(len(stack) - 1, -1, -1):  # a block ends an open paragraph
+            for k in range(len(stack) - 1 if open_tags["p"] else -1, -1, -1):  # a block ends an open paragraph
                 t = nodes[stack[k]].tag
                 if t == "p":
                     close(k)
                     break
                 if t in BLOCK:
                     break
-        if tag in CLOSES:
+        if tag in CLOSES and any(open_tags[t] for t in CLOSES[tag]):
             for k in range(len(stack) - 1, -1, -1):
                 t = nodes[stack[k]].tag
                 if t in LISTS.get(tag, ()):
@@ -325,9 +335,10 @@ def parse(html: str) -> Page:
         step = f"{tag}.{classes}" if classes else tag
         in_article = tag in ("article", "main") or bool(around and around.in_article)
         left = "yes" if around and around.out else _left_out(tag, attrs, in_article)
-        nodes.append(Node(tag, parent, f"{around.path}>{step}" if around else step, left == "yes",
+        nodes.append(Node(tag, parent, _path(around, step), left == "yes",
                           left if left in ("short", "links") else "no", in_article))
         stack.append(len(nodes) - 1)
+        open_tags[tag] += 1
         if tag == "a":
             linked[0] += 1
     close(0)
@@ -345,15 +356,21 @@ def best_container(page: Page) -> int:
     return page.climb(at) if at >= 0 else -1
 
 
-def main_text(html: str, host_path: str | None) -> str:
+def _path(around: Node | None, step: str) -> int:
+    """A step further down than ``around``."""
+    before = around.path if around else 0
+    return int.from_bytes(blake2b(step.encode("utf-8", "surrogatepass"), digest_size=8, key=before.to_bytes(8, "little", signed=True)).digest(), "little", signed=True)
+
+
+def main_text(html: str, host_path: int | None) -> str:
     page = parse(html)
-    roots = {i for i, n in enumerate(page.nodes) if host_path and n.path == host_path and not n.out}
+    roots = {i for i, n in enumerate(page.nodes) if n.path == host_path and not n.out}
     if any(page.nodes[i].chars for i in roots):
         roots = {page.climb(i) for i in roots if page.nodes[i].chars}
     else:
         own = best_container(page)
         roots = {own} if own >= 0 else set()
-    return "\n\n".join(text for at, text in page.blocks if not roots or page.inside(at, roots))
+    return "\n\n".join(page.text_in(roots))
 
 
 def _vote_task(batches: Iterator[pa.RecordBatch]):
@@ -364,7 +381,7 @@ def _vote_task(batches: Iterator[pa.RecordBatch]):
             at = best_container(page)
             paths.append(page.nodes[at].path if at >= 0 else None)
             scores.append(page.nodes[at].score if at >= 0 else 0.0)
-        yield pa.RecordBatch.from_arrays([batch.column("host"), pa.array(paths, pa.string()), pa.array(scores, pa.float64())],
+        yield pa.RecordBatch.from_arrays([batch.column("host"), pa.array(paths, pa.int64()), pa.array(scores, pa.float64())],
                                          ["host", "path", "score"])
 
 
@@ -376,9 +393,9 @@ def _extract_task(batches: Iterator[pa.RecordBatch]):
 
 
 def host_paths(pages: DataFrame) -> DataFrame:
-    """(host, path): the path most pages of the host vote for (ties: the one with
-    more text, then the first in code point order)."""
-    votes = pages.select("host", "html").mapInArrow(_vote_task, "host string, path string, score double")
+    """(host, path): the path most pages of the host vote for, as its hash (ties: the one
+    with more text, then the smaller hash)."""
+    votes = pages.select("host", "html").mapInArrow(_vote_task, "host string, path long, score double")
     counted = votes.where("path is not null").groupBy("host", "path").agg(
         F.count(F.lit(1)).alias("n"), F.sum(F.floor("score").cast("long")).alias("s"))
     top = counted.groupBy("host").agg(F.min_by("path", F.struct(-F.col("n"), -F.col("s"), F.col("path"))).alias("path"))
