@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .. import config as C
 from ..operators import models as M
@@ -88,6 +89,25 @@ def m2_alignment(spark: SparkSession, fact: DataFrame) -> DataFrame:
     return M.weight_alignment(coefs, DESIGNED)
 
 
+def save_reports(spark: SparkSession, readings: DataFrame, fact: DataFrame, out_dir: str) -> DataFrame:
+    """SNK10: fit M1, M2 and the leak-free M2, and save what the validation report
+    shows of them: ``metrics`` and ``confusion`` by model, ``coefficients`` with
+    direction and rank (ML11, SRT5), ``alignment`` with the designed weights (ML12).
+    Returns the saved coefficients."""
+    keys = ["kpin", "season", "pack_week", "variety", "submission_date", "dm_pct_avg", "trays_submitted"]
+    free = [f for f in M2_FEATURES if f != "mts_pass"]
+    runs = {"m1_mts_fail": (features_mts(readings), M1_FEATURES, keys[:4]), "m2_otif_below_88": (features_otif(fact), M2_FEATURES, keys),
+            "m2_otif_below_88_leak_free": (features_otif(fact), free, keys)}
+    for name, (df, features, own_keys) in runs.items():
+        metrics, coefs = run_model(spark, df, features, own_keys)
+        ranked = coefs.withColumn("rank", F.row_number().over(Window.orderBy(F.abs("coefficient").desc(), "feature")))  # a row a feature
+        cells = F.expr("stack(4, 1, 1, tp, 0, 0, tn, 0, 1, fp, 1, 0, fn) as (label, pred, rows)")
+        for table, rows in (("metrics", metrics), ("confusion", metrics.select(cells)), ("coefficients", ranked),
+                            ("alignment", M.weight_alignment(coefs, DESIGNED))):
+            rows.coalesce(1).write.mode("overwrite").parquet(f"{out_dir}/{table}/model={name}")
+    return spark.read.option("basePath", f"{out_dir}/coefficients").parquet(f"{out_dir}/coefficients")
+
+
 def rule_metrics(fact: DataFrame, threshold: int = 45) -> DataFrame:
     """ML7–ML9 for a fixed rule: the risk score predicts OTIF < 88 when it
     reaches ``threshold`` (the ELEVATED band); probability = risk/100."""

@@ -195,6 +195,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "m2_otif_model": _star(lambda s: ML.m2(s.spark, s.fact)),
     "m2b_otif_model_leak_free": _star(lambda s: ML.m2(s.spark, s.fact, leak_free=True)),
     "m2_weight_alignment": _star(lambda s: ML.m2_alignment(s.spark, s.fact)),
+    "snk10_model_coefficients": _star(lambda s: ML.save_reports(s.spark, s.readings, s.fact, _results(s.spark, "models"))),
     "ml_rule_metrics": _star(lambda s: ML.rule_metrics(s.fact)),
     # streaming (availableNow runs over the whole table)
     "str1_daily_traffic_stream": lambda spark, d: STR.daily_traffic_stream_batch(spark, d),

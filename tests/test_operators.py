@@ -140,3 +140,21 @@ def test_hashed_surrogate_key_dense_after_shuffle(spark):
     assert ids == list(range(1, 4001))
     again = {(r.g, r.k): r.sk for r in hashed_surrogate_key(df.repartition(3), ["g", "k"], "sk", buckets=5).collect()}
     assert again == {(r.g, r.k): r.sk for r in out.collect()}
+
+
+def test_folds_fitted_together_score_like_a_loop(spark):
+    import numpy as np
+
+    from harvestline.operators import models as M
+    rng = np.random.default_rng(3)
+    x = rng.standard_normal((4000, 3))
+    y = (x @ [1.5, -1.0, 0.2] + rng.standard_normal(4000) > 0.3).astype(float)
+    df = spark.createDataFrame([(i, *map(float, r), float(v)) for i, (r, v) in enumerate(zip(x, y))], "id long, a double, b double, c double, label double").cache()
+    tagged = df.withColumn("fold", F.pmod(F.xxhash64("id", F.lit(7)), F.lit(5)))
+    weights = M.fit_folds(tagged, ["a", "b", "c"], "label", 5)
+    scores = []
+    for k in range(5):
+        model = M.fit_logit(tagged.where(F.col("fold") != k), ["a", "b", "c"], "label")
+        assert np.allclose(weights[k], [*model.coefficients, model.intercept], atol=2e-3)
+        scores.append(M.binary_metrics(M.predict(model, tagged.where(F.col("fold") == k), ["a", "b", "c"])).first()["f1"])
+    assert abs(M.cv_f1(df, ["a", "b", "c"], "label", ["id"]) - sum(scores) / 5) < 2e-3

@@ -189,3 +189,16 @@ def test_windows_bytes_that_are_undefined(spark, scratch):
         with open(f"{scratch}/x.csv", "wb") as f:
             f.write(data)
         assert FS.judge_encodings(spark, f"{scratch}/x.csv")[0]["cp1252"] is ok
+
+
+def test_saved_model_reports(spark, s, stored, scratch):
+    from harvestline.plans import models as ML
+    coefs = ML.save_reports(spark, stored[1], stored[0], scratch)
+    assert {r.model: r.n for r in coefs.groupBy("model").agg(F.count(F.lit(1)).alias("n")).collect()} == {
+        "m1_mts_fail": 5, "m2_otif_below_88": 8, "m2_otif_below_88_leak_free": 7}
+    rows = coefs.where("model = 'm1_mts_fail'").orderBy("rank").collect()
+    assert [abs(r.coefficient) for r in rows] == sorted((abs(r.coefficient) for r in rows), reverse=True)
+    assert all((r.coefficient >= 0) == (r.direction == "+") for r in rows)
+    confusion = spark.read.parquet(f"{scratch}/confusion")
+    metrics = {r.model: r for r in spark.read.parquet(f"{scratch}/metrics").collect()}
+    assert all(r.rows == metrics[r.model].n_test for r in confusion.groupBy("model").agg(F.sum("rows").alias("rows")).collect())
