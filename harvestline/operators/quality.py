@@ -176,12 +176,15 @@ def fact_health(f: DataFrame, pass_lo: float = 85.0, pass_hi: float = 97.0) -> D
     return g.select("nulls", health_score(pass_lo, pass_hi).alias("health_score"), "pass_rate", *HARD_CHECKS[1:])
 
 
-def table_summary(tables: dict, grains: dict | None = None) -> DataFrame:
-    """SNK8: table, row count, key and grain — one union of per-table counts."""
-    grains = grains or {}
-    parts = [df.agg(F.count(F.lit(1)).alias("rows")).select(
-        F.lit(name).alias("table"), "rows", F.lit(grains.get(name, "")).alias("grain"))
-        for name, df in tables.items()]
+def table_summary(tables: dict, keys: dict) -> DataFrame:
+    """SNK8: table, row count, key and grain, with the number of rows that repeat a
+    key; ``keys`` gives the key columns of each table."""
+    parts = []
+    for name, df in tables.items():
+        key = [keys[name]] if isinstance(keys[name], str) else list(keys[name])
+        per_key = df.groupBy(*key).agg(F.count(F.lit(1)).alias("n"))
+        parts.append(per_key.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("rows"), F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).cast("long").alias("repeated"))
+                     .select(F.lit(name).alias("table"), "rows", F.lit(", ".join(key)).alias("key"), "repeated"))
     return reduce(DataFrame.unionByName, parts)
 
 

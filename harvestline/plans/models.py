@@ -89,6 +89,14 @@ def m2_alignment(spark: SparkSession, fact: DataFrame) -> DataFrame:
     return M.weight_alignment(coefs, DESIGNED)
 
 
+def standardised_ranges(readings: DataFrame) -> DataFrame:
+    """ML1, ML3: the range of every standardised feature of M1, a row a feature."""
+    z = M.standardise(features_mts(readings), M1_FEATURES)
+    wide = z.agg(F.count(F.lit(1)).alias("n"), *[f(c).alias(f"{c}_{k}") for c in M1_FEATURES for k, f in (("lo", F.min), ("hi", F.max))])
+    return wide.select("n", F.inline(F.array(*[F.struct(F.lit(c).alias("feature"), F.round(f"{c}_lo", 6).alias("z_min"), F.round(f"{c}_hi", 6).alias("z_max"))
+                                               for c in M1_FEATURES])))
+
+
 def save_reports(spark: SparkSession, readings: DataFrame, fact: DataFrame, out_dir: str) -> DataFrame:
     """SNK10: fit M1, M2 and the leak-free M2, and save what the validation report
     shows of them: ``metrics`` and ``confusion`` by model, ``coefficients`` with

@@ -414,6 +414,21 @@ SELECT subzone, {avg_fixed("dm_pct", 2, 2)} AS dm_mean, ROUND(STDDEV_SAMP(dm_pct
 SELECT COUNT(*) AS rows, {money("SUM(total_return_nzd)", 1_000_000, 1)} AS total_return_nzd_m, CAST(SUM(trays_submitted) AS BIGINT) AS total_trays,
   {avg_fixed("otif_pct", 2, 1)} AS avg_otif, {avg_fixed("risk_score", 0, 1)} AS avg_risk,
   {pct("SUM(CASE WHEN mts_pass THEN 1 ELSE 0 END)", "COUNT(*)", 1)} AS mts_pass_pct FROM factm""")
+    q["agg21_taste_grades"] = f"""
+SELECT tzg_grade, COUNT(*) AS n, {pct("COUNT(*)", "SUM(COUNT(*)) OVER ()", 1)} AS pct FROM (SELECT tzg_grade FROM fruit_quality) GROUP BY tzg_grade"""
+    q["jn11_subzone_shares"] = _q("""
+SELECT subzone, CAST(SUM(trays_submitted) AS BIGINT) AS trays, ROUND(SUM(trays_submitted)::DOUBLE / (SELECT SUM(trays_submitted) FROM factm), 6) AS share
+FROM factm GROUP BY subzone""")
+    from ..sources.bindings import VARIETY_ORDER as varieties
+    q["flt7_active_growers"] = _q(f"""
+SELECT {_case(f"s_suppkey % {len(varieties)}", dict(enumerate(varieties)))} AS primary_variety, COUNT(*) AS growers
+FROM supplier s WHERE EXISTS (SELECT 1 FROM factm f WHERE f.kpin = 100000 + s.s_suppkey AND f.season = '1995/96') GROUP BY 1""")
+    from .models import M1_FEATURES
+    x = {"dm_dist_to_mts": f"dm_pct - CAST({MTS_CENTI} AS DOUBLE) / 100", "pest_indicator": "pest_indicator", "pack_week_norm": "(pack_week - 11) / 15.0",
+         "is_opotiki": "CASE WHEN subzone = 'Opotiki' THEN 1 ELSE 0 END", "stress_season": f"CASE WHEN season = '{C.STRESS_SEASON}' THEN 1 ELSE 0 END"}
+    q["ml3_standardised_ranges"] = _q("\nUNION ALL\n".join(
+        f"SELECT COUNT(*) AS n, '{c}' AS feature, ROUND((MIN(x) - AVG(x)) / (STDDEV_POP(x) + 1e-8), 6) AS z_min, ROUND((MAX(x) - AVG(x)) / (STDDEV_POP(x) + 1e-8), 6) AS z_max "
+        f"FROM (SELECT CAST({x[c]} AS DOUBLE) AS x FROM readings)" for c in M1_FEATURES))
     q["agg10_quantile_sketches"] = """
 SELECT CAST(date_trunc('month', ts) AS DATE) AS month, COUNT(*) AS n, TRUE AS within_bound FROM events WHERE ts IS NOT NULL AND value IS NOT NULL GROUP BY 1"""
     bop = f"COALESCE(lower(region_name) LIKE '%{C.REGION_NAME.lower()}%' OR region_name LIKE '%{C.REGION_CODE}%', FALSE)"
@@ -577,6 +592,13 @@ SELECT kpin, season, subzone, variety, CASE WHEN variety LIKE '%Organic%' THEN '
        WHEN tzg_score >= 0.4 THEN 'B' WHEN tzg_score >= 0.2 THEN 'C' ELSE 'D' END AS tzg_grade,
   pest_indicator, CAST(kpin AS VARCHAR) || '_' || CAST(pack_week AS VARCHAR) AS maturity_area, sample_size
 FROM readings""")
+    q["agg21_taste_grades"] = q["agg21_taste_grades"].replace("fruit_quality", "(" + q["star_dim_fruit_quality"] + ")")
+    q["snk8_table_summary"] = f"""
+SELECT 'dim_time' AS "table", COUNT(*) AS rows, 'date_key' AS "key", COUNT(*) - COUNT(DISTINCT date_key) AS repeated FROM ({q["star_dim_time"]})
+UNION ALL SELECT 'dim_grower', COUNT(*), 'kpin', COUNT(*) - COUNT(DISTINCT kpin) FROM ({q["star_dim_grower"]})
+UNION ALL SELECT 'dim_fruit_quality', COUNT(*), 'kpin, season, pack_week, variety', COUNT(*) - COUNT(DISTINCT (kpin, season, pack_week, variety)) FROM ({q["star_dim_fruit_quality"]})
+UNION ALL SELECT 'fact_export_transactions', COUNT(*), 'kpin, season, pack_week, variety', COUNT(*) - COUNT(DISTINCT (kpin, season, pack_week, variety))
+FROM ({_q("SELECT kpin, season, pack_week, variety FROM factm")})"""
     from .star import FACT_COLUMNS
     as_double = {"submit_payment_nzd", "taste_payment_nzd", "total_return_nzd", "freight_cost_nzd"}
     other = {"mts_pass": "CAST(mts_pass AS INTEGER)", "loss_pct": "CAST(trays_lost AS DOUBLE) * 100 / trays_submitted"}

@@ -293,3 +293,23 @@ def distinct_counts(f: DataFrame) -> DataFrame:
     """AGG14: growers, varieties and submission days of a season, exact."""
     return f.groupBy("season").agg(F.countDistinct("kpin").alias("growers"), F.countDistinct("variety").alias("varieties"),
                                    F.countDistinct("submission_date").alias("days"))
+
+
+def grade_counts(fruit: DataFrame) -> DataFrame:
+    """AGG21: readings by taste grade with their share."""
+    from ..operators.aggregates import value_counts
+    return value_counts(fruit, "tzg_grade")
+
+
+def subzone_shares(f: DataFrame) -> DataFrame:
+    """JN11: each subzone's share of all trays submitted."""
+    from ..operators.joins import share_of_total
+    trays = f.groupBy("subzone").agg(F.sum("trays_submitted").cast("long").alias("trays"))
+    return share_of_total(trays, "trays").withColumn("share", F.round("share", 6))
+
+
+def active_growers(growers: DataFrame, f: DataFrame, season: str) -> DataFrame:
+    """FLT7, SRC8: growers that submitted in a season, by variety."""
+    from ..operators.joins import exists_in
+    from ..sources.sinks import season_slice
+    return exists_in(growers, season_slice(f, season), ["kpin"]).groupBy("primary_variety").agg(F.count(F.lit(1)).alias("growers"))

@@ -21,7 +21,7 @@ from .plans import sql, star
 from .session import apply_defaults, checkpoint_dir
 from .streaming import streams as STR
 from .sources import bindings, sinks
-from .sources.tables import read_table, scratch_table
+from .sources.tables import path_stamp, read_table, scratch_table, table_path
 
 
 class Star:
@@ -47,11 +47,12 @@ FACT_PROFILE_COLS = ["date_key", "corridor_key", "season", "subzone", "variety",
 def star_for(spark: SparkSession, sf_dir: str) -> Star:
     """One lazy star per (session, directory): DataFrames are immutable, so
     every query reuses the same analysed plans instead of re-reading footers
-    and re-analysing the bindings."""
+    and re-analysing the bindings.  Tables that were written anew get a new one."""
+    stamps = tuple(path_stamp(spark, table_path(sf_dir, t)) for t in ("region", "nation", "supplier", "part", "lineitem"))
     key = (spark.sparkContext.applicationId, id(spark), sf_dir)
-    if key not in _STARS:
-        _STARS[key] = Star(spark, sf_dir)
-    return _STARS[key]
+    if key not in _STARS or _STARS[key][0] != stamps:
+        _STARS[key] = stamps, Star(spark, sf_dir)
+    return _STARS[key][1]
 
 
 def _star(fn):
@@ -185,6 +186,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "agg22_season_validation": _star(lambda s: Q.season_validation(s.readings, s.subs)),
     "agg22_dm_by_subzone": _star(lambda s: Q.dm_by_subzone(s.readings)),
     "agg25_fact_totals": _star(lambda s: Q.fact_totals(s.fact)),
+    "agg21_taste_grades": _star(lambda s: Q.grade_counts(s.fruit)),
+    "jn11_subzone_shares": _star(lambda s: Q.subzone_shares(s.fact)),
+    "flt7_active_growers": _star(lambda s: Q.active_growers(star.dim_grower(s.spark, s.sf_dir), s.fact, "1995/96")),
+    "snk8_table_summary": _star(lambda s: DQ.table_summary(
+        {"dim_time": s.time, "dim_grower": star.dim_grower(s.spark, s.sf_dir), "dim_fruit_quality": s.fruit, "fact_export_transactions": s.fact},
+        {"dim_time": "date_key", "dim_grower": "kpin", "dim_fruit_quality": star.READING_KEY, "fact_export_transactions": star.READING_KEY})),
+    "ml3_standardised_ranges": _star(lambda s: ML.standardised_ranges(s.readings)),
     "agg10_quantile_sketches": lambda spark, d: median_of_sketches(spark, d),
     "dq1_traffic_audit": lambda spark, d: traffic_audit(spark, d),
     "df30_scenario_rescore": _star(lambda s: Q.rescore(s.fact)),

@@ -78,22 +78,29 @@ def read_csv(spark: SparkSession, path: str, charsets=ENCODINGS, header: bool =
 
 
 def read_csv_glob(spark: SparkSession, pattern: str, predicate=None) -> DataFrame:
-    """SRC2: many files, each by its own header; the per-file filter is a
+    """SRC2: many files, each by its own header, in one scan; the per-file filter is a
     normal predicate, and the source file name is kept for auditing.  Files
-    with no matching rows simply contribute nothing.  Files with the same
-    header are one scan; columns are matched by name, and a column that a file
-    lacks is null there."""
-    lines = (spark.read.text(pattern).select("value", F.col("_metadata.file_path").alias("path"),
-                                             F.col("_metadata.file_block_start").alias("at"),
-                                             F.monotonically_increasing_id().alias("line")).where("at = 0"))
-    heads = lines.groupBy("path").agg(F.min_by("value", "line").alias("head"))
-    found = heads.groupBy("head").agg(F.sort_array(F.collect_list("path")).alias("paths")).orderBy("head").collect()
-    out = None
-    for row in found:  # one row a distinct header
-        df = spark.read.option("header", "true").csv(row.paths).withColumn("_file", F.col("_metadata.file_name"))
-        out = df if out is None else out.unionByName(df, allowMissingColumns=True)
-    if out is None:
-        out = spark.read.option("header", "true").csv(pattern).withColumn("_file", F.col("_metadata.file_name"))
+    with no matching rows simply contribute nothing.  Fields are read by place
+    and named by the header of their file; a column that a file lacks is null
+    there.  The driver sees the distinct headers, and no list of files."""
+    import csv
+    lines = spark.read.text(pattern).select("value", F.col("_metadata.file_path").alias("_path"), F.col("_metadata.file_block_start").alias("at"),
+                                            F.monotonically_increasing_id().alias("line")).where("at = 0")
+    heads = lines.groupBy("_path").agg(F.min_by("value", "line").alias("_head"))
+    layouts = {r["_head"]: dedupe_names(next(csv.reader([r["_head"].lstrip("\ufeff").rstrip("\r")])))
+               for r in heads.select("_head").distinct().orderBy("_head").collect()}  # a row a distinct header
+    names = list(dict.fromkeys(n for layout in layouts.values() for n in layout))
+    places = [f"_c{i}" for i in range(max(map(len, layouts.values()), default=0))]
+    rows = (spark.read.option("header", "true").schema(string_schema(places or ["_c0"])).csv(pattern)
+                 .withColumns({"_path": F.col("_metadata.file_path"), "_file": F.col("_metadata.file_name")}).join(heads, "_path"))
+    columns = []
+    for name in names:
+        value = F.lit(None).cast("string")
+        for head, layout in layouts.items():
+            if name in layout:
+                value = F.when(F.col("_head") == head, F.col(places[layout.index(name)])).otherwise(value)
+        columns.append(value.alias(name))
+    out = rows.select(*columns, "_file")
     return out.filter(predicate) if predicate is not None else out
 
 

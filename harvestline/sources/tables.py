@@ -33,6 +33,13 @@ def path_status(spark: SparkSession, path: str) -> str | None:
     return "dir" if store.getFileStatus(p).isDirectory() else "file"
 
 
+def path_stamp(spark: SparkSession, path: str) -> int | None:
+    """When a table's file or folder was last changed; None where it is absent."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    return store.getFileStatus(p).getModificationTime() if store.exists(p) else None
+
+
 def drop_path(spark: SparkSession, path: str) -> None:
     """Remove a path that nothing points to any more."""
     p = spark._jvm.org.apache.hadoop.fs.Path(path)

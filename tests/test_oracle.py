@@ -7,7 +7,7 @@ import pytest
 from harvestline.registry import QUERIES as BASE
 
 import __spark_entry__ as E
-from tools.compare import TABLES, rows_of
+from tools.compare import TABLES, norm, rows_of
 
 from .conftest import SF_SMALL
 
@@ -42,6 +42,19 @@ def test_matches_oracle(spark, con, name):
     assert rows_of(s_cols, s_rows) == rows_of(d_cols, d_rows)
 
 
+@pytest.mark.parametrize("name", ["q1_compliance", "q2_otif_by_week", "q3_dm_elasticity", "q4_dm_variance", "q5_risk_bands", "q6_worst_weeks",
+                                                "v2_returns_by_season", "v3_dm_by_subzone", "v6_otif_by_season", "m3_seasonal_breakdown", "agg22_dm_by_subzone"])
+def test_order_of_published_tables(spark, con, name):
+    """Rows come in the order of the published query, in SQL text too."""
+    cur = con.execute(SQLS[name])
+    d_cols, d_rows = [c[0] for c in cur.description], cur.fetchall()
+    for form in (name, f"{name}_sql"):
+        if form in QUERIES:
+            df = QUERIES[form](spark, SF_SMALL)
+            at = [d_cols.index(c) for c in df.columns]
+            assert [tuple(norm(v) for v in r) for r in df.collect()] == [tuple(norm(r[i]) for i in at) for r in d_rows]
+
+
 def test_entry_runs(spark):
     df = E.entry(spark)
     assert df.count() > 0

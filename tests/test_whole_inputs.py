@@ -46,6 +46,18 @@ def test_each_file_keeps_its_own_header(spark, scratch):
     assert got == {("1", "2"), ("10", "20")}
 
 
+def test_files_of_several_layouts_are_one_scan(spark, scratch):
+    texts = {"a.csv": 'x,y\n1,2\n"a,b",3\n', "b.csv": "y,z,x\n20,9,10\n", "c.csv": "x,y\n7\n", "d.csv": "x,x,y\n4,5,6\n", "e.csv": ""}
+    for name, text in texts.items():
+        with open(f"{scratch}/{name}", "w") as f:
+            f.write(text)
+    df = FS.read_csv_glob(spark, f"{scratch}/*.csv")
+    assert df._jdf.queryExecution().executedPlan().toString().count("FileScan csv") == 1
+    got = {(r._file, r.x, r.y, r.z, r.x_1) for r in df.collect()}
+    assert got == {("a.csv", "1", "2", None, None), ("a.csv", "a,b", "3", None, None), ("b.csv", "10", "20", "9", None), ("c.csv", "7", None, None, None),
+                   ("d.csv", "4", "6", None, "5")}
+
+
 def test_the_latest_landing_counts(spark):
     feed = spark.createDataFrame([([1.0], (0.5, 80.0), "2026-01-01", 1), ([2.0], (0.6, 81.0), "2026-02-01", 1)], FS.FEED_SCHEMA)
     agg = spark.createDataFrame([(18.0,)], "rain_avg double")
@@ -76,3 +88,16 @@ def test_a_restarted_stream_goes_on(spark, scratch):
     for run, name in ((STR.dedupe_stream_batch, "dedupe"), (STR.live_state_batch, "live"), (STR.rain_7d_stream_batch, "rain")):
         first, again = (sorted(map(str, run(spark, SF_SMALL, f"{scratch}/{name}").collect())) for _ in range(2))
         assert first and first == again
+
+
+def test_rewritten_tables_are_read_anew(spark, scratch):
+    import os
+    for name in os.listdir(SF_SMALL):
+        if name != "lineitem.parquet":
+            os.symlink(f"{SF_SMALL}/{name}", f"{scratch}/{name}")
+    li = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet")
+    li.write.parquet(f"{scratch}/lineitem.parquet")
+    assert star_for(spark, scratch) is star_for(spark, scratch)
+    assert star_for(spark, scratch).fact.count() == li.count()
+    li.where("l_orderkey % 2 = 0").write.mode("overwrite").parquet(f"{scratch}/lineitem.parquet")
+    assert star_for(spark, scratch).fact.count() == li.where("l_orderkey % 2 = 0").count()
