@@ -579,3 +579,29 @@ def test_pipeline_stage_by_stage(spark):
         else:
             check_packing(after, after.length.sum())
             assert pd.Series(after.doc_id.unique()).isin(before.doc_id).all()
+
+
+CLASHES = ("_pii_spans", "_row", "_score", "_more", "id", "n", "key", "size", "taken", "block", "ids", "component_id")
+
+
+@pytest.mark.parametrize("stage", [name for name, _ in corpus_pipeline.STAGES])
+def test_stages_on_edge_rows_and_clashing_columns(spark, stage):
+    """Null and empty texts, null and repeated ids, a long text, no rows at all, and columns of any name."""
+    run = dict(corpus_pipeline.STAGES)[stage]
+    plain = spark.createDataFrame(EDGE, DOCS)
+    more = plain.withColumns({c: F.lit(7) for c in CLASHES})
+    found, wide = run(spark, plain, SF), run(spark, more, SF)
+    columns = [c for c in found.columns if c not in ("sequence_id", "offset")]
+    if stage != "packing":
+        assert found.columns == plain.columns and wide.columns == more.columns
+        assert wide.where(" or ".join(f"{c} <> 7" for c in CLASHES)).isEmpty()
+    rows, wide_rows = (sorted(map(str, d.select(*columns).collect())) for d in (found, wide))
+    assert rows == wide_rows
+    if stage == "ngram_jaccard_join":
+        ids = [r.doc_id for r in found.collect()]
+        assert sorted(i for i in ids if i is not None) == [1, 3, 4, 5, 6, 7, 9] and ids.count(None) == 1
+    if stage == "pii":
+        assert sorted(str(r.text) for r in found.collect()) == sorted(str(r[1]) for r in EDGE)
+    if stage == "packing":
+        assert found.where("start = 0").count() == len(EDGE)
+    assert run(spark, plain.limit(0), SF).count() == 0 and run(spark, more.limit(0), SF).count() == 0
