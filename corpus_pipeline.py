@@ -69,7 +69,7 @@ def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeat or leave out documents so that sources meet their target weights.  A
     null source is a source of its own; a document without a word weighs nothing
-    and is not taken; rows that repeat a doc_id are drawn each on their own; ties
+    and comes as often as the whole part of its source's share; rows that repeat a doc_id are drawn each on their own; ties
     between fractions are drawn by hash, so reruns agree."""
     return mixing.take(docs, mixing.mix(docs)).select(*docs.columns)
 
