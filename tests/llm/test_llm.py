@@ -386,11 +386,28 @@ def test_bit_packed_files(spark, docs, empty, scratch):
         shard = bitpack.ShardReader(f)
         for k in (len(shard.docs) - 1, 0, len(shard.docs) // 2):
             assert np.array_equal(shard.document(k), ids[int(shard.docs[k])])
+            first, last = (int(shard.ends[k - 1]) if k else 0), int(shard.ends[k])
+            assert np.array_equal(shard.ids(first + 1, last), ids[int(shard.docs[k])][1:]) and len(shard.ids(first, first)) == 0
+        assert len(shard.blocks) == -(-shard.n_ids // 512) and (np.diff(shard.blocks) == 512 * shard.bits // 8).all()
     e = bitpack.round_trip(docs, queries.word_vocabulary()).toPandas()
     assert len(e) == len(EDGE) and e.doc_id.isna().sum() == 1
     assert bitpack.round_trip(empty, queries.word_vocabulary()).count() == 0
 
 
+def test_bit_packed_files_of_a_hot_id(spark, scratch):
+    """Half of the rows have no id, a third share one; they fill many shards. The least id is an id."""
+    d = spark.range(6000).select(F.when(F.col("id") % 2 == 0, None).when(F.col("id") % 3 == 0, F.lit(-(1 << 63))).otherwise(F.col("id")).alias("doc_id"),
+                                 F.concat(F.lit("word " * 20), (F.col("id") % 100).cast("string")).alias("text"))
+    manifest = bitpack.write(d, queries.word_vocabulary(), scratch, shard_bytes=20_000)
+    sizes = [r.documents for r in manifest.collect()]
+    assert len(sizes) > 20 and max(sizes) < 6000 / 8
+    r = bitpack.read_digests(manifest, scratch)
+    assert r.where("doc_id is null").count() == 3000 and r.where(f"doc_id = {-(1 << 63)}").count() == 1000
+    p = r.orderBy("start").toPandas()
+    assert (p.start == p.n_tokens.cumsum() - p.n_tokens).all()
+    assert p.doc_id.isna().to_numpy()[:3000].all()
+
+
 # 7 personal data
 
 def plain_spans(t):
