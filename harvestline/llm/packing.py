@@ -36,8 +36,9 @@ from .tokenize import encoder
 
 CAPACITY = 2048
 END_ID = 1
-#: Bins that one group of rests fills, about.
+#: Bins that one group of rests fills, and rests in it, about.
 GROUP_BINS = 256
+GROUP_ROWS = 1024
 #: The last class: bins of it take as many rests as fit.
 LAST_CLASS = 64
 
@@ -179,19 +180,18 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int
         _pieces(tokenizer, capacity, end_id, with_ids), _CUT), "pieces")
     dtype = _ids_type(encoder(tokenizer).vocabulary)
     rests = cut.where("class > 0")
-    tokens = {r["class"]: r["n"] for r in rests.groupBy("class").agg(F.sum("length").alias("n")).collect()}  # a row a class
 
-    def group(of: DataFrame, counts: dict[int, int]):
-        """Groups of about GROUP_BINS bins by class; equal rows have numbers of their own."""
+    def group(of: DataFrame):
+        """Groups of a bounded size by class; equal rows have numbers of their own."""
         n = F.lit(1)
-        for k, total in counts.items():
-            n = F.when(F.col("class") == k, F.lit(max(1, total // (capacity * GROUP_BINS)))).otherwise(n)
+        for r in of.groupBy("class").agg(F.sum("length").alias("tokens"), F.count(F.lit(1)).alias("rows")).collect():  # a row a class
+            groups = max(1, r["tokens"] // (capacity * GROUP_BINS), r["rows"] // GROUP_ROWS)
+            n = F.when(F.col("class") == r["class"], F.lit(groups)).otherwise(n)
         return of.withColumn("group", F.pmod(F.xxhash64("row"), n.cast("long")))
 
-    filled = stored(group(rests, tokens).groupBy("class", "group").applyInArrow(_group_task(dtype, capacity, False), _FILLED), "filled")
-    left = filled.where("class > 0")
-    total = left.agg(F.sum("length")).first()[0] or 0
-    ends = group(left.withColumn("class", F.lit(0)), {0: total}).groupBy("class", "group").applyInArrow(_group_task(dtype, capacity, True), _FILLED)
+    filled = stored(group(rests).groupBy("class", "group").applyInArrow(_group_task(dtype, capacity, False), _FILLED), "filled")
+    left = filled.where("class > 0").withColumn("class", F.lit(0))
+    ends = group(left).groupBy("class", "group").applyInArrow(_group_task(dtype, capacity, True), _FILLED)
     full = cut.where("class = 0").withColumn("offset", F.lit(0).cast("long"))
     cols = ["doc_id", "start", "length", F.col("crc").alias("ids_crc32"), "doc_tokens", F.col("sequence").alias("sequence_id"), "offset"]
     out = [x.select(*cols, *(["ids"] if with_ids else [])) for x in (full, filled.where("class = 0"), ends)]
