@@ -115,6 +115,7 @@ def _pieces(path: str, capacity: int, end_id: int, with_ids: bool):
                         out.append(piece)
                     at, row, at_row = at + n, row + 1, at_row + 1
             yield pa.RecordBatch.from_pylist(out, _SCHEMA)
+        pa.default_memory_pool().release_unused()  # the worker goes on to other tasks
     return run
 
 
@@ -128,7 +129,7 @@ _FILLED_SCHEMA = pa.schema([*(f for f in _SCHEMA if f.name in ("doc_id", "row",
                             *(f for f in _SCHEMA if f.name in ("length", "crc", "ids"))])
 
 
-def _placed(rests: list[tuple], ids: list[np.ndarray], bins: list, kind: int, number) -> list[dict]:
+def _placed(rests: list[tuple], ids: list[np.ndarray], bins: list, kind: int, number, with_ids: bool) -> list[dict]:
     """The pieces in ``bins``; ``number`` gives the sequence of a bin."""
     out = []
     for b, content in enumerate(bins):
@@ -136,14 +137,14 @@ def _placed(rests: list[tuple], ids: list[np.ndarray], bins: list, kind: int, nu
         for i, first, n in content:
             own, (doc, row, start, tokens) = ids[i][first:first + n], rests[i]
             out.append({"doc_id": doc, "row": row, "start": start + first, "doc_tokens": tokens, "class": kind, "sequence": number(b),
-                        "offset": offset, "length": n, "crc": zlib.crc32(own.astype("<u4")), "ids": own.tobytes()})
+                        "offset": offset, "length": n, "crc": zlib.crc32(own.astype("<u4")), "ids": own.tobytes() if with_ids else None})
             offset += n
     return out
 
 
-def _group_task(dtype, capacity: int, last: bool):
-    """Fill the bins of one group.  Leftovers keep a class above 0; in the ``last``
-    pass they are split at powers of two."""
+def _group_task(dtype, capacity: int, last: bool, with_ids: bool):
+    """Fill the bins of one group.  Leftovers keep a class above 0 and their ids; in
+    the ``last`` pass they are split at powers of two."""
     def run(key: tuple, table: pa.Table) -> pa.Table:
         k, group = (x.as_py() for x in key)
         table = table.sort_by([("row", "ascending"), ("start", "ascending")])
@@ -151,7 +152,7 @@ def _group_task(dtype, capacity: int, last: bool):
         ids = [np.frombuffer(x.as_buffer(), dtype) for x in table.column("ids")]
         bins, left = fill_bins([len(x) for x in ids], LAST_CLASS if last else k, capacity)
         base = (2 if last else 1) << 60 | k << 52 | group << 22
-        out = _placed(rests, ids, bins, 0, lambda b: base | b)
+        out = _placed(rests, ids, bins, 0, lambda b: base | b, with_ids)
         if last:
             sizes, ends, room = piece_lengths(sum(n for *_, n in left), capacity), [], 0
             for i, first, n in left:
@@ -162,9 +163,9 @@ def _group_task(dtype, capacity: int, last: bool):
                     take = min(n, room)
                     ends[-1].append((i, first, take))
                     first, n, room = first + take, n - take, room - take
-            out += _placed(rests, ids, ends, 0, lambda b: base | len(bins) + b)
+            out += _placed(rests, ids, ends, 0, lambda b: base | len(bins) + b, with_ids)
         else:
-            out += _placed(rests, ids, [[x] for x in left], k, lambda b: None)
+            out += _placed(rests, ids, [[x] for x in left], k, lambda b: None, True)
         return pa.Table.from_pylist(out, _FILLED_SCHEMA)
     return run
 
@@ -189,9 +190,9 @@ def pack(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_id: int
             n = F.when(F.col("class") == r["class"], F.lit(groups)).otherwise(n)
         return of.withColumn("group", F.pmod(F.xxhash64("row"), n.cast("long")))
 
-    filled = stored(group(rests).groupBy("class", "group").applyInArrow(_group_task(dtype, capacity, False), _FILLED), "filled")
+    filled = stored(group(rests).groupBy("class", "group").applyInArrow(_group_task(dtype, capacity, False, with_ids), _FILLED), "filled")
     left = filled.where("class > 0").withColumn("class", F.lit(0))
-    ends = group(left).groupBy("class", "group").applyInArrow(_group_task(dtype, capacity, True), _FILLED)
+    ends = group(left).groupBy("class", "group").applyInArrow(_group_task(dtype, capacity, True, with_ids), _FILLED)
     full = cut.where("class = 0").withColumn("offset", F.lit(0).cast("long"))
     cols = ["doc_id", "start", "length", F.col("crc").alias("ids_crc32"), "doc_tokens", F.col("sequence").alias("sequence_id"), "offset"]
     out = [x.select(*cols, *(["ids"] if with_ids else [])) for x in (full, filled.where("class = 0"), ends)]
