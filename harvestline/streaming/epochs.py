@@ -13,7 +13,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import config as C
@@ -89,16 +89,15 @@ def sort_out_late(ts: str, delay: str, first_close: Column, last_close: Column,
         high = F.lit(before["high_micros"] if before else None).cast("long")
         closed = F.timestamp_micros(high) - F.expr(f"interval {delay}")  # null, and so never reached, before the first epoch
         arrival = F.when(last_close <= closed, "late").when(first_close <= closed, "partly").otherwise("on_time")
-        seen = Observation()
-        rows = batch.where(F.col(ts).isNotNull()).withColumn("arrival", arrival).observe(
-            seen, F.max(F.unix_micros(ts)).alias("high"), F.count(F.lit(1)).alias("rows"),
-            F.count_if(F.col("arrival") == "late").alias("late"), F.count_if(F.col("arrival") == "partly").alias("partly"))
+        rows = batch.where(F.col(ts).isNotNull()).withColumn("arrival", arrival)
         staged = stage(rows, f"{base}/rows", "arrival")
-        found = seen.get
-        mark = spark.range(1).select(F.greatest(high, F.lit(found.get("high")).cast("long")).alias("high_micros"),
-                                     *[F.lit(found.get(k, 0)).cast("long").alias(n) for k, n in (("rows", "rows"), ("late", "late"), ("partly", "partly_late"))])
+        # counted on the copy, of which two columns are read
+        copy = spark.read.schema(rows.schema).parquet(staged)
+        mark = copy.agg(F.greatest(high, F.max(F.unix_micros(ts))).alias("high_micros"), F.count(F.lit(1)).alias("rows"),
+                        F.count_if(F.col("arrival") == "late").alias("late"), F.count_if(F.col("arrival") == "partly").alias("partly_late"))
+        marked = stage(mark, f"{base}/marks")
         commit(spark, staged, f"{base}/rows", epoch)
-        put_epoch(mark, f"{base}/marks", epoch)
+        commit(spark, marked, f"{base}/marks", epoch)
     return run
 
 
