@@ -158,3 +158,46 @@ def test_folds_fitted_together_score_like_a_loop(spark):
         assert np.allclose(weights[k], [*model.coefficients, model.intercept], atol=2e-3)
         scores.append(M.binary_metrics(M.predict(model, tagged.where(F.col("fold") == k), ["a", "b", "c"])).first()["f1"])
     assert abs(M.cv_f1(df, ["a", "b", "c"], "label", ["id"]) - sum(scores) / 5) < 2e-3
+
+
+def test_folds_reach_large_weights(spark):
+    import numpy as np
+
+    from harvestline.operators import models as M
+    rng = np.random.default_rng(5)
+    x = rng.standard_normal(3000) / 100
+    y = (rng.random(3000) < 1 / (1 + np.exp(-500 * x))).astype(float)
+    df = spark.createDataFrame([(float(a), float(v), i % 2) for i, (a, v) in enumerate(zip(x, y))], "a double, label double, fold int")
+    for k, (w, b) in enumerate(M.fit_folds(df, ["a"], "label", 2, c=1e9)):
+        own = np.arange(3000) % 2 != k
+        left = y[own] - 1 / (1 + np.exp(-(w * x[own] + b)))
+        assert w > 300 and abs(left.sum()) < 1e-4 and abs(left @ x[own]) < 1e-6  # the gradient is 0
+
+
+def test_counted_rows_give_the_models_of_all_rows(spark):
+    import numpy as np
+
+    from harvestline.operators import models as M
+    from harvestline.plans import models as ML
+    rng = np.random.default_rng(4)
+    x = np.column_stack([rng.integers(0, 12, 6000) / 4, rng.integers(0, 2, 6000), np.full(6000, 91.8)])
+    y = (x @ [1.5, -1.0, 0.0] + rng.standard_normal(6000) > 1.6).astype(float)
+    df = spark.createDataFrame([(i // 2, *map(float, r), float(v)) for i, (r, v) in enumerate(zip(x, y))], "id long, a double, b double, c double, label double").cache()
+    features = ["a", "b", "c"]
+    counted = M.count_rows(df, features, "label", ["id"])
+    rows = counted.collect()
+    assert len(rows) <= 12 * 2 * 2 and sum(r.n for r in rows) == 6000
+    assert all(sum(r[f"fold_{k}"] for k in range(5)) == r.n for r in rows)
+    z = M.standardise_counted(counted, features)
+    assert {r.c for r in z.collect()} == {0.0}
+    plain = M.standardise(df.drop("c"), features[:2]).withColumn("c", F.lit(0.0)).cache()
+    train, test = M.split(plain, ["id"])
+    assert sum(r.train for r in rows) == train.count()
+    model = M.fit_logit(train, features, "label")
+    pred = M.predict(model, test, features)
+    want = M.binary_metrics(pred).crossJoin(M.mcfadden(pred)).first()
+    metrics, coefs = ML.run_model(spark, df, features, ["id"])
+    got = metrics.first()
+    assert all(got[c] == want[c] for c in want.asDict()) and got.n_test == test.count()
+    assert np.allclose([r.coefficient for r in sorted(coefs.collect(), key=lambda r: r.feature)], model.coefficients, atol=1e-4)
+    assert abs(got.cv_f1 - M.cv_f1(plain, features, "label", ["id"])) < 1e-9
