@@ -108,10 +108,11 @@ def save_reports(spark: SparkSession, readings: DataFrame, fact: DataFrame, out_
     Returns the saved coefficients."""
     keys = ["kpin", "season", "pack_week", "variety", "submission_date", "dm_pct_avg", "trays_submitted"]
     free = [f for f in M2_FEATURES if f != "mts_pass"]
-    runs = {"m1_mts_fail": (features_mts(readings), M1_FEATURES, keys[:4]), "m2_otif_below_88": (features_otif(fact), M2_FEATURES, keys),
-            "m2_otif_below_88_leak_free": (features_otif(fact), free, keys)}
-    for name, (df, features, own_keys) in runs.items():
-        metrics, coefs = run_model(spark, df, features, own_keys)
+    otif = M.count_rows(features_otif(fact), M2_FEATURES, "label", keys)  # both models of it have its rows
+    runs = {"m1_mts_fail": (M.count_rows(features_mts(readings), M1_FEATURES, "label", keys[:4]), M1_FEATURES),
+            "m2_otif_below_88": (otif, M2_FEATURES), "m2_otif_below_88_leak_free": (otif, free)}
+    for name, (counted, features) in runs.items():
+        metrics, coefs = run_counted(spark, counted, features)
         ranked = coefs.withColumn("rank", F.row_number().over(Window.orderBy(F.abs("coefficient").desc(), "feature")))  # a row a feature
         cells = F.expr("stack(4, 1, 1, tp, 0, 0, tn, 0, 1, fp, 1, 0, fn) as (label, pred, rows)")
         for table, rows in (("metrics", metrics), ("confusion", metrics.select(cells)), ("coefficients", ranked),
