@@ -18,6 +18,8 @@ executor does not recompute the upstream joins).
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -52,21 +54,42 @@ def prefix_sums(df: DataFrame, order_cols, weights: dict[str, str], num_partitio
     """For each ``name: weight`` the sum of that column over all rows before each
     row of the order, distributed.
 
-    The rows are range-partitioned on the order and stored with their partition;
-    sums run inside a partition and start from the total of those before it, of
-    which there is one row a partition.  Rows that are equal in the order may
+    The rows are range-partitioned on the order and stored with their partition and
+    their sums inside it, which start from the total of the partitions before, of
+    which there is one row each.  Rows that are equal in the order may
     take either place.
     """
-    order_cols = list(order_cols)
     n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = scratch_table(df.repartitionByRange(n, *order_cols).withColumn("_pid", F.spark_partition_id()), "ranged")
-    totals = ranged.groupBy("_pid").agg(*[F.sum(w).alias(f"_{k}") for k, w in weights.items()])
+    return running_sums(df.repartitionByRange(n, *order_cols), order_cols, weights)
+
+
+def running_sums(ranged: DataFrame, order_cols, weights: dict[str, str]) -> DataFrame:
+    """``prefix_sums`` of rows that lie in ranges of the order already: a sorted
+    partition is summed as it is stored, so no row moves again."""
+    own = {k: f"_{k}" for k in weights}
+    placed = ranged.sortWithinPartitions(*order_cols).select(
+        "*", *[F.coalesce(F.col(w).cast("long"), F.lit(0)).alias(own[k]) for k, w in weights.items()], F.spark_partition_id().alias("_pid"))
+    stored = scratch_table(placed.mapInArrow(_sums_before(list(own.values())), placed.schema), "ranged", compression="zstd")
+    totals = stored.groupBy("_pid").agg(*[F.sum(w).alias(f"_all_{k}") for k, w in weights.items()])
     earlier = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)  # a row a partition
-    offsets = totals.select("_pid", *[F.coalesce(F.sum(f"_{k}").over(earlier), F.lit(0)).alias(f"_{k}") for k in weights])
-    inside = Window.partitionBy("_pid").orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, -1)
-    summed = ranged.withColumns({k: F.coalesce(F.sum(w).over(inside), F.lit(0)) for k, w in weights.items()})
-    return (summed.join(F.broadcast(offsets), "_pid")
-                  .withColumns({k: (F.col(k) + F.col(f"_{k}")).cast("long") for k in weights}).drop("_pid", *[f"_{k}" for k in weights]))
+    offsets = totals.select("_pid", *[F.coalesce(F.sum(f"_all_{k}").over(earlier), F.lit(0)).alias(f"_all_{k}") for k in weights])
+    return (stored.join(F.broadcast(offsets), "_pid")
+                  .withColumns({k: (F.col(own[k]) + F.col(f"_all_{k}")).cast("long") for k in weights})
+                  .drop("_pid", *own.values(), *[f"_all_{k}" for k in weights]))
+
+
+def _sums_before(columns: list):
+    """Each column replaced by its sum over the rows before, batch after batch of a partition."""
+    def run(batches):
+        reached = dict.fromkeys(columns, 0)
+        for batch in batches:
+            for c in columns:
+                w = batch.column(c).to_numpy()
+                upto = reached[c] + np.cumsum(w)
+                batch = batch.set_column(batch.schema.get_field_index(c), c, pa.array(upto - w))
+                reached[c] = int(upto[-1]) if len(upto) else reached[c]
+            yield batch
+    return run
 
 
 def hashed_surrogate_key(df: DataFrame, order_cols, name: str, buckets: int | None = None) -> DataFrame:

@@ -53,7 +53,7 @@ def grower_register(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("s_suppkey")
     variety = F.element_at(F.array(*[F.lit(v) for v in VARIETY_ORDER]), (k % len(VARIETY_ORDER) + 1).cast("int"))
     return sz.select(
-        (F.lit(100000) + k).cast("long").alias("kpin"),
+        kpin_of("s_suppkey").alias("kpin"),
         "subzone",
         variety.alias("primary_variety"),
         variety.contains("Organic").alias("organic"),
@@ -75,6 +75,7 @@ def size_code(u100) -> F.Column:
     return expr.otherwise(C.SIZE_CODES[-1])
 
 
+KPIN_BASE = 100000
 LINEITEM_COLS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_discount", "l_shipdate"]
 
 
@@ -83,22 +84,39 @@ def submissions(spark: SparkSession, sf_dir: str, lineitem: DataFrame | None = N
     lineitem.  ``lineitem`` may be a streaming DataFrame: part and supplier
     are then joined stream–static (STR5).  ``numbered`` gives each its order and
     line number, and leaves the subzone to whoever joins the growers."""
+    j = varieties(spark, sf_dir, lineitem)
+    if numbered:
+        return described(j, *numbers())
+    sz = supplier_subzone(spark, sf_dir)
+    return described(j.join(sz, F.col("l_suppkey") == sz.s_suppkey), "subzone")
+
+
+def varieties(spark: SparkSession, sf_dir: str, lineitem: DataFrame | None = None) -> DataFrame:
+    """The lineitems with the variety of their part."""
     li = (lineitem if lineitem is not None else read_table(spark, sf_dir, "lineitem")).select(*LINEITEM_COLS)
     part = read_table(spark, sf_dir, "part", ["p_partkey", "p_type"])
-    j = li.join(part, li.l_partkey == part.p_partkey)
-    if numbered:
-        extra = [F.col("l_orderkey").alias("order_key"), F.col("l_linenumber").alias("line_number")]
-    else:
-        sz = supplier_subzone(spark, sf_dir)
-        j, extra = j.join(sz, li.l_suppkey == sz.s_suppkey), ["subzone"]
+    return li.join(part, li.l_partkey == part.p_partkey).select(*LINEITEM_COLS, lookup("p_type", C.PART_TYPE_VARIETY).alias("variety"))
+
+
+def numbers() -> list:
+    return [F.col("l_orderkey").alias("order_key"), F.col("l_linenumber").alias("line_number")]
+
+
+def kpin_of(suppkey) -> F.Column:
+    return (F.lit(KPIN_BASE) + F.col(suppkey)).cast("long")
+
+
+def described(j: DataFrame, *extra) -> DataFrame:
+    """Submissions from lineitems with their variety: all that follows from the row
+    itself.  ``kpin`` is taken over where the rows have it."""
     ok, pk, sk, ln = (F.col(c) for c in ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"))
     d = F.to_date("l_shipdate")
-    variety = lookup("p_type", C.PART_TYPE_VARIETY)
+    variety = F.col("variety")
     dm_centi = (F.lit(1300) + (ok * 7 + pk * 13 + sk * 31 + ln * 101) % 701).cast("int")
     trays = (F.col("l_quantity").cast("long") * 10)
     disc_pct = F.round(F.col("l_discount") * 100).cast("long")
     base = j.select(
-        (F.lit(100000) + sk).cast("long").alias("kpin"),
+        F.col("kpin") if "kpin" in j.columns else kpin_of("l_suppkey").alias("kpin"),
         *extra,
         variety.alias("variety"),
         d.alias("submission_date"),

@@ -16,13 +16,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .. import config as C
+from ..functions.scalars import season_year
 from ..session import checkpoint_dir
-from .tables import drop_path
+from .tables import drop_path, read_table
 
 
-def write_table(df: DataFrame, path: str, partition_by=None, mode: str = "overwrite", fmt: str = "parquet") -> str:
+def write_table(df: DataFrame, path: str, partition_by=None, mode: str = "overwrite", fmt: str = "parquet", **options) -> str:
     """SNK1: overwrite (or append) a table, optionally partitioned."""
-    w = df.write.mode(mode).format(fmt)
+    w = df.write.mode(mode).format(fmt).options(**options)
     if partition_by:
         w = w.partitionBy(*([partition_by] if isinstance(partition_by, str) else partition_by))
     w.save(path)
@@ -38,16 +39,19 @@ CELL = [*READING, "cell"]
 
 def stage_submissions(spark: SparkSession, sf_dir: str, table: str, path: str) -> DataFrame:
     """The numbered submissions, stored in buckets of the reading cell: all that
-    the build needs from the raw tables, read and shuffled once."""
+    the build needs from the raw tables, read and shuffled once.  Only what the
+    rest of a submission follows from is moved and stored; readers derive it."""
     from . import bindings
-    subs = bindings.submissions(spark, sf_dir, numbered=True)
-    subs = subs.withColumns({
-        "k_season": F.coalesce("season", F.lit("")), "k_week": F.coalesce("pack_week", F.lit(0)), "k_variety": F.coalesce("variety", F.lit("")),
-        "cell": F.pmod(F.col("order_key") + F.col("line_number"), F.lit(READING_CELLS)).cast("int")})
+    day = F.to_date("l_shipdate")
+    cell = {"kpin": bindings.kpin_of("l_suppkey"), "k_season": F.coalesce(season_year(day), F.lit("")), "k_week": F.coalesce(F.weekofyear(day), F.lit(0)),
+            "k_variety": F.coalesce("variety", F.lit("")), "cell": F.pmod(F.col("l_orderkey") + F.col("l_linenumber"), F.lit(READING_CELLS)).cast("int")}
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    (subs.repartition(n, *CELL).write.bucketBy(n, *CELL).sortBy(*CELL, "order_key", "line_number")
-         .option("path", path).mode("overwrite").saveAsTable(table))
-    return spark.table(table)
+    lineitem = read_table(spark, sf_dir, "lineitem", bindings.LINEITEM_COLS).withColumn("l_shipdate", day)
+    rows = bindings.varieties(spark, sf_dir, lineitem).repartition(n, *[cell[c] for c in CELL])
+    (rows.withColumns(cell).drop("l_suppkey", "variety").write.bucketBy(n, *CELL).sortBy(*CELL, "l_orderkey", "l_linenumber")
+         .options(path=path, compression="zstd").mode("overwrite").saveAsTable(table))
+    stored = spark.table(table).withColumns({"l_suppkey": F.col("kpin") - bindings.KPIN_BASE, "variety": F.when(F.col("k_variety") != "", F.col("k_variety"))})
+    return bindings.described(stored, *bindings.numbers(), *CELL[1:])
 
 
 def star_keys(staged: DataFrame, growers: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -56,17 +60,22 @@ def star_keys(staged: DataFrame, growers: DataFrame) -> tuple[DataFrame, DataFra
     ``fruit_key`` numbers the readings in order; the number of submissions of all
     readings before one (and of the cells before one) is where the ``export_id``s
     of a cell start.  A reading without a grower is left out, as its submissions are.
+    The cells move once, into ranges of the order, and are pooled and numbered there.
     """
-    from ..operators.keys import prefix_sums
-    same = [F.max(c).alias(c) for c in ("season", "pack_week", "variety", "pest_indicator")]  # one value a reading
+    from ..operators.keys import running_sums
     cells = staged.groupBy(*CELL).agg(
-        *same, F.sum("dm_centi").alias("dm_sum"), F.count(F.lit(1)).alias("n"), F.min("submission_date").alias("reading_date"))
-    counted = cells.groupBy(*READING).agg(
-        *same, F.sum("dm_sum").alias("dm_sum"), F.sum("n").alias("n"), F.min("reading_date").alias("reading_date"),
+        F.max("pest_indicator").alias("pest_indicator"),  # one value a grower
+        F.sum("dm_centi").alias("dm_sum"), F.count(F.lit(1)).alias("n"), F.min("submission_date").alias("reading_date"))
+    order = ["k_season", "kpin", "k_week", "k_variety"]
+    known = cells.join(growers.select("kpin", "subzone", "grower_key"), "kpin")
+    ranged = known.repartitionByRange(int(staged.sparkSession.conf.get("spark.sql.shuffle.partitions")), *order)
+    counted = ranged.groupBy(*READING, "subzone", "grower_key").agg(
+        F.max("pest_indicator").alias("pest_indicator"), F.sum("dm_sum").alias("dm_sum"), F.sum("n").alias("n"), F.min("reading_date").alias("reading_date"),
         F.array_sort(F.collect_list(F.struct("cell", "n"))).alias("cells"))  # READING_CELLS at most
-    known = counted.join(growers.select("kpin", "subzone", "grower_key"), "kpin").withColumn("one", F.lit(1).cast("long"))
-    numbered = prefix_sums(known, ["k_season", "kpin", "k_week", "k_variety"], {"fruit_key": "one", "first": "n"})
-    numbered = numbered.withColumn("fruit_key", F.col("fruit_key") + 1).drop("one")
+    numbered = running_sums(counted.withColumn("one", F.lit(1).cast("long")), order, {"fruit_key": "one", "first": "n"})
+    numbered = numbered.withColumns({
+        "fruit_key": F.col("fruit_key") + 1, "season": F.when(F.col("k_season") != "", F.col("k_season")),
+        "pack_week": F.when(F.col("k_week") != 0, F.col("k_week")), "variety": F.when(F.col("k_variety") != "", F.col("k_variety"))}).drop("one")
     each = numbered.select(*READING, "subzone", "grower_key", "fruit_key", "first", "cells", F.posexplode("cells").alias("_at", "_cell"))
     earlier = F.aggregate(F.slice("cells", F.lit(1), F.col("_at")), F.lit(0).cast("long"), lambda acc, c: acc + c["n"])
     starts = each.select(*READING, F.col("_cell.cell").alias("cell"), "subzone", "grower_key", "fruit_key", (F.col("first") + earlier).alias("first"))
@@ -96,9 +105,9 @@ def build_star(spark: SparkSession, sf_dir: str, out_dir: str, **fact_kw) -> dic
     growers = surrogate_key(star.dim_grower(spark, sf_dir, cor), ["kpin"], "grower_key")
     paths["dim_grower"] = write_table(growers, os.path.join(out_dir, "dim_grower"))
     readings, starts = star_keys(staged, spark.read.parquet(paths["dim_grower"]))
-    paths["dim_fruit_quality"] = write_table(star.fruit_columns(star.reading_columns(readings), "fruit_key"), os.path.join(out_dir, "dim_fruit_quality"))
+    paths["dim_fruit_quality"] = write_table(star.fruit_columns(star.reading_columns(readings), "fruit_key"), os.path.join(out_dir, "dim_fruit_quality"), compression="zstd")
     f = star_fact(spark, sf_dir, staged, starts, spark.read.parquet(paths["dim_time"]), **fact_kw)
-    paths["fact_export_transactions"] = write_table(f, os.path.join(out_dir, "fact_export_transactions"), partition_by="season")
+    paths["fact_export_transactions"] = write_table(f, os.path.join(out_dir, "fact_export_transactions"), partition_by="season", compression="zstd")
     spark.sql(f"DROP TABLE {table}")
     drop_path(spark, stage_path)
     return paths

@@ -55,17 +55,17 @@ def move_path(spark: SparkSession, source: str, target: str) -> None:
         raise OSError(f"could not move {source} to {target}")
 
 
-def put_table(df: DataFrame, path: str) -> DataFrame:
+def put_table(df: DataFrame, path: str, **options) -> DataFrame:
     """Write ``df`` unless the table is there, and read it back: what is built on
     it starts from files, whichever executors are lost."""
     if path_status(df.sparkSession, f"{path}/_SUCCESS") is None:
-        df.write.mode("overwrite").parquet(path)
+        df.write.mode("overwrite").options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def scratch_table(df: DataFrame, name: str) -> DataFrame:
+def scratch_table(df: DataFrame, name: str, **options) -> DataFrame:
     """Write ``df`` to a new folder under the shared checkpoint folder and read it back."""
-    return put_table(df, os.path.join(checkpoint_dir(df.sparkSession), "scratch", f"{name}-{uuid.uuid4().hex}"))
+    return put_table(df, os.path.join(checkpoint_dir(df.sparkSession), "scratch", f"{name}-{uuid.uuid4().hex}"), **options)
 
 
 def table_path(sf_dir: str, name: str) -> str:

@@ -120,3 +120,20 @@ def test_prefix_sums(spark):
     for r in sorted(found, key=lambda r: (r.k, r.w, r.before, r.twice)):
         assert (r.before, r.twice) == (total_w, total_k)
         total_w, total_k = total_w + r.w, total_k + r.k
+
+
+def test_readings_and_starts_move_once_and_stay(spark, scratch):
+    """What is staged is what the rest follows from, and nothing is shuffled after the ranges are numbered."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        staged = sinks.stage_submissions(spark, SF_SMALL, "stage_narrow", f"{scratch}/stage")
+        assert len(spark.read.parquet(f"{scratch}/stage").columns) == 11 < len(staged.columns)
+        raw = bindings.submissions(spark, SF_SMALL, numbered=True)
+        assert sorted(map(str, staged.select(raw.columns).collect())) == sorted(map(str, raw.collect()))
+        growers = star.dim_grower(spark, SF_SMALL).withColumn("grower_key", F.lit(1).cast("long"))
+        for keys in sinks.star_keys(staged, growers):
+            moved = [line for line in plan_of(keys).split("\n") if "Exchange hashpartitioning(" in line or "Exchange rangepartitioning(" in line]
+            assert all("_pid" in line and "_all_" not in line and "kpin" not in line for line in moved), moved  # totals of partitions
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.sql("DROP TABLE IF EXISTS stage_narrow")
