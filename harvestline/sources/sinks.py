@@ -72,7 +72,8 @@ def star_keys(staged: DataFrame, growers: DataFrame) -> tuple[DataFrame, DataFra
     counted = ranged.groupBy(*READING, "subzone", "grower_key").agg(
         F.max("pest_indicator").alias("pest_indicator"), F.sum("dm_sum").alias("dm_sum"), F.sum("n").alias("n"), F.min("reading_date").alias("reading_date"),
         F.array_sort(F.collect_list(F.struct("cell", "n"))).alias("cells"))  # READING_CELLS at most
-    numbered = running_sums(counted.withColumn("one", F.lit(1).cast("long")), order, {"fruit_key": "one", "first": "n"})
+    # growers that repeat a kpin share its readings: the later key comes first
+    numbered = running_sums(counted.withColumn("one", F.lit(1).cast("long")), [*order, F.desc("grower_key")], {"fruit_key": "one", "first": "n"})
     numbered = numbered.withColumns({
         "fruit_key": F.col("fruit_key") + 1, "season": F.when(F.col("k_season") != "", F.col("k_season")),
         "pack_week": F.when(F.col("k_week") != 0, F.col("k_week")), "variety": F.when(F.col("k_variety") != "", F.col("k_variety"))}).drop("one")
