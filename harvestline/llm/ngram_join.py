@@ -44,7 +44,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import batch_rows, prepare, row_groups, small_side, stored, text_buffers
+from .common import BROADCAST_ROWS, batch_rows, prepare, row_groups, small_side, stored, text_buffers
 from .components import connected_components
 from .kernels import SEGMENT, shingle_sets
 
@@ -304,9 +304,12 @@ def shingle_classes(docs: DataFrame, width: int = 5) -> DataFrame:
 
 
 def _frequent(counts: DataFrame, list_rows: int, heavy_keys: int) -> tuple[np.ndarray, np.ndarray]:
-    """The most frequent of counted keys, with their counts: at most ``heavy_keys``, 16 bytes each."""
-    top = counts.where(F.col("cnt") > list_rows).orderBy(F.desc("cnt"), "key").limit(heavy_keys).toPandas()
-    return top["key"].to_numpy(np.int64), top["cnt"].to_numpy(np.int64)
+    """The most frequent of counted keys, with their counts: at most ``heavy_keys``, 16 bytes
+    each.  As Arrow: tasks sort them, and the driver's JVM and Python hold no row objects."""
+    top = counts.where(F.col("cnt") > list_rows).orderBy(F.desc("cnt"), "key").limit(heavy_keys)
+    with batch_rows(counts.sparkSession, NARROW_ROWS):
+        table = top.toArrow()
+    return table["key"].to_numpy(), table["cnt"].to_numpy()
 
 
 def _union(first, second, heavy_keys: int) -> np.ndarray:
@@ -318,17 +321,33 @@ def _union(first, second, heavy_keys: int) -> np.ndarray:
     return np.sort(key[np.sort(at)[:heavy_keys]].view(_U))
 
 
-def components_of_sets(docs: DataFrame, classes: DataFrame, width: int = 5, num: int = 3, den: int = 4,
-                       list_rows: int = LIST_ROWS, heavy_keys: int = HEAVY_KEYS) -> DataFrame:
-    """(node, component) of class members (and of ids that several rows have) that links
-    connect to others, straight or by way of further texts."""
-    spark = docs.sparkSession
+def members(classes: DataFrame) -> tuple[DataFrame | None, DataFrame | None]:
+    """Of the ids that do not stand for one text alone: (doc_id) of those whose set another
+    text stands for, and (doc_id) of those that several rows have.  None where there are
+    none, so that no plan carries joins for them."""
     ids = stored(classes.where("doc_id is not null").groupBy("doc_id").agg(
         F.count(F.lit(1)).alias("c"), F.max("rep").alias("rep")).where("c > 1 or rep <> doc_id"), "ids")
+    n = ids.agg(F.count_if(F.col("c") == 1).alias("copies"), F.count_if(F.col("c") > 1).alias("repeated")).first()
+
+    def side(rows: DataFrame, count: int) -> DataFrame | None:
+        if not count:
+            return None
+        return F.broadcast(rows) if count <= BROADCAST_ROWS else rows
+
+    return side(ids.where("c = 1").select("doc_id"), n.copies), side(ids.where("c > 1").select("doc_id"), n.repeated)
+
+
+def components_of_sets(docs: DataFrame, classes: DataFrame, copies: DataFrame | None, repeated: DataFrame | None,
+                       width: int = 5, num: int = 3, den: int = 4,
+                       list_rows: int = LIST_ROWS, heavy_keys: int = HEAVY_KEYS) -> DataFrame:
+    """(node, component), stored, of class members (and of ids that several rows have) that
+    links connect to others, straight or by way of further texts; ``copies`` and
+    ``repeated`` are those of ``members``."""
+    spark = docs.sparkSession
     # members that another text of the same set stands for; ids used twice keep all their rows
-    copies = ids.where("c = 1").select("doc_id")
-    distinct = (docs.select(F.col("doc_id").cast("long"), "text").where("doc_id is not null")
-                    .join(small_side(copies), "doc_id", "left_anti"))
+    distinct = docs.select(F.col("doc_id").cast("long"), "text").where("doc_id is not null")
+    if copies is not None:
+        distinct = distinct.join(copies, "doc_id", "left_anti")
 
     def counted(ref=None) -> DataFrame:
         keys = distinct.mapInArrow(_counted(width, num, den, ref), "key long, cnt long")
@@ -356,7 +375,7 @@ def components_of_sets(docs: DataFrame, classes: DataFrame, width: int = 5, num:
     with batch_rows(spark, NARROW_ROWS):
         lists = stored(lists, "lists")
     ref.destroy()
-    light = lists.where("kind = 0").select("a", "b").distinct()
+    light = lists.where("kind = 0").select("a", "b")
     long_lists = stored(lists.where("kind = 1").select("key", F.col("a").alias("id"), "n", "pos"), "long-lists")
 
     # the most central row of each long list: the one that shares most list rows
@@ -376,7 +395,7 @@ def components_of_sets(docs: DataFrame, classes: DataFrame, width: int = 5, num:
         return F.least(x, y).alias("a"), F.greatest(x, y).alias("b")
 
     star = (long_lists.join(centre, "key").where((F.col("id") != F.col("cid")) & bound("n", "cn", "pos", "cpos"))
-                      .select(*ordered("id", "cid")).distinct())
+                      .select(*ordered("id", "cid")))
     tested = stored(light.unionByName(star).distinct(), "pairs")
     wanted = stored(tested.select(F.col("a").alias("doc_id")).unionByName(tested.select(F.col("b").alias("doc_id")))
                           .unionByName(long_lists.select(F.col("id").alias("doc_id"))).distinct(), "wanted")
@@ -390,8 +409,9 @@ def components_of_sets(docs: DataFrame, classes: DataFrame, width: int = 5, num:
             return stored(both.select("a", "b", "sa", "sb").mapInArrow(_verify(num, den), "a long, b long"), "links")
 
     links = verified(tested)
-    repeated = classes.join(ids.where("c > 1").select("doc_id"), "doc_id", "left_semi")
-    parts = connected_components(links.unionByName(repeated.select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))))
+    if repeated is not None:
+        links = links.unionByName(classes.join(repeated, "doc_id", "left_semi").select(F.col("doc_id").alias("a"), F.col("rep").alias("b")))
+    parts = stored(connected_components(links), "parts")
     rows = (long_lists.join(parts.withColumnRenamed("node", "id"), "id", "left")
                       .withColumn("part", F.coalesce("component", "id")).drop("component"))
     open_lists = rows.groupBy("key").agg(F.min("part").alias("lo"), F.max("part").alias("hi")).where("lo < hi").select("key")
@@ -411,30 +431,36 @@ def components_of_sets(docs: DataFrame, classes: DataFrame, width: int = 5, num:
     joined = connected_components(across.join(part_of.select(F.col("node").alias("a"), F.col("component").alias("x")), "a")
                                         .join(part_of.select(F.col("node").alias("b"), F.col("component").alias("y")), "b")
                                         .select(F.col("x").alias("a"), F.col("y").alias("b")))
-    return part_of.join(joined.select(F.col("node").alias("component"), F.col("component").alias("whole")), "component", "left").select(
-        "node", F.coalesce("whole", "component").alias("component"))
+    return stored(part_of.join(joined.select(F.col("node").alias("component"), F.col("component").alias("whole")), "component", "left").select(
+        "node", F.coalesce("whole", "component").alias("component")), "parts")
 
 
-def ngram_components(docs: DataFrame, width: int = 5, num: int = 3, den: int = 4, **options) -> DataFrame:
-    """One row per row of ``docs`` (doc_id, text; other columns are ignored):
-    doc_id, n_shingles, component_id (the smallest doc_id reachable by links)."""
+def _linked(docs: DataFrame, width: int, num: int, den: int, **options) -> tuple[DataFrame, DataFrame | None]:
+    """What ``ngram_components`` returns, and the ids that several rows have (None: no such id)."""
     prepare(docs.sparkSession)
     classes = shingle_classes(docs, width)
-    parts = components_of_sets(docs, classes, width, num, den, **options)
+    copies, repeated = members(classes)
+    parts = components_of_sets(docs, classes, copies, repeated, width, num, den, **options)
     # a row goes by its class, and a row whose doc_id stands for several texts by that, which the parts hold where it matters
     own = classes.join(parts.select(F.col("node").alias("doc_id"), F.col("component").alias("own")), "doc_id", "left")
     out = own.join(parts.select(F.col("node").alias("rep"), F.col("component").alias("by_class")), "rep", "left")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("own", "by_class", "rep", "doc_id").alias("component_id"))
+    found = out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("own", "by_class", "rep", "doc_id").alias("component_id"))
+    return found, repeated
+
+
+def ngram_components(docs: DataFrame, width: int = 5, num: int = 3, den: int = 4, **options) -> DataFrame:
+    """One row per row of ``docs`` (doc_id, text; other columns are ignored):
+    doc_id, n_shingles, component_id (the smallest doc_id reachable by links)."""
+    return _linked(docs, width, num, den, **options)[0]
 
 
 def keep_representatives(docs: DataFrame, width: int = 5, num: int = 3, den: int = 4, **options) -> DataFrame:
     """The rows of ``docs`` whose doc_id is their component's smallest (one
     of rows that repeat it; every row with a null doc_id)."""
-    found = ngram_components(docs, width, num, den, **options)
+    found, repeated = _linked(docs, width, num, den, **options)
     gone = stored(found.where("component_id <> doc_id").select("doc_id").distinct(), "duplicates")
-    repeated = stored(found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated")
     kept = docs.join(small_side(gone), "doc_id", "left_anti")
-    if repeated.isEmpty():
+    if repeated is None:
         return kept
-    one = kept.join(small_side(repeated), "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.join(small_side(repeated), "doc_id", "left_anti").select(docs.columns).unionByName(one.select(docs.columns))
+    one = kept.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return kept.join(repeated, "doc_id", "left_anti").select(docs.columns).unionByName(one.select(docs.columns))

@@ -25,6 +25,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +39,7 @@ BITS = 20
 MAX_ROWS = 12_000
 THRESHOLD = 0.7
 _U = np.uint64
+_WEIGHED = np.dtype([("feature", np.int32), ("weight", np.float32)])
 
 # byte classes: 0 other (letters beyond ASCII too), 1 lower, 2 upper, 3 digit, 4 symbol, 5 sentence mark
 _CLASS = np.zeros(256, np.uint8)
@@ -94,8 +96,11 @@ def text_features(column: pa.Array, bits: int = BITS) -> Iterator[np.ndarray]:
 
 @dataclass
 class Model:
-    """Scaled weights and squared scales by feature, intercept, sigmoid."""
+    """The features that weigh anything with their scaled weights and squared
+    scales, intercept, sigmoid.  Only these features travel; a worker spreads
+    them over all numbers once."""
 
+    features: np.ndarray
     weight: np.ndarray
     square: np.ndarray
     intercept: float
@@ -103,11 +108,26 @@ class Model:
     shift: float
     bits: int
 
+    @classmethod
+    def of(cls, weight: np.ndarray, square: np.ndarray, intercept: float, slope: float, shift: float, bits: int) -> Model:
+        features = np.flatnonzero((weight != 0) | (square != 0)).astype(np.int32)
+        return cls(features, weight[features], square[features], intercept, slope, shift, bits)
+
+    @cached_property
+    def spread(self) -> tuple[np.ndarray, np.ndarray]:
+        weight, square = np.zeros(1 << self.bits, np.float32), np.zeros(1 << self.bits, np.float32)
+        weight[self.features], square[self.features] = self.weight, self.square
+        return weight, square
+
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if k != "spread"}
+
     def margin(self, features: np.ndarray) -> float:
         if not len(features):
             return self.intercept
-        norm = float(self.square[features].sum(dtype=np.float64))
-        return self.intercept + (float(self.weight[features].sum(dtype=np.float64)) / norm ** 0.5 if norm else 0.0)
+        weight, square = self.spread
+        norm = float(square[features].sum(dtype=np.float64))
+        return self.intercept + (float(weight[features].sum(dtype=np.float64)) / norm ** 0.5 if norm else 0.0)
 
     def score(self, features: np.ndarray) -> float:
         return float(1 / (1 + np.exp(-np.clip(self.slope * self.margin(features) + self.shift, -30, 30))))
@@ -151,7 +171,7 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, bits: int = BITS, cost: floa
         smoothing: float = 1.0, least_rows: int = 3, seed: int = 7) -> Model:
     size, y = 1 << bits, np.where(labels > 0, 1.0, -1.0)
     share = float((y > 0).mean()) if len(y) else 0.5
-    flat = Model(np.zeros(size, np.float32), np.zeros(size, np.float32), 0.0, 0.0,
+    flat = Model(np.zeros(0, np.int32), np.zeros(0, np.float32), np.zeros(0, np.float32), 0.0, 0.0,
                  float(np.log(max(share, 1e-6) / max(1 - share, 1e-6))), bits)
     if len(y) < 10 or share in (0.0, 1.0):
         return flat
@@ -166,7 +186,7 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, bits: int = BITS, cost: floa
         # what few rows have says little
         ratio[good + bad < least_rows] = 0
         w, bias = descend([r for r, u in zip(rows, use) if u], ratio, y[use], cost, epochs, seed)
-        return Model((w * ratio).astype(np.float32), (ratio * ratio).astype(np.float32), bias, 1.0, 0.0, bits)
+        return Model.of((w * ratio).astype(np.float32), (ratio * ratio).astype(np.float32), bias, 1.0, 0.0, bits)
 
     trial = one(~fold)
     held = fold if fold.any() else ~fold
@@ -200,8 +220,10 @@ def _fit_task(bits: int):
         got.sort()
         rows = [blocks[b][0][blocks[b][1][k]:blocks[b][1][k + 1]] for _, _, _, b, k in got]
         model = fit(rows, np.array([x[1] for x in got], float), bits)
+        weighed = np.zeros(len(model.features), _WEIGHED)
+        weighed["feature"], weighed["weight"] = model.features, model.weight
         yield pa.RecordBatch.from_arrays(
-            [pa.array([model.weight.tobytes()]), pa.array([model.square.tobytes()]),
+            [pa.array([weighed.tobytes()]), pa.array([model.square.tobytes()]),
              *(pa.array([x]) for x in (model.intercept, model.slope, model.shift))],
             ["weight", "square", "intercept", "slope", "shift"])
     return run
@@ -209,7 +231,7 @@ def _fit_task(bits: int):
 
 def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, bits: int = BITS) -> Model:
     """Fit on up to ``max_rows`` rows of ``docs`` (doc_id, text) that ``labels``
-    (doc_id, label 0/1) marks.  What comes back is 8 bytes a feature."""
+    (doc_id, label 0/1) marks.  What comes back is 12 bytes a feature that weighs anything."""
     prepare(docs.sparkSession)
     marked = (labels.where("doc_id is not null and label is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id"))
                     .agg((F.avg("label") > 0.5).cast("int").alias("label")))
@@ -219,8 +241,8 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, bits: in
     r = rows.first()
     if r is None:
         return fit([], np.zeros(0), bits)
-    return Model(np.frombuffer(bytes(r.weight), np.float32), np.frombuffer(bytes(r.square), np.float32),
-                 r.intercept, r.slope, r.shift, bits)
+    weighed = np.frombuffer(r.weight, _WEIGHED)
+    return Model(weighed["feature"].copy(), weighed["weight"].copy(), np.frombuffer(r.square, np.float32), r.intercept, r.slope, r.shift, bits)
 
 
 def score_column(spark: SparkSession, model: Model, text: Column) -> Column:

@@ -360,6 +360,22 @@ def test_ngram_join_edges(docs, empty):
     assert kept.columns == docs.columns and sorted(r.doc_id or 0 for r in kept.collect()) == [0, 1, 3, 4, 5, 6, 7, 9]
 
 
+def test_ngram_join_holds_no_rows_in_the_driver(spark, monkeypatch):
+    """Frequent keys come as Arrow, and ids used once or for one text alone cost no joins."""
+    from pyspark.sql.classic.dataframe import DataFrame as Classic
+    monkeypatch.setattr(Classic, "toPandas", lambda self: pytest.fail("rows of keys in the driver"))
+    rows = [(i, f"the same five words here and {i} {i + 1} {i + 2} {i + 3} {i + 4}") for i in range(40)]
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    assert ngram_join.members(ngram_join.shingle_classes(d)) == (None, None)
+    kept = ngram_join.keep_representatives(d, list_rows=2)
+    assert sorted(r.doc_id for r in kept.collect()) == list(range(40))
+    twice = d.unionByName(d.where("doc_id < 3")).unionByName(d.where("doc_id = 7").withColumn("doc_id", F.lit(99).cast("long")))
+    copies, repeated = ngram_join.members(ngram_join.shingle_classes(twice))
+    assert [r.doc_id for r in copies.collect()] == [99] and sorted(r.doc_id for r in repeated.collect()) == [0, 1, 2]
+    kept = ngram_join.keep_representatives(twice, list_rows=2)
+    assert sorted(r.doc_id for r in kept.collect()) == list(range(40))
+
+
 # 6 bit packing
 
 @pytest.mark.parametrize("bits", [1, 3, 8, 13, 16, 17, 20, 32])
@@ -566,6 +582,22 @@ def test_classifier_fits_on_12000_rows(spark, monkeypatch):
     assert quality_model.train(d.select("doc_id", "text"), d.select("doc_id", "label")).intercept == 12000
 
 
+def test_classifier_sends_only_what_weighs(spark):
+    """What travels by the driver follows the features in use, not the room for their numbers."""
+    import pickle
+    d, labels = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/labels.parquet").withColumnRenamed("quality", "label")
+    model = quality_model.train(d, labels)
+    at = np.arange(1 << model.bits)
+    weight, square = model.spread
+    used = np.flatnonzero(square)
+    assert 0 < len(used) < len(at) // 8 and set(used) <= set(model.features.tolist())
+    sent = pickle.dumps(model)
+    assert len(sent) < 12 * len(model.features) + 2000  # 8 MB before
+    again, row = pickle.loads(sent), np.array(sorted(random.Random(3).sample(used.tolist(), 50)))
+    assert again.score(row) == model.score(row)
+    assert again.margin(row) == pytest.approx(again.intercept + weight[row].sum() / square[row].sum() ** 0.5, rel=1e-5)
+
+
 # pipeline
 
 def test_pipeline_stage_by_stage(spark):
